@@ -20,13 +20,13 @@ def occupancy_ratio(census: Column, beds: Column) -> Column:
 
 
 def mean_percent_half_up(total: Column, count: Column, beds: Column) -> Column:
-    """`100 * total / (count * beds)` to two places, half up, in whole-number arithmetic.
+    """`100 * total / (count * beds)` to two places, half away from zero, in whole-number arithmetic.
 
-    Exact where a chain of decimal divisions is not: it never rounds an intermediate quotient. `total` must not be
-    negative and `beds` must be positive; NULL when `count` is 0.
+    Exact where a chain of decimal divisions is not: it never rounds an intermediate quotient. NULL when `count` or
+    `beds` is 0.
     """
-    wide = T.DecimalType(38, 0)
-    n, c, b = total.cast(T.DecimalType(28, 0)), count.cast(T.DecimalType(18, 0)), beds.cast(T.DecimalType(10, 0))
-    divisor = F.nullif((c * b).cast(wide), F.lit(0).cast(wide))
-    hundredths = F.floor(((n * F.lit(20000)).cast(wide) + divisor) / (divisor * F.lit(2)))
-    return (hundredths.cast(T.DecimalType(20, 0)) / F.lit(100)).cast(T.DecimalType(10, 2))
+    n, divisor = total.cast(T.DecimalType(28, 0)), (count.cast("decimal(18,0)") * beds.cast("decimal(10,0)"))
+    divisor = F.nullif(F.abs(divisor), F.lit(0).cast(T.DecimalType(29, 0)))
+    hundredths = F.call_function("div", F.abs(n) * F.lit(20000) + divisor, divisor * F.lit(2))
+    sign = F.when((n < 0) != (beds < 0), -1).otherwise(1)
+    return (sign * hundredths.cast(T.DecimalType(20, 0)) / F.lit(100)).cast(T.DecimalType(10, 2))
