@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key counts as hot from this share of all rows on. Below MIN_HOT_ROWS rows a key is never worth a plan of its own.
 HOT_SHARE = 0.005
@@ -46,6 +47,9 @@ def lookup_join(
         return many.join(one, keys, how)
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"a split join cannot be {how}")
+    kinds = [many.schema[k].dataType for k in keys]
+    if kinds != [one.schema[k].dataType for k in keys] or any(isinstance(t, T.FractionalType) for t in kinds):
+        raise ValueError("a split join needs keys of the same exact type on both sides")
     is_hot = key_hash(keys).isin(list(hot))
     ordinary = many.where(~is_hot).join(one.where(~is_hot), keys, how)
     frequent = many.where(is_hot).join(F.broadcast(one.where(is_hot)), keys, how)

@@ -134,5 +134,8 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str])
     """The rows a MERGE without update would insert: source rows whose key the target lacks, one per key."""
     keys = list(keys)
     others = [c for c in source.columns if c not in keys]
-    single = source.groupBy(*keys).agg(F.min(F.struct(*others)).alias("kept")).select(*keys, "kept.*")
+    if others:
+        single = source.groupBy(*keys).agg(F.min(F.struct(*others)).alias("kept")).select(*keys, "kept.*")
+    else:
+        single = source.distinct()
     return single.join(target.select(*keys), keys, "left_anti").select(*target.columns)
