@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,10 +38,19 @@ def read_raw_csv(
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=RAW_LINE, columnPruning=False)
         .options(encoding="ISO-8859-1", nullValue="\\N", emptyValue="")
         .csv(list(paths))
-        .select("*", decoded_file_name(F.col("_metadata.file_name")).alias("source_file"))
+        .select(
+            "*",
+            decoded_file_name(F.col("_metadata.file_name")).alias("source_file"),
+            F.hex(F.xxhash64("_metadata.file_path")).alias("source_id"),
+        )
     )
 
 
+def escaped_glob(path: str) -> str:
+    """The path with its wildcard characters taken literally."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def _width(line: Column, delimiter: str, quote: str) -> Column:
     """Number of fields of a raw line: delimiters outside quotes, plus one."""
     q = "\\" + quote
@@ -98,7 +108,7 @@ def tolerant_csv(
     quote: str = '"',
     multi_line: bool = False,
 ) -> DataFrame:
-    """Typed rows plus `source_file`, in one pass over the files.
+    """Typed rows plus the file's name and an id of its full path, in one pass over the files.
 
     Missing trailing fields become NULL. Text is cut to its length in bytes and each invalid byte becomes "?". A value
     that cannot be read, or a row with surplus fields, stops the job that consumes the rows and names file and column.
@@ -116,7 +126,7 @@ def tolerant_csv(
         for name, value, bad in columns
     ]
     source = F.when(too_wide, stop("extra columns").cast("string")).otherwise(F.col("source_file"))
-    return raw.withColumn("_width", width).select(*values, source.alias("source_file"))
+    return raw.withColumn("_width", width).select(*values, source.alias("source_file"), "source_id")
 
 
 def csv_rejects(

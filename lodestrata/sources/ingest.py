@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 from ..operators.upsert import insert_if_absent
 from ..schemas import MANIFEST, daily_nurse_staffing_schema, provider_info_schema
 from ..session import ensure_checkpoint_dir
-from .csv import tolerant_csv
+from .csv import escaped_glob, tolerant_csv
 from .listing import NoNewFilesError, Route, UnroutedFileError, list_files, new_files, route_files
 from .tables import append_rows, read_appended, replace_partitions
 
@@ -50,8 +49,9 @@ class Bronze:
 
     def table(self, spark: SparkSession, table: str, source_files: Sequence[str] | None = None) -> DataFrame:
         """A bronze table; with `source_files` only those files' partitions are read."""
-        schema = T.StructType([*self.schema_of(table).fields, T.StructField("source_file", T.StringType())])
-        rows = read_appended(spark, self.table_path(table), schema)
+        partitions = [T.StructField(c, T.StringType()) for c in ("source_file", "source_id")]
+        schema = T.StructType([*self.schema_of(table).fields, *partitions])
+        rows = read_appended(spark, self.table_path(table), schema).drop("source_id")
         if source_files is not None:
             rows = rows.where(F.col("source_file").isin(list(source_files)))
         return rows
@@ -64,23 +64,30 @@ def manifest_additions(loaded: DataFrame, manifest: DataFrame, load_time: Column
     return insert_if_absent(manifest.select(*rows.columns), rows, ["filename"])
 
 
-def _chunks(files: DataFrame, size: int) -> Iterator[list]:
-    """File rows in bounded lists; one partition at a time is on the driver."""
+def _chunks(files: DataFrame, size: int) -> Iterator[tuple[list, str | None]]:
+    """Files in bounded lists, each with the file name that goes on in the next list, if one does."""
     rows = files.toLocalIterator()
-    while chunk := list(islice(rows, size)):
-        yield chunk
+    ahead = next(rows, None)
+    while ahead is not None:
+        chunk = []
+        while ahead is not None and len(chunk) < size:
+            chunk.append(ahead)
+            ahead = next(rows, None)
+        yield chunk, ahead["filename"] if ahead is not None else None
 
 
-def load_files(spark: SparkSession, bronze: Bronze, files: Sequence, load_time: Column | None = None) -> None:
-    """Load routed files (rows of path, filename, table_name), then record them.
+def load_files(spark: SparkSession, bronze: Bronze, files: Sequence) -> None:
+    """Load routed files (rows of path, filename, table_name), one write per table.
 
-    Bronze is partitioned by source file and written before the manifest. A load that dies in between is repeated for
-    the same files and rewrites the same partitions, so no row is lost or doubled.
+    A file owns its bronze partition, so loading it again rewrites that partition instead of adding to it.
     """
     for table in dict.fromkeys(row["table_name"] for row in files):
-        paths = [row["path"] for row in files if row["table_name"] == table]
+        paths = [escaped_glob(row["path"]) for row in files if row["table_name"] == table]
         rows = tolerant_csv(spark, paths, bronze.schema_of(table), **bronze.csv_options)
-        replace_partitions(rows, bronze.table_path(table), "source_file")
+        replace_partitions(rows, bronze.table_path(table), "source_file", "source_id")
+
+
+def record_files(spark: SparkSession, bronze: Bronze, files: Sequence, load_time: Column | None = None) -> None:
     schema = T.StructType(MANIFEST.fields[:2])
     loaded = spark.createDataFrame([(row["filename"], row["table_name"]) for row in files], schema)
     additions = manifest_additions(loaded, bronze.manifest(spark), load_time)
@@ -98,19 +105,21 @@ def ingest_listing(
 ) -> int:
     """Load the listed files that are new and return their number.
 
-    All names are routed before anything is loaded, so an unknown name stops the run with nothing half done.
+    All names are routed before anything is loaded, so an unknown name stops the run with nothing half done. Files are
+    recorded after they are loaded, a name only once its last file is: a run that dies is simply repeated.
     """
     ensure_checkpoint_dir(spark)
     found = new_files(listing, bronze.manifest(spark))
     routed = route_files(found, bronze.routes).select("path", "filename", "table_name")
     # Fixed before the first load: the loop below changes the manifest that discovery reads.
-    routed = routed.sort("table_name", "path").checkpoint()
+    routed = routed.sort("table_name", "filename", "path").checkpoint()
     unknown = routed.where(F.col("table_name").isNull()).first()
     if unknown is not None:
         raise UnroutedFileError(f"No matching table for file: {unknown['filename']}")
     loaded = 0
-    for chunk in _chunks(routed, files_per_load):
-        load_files(spark, bronze, chunk, load_time)
+    for chunk, unfinished in _chunks(routed, files_per_load):
+        load_files(spark, bronze, chunk)
+        record_files(spark, bronze, [row for row in chunk if row["filename"] != unfinished], load_time)
         loaded += len(chunk)
     if not loaded and on_empty == "raise":
         raise NoNewFilesError("No new files to ingest")
