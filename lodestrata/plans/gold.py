@@ -42,6 +42,15 @@ def star(fact: DataFrame, providers: DataFrame, staffing_types: DataFrame, work_
     return with_provider(with_type(with_calendar(fact, work_dates), staffing_types), providers)
 
 
+def bed_utilization(fact: DataFrame, providers: DataFrame, by: str = "staffingtypeid") -> DataFrame:
+    """Mean census per bed in percent, per provider and `by`; providers are unique, so sums are taken before the join."""
+    sums = fact.groupBy("ccn", by).agg(
+        F.sum(F.col("numofpatient").cast("bigint")).alias("census"), F.count("numofpatient").alias("days")
+    )
+    rate = mean_percent_half_up(F.col("census"), F.col("days"), F.nullif(F.col("numberofbed"), F.lit(0)))
+    return with_provider(sums, providers).select("ccn", by, rate.alias("bedutilizationrate"))
+
+
 def utilization(
     fact: DataFrame,
     providers: DataFrame,

@@ -108,7 +108,11 @@ def merge_fact(
     target = read_appended(spark, path, stored)
     months = staffing.select(month_of(F.col("WorkDate")).alias("m")).distinct().limit(MAX_TOUCHED_MONTHS + 1).collect()
     if len(months) <= MAX_TOUCHED_MONTHS:
-        target = target.where(F.col("work_month").isin([row["m"] for row in months]))
+        named = [row["m"] for row in months if row["m"] is not None]
+        touched = F.col("work_month").isin(named)
+        if len(named) < len(months):
+            touched = touched | F.col("work_month").isNull()
+        target = target.where(touched)
     merged = silver.build_fact(
         staffing,
         target.select(*schema.names),
