@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def load_decimal(text: Column, kind: T.DecimalType) -> Column:
-    """Read a decimal the way a bulk load does: surplus fraction digits are cut, not rounded. NULL when unreadable."""
-    wide = text.try_cast(T.DecimalType(38, max(18, kind.scale)))
-    cut = F.when(wide < 0, F.ceil(wide, F.lit(kind.scale))).otherwise(F.floor(wide, F.lit(kind.scale)))
-    return cut.try_cast(kind)
+def load_decimal(text: str, kind: T.DecimalType) -> str:
+    """SQL that reads a decimal as a bulk load does: surplus fraction digits are cut. NULL when unreadable."""
+    if kind.scale:
+        cut = rf"regexp_replace({text}, r'(\.\d{{{kind.scale}}})\d+$', '$1')"
+    else:
+        cut = rf"regexp_replace({text}, r'\.\d+$', '.0')"
+    return f"try_cast({cut} AS {kind.simpleString()})"
 
 
 def occupancy_ratio(census: Column, beds: Column) -> Column:

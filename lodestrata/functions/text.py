@@ -39,18 +39,15 @@ VALID_UTF8 = (
 )
 # Valid sequences from the end of the previous match, then one byte that starts none of them.
 INVALID_BYTE = rf"(\G{VALID_UTF8}*+)[\x80-\xFF]"
-CUT_SEQUENCE = r"[\xC2-\xF4][\x80-\xBF]*$"
 
 
-def clean_bytes(raw: Column, max_bytes: int, replacement: str = "?") -> Column:
-    """Turn byte text (one character per byte) into UTF-8 text of at most `max_bytes` bytes.
+def clean_bytes(raw: str, max_bytes: int) -> str:
+    """SQL that turns byte text (one character per byte) into UTF-8 text of at most `max_bytes` bytes.
 
-    Each invalid byte becomes one `replacement`; a character that the cut would split is left out whole.
+    Each invalid byte becomes one question mark; a character that the cut would split is left out whole.
     """
-    ascii_only = ~raw.rlike(r"[\x80-\xFF]")
-    valid = F.regexp_replace(raw, INVALID_BYTE, "$1" + replacement.replace("\\", "\\\\").replace("$", "\\$"))
-    cut = F.substring(valid, 1, max_bytes)
-    splits = F.substring(valid, max_bytes + 1, 1).rlike(r"[\x80-\xBF]")
-    whole = F.when(splits, F.regexp_replace(cut, CUT_SEQUENCE, "")).otherwise(cut)
-    decoded = F.decode(F.encode(whole, "ISO-8859-1"), "UTF-8")
-    return F.when(ascii_only, F.substring(raw, 1, max_bytes)).otherwise(decoded)
+    valid = f"regexp_replace({raw}, r'{INVALID_BYTE}', '$1?')"
+    # The longest start within the limit that is not followed by the rest of a character.
+    cut = rf"regexp_extract({valid}, r'^[\s\S]{{0,{max_bytes}}}(?![\x80-\xBF])', 0)"
+    decoded = f"decode(encode({cut}, 'ISO-8859-1'), 'UTF-8')"
+    return f"if(octet_length({raw}) = length({raw}), substring({raw}, 1, {max_bytes}), {decoded})"

@@ -58,42 +58,38 @@ def _width(line: Column, delimiter: str, quote: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
 
 
-def _parsed(text: Column, kind: T.DataType, date_format: str) -> Column:
-    if isinstance(kind, T.DecimalType):
-        return load_decimal(text, kind)
-    if isinstance(kind, T.DateType):
-        return F.try_to_date(F.trim(text), date_format)
-    return text.try_cast(kind)
+def _columns(
+    schema: T.StructType, text_bytes: Mapping[str, int], empty_as_null: bool, date_format: str
+) -> list[tuple[T.StructField, str, str | None]]:
+    """Per column its field, its value (NULL when unreadable) and, unless it is text, what should have been readable.
 
-
-def _typed(
-    raw: DataFrame,
-    schema: T.StructType,
-    text_bytes: Mapping[str, int],
-    empty_as_null: bool,
-    date_format: str,
-    delimiter: str,
-    quote: str,
-) -> tuple[list[tuple[str, Column, Column]], Column, Column]:
-    """Per column its name, value and "cannot be read" flag; then the row's width and its "too wide" flag."""
-    declared = len(schema)
-    width = F.when(F.col(RAW_LINE).isNull(), declared).otherwise(_width(F.col(RAW_LINE), delimiter, quote))
+    Both are SQL expressions: one call into the JVM for each, which counts for a layout of a hundred columns.
+    """
     columns = []
     for position, field in enumerate(schema.fields, start=1):
-        text = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.StringType):
-            value = clean_bytes(text, text_bytes.get(field.name, DEFAULT_TEXT_BYTES))
+        kind, raw = field.dataType, f"`{field.name}`"
+        if isinstance(kind, T.StringType):
+            cleaned = clean_bytes(raw, text_bytes.get(field.name, DEFAULT_TEXT_BYTES))
             if empty_as_null:
-                value = F.nullif(value, F.lit(""))
+                value = f"nullif({cleaned}, '')"
             else:
-                value = F.when(value.isNull() & (F.col("_width") >= position), F.lit("")).otherwise(value)
-            bad = F.lit(False)
+                value = f"coalesce({cleaned}, if(_width >= {position}, '', NULL))"
+            columns.append((field, value, None))
+            continue
+        filled = f"nullif(trim({raw}), '')"
+        if isinstance(kind, T.DecimalType):
+            value = load_decimal(filled, kind)
+        elif isinstance(kind, T.DateType):
+            value = f"try_to_date({filled}, '{date_format}')"
         else:
-            filled = F.nullif(F.trim(text), F.lit(""))
-            value = _parsed(filled, field.dataType, date_format)
-            bad = filled.isNotNull() & value.isNull()
-        columns.append((field.name, value, bad))
-    return columns, width, F.col("_width") > declared
+            value = f"try_cast({filled} AS {kind.simpleString()})"
+        columns.append((field, value, filled))
+    return columns
+
+
+def _with_width(raw: DataFrame, declared: int, delimiter: str, quote: str) -> DataFrame:
+    line = F.col(RAW_LINE)
+    return raw.withColumn("_width", F.when(line.isNull(), declared).otherwise(_width(line, delimiter, quote)))
 
 
 def tolerant_csv(
@@ -114,19 +110,16 @@ def tolerant_csv(
     that cannot be read, or a row with surplus fields, stops the job that consumes the rows and names file and column.
     """
     raw = read_raw_csv(spark, paths, schema.names, delimiter=delimiter, quote=quote, multi_line=multi_line)
-    columns, width, too_wide = _typed(
-        raw, schema, text_bytes or {}, empty_as_null, date_format, delimiter, quote
-    )
-
-    def stop(reason: str) -> Column:
-        return F.raise_error(F.concat(F.lit(reason + ", file "), F.col("source_file")))
 
-    values = [
-        F.when(bad, stop(f"unreadable value in {name}").cast(schema[name].dataType)).otherwise(value).alias(name)
-        for name, value, bad in columns
-    ]
-    source = F.when(too_wide, stop("extra columns").cast("string")).otherwise(F.col("source_file"))
-    return raw.withColumn("_width", width).select(*values, source.alias("source_file"), "source_id")
+    values = []
+    for field, value, text in _columns(schema, text_bytes or {}, empty_as_null, date_format):
+        if text is not None:
+            stop = f"raise_error(concat('unreadable value in {field.name}, file ', source_file))"
+            value = f"coalesce({value}, if({text} IS NOT NULL, CAST({stop} AS {field.dataType.simpleString()}), NULL))"
+        values.append(f"{value} AS `{field.name}`")
+    stop = "CAST(raise_error(concat('extra columns, file ', source_file)) AS STRING)"
+    source = f"if(_width > {len(schema)}, {stop}, source_file) AS source_file"
+    return _with_width(raw, len(schema), delimiter, quote).selectExpr(*values, source, "source_id")
 
 
 def csv_rejects(
@@ -141,10 +134,14 @@ def csv_rejects(
 ) -> DataFrame:
     """What `tolerant_csv` would stop at: rejected values per file and column; surplus fields count as a column."""
     raw = read_raw_csv(spark, paths, schema.names, delimiter=delimiter, quote=quote, multi_line=multi_line)
-    columns, width, too_wide = _typed(raw, schema, {}, False, date_format, delimiter, quote)
-    flags = [F.when(too_wide, F.lit("(surplus fields)"))]
-    flags += [F.when(bad, F.lit(name)) for name, _, bad in columns]
-    problems = raw.withColumn("_width", width).select("source_file", F.array_compact(F.array(*flags)).alias("problems"))
+    flags = [F.expr(f"if(_width > {len(schema)}, '(surplus fields)', NULL)")]
+    flags += [
+        F.expr(f"if({text} IS NOT NULL AND {value} IS NULL, '{field.name}', NULL)")
+        for field, value, text in _columns(schema, {}, False, date_format)
+        if text is not None
+    ]
+    wide = _with_width(raw, len(schema), delimiter, quote)
+    problems = wide.select("source_file", F.array_compact(F.array(*flags)).alias("problems"))
     return (
         problems.select("source_file", F.explode("problems").alias("column"))
         .groupBy("source_file", "column")
