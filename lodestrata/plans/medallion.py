@@ -72,7 +72,8 @@ def gate(providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None
 def run_checks(providers: DataFrame, staffing: DataFrame) -> None:
     """Run the three validations side by side and raise one error with the findings of all of them."""
     outcomes = _in_parallel(
-        [lambda df=df, checks=checks: _finding(df, checks) for df, checks in checked_relations(providers, staffing)]
+        staffing.sparkSession,
+        [lambda df=df, checks=checks: _finding(df, checks) for df, checks in checked_relations(providers, staffing)],
     )
     findings = [text for text in outcomes if text]
     if findings:
@@ -87,10 +88,10 @@ def _finding(df: DataFrame, checks: CheckSet) -> str | None:
     return None
 
 
-def _in_parallel(jobs: list) -> list:
+def _in_parallel(spark: SparkSession, jobs: list) -> list:
     """Independent jobs submitted together; the first failure is raised after all have ended."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        futures = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
     return [future.result() for future in futures]
 
 
@@ -139,6 +140,7 @@ def merge_silver(
         replace_table(build(read_table(spark, path, schema)), path)
 
     _in_parallel(
+        spark,
         [
             lambda: dimension(
                 "provider_dim", PROVIDER_DIM, lambda old: silver.build_provider_dim(providers, old, run_ts)
@@ -150,7 +152,7 @@ def merge_silver(
                 "work_date_dim", WORK_DATE_DIM, lambda old: silver.build_work_date_dim(staffing, old, run_ts)
             ),
             lambda: merge_fact(spark, config, staffing, run_ts),
-        ]
+        ],
     )
 
 
