@@ -21,6 +21,11 @@ def join_path(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def digest(text: Column) -> Column:
+    """32 bytes that stand for a text of any length, so that comparing long texts does not shuffle them."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def decoded_file_name(metadata_name: Column) -> Column:
     """`_metadata.file_name` is percent-encoded, with a literal plus sign left as it is."""
     return F.url_decode(F.replace(metadata_name, F.lit("+"), F.lit("%2B")))

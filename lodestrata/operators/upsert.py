@@ -66,6 +66,23 @@ def update_from(
     return updated.unionByName(target.where(any_null(keys)))
 
 
+def unmatched(target: DataFrame, stage: DataFrame, keys: Sequence[str], hot: Sequence[int] = ()) -> DataFrame:
+    """The stage rows without a partner in the target, duplicates and NULL keys included."""
+    keys = list(keys)
+    known = target.where(~any_null(keys)).select(*keys).distinct()
+    new = lookup_join(stage.where(~any_null(keys)), known, keys, "left_anti", hot)
+    return new.unionByName(stage.where(any_null(keys)))
+
+
+def shaped(
+    rows: DataFrame, target: DataFrame, stamp: Column | None = None, stamp_column: str | None = "updated_at"
+) -> DataFrame:
+    """Stage rows in the target's columns, stamped."""
+    return rows.select(
+        *[c for c in target.columns if c != stamp_column], *_stamped(target, stamp_column, stamp)
+    ).select(*target.columns)
+
+
 def missing_rows(
     target: DataFrame,
     stage: DataFrame,
@@ -75,13 +92,9 @@ def missing_rows(
     stamp_column: str | None = "updated_at",
     hot: Sequence[int] = (),
 ) -> DataFrame:
-    """The stage rows without a partner in the target, shaped like the target; duplicates and NULL keys included."""
-    keys = list(keys)
+    """What the insert after an update adds: the unmatched stage rows, shaped like the target."""
     rows = stage.select(*keys, *_value_columns(target, keys, stamp_column))
-    known = target.where(~any_null(keys)).select(*keys).distinct()
-    new = lookup_join(rows.where(~any_null(keys)), known, keys, "left_anti", hot)
-    unmatched = new.unionByName(rows.where(any_null(keys)))
-    return unmatched.select("*", *_stamped(target, stamp_column, stamp)).select(*target.columns)
+    return shaped(unmatched(target, rows, keys, hot), target, stamp, stamp_column)
 
 
 def upsert(
@@ -126,7 +139,7 @@ def upsert(
         *[F.when(staged, F.col(f"picked.{c}")).otherwise(F.col(c)).alias(c) for c in values],
         *_stamped(target, stamp_column, stamp, staged),
     ).select(*target.columns)
-    keyless = rows.where(any_null(keys)).select("*", *_stamped(target, stamp_column, stamp)).select(*target.columns)
+    keyless = shaped(rows.where(any_null(keys)), target, stamp, stamp_column)
     return merged.unionByName(target.where(any_null(keys))).unionByName(keyless)
 
 

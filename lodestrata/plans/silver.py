@@ -12,7 +12,7 @@ from ..functions.dates import compact_date, padded_month_name
 from ..operators.quality import CheckSet
 from ..operators.reshape import literal_rows, wide_to_long
 from ..operators.skew import hot_key_hashes
-from ..operators.upsert import upsert
+from ..operators.upsert import shaped, unmatched, update_from, upsert
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema
 
 # Dimension column from bronze column.
@@ -66,8 +66,8 @@ def provider_stage(bronze: DataFrame, columns: Mapping[str, str] = PROVIDER_COLU
 
 
 def work_date_stage(staffing: DataFrame, column: str = "WorkDate") -> DataFrame:
-    """The distinct calendar rows. Dates are parsed after a first distinct on their text: once per date, not per row."""
-    texts = staffing.select(F.col(column).alias("text")).distinct()
+    """The distinct calendar rows. Each distinct text is parsed once; trimmed texts of equal dates are equal."""
+    texts = staffing.select(F.trim(F.col(column)).alias("text")).distinct()
     date = compact_date(F.col("text"))
     return texts.select(
         F.col("text").cast("int").alias("workdateid"),
@@ -76,7 +76,7 @@ def work_date_stage(staffing: DataFrame, column: str = "WorkDate") -> DataFrame:
         padded_month_name(date).alias("monthname"),
         F.year(date).alias("year"),
         F.quarter(date).alias("quarter"),
-    ).distinct()
+    )
 
 
 def fact_bag(staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES) -> DataFrame:
@@ -147,15 +147,20 @@ def build_fact(
     measures: Mapping[str, str] = FACT_MEASURES,
     strict_scale: bool = False,
     split_hot_keys: bool = True,
-    **policy,
+    insert_duplicates: str = "keep",
 ) -> DataFrame:
     """The fact after update and insert.
 
-    With `split_hot_keys` one scan per side looks for keys that hold a large share of the rows; they skip the shuffle.
+    The stage is distinct, but nothing pays for that up front: the update takes a maximum, which copies do not change,
+    and the insert drops known keys first, so that only new rows are shuffled to remove their copies. With
+    `split_hot_keys` one scan per side looks for keys that hold a large share of the rows; they skip the join's shuffle.
     """
-    stage = typed_fact(fact_stage(staffing, measures), strict_scale)
-    hot = {}
-    if split_hot_keys:
-        hot["stage_hot"] = hot_key_hashes(fact_bag(staffing, measures), FACT_KEY)
-        hot["target_hot"] = hot_key_hashes(target, FACT_KEY)
-    return upsert(target, stage, FACT_KEY, stamp=run_ts, **hot, **policy)
+    bag = fact_bag(staffing, measures)
+    if insert_duplicates != "keep":
+        stage = typed_fact(bag.distinct(), strict_scale)
+        return upsert(target, stage, FACT_KEY, stamp=run_ts, insert_duplicates=insert_duplicates)
+    stage_hot = hot_key_hashes(bag, FACT_KEY) if split_hot_keys else []
+    target_hot = hot_key_hashes(target, FACT_KEY) if split_hot_keys else []
+    updated = update_from(target, typed_fact(bag, strict_scale), FACT_KEY, stamp=run_ts, hot=target_hot)
+    new = typed_fact(unmatched(target, bag, FACT_KEY, stage_hot).distinct(), strict_scale)
+    return updated.unionByName(shaped(new, target, run_ts))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import base_name, join_path, last_segment
+from ..functions.text import base_name, digest, join_path, last_segment
 from ..operators import quality, reshape, upsert
 from ..plans import gold, medallion, silver
 from ..schemas import WORK_DATE_DIM, fact_schema
@@ -522,8 +522,8 @@ def check_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def check_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that repeat an earlier text; one language counts as NULL."""
-    texts = table(spark, sf_dir, "documents").select(F.when(F.col("lang") != "fr", F.col("text")).alias("text"))
-    return quality.duplicate_count(texts, ["text"])
+    text = F.when(F.col("lang") != "fr", digest(F.col("text")))
+    return quality.duplicate_count(table(spark, sf_dir, "documents").select(text.alias("text")), ["text"])
 
 
 CHECKED_FACILITIES = """

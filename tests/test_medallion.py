@@ -55,7 +55,7 @@ def test_layouts_have_the_declared_shape():
     ],
 )
 def test_calendar_row(spark, text, expected):
-    df = spark.createDataFrame([(text,), (text,)], "WorkDate string")
+    df = spark.createDataFrame([(text,), (text.strip(),), (text + " ",)], "WorkDate string")
     assert [tuple(r) for r in silver.work_date_stage(df).collect()] == [expected]
 
 
@@ -72,6 +72,22 @@ def test_fact_stage_removes_copies_but_keeps_equal_hours_of_two_types(spark, row
     ]
 
 
+def test_fact_merge_policies(spark, rows):
+    days = [("p", "20240101", "80", 8, 1, 1, 1), ("p", "20240101", "80", 9, 1, 1, 1), ("p", "20240101", "080", 9, 1, 1, 1)]
+    empty = spark.createDataFrame([], fact_schema())
+
+    def first_type(**options):
+        merged = silver.build_fact(staffing(spark, *days), empty, F.lit(FIRST), **options)
+        return [r["workhours"] for r in merged.where("staffingtypeid = '1'").sort("workhours").collect()]
+
+    # Copies are told apart as text, before the census becomes a number.
+    assert first_type() == [Decimal(8), Decimal(9), Decimal(9)]
+    assert first_type(split_hot_keys=False) == first_type()
+    assert first_type(insert_duplicates="one") == [Decimal(9)]
+    with pytest.raises(Exception, match="several new rows for key p, 20240101"):
+        first_type(insert_duplicates="error")
+
+
 @pytest.mark.parametrize("census", ["80.5", "many", ""])
 def test_census_must_be_a_whole_number(spark, census):
     df = silver.fact_stage(staffing(spark, ("p", "20240101", census, 1, 1, 1, 1)))
