@@ -5,23 +5,45 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .skew import is_hot
+
 
 def wide_to_long(
-    df: DataFrame, ids: Sequence[Column | str], measures: Mapping[str, str], label: str, value: str
+    df: DataFrame, ids: Sequence[str], measures: Mapping[str, str], label: str, value: str
 ) -> DataFrame:
     """One row per input row and measure, from a single scan; `measures` maps each label to its column.
 
     NULL measures stay. The result is a bag: add `.distinct()` for the rows of a union of one projection per measure.
+    Rows are generated in place, so an input partitioned by some of `ids` stays partitioned that way.
+    """
+    entries = [F.struct(F.lit(text).alias(label), F.col(column).alias(value)) for text, column in measures.items()]
+    return df.select(*ids, F.inline(F.array(*entries)))
+
+
+def distinct_long(
+    df: DataFrame,
+    ids: Sequence[str],
+    measures: Mapping[str, str],
+    label: str,
+    value: str,
+    keys: Sequence[str],
+    hot: Sequence[int] = (),
+) -> DataFrame:
+    """The distinct rows of `wide_to_long`, shuffling the wide rows once instead of all the long ones.
+
+    Wide rows are spread by `keys`, a part of `ids`; equal long rows then lie in one partition and are removed there.
+    Rows of `hot` keys would overload their partition: they are made long first and spread over all columns.
     """
-    ids = [F.col(c) if isinstance(c, str) else c for c in ids]
-    narrow = df.select(*ids, *[F.col(column).alias(text) for text, column in measures.items()])
-    names = narrow.columns[: len(ids)]
-    quoted = [F.col(f"`{text}`") for text in measures]
-    return narrow.unpivot([F.col(n) for n in names], quoted, label, value)
+    arguments = (ids, measures, label, value)
+    cold = df.where(~is_hot(keys, hot)) if hot else df
+    distinct = wide_to_long(cold.repartition(*keys), *arguments).distinct()
+    if not hot:
+        return distinct
+    return distinct.unionByName(wide_to_long(df.where(is_hot(keys, hot)), *arguments).distinct())
 
 
 def union_distinct(*frames: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,42 +19,53 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
+    return key_hash(keys).isin(list(hot))
+
+
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> list[int]:
     """Hashes of the keys that hold a large share of `df`: one scan of the key columns, no shuffle of rows.
 
     A frequent-items sketch is merged across tasks, so only a few hundred counters reach the driver: at most
-    `1 / HOT_SHARE` hashes are returned. They steer the join plan alone; the result does not depend on them.
+    `1 / HOT_SHARE` hashes are returned. They steer the plan alone; no result depends on them.
     """
-    sketch = f"approx_top_k(hash, {int(1 / HOT_SHARE)}, {TRACKED_ITEMS})"
-    row = (
-        df.select(key_hash(keys).alias("hash"))
-        .agg(F.count(F.lit(1)).alias("total"), F.expr(sketch).alias("top"))
-        .first()
-    )
-    floor = max(min_rows, int(row["total"] * HOT_SHARE))
-    return [item["item"] for item in row["top"] if item["count"] >= floor]
+    total = df.count()
+    if total < min_rows:
+        return []
+    sketch = F.expr(f"approx_top_k(hash, {int(1 / HOT_SHARE)}, {TRACKED_ITEMS})")
+    top = df.select(key_hash(keys).alias("hash")).agg(sketch.alias("top")).first()["top"]
+    floor = max(min_rows, int(total * HOT_SHARE))
+    return [item["item"] for item in top if item["count"] >= floor]
 
 
-def lookup_join(
+def lookup_parts(
     many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, hot: Sequence[int] = ()
-) -> DataFrame:
-    """Join `many` to `one`, which has at most one row per key.
-
-    Rows of hot keys never enter the shuffle: they meet their few partner rows (one per key, so no more than
-    `len(hot)` but for hash collisions) in a broadcast join. All other rows take the ordinary join.
-    """
+) -> list[DataFrame]:
+    """`lookup_join` before its union: the ordinary rows and, if there are hot keys, those of the hot keys."""
     keys = list(keys)
     if not hot:
-        return many.join(one, keys, how)
+        return [many.join(one, keys, how)]
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"a split join cannot be {how}")
     kinds = [many.schema[k].dataType for k in keys]
     if kinds != [one.schema[k].dataType for k in keys] or any(isinstance(t, T.FractionalType) for t in kinds):
         raise ValueError("a split join needs keys of the same exact type on both sides")
-    is_hot = key_hash(keys).isin(list(hot))
-    ordinary = many.where(~is_hot).join(one.where(~is_hot), keys, how)
-    frequent = many.where(is_hot).join(F.broadcast(one.where(is_hot)), keys, how)
-    return ordinary.unionByName(frequent)
+    frequent = is_hot(keys, hot)
+    return [
+        many.where(~frequent).join(one.where(~frequent), keys, how),
+        many.where(frequent).join(F.broadcast(one.where(frequent)), keys, how),
+    ]
+
+
+def lookup_join(
+    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, hot: Sequence[int] = ()
+) -> DataFrame:
+    """Join `many` to `one`, which has at most one row per key.
+
+    Rows of hot keys never enter the shuffle: they meet their few partner rows (one per key, so no more than
+    `len(hot)` but for hash collisions) in a broadcast join. All other rows take the ordinary join.
+    """
+    return reduce(DataFrame.unionByName, lookup_parts(many, one, keys, how, hot))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

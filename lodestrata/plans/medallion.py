@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..operators.quality import CheckSet, ValidationError, check_results, gate_status, validate
 from ..operators.reshape import ordered_within_files
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema, gold_schema
+from ..session import ensure_checkpoint_dir
 from ..sources.ingest import PROVIDER_TABLE, STAFFING_TABLE, Bronze, default_routes, ingest_folder
 from ..sources.tables import read_appended, read_table, replace_partitions, replace_table
 from . import gold, silver
@@ -29,7 +30,6 @@ class Medallion:
     landing: str
     warehouse: str
     strict_scale: bool = False
-    split_hot_keys: bool = True
     mode: str = "exact"
     csv_options: dict = field(default_factory=dict)
 
@@ -49,9 +49,12 @@ def checked_relations(
     providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None
 ) -> list[tuple[DataFrame, CheckSet]]:
     """The three relations under test, as bags: the checks remove duplicates themselves, where they have to."""
+    # The calendar is tiny once made: it is kept, or every check would parse the dates of all rows again.
+    ensure_checkpoint_dir(staffing.sparkSession)
+    calendar = silver.work_date_stage(staffing).checkpoint()
     return [
         (providers.select(*silver.PROVIDER_COLUMNS.values()), silver.PROVIDER_CHECKS),
-        (silver.stamped(silver.work_date_stage(staffing), run_ts), silver.WORK_DATE_CHECKS),
+        (silver.stamped(calendar, run_ts), silver.WORK_DATE_CHECKS),
         (silver.stamped(silver.fact_bag(staffing), run_ts), silver.FACT_CHECKS),
     ]
 
@@ -119,7 +122,6 @@ def merge_fact(
         target.select(*schema.names),
         run_ts,
         strict_scale=config.strict_scale,
-        split_hot_keys=config.split_hot_keys,
     ).withColumn("work_month", month_of(F.col("workdateid")))
     # Rebalancing gathers each month in few files and splits a month that is too large for one task.
     sized = merged.hint("rebalance", "work_month")

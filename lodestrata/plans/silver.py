@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql import types as T
 
 from ..functions.dates import compact_date, padded_month_name
 from ..operators.quality import CheckSet
-from ..operators.reshape import literal_rows, wide_to_long
-from ..operators.skew import hot_key_hashes
-from ..operators.upsert import shaped, unmatched, update_from, upsert
+from ..operators.reshape import distinct_long, literal_rows, wide_to_long
+from ..operators.skew import hot_key_hashes, is_hot, lookup_join
+from ..operators.upsert import any_null, shaped, upsert
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema
 
 # Dimension column from bronze column.
@@ -79,29 +80,59 @@ def work_date_stage(staffing: DataFrame, column: str = "WorkDate") -> DataFrame:
     )
 
 
+FACT_IDS = ["ccn", "workdateid", "numofpatient"]
+FACT_DAY = ["ccn", "workdateid"]
+
+
+def staffing_days(staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES) -> DataFrame:
+    """The fact's ids and one hours column per staffing type, row by row as bronze has them."""
+    return staffing.select(
+        F.col("PROVNUM").alias("ccn"),
+        F.col("WorkDate").alias("workdateid"),
+        F.col("MDScensus").alias("numofpatient"),
+        *[F.col(column).alias(f"hours_{label}") for label, column in measures.items()],
+    )
+
+
+def _hours(measures: Mapping[str, str]) -> dict[str, str]:
+    return {label: f"hours_{label}" for label in measures}
+
+
 def fact_bag(staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES) -> DataFrame:
     """Every hours value as a row of its own, repeats included."""
-    ids = [
-        F.col("PROVNUM").alias("ccn"), F.col("WorkDate").alias("workdateid"), F.col("MDScensus").alias("numofpatient")
-    ]
-    return wide_to_long(staffing, ids, measures, "staffingtypeid", "workhours")
+    days = staffing_days(staffing, measures)
+    return wide_to_long(days, FACT_IDS, _hours(measures), "staffingtypeid", "workhours")
 
 
-def fact_stage(staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES) -> DataFrame:
-    """The distinct fact rows, still as text and source decimals."""
-    return fact_bag(staffing, measures).distinct()
+def hot_days(days: DataFrame) -> list[int]:
+    """Provider days that hold a large share of all rows, missing keys included."""
+    return hot_key_hashes(days, FACT_DAY)
 
 
-def typed_fact(stage: DataFrame, strict_scale: bool = False) -> DataFrame:
-    """Census as INT and hours as the fact's decimal, half up; text that is no whole number stops the job."""
-    hours = fact_schema(strict_scale)["workhours"].dataType
+def fact_stage(
+    staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES, hot: Sequence[int] | None = None
+) -> DataFrame:
+    """The distinct fact rows, still as text and source decimals. Hot provider days are looked up unless given."""
+    days = staffing_days(staffing, measures)
+    hot = hot_days(days) if hot is None else hot
+    return distinct_long(days, FACT_IDS, _hours(measures), "staffingtypeid", "workhours", FACT_DAY, hot)
+
+
+def whole_census() -> Column:
+    """Census as INT; text that is no whole number stops the job."""
     census = F.col("numofpatient").try_cast("int")
     bad = F.col("numofpatient").isNotNull() & census.isNull()
     stop = F.raise_error(F.concat(F.lit("census is no whole number: "), F.col("numofpatient"))).cast("int")
+    return F.when(bad, stop).otherwise(census)
+
+
+def typed_fact(stage: DataFrame, strict_scale: bool = False) -> DataFrame:
+    """Census as INT and hours as the fact's decimal, half up."""
+    hours = fact_schema(strict_scale)["workhours"].dataType
     return stage.select(
         "ccn",
         "workdateid",
-        F.when(bad, stop).otherwise(census).alias("numofpatient"),
+        whole_census().alias("numofpatient"),
         "staffingtypeid",
         F.col("workhours").cast(hours).alias("workhours"),
     )
@@ -139,6 +170,73 @@ def build_work_date_dim(staffing: DataFrame, target: DataFrame, run_ts: Column |
     return upsert(target, work_date_stage(staffing), WORK_DATE_KEY, stamp=run_ts)
 
 
+def _by_label(measures: Mapping[str, str], column: str) -> Column:
+    """Of the columns `<column>_<label>`, the one that belongs to the row's staffing type."""
+    result = F.lit(None)
+    for label in measures:
+        result = F.when(F.col("staffingtypeid") == label, F.col(f"{column}_{label}")).otherwise(result)
+    return result
+
+
+def updated_fact(
+    days: DataFrame,
+    target: DataFrame,
+    measures: Mapping[str, str],
+    run_ts: Column | None,
+    strict_scale: bool,
+    hot: Sequence[int] = (),
+) -> DataFrame:
+    """The target with the values of the last stage row per key: greatest census, then greatest hours."""
+    hours = fact_schema(strict_scale)["workhours"].dataType
+    best = [
+        F.max(F.struct(whole_census().alias("numofpatient"), F.col(f"hours_{label}").cast(hours).alias("workhours")))
+        for label in measures
+    ]
+    last = days.where(~any_null(FACT_DAY)).groupBy(*FACT_DAY).agg(
+        *[column.alias(f"best_{label}") for column, label in zip(best, measures, strict=True)]
+    )
+    joined = lookup_join(target.where(~any_null(FACT_DAY)), last, FACT_DAY, "left", hot)
+    joined = joined.withColumn("best", _by_label(measures, "best"))
+    matched = F.col("best").isNotNull()
+    now = F.current_timestamp() if run_ts is None else run_ts
+    values = {
+        "numofpatient": F.when(matched, F.col("best.numofpatient")).otherwise(F.col("numofpatient")),
+        "workhours": F.when(matched, F.col("best.workhours")).otherwise(F.col("workhours")),
+        "updated_at": F.when(matched, now.cast("timestamp")).otherwise(F.col("updated_at")),
+    }
+    updated = joined.select(*[values.get(c, F.col(c)).alias(c) for c in target.columns])
+    return updated.unionByName(target.where(any_null(FACT_DAY)))
+
+
+def new_fact_rows(
+    days: DataFrame, target: DataFrame, measures: Mapping[str, str], hot: Sequence[int] = ()
+) -> DataFrame:
+    """The distinct stage rows whose key the target lacks.
+
+    The wide rows learn, per staffing type, whether the target knows it, and only the other types become rows. One
+    shuffle of the wide rows by provider and day serves both the join and the removal of copies.
+    """
+    known = target.where(~any_null(FACT_DAY)).groupBy(*FACT_DAY).agg(
+        *[F.max(F.col("staffingtypeid") == label).alias(f"known_{label}") for label in measures]
+    )
+    keyed = days.where(~any_null(FACT_DAY))
+    cold, frequent = keyed, []
+    if hot:
+        cold = keyed.where(~is_hot(FACT_DAY, hot))
+        frequent = [keyed.where(is_hot(FACT_DAY, hot)).join(
+            F.broadcast(known.where(is_hot(FACT_DAY, hot))), FACT_DAY, "left"
+        )]
+    flags = [f"known_{label}" for label in measures]
+    parts = []
+    for joined in [cold.repartition(*FACT_DAY).join(known, FACT_DAY, "left"), *frequent]:
+        rows = wide_to_long(joined, [*FACT_IDS, *flags], _hours(measures), "staffingtypeid", "workhours")
+        new = rows.where(~F.coalesce(_by_label(measures, "known"), F.lit(False))).drop(*flags)
+        parts.append(new.distinct())
+    keyless = days.where(any_null(FACT_DAY))
+    parts.append(wide_to_long(keyless, FACT_IDS, _hours(measures), "staffingtypeid", "workhours").distinct())
+    return reduce(DataFrame.unionByName, parts)
+
+
 def build_fact(
     staffing: DataFrame,
     target: DataFrame,
@@ -146,21 +244,18 @@ def build_fact(
     *,
     measures: Mapping[str, str] = FACT_MEASURES,
     strict_scale: bool = False,
-    split_hot_keys: bool = True,
     insert_duplicates: str = "keep",
 ) -> DataFrame:
-    """The fact after update and insert.
+    """The fact after update and insert: what `upsert` makes of the fact stage, without ever shuffling the long rows.
 
-    The stage is distinct, but nothing pays for that up front: the update takes a maximum, which copies do not change,
-    and the insert drops known keys first, so that only new rows are shuffled to remove their copies. With
-    `split_hot_keys` one scan per side looks for keys that hold a large share of the rows; they skip the join's shuffle.
+    Both halves work on the wide rows: the update takes the last values of all types in one aggregate per provider and
+    day, the insert makes long only what is new. Provider days with a large share of the rows, looked for in one scan
+    per side, meet their partners in broadcast joins.
     """
-    bag = fact_bag(staffing, measures)
     if insert_duplicates != "keep":
-        stage = typed_fact(bag.distinct(), strict_scale)
+        stage = typed_fact(fact_stage(staffing, measures), strict_scale)
         return upsert(target, stage, FACT_KEY, stamp=run_ts, insert_duplicates=insert_duplicates)
-    stage_hot = hot_key_hashes(bag, FACT_KEY) if split_hot_keys else []
-    target_hot = hot_key_hashes(target, FACT_KEY) if split_hot_keys else []
-    updated = update_from(target, typed_fact(bag, strict_scale), FACT_KEY, stamp=run_ts, hot=target_hot)
-    new = typed_fact(unmatched(target, bag, FACT_KEY, stage_hot).distinct(), strict_scale)
+    days = staffing_days(staffing, measures)
+    updated = updated_fact(days, target, measures, run_ts, strict_scale, hot_days(target))
+    new = typed_fact(new_fact_rows(days, target, measures, hot_days(days)), strict_scale)
     return updated.unionByName(shaped(new, target, run_ts))

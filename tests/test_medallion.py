@@ -82,7 +82,6 @@ def test_fact_merge_policies(spark, rows):
 
     # Copies are told apart as text, before the census becomes a number.
     assert first_type() == [Decimal(8), Decimal(9), Decimal(9)]
-    assert first_type(split_hot_keys=False) == first_type()
     assert first_type(insert_duplicates="one") == [Decimal(9)]
     with pytest.raises(Exception, match="several new rows for key p, 20240101"):
         first_type(insert_duplicates="error")

@@ -142,3 +142,45 @@ def test_split_join_refuses_what_it_cannot_split(spark):
         lookup_join(many, many, ["k"], "full", [1])
     with pytest.raises(ValueError, match="same exact type"):
         lookup_join(many, many.select(F.col("k").cast("int")), ["k"], "inner", [1])
+
+
+FACT_ROW = st.tuples(
+    st.sampled_from(["p", "q", None]), st.sampled_from(["20240101", "20240102", None]), st.integers(1, 2),
+    st.integers(0, 2), st.one_of(st.none(), st.integers(0, 2)),
+)
+TARGET_ROW = st.tuples(
+    st.sampled_from(["p", "q", None]), st.sampled_from(["20240101", "20240102", None]), st.integers(0, 9),
+    st.sampled_from(["1", "2", "9", None]), st.integers(0, 9),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    days=st.lists(FACT_ROW, max_size=8),
+    known=st.lists(TARGET_ROW, max_size=8),
+    hot=st.sets(st.sampled_from(["p", "q"]), max_size=1),
+)
+def test_fact_merge_equals_the_general_merge_of_its_stage(spark, rows, monkeypatch, days, known, hot):
+    """The wide form against stage, types and generic upsert, also with a provider taken as hot."""
+    from decimal import Decimal
+
+    from lodestrata.plans import silver
+    from lodestrata.schemas import fact_schema
+
+    staffing = spark.createDataFrame(
+        [(p, d, str(n), *[None if h is None else Decimal(h) for h in (a, b)]) for p, d, n, a, b in days],
+        "PROVNUM string, WorkDate string, MDScensus string, emp decimal(18,2), ctr decimal(18,2)",
+    )
+    measures = {"1": "emp", "2": "ctr"}
+    target = spark.createDataFrame([(p, d, n, t, Decimal(h), OLD) for p, d, n, t, h in known], fact_schema())
+    pairs = [(p, d) for p in hot for d in ("20240101", "20240102")]
+    hashes = [
+        r[0]
+        for r in spark.createDataFrame(pairs, "ccn string, workdateid string").select(key_hash(silver.FACT_DAY)).collect()
+    ]
+    stage = silver.typed_fact(silver.fact_bag(staffing, measures).distinct())
+    expected = upsert(target, stage, silver.FACT_KEY, stamp=F.lit(NEW))
+    with monkeypatch.context() as patch:
+        patch.setattr(silver, "hot_days", lambda _df: hashes)
+        found = silver.build_fact(staffing, target, F.lit(NEW), measures=measures)
+        assert rows(found) == rows(expected)
