@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key counts as hot from this share of all rows on. Below MIN_HOT_ROWS rows a key is never worth a plan of its own.
+# A key counts as hot from this share of all rows on. Below MIN_HOT_ROWS rows a key is
+# never worth a plan of its own: one task copes with that many.
 HOT_SHARE = 0.005
-MIN_HOT_ROWS = 1_000_000
+MIN_HOT_ROWS = 10_000_000
 TRACKED_ITEMS = 10_000
 
 

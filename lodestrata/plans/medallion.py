@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..operators.quality import CheckSet, ValidationError, check_results, gate_status, validate
 from ..operators.reshape import ordered_within_files
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema, gold_schema
-from ..session import ensure_checkpoint_dir
+from ..session import settled
 from ..sources.ingest import PROVIDER_TABLE, STAFFING_TABLE, Bronze, default_routes, ingest_folder
 from ..sources.tables import read_appended, read_table, replace_partitions, replace_table
 from . import gold, silver
@@ -50,8 +50,7 @@ def checked_relations(
 ) -> list[tuple[DataFrame, CheckSet]]:
     """The three relations under test, as bags: the checks remove duplicates themselves, where they have to."""
     # The calendar is tiny once made: it is kept, or every check would parse the dates of all rows again.
-    ensure_checkpoint_dir(staffing.sparkSession)
-    calendar = silver.work_date_stage(staffing).checkpoint()
+    calendar = settled(silver.work_date_stage(staffing))
     return [
         (providers.select(*silver.PROVIDER_COLUMNS.values()), silver.PROVIDER_CHECKS),
         (silver.stamped(calendar, run_ts), silver.WORK_DATE_CHECKS),

@@ -13,7 +13,7 @@ from ..functions.text import base_name, digest, join_path, last_segment
 from ..operators import quality, reshape, upsert
 from ..plans import gold, medallion, silver
 from ..schemas import WORK_DATE_DIM, fact_schema
-from ..session import scratch_path
+from ..session import scratch_path, settled
 from ..sources import conformance, csv, ingest, listing, tables
 from ..streaming.arrivals import ingest_stream
 from . import inputs
@@ -421,7 +421,7 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def star_join_implicit_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text ids of the fact joined to the numeric ids of two dimensions."""
-    rows = gold.with_calendar(inputs.fact(spark, sf_dir), date_dim(spark, sf_dir))
+    rows = gold.with_calendar(inputs.fact(spark, sf_dir), settled(date_dim(spark, sf_dir)))
     return gold.with_type(rows, silver.staffing_type_stage(spark)).drop("date_key", "type_key")
 
 
@@ -448,13 +448,12 @@ def avg_ratio_nullif(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf_dir: str, mode: str = "exact") -> DataFrame:
-    staffing = inputs.staffing(spark, sf_dir)
     return without_stamp(
         gold.build_utilization(
             inputs.fact(spark, sf_dir),
             inputs.providers(spark, sf_dir),
             silver.staffing_type_stage(spark),
-            silver.work_date_stage(staffing),
+            settled(date_dim(spark, sf_dir)),
             mode=mode,
         )
     )

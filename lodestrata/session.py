@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs rely on. A cluster session normally sets these itself; `build_session` is for tests and the bench.
 SESSION_DEFAULTS = {
@@ -52,10 +52,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make `DataFrame.checkpoint()` usable: Spark wants the folder set on the context as well."""
+def settled(df: DataFrame) -> DataFrame:
+    """`df` computed once and kept in the shared folder, where the loss of an executor cannot take it away."""
+    spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint()
 
 
 def filesystem(spark: SparkSession, path: str):

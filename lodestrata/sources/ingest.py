@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators.upsert import insert_if_absent
 from ..schemas import MANIFEST, daily_nurse_staffing_schema, provider_info_schema
-from ..session import ensure_checkpoint_dir
+from ..session import settled
 from .csv import escaped_glob, tolerant_csv
 from .listing import NoNewFilesError, Route, UnroutedFileError, list_files, new_files, route_files
 from .tables import append_rows, read_appended, replace_partitions
@@ -108,11 +108,10 @@ def ingest_listing(
     All names are routed before anything is loaded, so an unknown name stops the run with nothing half done. Files are
     recorded after they are loaded, a name only once its last file is: a run that dies is simply repeated.
     """
-    ensure_checkpoint_dir(spark)
     found = new_files(listing, bronze.manifest(spark))
     routed = route_files(found, bronze.routes).select("path", "filename", "table_name")
     # Fixed before the first load: the loop below changes the manifest that discovery reads.
-    routed = routed.sort("table_name", "filename", "path").checkpoint()
+    routed = settled(routed.sort("table_name", "filename", "path"))
     unknown = routed.where(F.col("table_name").isNull()).first()
     if unknown is not None:
         raise UnroutedFileError(f"No matching table for file: {unknown['filename']}")
