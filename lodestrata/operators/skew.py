@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 # A key counts as hot from this share of all rows on. Below MIN_HOT_ROWS rows a key is
 # never worth a plan of its own: one task copes with that many.
-HOT_SHARE = 0.005
+HOT_SHARE = 0.001
 MIN_HOT_ROWS = 10_000_000
 TRACKED_ITEMS = 10_000
 
@@ -39,34 +38,25 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_R
     return [item["item"] for item in top if item["count"] >= floor]
 
 
-def lookup_parts(
+def lookup_join(
     many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, hot: Sequence[int] = ()
-) -> list[DataFrame]:
-    """`lookup_join` before its union: the ordinary rows and, if there are hot keys, those of the hot keys."""
+) -> DataFrame:
+    """Join `many` to `one`, which has at most one row per key.
+
+    Rows of hot keys never enter the shuffle: they meet their few partner rows (one per key, so no more than
+    `len(hot)` but for hash collisions) in a broadcast join. All other rows take the ordinary join.
+    """
     keys = list(keys)
     if not hot:
-        return [many.join(one, keys, how)]
+        return many.join(one, keys, how)
     if how not in ("inner", "left", "left_anti", "left_semi"):
         raise ValueError(f"a split join cannot be {how}")
     kinds = [many.schema[k].dataType for k in keys]
     if kinds != [one.schema[k].dataType for k in keys] or any(isinstance(t, T.FractionalType) for t in kinds):
         raise ValueError("a split join needs keys of the same exact type on both sides")
     frequent = is_hot(keys, hot)
-    return [
-        many.where(~frequent).join(one.where(~frequent), keys, how),
-        many.where(frequent).join(F.broadcast(one.where(frequent)), keys, how),
-    ]
-
-
-def lookup_join(
-    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, hot: Sequence[int] = ()
-) -> DataFrame:
-    """Join `many` to `one`, which has at most one row per key.
-
-    Rows of hot keys never enter the shuffle: they meet their few partner rows (one per key, so no more than
-    `len(hot)` but for hash collisions) in a broadcast join. All other rows take the ordinary join.
-    """
-    return reduce(DataFrame.unionByName, lookup_parts(many, one, keys, how, hot))
+    ordinary = many.where(~frequent).join(one.where(~frequent), keys, how)
+    return ordinary.unionByName(many.where(frequent).join(F.broadcast(one.where(frequent)), keys, how))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.dates import compact_date, padded_month_name
 from ..operators.quality import CheckSet
 from ..operators.reshape import distinct_long, literal_rows, wide_to_long
-from ..operators.skew import hot_key_hashes, is_hot, lookup_join
+from ..operators.skew import hot_key_hashes, is_hot
 from ..operators.upsert import any_null, shaped, upsert
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema
 
@@ -178,25 +179,41 @@ def _by_label(measures: Mapping[str, str], column: str) -> Column:
     return result
 
 
+@dataclass(frozen=True)
+class Days:
+    """Stage rows by where they are merged: spread by provider and day, of hot provider days, or without a key."""
+
+    cold: DataFrame
+    frequent: DataFrame | None
+    keyless: DataFrame
+    hot: Sequence[int]
+
+    @classmethod
+    def split(cls, days: DataFrame, hot: Sequence[int]) -> Days:
+        keyed = days.where(~any_null(FACT_DAY))
+        cold = keyed.where(~is_hot(FACT_DAY, hot)) if hot else keyed
+        frequent = keyed.where(is_hot(FACT_DAY, hot)) if hot else None
+        return cls(cold.repartition(*FACT_DAY), frequent, days.where(any_null(FACT_DAY)), hot)
+
+    def beside(self, keyed: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+        """Stage rows with the rows of `keyed` that may share their provider day, one pair per way to merge."""
+        if self.frequent is None:
+            return [(self.cold, keyed)]
+        frequent = is_hot(FACT_DAY, self.hot)
+        return [(self.cold, keyed.where(~frequent)), (self.frequent, keyed.where(frequent))]
+
+
 def updated_fact(
-    days: DataFrame,
-    target: DataFrame,
-    measures: Mapping[str, str],
-    run_ts: Column | None,
-    strict_scale: bool,
-    hot: Sequence[int] = (),
+    days: Days, target: DataFrame, measures: Mapping[str, str], run_ts: Column | None, strict_scale: bool
 ) -> DataFrame:
     """The target with the values of the last stage row per key: greatest census, then greatest hours."""
     hours = fact_schema(strict_scale)["workhours"].dataType
-    best = [
-        F.max(F.struct(whole_census().alias("numofpatient"), F.col(f"hours_{label}").cast(hours).alias("workhours")))
+    last = {
+        f"best_{label}": F.max(
+            F.struct(whole_census().alias("numofpatient"), F.col(f"hours_{label}").cast(hours).alias("workhours"))
+        )
         for label in measures
-    ]
-    last = days.where(~any_null(FACT_DAY)).groupBy(*FACT_DAY).agg(
-        *[column.alias(f"best_{label}") for column, label in zip(best, measures, strict=True)]
-    )
-    joined = lookup_join(target.where(~any_null(FACT_DAY)), last, FACT_DAY, "left", hot)
-    joined = joined.withColumn("best", _by_label(measures, "best"))
+    }
     matched = F.col("best").isNotNull()
     now = F.current_timestamp() if run_ts is None else run_ts
     values = {
@@ -204,36 +221,30 @@ def updated_fact(
         "workhours": F.when(matched, F.col("best.workhours")).otherwise(F.col("workhours")),
         "updated_at": F.when(matched, now.cast("timestamp")).otherwise(F.col("updated_at")),
     }
-    updated = joined.select(*[values.get(c, F.col(c)).alias(c) for c in target.columns])
-    return updated.unionByName(target.where(any_null(FACT_DAY)))
+    parts = [target.where(any_null(FACT_DAY))]
+    for stage, known in days.beside(target.where(~any_null(FACT_DAY))):
+        best = stage.groupBy(*FACT_DAY).agg(*[column.alias(name) for name, column in last.items()])
+        # One row per hot provider day, and those are few.
+        best = F.broadcast(best) if stage is days.frequent else best
+        joined = known.join(best, FACT_DAY, "left").withColumn("best", _by_label(measures, "best"))
+        parts.append(joined.select(*[values.get(c, F.col(c)).alias(c) for c in target.columns]))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def new_fact_rows(
-    days: DataFrame, target: DataFrame, measures: Mapping[str, str], hot: Sequence[int] = ()
-) -> DataFrame:
+def new_fact_rows(days: Days, target: DataFrame, measures: Mapping[str, str]) -> DataFrame:
     """The distinct stage rows whose key the target lacks.
 
-    The wide rows learn, per staffing type, whether the target knows it, and only the other types become rows. One
-    shuffle of the wide rows by provider and day serves both the join and the removal of copies.
+    The wide rows learn, per staffing type, whether the target knows it, and only the other types become rows.
     """
-    known = target.where(~any_null(FACT_DAY)).groupBy(*FACT_DAY).agg(
-        *[F.max(F.col("staffingtypeid") == label).alias(f"known_{label}") for label in measures]
-    )
-    keyed = days.where(~any_null(FACT_DAY))
-    cold, frequent = keyed, []
-    if hot:
-        cold = keyed.where(~is_hot(FACT_DAY, hot))
-        frequent = [keyed.where(is_hot(FACT_DAY, hot)).join(
-            F.broadcast(known.where(is_hot(FACT_DAY, hot))), FACT_DAY, "left"
-        )]
-    flags = [f"known_{label}" for label in measures]
-    parts = []
-    for joined in [cold.repartition(*FACT_DAY).join(known, FACT_DAY, "left"), *frequent]:
+    flags = {f"known_{label}": F.max(F.col("staffingtypeid") == label) for label in measures}
+    parts = [wide_to_long(days.keyless, FACT_IDS, _hours(measures), "staffingtypeid", "workhours").distinct()]
+    for stage, known in days.beside(target.where(~any_null(FACT_DAY))):
+        types = known.groupBy(*FACT_DAY).agg(*[column.alias(name) for name, column in flags.items()])
+        types = F.broadcast(types) if stage is days.frequent else types
+        joined = stage.join(types, FACT_DAY, "left")
         rows = wide_to_long(joined, [*FACT_IDS, *flags], _hours(measures), "staffingtypeid", "workhours")
         new = rows.where(~F.coalesce(_by_label(measures, "known"), F.lit(False))).drop(*flags)
         parts.append(new.distinct())
-    keyless = days.where(any_null(FACT_DAY))
-    parts.append(wide_to_long(keyless, FACT_IDS, _hours(measures), "staffingtypeid", "workhours").distinct())
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -248,14 +259,15 @@ def build_fact(
 ) -> DataFrame:
     """The fact after update and insert: what `upsert` makes of the fact stage, without ever shuffling the long rows.
 
-    Both halves work on the wide rows: the update takes the last values of all types in one aggregate per provider and
-    day, the insert makes long only what is new. Provider days with a large share of the rows, looked for in one scan
-    per side, meet their partners in broadcast joins.
+    Both halves work on the wide rows, spread once by provider and day: the update takes the last values of all types
+    per provider day, the insert makes long only what is new and removes copies where they lie. Provider days with a
+    large share of the rows, looked for in one scan per side, are combined in place and meet in broadcast joins.
     """
     if insert_duplicates != "keep":
         stage = typed_fact(fact_stage(staffing, measures), strict_scale)
         return upsert(target, stage, FACT_KEY, stamp=run_ts, insert_duplicates=insert_duplicates)
-    days = staffing_days(staffing, measures)
-    updated = updated_fact(days, target, measures, run_ts, strict_scale, hot_days(target))
-    new = typed_fact(new_fact_rows(days, target, measures, hot_days(days)), strict_scale)
+    rows = staffing_days(staffing, measures)
+    days = Days.split(rows, list(dict.fromkeys(hot_days(rows) + hot_days(target))))
+    updated = updated_fact(days, target, measures, run_ts, strict_scale)
+    new = typed_fact(new_fact_rows(days, target, measures), strict_scale)
     return updated.unionByName(shaped(new, target, run_ts))

@@ -57,9 +57,12 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table that only grows, or is replaced partition by partition; no rows when it does not exist yet."""
-    if not any(not name.startswith(("_", ".")) for name in _children(spark, path)):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    fs, folder = filesystem(spark, path)
+    entries = fs.listStatusIterator(folder) if fs.exists(folder) else None
+    while entries is not None and entries.hasNext():
+        if not entries.next().getPath().getName().startswith(("_", ".")):
+            return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -347,3 +347,26 @@ def test_rows_without_a_date_survive_a_merge(spark, site):
     for provider in ("p", "q"):
         merge_fact(spark, site.config, staffing(spark, (provider, None, "1", 1, 1, 1, 1)))
     assert silver_tables(spark, site.config)[0].count() == 8
+
+
+def test_fact_merge_shuffles_the_stage_once(spark, tmp_path):
+    days = staffing(spark, *[(f"p{n % 50}", f"202401{n % 28 + 1:02d}", str(n), n, 1, 1, 1) for n in range(500)])
+    days.write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days"))
+    target = silver.build_fact(days.where("WorkDate < '20240110'"), spark.createDataFrame([], fact_schema()))
+    target.write.parquet(str(tmp_path / "fact"))
+    thresholds = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in thresholds}
+    try:
+        for name in thresholds:
+            spark.conf.set(name, "-1")
+        merged = silver.build_fact(days, spark.read.parquet(str(tmp_path / "fact")))
+        assert merged.count() > 0
+        merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert plan.count("ReusedExchange") == 1
+    # The stage by provider and day, the target's rows, and what the target knows per provider and day.
+    assert len([line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "Reused" not in line]) == 3
