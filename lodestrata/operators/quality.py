@@ -95,14 +95,20 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint")).alias("violations"))
 
 
-def check_results(df: DataFrame, checks: CheckSet, distinct_rows: bool = False) -> DataFrame:
-    """Every check of the set with its violation count, also those that hold."""
+def check_results(
+    df: DataFrame, checks: CheckSet, distinct_rows: bool = False, suspects: DataFrame | None = None
+) -> DataFrame:
+    """Every check of the set with its violation count, also those that hold.
+
+    `suspects`, if given, holds every row of `df` that has a NULL, and spares the NULL counts a pass over all of `df`.
+    """
     df = normalized(df)
+    suspects = df if suspects is None else normalized(suspects)
     absent = missing_columns(df, checks.required)
     if absent:
         rows = [(1, "required_columns", c, 1, f"Missing expected column {c}") for c in absent]
         return literal_rows(df.sparkSession, rows, REPORT)
-    df = df.select(*checks.required)
+    df, suspects = df.select(*checks.required), suspects.select(*checks.required)
 
     order = {c: 2 + 2 * i for i, c in enumerate(checks.null_checked)}
     position = F.element_at(F.create_map(*[F.lit(x) for pair in order.items() for x in pair]), F.col("column"))
@@ -113,7 +119,7 @@ def check_results(df: DataFrame, checks: CheckSet, distinct_rows: bool = False)
         (1 - F.col("rows")).alias("violations"),
         F.lit(f"Query returned no data from {checks.name}").alias("message"),
     )
-    nulls = null_counts(df, checks.null_checked, distinct_rows).select(
+    nulls = null_counts(suspects, checks.null_checked, distinct_rows).select(
         position.alias("position"),
         F.lit("not_null").alias("check"),
         "column",
@@ -135,9 +141,11 @@ def check_results(df: DataFrame, checks: CheckSet, distinct_rows: bool = False)
     return reduce(DataFrame.unionByName, parts)
 
 
-def validation_report(df: DataFrame, checks: CheckSet, distinct_rows: bool = False) -> DataFrame:
+def validation_report(
+    df: DataFrame, checks: CheckSet, distinct_rows: bool = False, suspects: DataFrame | None = None
+) -> DataFrame:
     """The checks that fail, one row each; empty when the relation is clean."""
-    return check_results(df, checks, distinct_rows).where(F.col("violations") > 0)
+    return check_results(df, checks, distinct_rows, suspects).where(F.col("violations") > 0)
 
 
 def gate_status(results: DataFrame) -> DataFrame:
@@ -149,13 +157,15 @@ def gate_status(results: DataFrame) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, checks: CheckSet, distinct_rows: bool = False) -> None:
+def validate(
+    df: DataFrame, checks: CheckSet, distinct_rows: bool = False, suspects: DataFrame | None = None
+) -> None:
     """Run the checks and raise one error that lists all findings; at most a row per check is collected."""
-    df = normalized(df)
-    absent = missing_columns(df, checks.required)
+    absent = missing_columns(normalized(df), checks.required)
     if absent and not df.isEmpty():
         raise ValidationError(f"Validation failed: Missing expected columns: {absent}")
-    findings = sorted(validation_report(df, checks, distinct_rows).collect(), key=lambda row: row["position"])
+    report = validation_report(df, checks, distinct_rows, suspects).collect()
+    findings = sorted(report, key=lambda row: row["position"])
     if absent or any(row["check"] == "not_empty" for row in findings):
         raise ValidationError(f"Validation failed: Query returned no data from {checks.name}")
     if findings:

@@ -47,22 +47,29 @@ class Medallion:
 
 def checked_relations(
     providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None
-) -> list[tuple[DataFrame, CheckSet]]:
-    """The three relations under test, as bags: the checks remove duplicates themselves, where they have to."""
+) -> list[tuple[DataFrame, CheckSet, DataFrame | None]]:
+    """The three relations under test, their checks, and where to look for NULLs if not in the whole relation.
+
+    The relations are bags: the checks remove duplicates themselves, where they have to.
+    """
     # The calendar is tiny once made: it is kept, or every check would parse the dates of all rows again.
     calendar = settled(silver.work_date_stage(staffing))
     return [
-        (providers.select(*silver.PROVIDER_COLUMNS.values()), silver.PROVIDER_CHECKS),
-        (silver.stamped(calendar, run_ts), silver.WORK_DATE_CHECKS),
-        (silver.stamped(silver.fact_bag(staffing), run_ts), silver.FACT_CHECKS),
+        (providers.select(*silver.PROVIDER_COLUMNS.values()), silver.PROVIDER_CHECKS, None),
+        (silver.stamped(calendar, run_ts), silver.WORK_DATE_CHECKS, None),
+        (
+            silver.stamped(silver.fact_bag(staffing), run_ts),
+            silver.FACT_CHECKS,
+            silver.stamped(silver.incomplete_facts(staffing), run_ts),
+        ),
     ]
 
 
 def validation_results(providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """All check results of the three relations, with the relation they belong to."""
     parts = [
-        check_results(df, checks, distinct_rows=True).select(F.lit(checks.name).alias("relation"), "*")
-        for df, checks in checked_relations(providers, staffing, run_ts)
+        check_results(df, checks, True, suspects).select(F.lit(checks.name).alias("relation"), "*")
+        for df, checks, suspects in checked_relations(providers, staffing, run_ts)
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -75,16 +82,16 @@ def run_checks(providers: DataFrame, staffing: DataFrame) -> None:
     """Run the three validations side by side and raise one error with the findings of all of them."""
     outcomes = _in_parallel(
         staffing.sparkSession,
-        [lambda df=df, checks=checks: _finding(df, checks) for df, checks in checked_relations(providers, staffing)],
+        [lambda relation=relation: _finding(*relation) for relation in checked_relations(providers, staffing)],
     )
     findings = [text for text in outcomes if text]
     if findings:
         raise ValidationError("\n".join(findings))
 
 
-def _finding(df: DataFrame, checks: CheckSet) -> str | None:
+def _finding(df: DataFrame, checks: CheckSet, suspects: DataFrame | None) -> str | None:
     try:
-        validate(df, checks, distinct_rows=True)
+        validate(df, checks, True, suspects)
     except ValidationError as error:
         return f"{checks.name}: {error}"
     return None

@@ -105,6 +105,12 @@ def fact_bag(staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES) -
     return wide_to_long(days, FACT_IDS, _hours(measures), "staffingtypeid", "workhours")
 
 
+def incomplete_facts(staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES) -> DataFrame:
+    """The rows of `fact_bag` with a NULL, found by a filter on bronze that skips files without any."""
+    sources = ["PROVNUM", "WorkDate", "MDScensus", *measures.values()]
+    return fact_bag(staffing.where(any_null(sources)), measures)
+
+
 def hot_days(days: DataFrame) -> list[int]:
     """Provider days that hold a large share of all rows, missing keys included."""
     return hot_key_hashes(days, FACT_DAY)

@@ -370,3 +370,21 @@ def test_fact_merge_shuffles_the_stage_once(spark, tmp_path):
     assert plan.count("ReusedExchange") == 1
     # The stage by provider and day, the target's rows, and what the target knows per provider and day.
     assert len([line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "Reused" not in line]) == 3
+
+
+def test_fact_check_of_complete_days_skips_their_files(spark, tmp_path):
+    from lodestrata.plans.medallion import checked_relations
+
+    staffing(spark, ("p", "20240101", "80", 8, 8, 1, 1)).write.parquet(str(tmp_path / "days"))
+    providers = spark.createDataFrame([(None,) * 9], ", ".join(f"{c} string" for c in silver.PROVIDER_COLUMNS.values()))
+    suspects = checked_relations(providers, spark.read.parquet(str(tmp_path / "days")))[2][2]
+    plan = suspects._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan and "IsNull(PROVNUM)" in plan
+    assert suspects.count() == 0
+
+
+def test_suspects_hold_exactly_the_rows_with_a_null(spark, rows):
+    days = staffing(spark, ("p", "20240101", "80", 8, None, 1, 1), (None, "20240101", "80", 8, 1, 1, 1), ("q", "20240101", "1", 1, 1, 1, 1))
+    columns = fact_schema().names[:5]
+    has_null = " or ".join(f"{c} is null" for c in columns)
+    assert rows(silver.incomplete_facts(days).where(has_null)) == rows(silver.fact_bag(days).where(has_null))
