@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +31,12 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
 
 
-def binary(values) -> bytes:
-    return values.tobytes()
-
-
-def record_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_lodestrata_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="lodestrata-code-")
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    context._lodestrata_shipped = True

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
-from .frames import table
+from . import decontaminate, exact_dedup, suffix, url_filter
+from .frames import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +18,12 @@ ORACLES: dict[str, str] = {}
 
 def query(oracle: str | None = None):
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @functools.wraps(function)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = shipped
         if oracle is not None:
             ORACLES[function.__name__] = oracle
         return function
@@ -36,3 +42,105 @@ def query(oracle: str | None = None):
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents by verified chunk recipes."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """WITH RECURSIVE raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    sized AS (SELECT doc_id, h, length(h) // 2 AS n_bytes FROM raw),
+    starts AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w FROM sized, range(0, greatest(n_bytes - 49, 0)) t(i)),
+    seen AS (SELECT w, min(doc_id) AS first_id FROM starts GROUP BY w),
+    hit AS (SELECT doc_id, i FROM starts JOIN seen USING (w) WHERE first_id < doc_id),
+    marked AS (SELECT doc_id, i, CASE WHEN lag(i) OVER (PARTITION BY doc_id ORDER BY i) >= i - 50 THEN 0 ELSE 1 END AS opens
+      FROM hit),
+    islands AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked),
+    spans AS (SELECT doc_id, g, min(i) AS a, max(i) + 50 AS b FROM islands GROUP BY doc_id, g),
+    pieces AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before,
+      lead(a) OVER (PARTITION BY doc_id ORDER BY a) IS NULL AS last FROM spans),
+    kept AS (SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+      string_agg(substr(h, 2 * before + 1, 2 * (a - before)) || CASE WHEN last THEN substr(h, 2 * b + 1) ELSE '' END, ''
+        ORDER BY a) AS k FROM pieces p JOIN sized USING (doc_id) GROUP BY p.doc_id)
+    SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(coalesce(k, h))) AS kept_sha256
+    FROM sized LEFT JOIN kept USING (doc_id)"""
+)
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 50-byte strings that a document with a smaller id also has, removed."""
+    found = suffix.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+# Fixed values of the query: (verdict, host, path), and host labels of unwanted sites.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+UNWANTED_HOSTS = r"(^|\.)(spam-farm|free-bets|adult-chat|casino-win)\."
+
+
+@query(
+    r"""WITH cut AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+    parsed AS (SELECT page_id, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
+    rules(v, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+      ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+    pairs AS (SELECT DISTINCT host, path FROM parsed),
+    best AS (SELECT host, path, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS v FROM pairs, rules
+      WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path)
+    SELECT page_id, host, path, rule, CASE WHEN v IS NOT NULL THEN v
+      WHEN regexp_matches(host, '(^|\.)(spam-farm|free-bets|adult-chat|casino-win)\.') THEN 'block' ELSE 'allow' END
+      AS verdict FROM parsed LEFT JOIN best USING (host, path)"""
+)
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules for hosts and paths; beyond them, the listed canonical URLs of unwanted sites are blocked."""
+    pages = table(spark, sf_dir, "pages")
+    unwanted = pages.where(url_filter.host_of(F.col("url")).rlike(UNWANTED_HOSTS))
+    rules = url_filter.rule_table(spark, URL_RULES)
+    listed = rules.unionByName(url_filter.url_table(unwanted, "url", "block"))
+    return url_filter.judge(pages, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+WORDS_SQL = r"""list_filter(regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, {WORDS_SQL.format(t="text")} AS w FROM documents),
+    b AS (SELECT item_id, {WORDS_SQL.format(t="text")} AS w FROM benchmark),
+    sizes AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+    phrases AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS p
+      FROM sizes, range(1, len(w) - n + 2) t(i)),
+    lengths AS (SELECT DISTINCT n FROM phrases),
+    windows AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS p
+      FROM d, lengths, range(1, len(w) - n + 2) t(i)),
+    hits AS (SELECT doc_id, i, n, item_id FROM windows JOIN phrases USING (n, p)),
+    words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM hits), range(i, i + n) t(k)
+      GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(ids, '')) AS items_sha256,
+      coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+)
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of benchmark items found in documents through an FM-index per shard."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
