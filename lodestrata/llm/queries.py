@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, suffix, url_filter
+from . import decontaminate, exact_dedup, language, quality, suffix, toxicity, url_filter
 from .frames import ship, table
+from .learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +145,34 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def held_out(modulus: int, rest: int):
+    return F.coalesce(remainder("doc_id", modulus) == rest, F.lit(False))
+
+
+@query()
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of a factorisation machine, for every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~held_out(3, 1)))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~held_out(4, 2)))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of matched clauses, for every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out(4, 2)))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -101,12 +101,12 @@ def column_texts(column: pa.Array) -> Texts:
     return Texts(raw[bounds[0] : bounds[-1]], bounds - bounds[0])
 
 
-def pieces(texts: Texts, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, Texts]]:
-    """Runs of whole texts of about `limit` bytes: first index, last index + 1, and the texts."""
+def pieces(texts: Texts, limit: int = PIECE_BYTES, most: int = 1 << 14) -> Iterator[tuple[int, int, Texts]]:
+    """Runs of at most `most` whole texts of about `limit` bytes: first index, last index + 1, and the texts."""
     n, start = len(texts.offsets) - 1, 0
     while start < n:
         stop = int(np.searchsorted(texts.offsets, texts.offsets[start] + limit, "right")) - 1
-        stop = min(n, max(start + 1, stop))
+        stop = min(n, start + most, max(start + 1, stop))
         low, high = texts.offsets[start], texts.offsets[stop]
         yield start, stop, Texts(texts.data[low:high], texts.offsets[start : stop + 1] - low)
         start = stop
@@ -181,3 +181,8 @@ class NameSet:
         hit = self.names[at] == names[maybe]
         return maybe[hit], at[hit]
 
+
+def bucket_counts(texts: int, text_of: np.ndarray, buckets: np.ndarray, size: int) -> np.ndarray:
+    """How often each text has each of `size` buckets, as one dense row per text."""
+    flat = np.bincount(text_of * size + buckets, minlength=texts * size)
+    return flat.reshape(texts, size).astype(np.float32)
