@@ -5,12 +5,18 @@ every task, so no task needs the ranks of another. Buckets are refined by the id
 refinement is reused by the next: 10 bytes and the 10 after them give 20, twice 20 give 40, and 40 with the last 10 give
 50. The names of 50 bytes are pairs of two independent names.
 
-All documents are spread over batches of some megabytes by their id. Round one moves, per batch, the distinct identifiers
-of 20-byte buckets at chosen positions: the smallest of each window of 50 bytes, so equal windows choose alike. Parts of
-the identifier space sort them and tell each batch which are shared by several documents. Round two refines only windows
-with a shared bucket to 50 bytes and moves their names with the smallest id that has them; the sorted parts answer with
-the names that a smaller id also has, and each batch marks what they cover. Within a batch a bucket is sent once, so a
-string that stands in a third of all documents is one entry per batch. The text itself is shuffled once.
+All documents are spread over batches of some megabytes by a hash of their id, and the text is shuffled once. Three rounds
+follow; in each, batches send the distinct names they have with the smallest id of each, parts of the name space sort what
+they get, and answer each batch in the order it sent.
+
+1. Seeds: the smallest 20-byte bucket of each window of 50 bytes, so equal windows choose alike. Answer: is it shared?
+2. Runs: neighbouring windows with one shared seed are sent as one name, that of all their bytes. Answer: the smallest id
+   with the same run, and whether the seed has other runs as well. A run that a smaller id has is covered.
+3. Windows: where a seed has several runs, the first document of each run sends the 50-byte names in it. Answer: the
+   smallest id with the same window.
+
+Within a batch a name is sent once, so a string in a third of all documents is one entry per batch. Seeds are cut to 48
+bits: two that are taken for one only cost a look in round two. Runs and windows have 96 bits.
 
 Null and empty texts have no bytes. Equal ids do not remove each other's strings, and a row with a null id neither loses
 bytes nor takes any. Columns other than id and text are ignored.
@@ -18,7 +24,7 @@ bytes nor takes any. Columns other than id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,226 +32,284 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import text_bytes
-from .text import NameSet, Texts, column_texts, gram_names, mix, pair_names, pieces, prefix_sums
+from .text import NameSet, Texts, column_texts, gram_names, mix, pair_names, pieces, prefix_sums, span_names
 
 LENGTH = 50
 SEED_BYTES = 10
+SEED_BITS = 48
 BATCH_BYTES = 4 << 20
 PART_ENTRIES = 1 << 20
 NO_ID = np.iinfo(np.int64).min
+SCRAMBLE = mix(np.arange(256, dtype=np.uint64)).astype(np.uint8)
+
+SEEDS, RUNS, WINDOWS = range(3)
+# The columns of a name in each round; the first one is sorted on.
+NAME_TYPES = {SEEDS: (np.uint64,), RUNS: (np.uint64, np.uint64, np.uint32), WINDOWS: (np.uint64, np.uint32)}
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Byte planes: equal high bytes stand together, where compression finds them."""
+    return b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns)
+
+
+def unpack(data: bytes, count: int, *kinds) -> list[np.ndarray]:
+    out, at = [], 0
+    for kind in kinds:
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, count * size, at).reshape(size, count)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += count * size
+    return out
 
 
 class Buckets:
-    """Bucket identifiers of the positions of some texts: of 20 bytes, and of 50 where asked for."""
+    """Bucket names of the positions of some texts: of 10 and 20 bytes, and of 50 where asked for."""
 
     def __init__(self, texts: Texts):
         n = len(texts.data)
         self.count = max(0, n - LENGTH + 1)
         edges = np.zeros(n + 1, np.int8)
         long = np.flatnonzero(np.diff(texts.offsets) >= LENGTH)
-        edges[texts.offsets[long]] += 1
-        edges[texts.offsets[long + 1] - LENGTH + 1] -= 1
+        np.add.at(edges, texts.offsets[long], 1)
+        np.add.at(edges, texts.offsets[long + 1] - LENGTH + 1, -1)
         self.inside = np.cumsum(edges, dtype=np.int8)[: self.count].astype(bool)
-        self.ten = gram_names(prefix_sums(texts.data), SEED_BYTES)
+        self.texts, self.sums = texts, prefix_sums(texts.data)
+        self.ten = gram_names(self.sums, SEED_BYTES)
         self.twenty = pair_names(self.ten[: max(0, n - 19)], self.ten[10 : max(10, n - 9)])
 
     def chosen(self) -> np.ndarray:
-        """For each window of 50 bytes the smallest identifier of the 31 buckets of 20 bytes in it."""
+        """For each window of 50 bytes its seed: the smallest of the 31 buckets of 20 bytes in it."""
         low = self.twenty
         for step in (1, 2, 4, 8):
             low = np.minimum(low[:-step], low[step:]) if len(low) > step else low[:0]
-        return np.minimum(low[: self.count], low[15 : 15 + self.count])
+        return np.minimum(low[: self.count], low[15 : 15 + self.count]) >> np.uint64(64 - SEED_BITS)
+
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Neighbouring windows of one document with one seed: first window, last window + 1, seed."""
+        if not self.count:
+            none = np.zeros(0, np.int64)
+            return none, none, none.astype(np.uint64)
+        low, change = self.chosen(), np.ones(self.count, bool)
+        change[1:] = (low[1:] != low[:-1]) | (self.inside[1:] != self.inside[:-1])
+        change[self.texts.offsets[:-1][self.texts.offsets[:-1] < self.count]] = True
+        first = np.flatnonzero(change)
+        last = np.append(first[1:], self.count)
+        real = self.inside[first]
+        return first[real], last[real], low[first[real]]
+
+    def run_names(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = last + LENGTH - 1
+        other = span_names(prefix_sums(SCRAMBLE[self.texts.data]), first, ends)
+        return span_names(self.sums, first, ends), (other >> np.uint64(32)).astype(np.uint32)
 
     def fifty(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent names of the windows at `at`."""
+        """The names of the windows at `at`, refined from 20 to 40 to 50 bytes."""
         forty = pair_names(self.twenty[at], self.twenty[at + 20])
         other = pair_names(mix(self.twenty[at + 20] + np.uint64(7)), self.twenty[at])
-        return pair_names(forty, self.ten[at + 40]), pair_names(self.ten[at + 40], other)
+        second = pair_names(self.ten[at + 40], other) >> np.uint64(32)
+        return pair_names(forty, self.ten[at + 40]), second.astype(np.uint32)
+
+
+class Sent:
+    """The distinct names that a batch sends, in order, with the smallest id of each."""
 
+    def __init__(self, names: list[np.ndarray], ids: np.ndarray):
+        order, starts, self.several = ordered_groups(names, ids)
+        self.names, self.ids = [n[order[starts]] for n in names], ids[order[starts]]
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
 
-def _first_ids(names: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of entries equal in all names: where the smallest id stands, in name order, and whether there is a larger one."""
+    def rows(self, batch: int, parts: int, kind: int) -> Iterator[dict]:
+        """One row per part of the name space."""
+        bits = SEED_BITS if kind != WINDOWS else 64
+        part = self.names[0] // np.uint64(min(-(-(1 << bits) // parts), (1 << 64) - 1))
+        bounds = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else [0]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            first = np.diff(self.names[0][a:b], prepend=np.uint64(0))
+            columns = [first, *[n[a:b] for n in self.names[1:]], self.ids[a:b]]
+            flags = np.packbits(self.several[a:b]).tobytes()
+            yield {"part": int(part[a]), "batch": batch, "count": int(b - a), "entries": pack(*columns) + flags}
+
+
+def ordered_groups(names: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by names and id; where each name starts in it; and whether a name has more than one id."""
     order = np.lexsort((ids, *names[::-1]))
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = np.any([n[order[1:]] != n[order[:-1]] for n in names], axis=0)
     starts = np.flatnonzero(new)
     ends = np.append(starts[1:], len(order)) - 1
-    several = ids[order[starts]] < ids[order[ends]] if len(order) else np.zeros(0, bool)
-    return order[starts], order, several
-
-
-def _entries(batch: int, parts: int, names: list[np.ndarray], ids: np.ndarray) -> Iterator[dict]:
-    """One row per part of the identifier space with the distinct names of this batch, packed."""
-    first, _, several = _first_ids(names, ids)
-    names, ids = [n[first] for n in names], ids[first]
-    part = (names[0] % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    bounds = np.flatnonzero(np.concatenate(([True], np.diff(part[order]) != 0, [True]))) if len(order) else np.zeros(1, int)
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        at = order[a:b]
-        yield {
-            "part": int(part[at[0]]),
-            "batch": batch,
-            "names": np.stack([n[at] for n in names], 1).tobytes(),
-            "ids": ids[at].tobytes(),
-            "several": several[at].tobytes(),
-        }
-
-
-ENTRY = "part long, batch long, names binary, ids binary, several binary"
-ANSWER = "batch long, names binary, ids binary"
-ENTRY_FIELDS = [("part", pa.int64()), ("batch", pa.int64())] + [(n, pa.binary()) for n in ("names", "ids", "several")]
-ANSWER_FIELDS = [("batch", pa.int64()), ("names", pa.binary()), ("ids", pa.binary())]
-
-
-def _rows(rows, fields) -> pa.Table:
-    return pa.Table.from_pylist(list(rows), schema=pa.schema(fields))
-
-
-def _answer(entries: pa.Table, width: int) -> pa.Table:
-    """Sort one part's entries; tell each batch which of its names several documents share, and their smallest id."""
-    batches = entries["batch"].to_numpy()
-    names = [np.frombuffer(b, np.uint64).reshape(-1, width) for b in entries["names"].to_pylist()]
-    ids = [np.frombuffer(b, np.int64) for b in entries["ids"].to_pylist()]
-    several = [np.frombuffer(b, bool) for b in entries["several"].to_pylist()]
-    owner = np.repeat(batches, [len(i) for i in ids])
-    table, ids, several = np.concatenate(names), np.concatenate(ids), np.concatenate(several)
-    columns = [table[:, k] for k in range(width)]
-    first, order, across = _first_ids(columns, ids)
-    sizes = np.diff(np.append(_starts(columns, order), len(order)))
-    group = np.empty(len(order), np.int64)
-    group[order] = np.repeat(np.arange(len(first)), sizes)
-    shared = across.copy()
-    np.logical_or.at(shared, group[several], True)
-    picked = np.flatnonzero(shared[group])
-    picked = picked[np.argsort(owner[picked], kind="stable")]
-    bounds = np.flatnonzero(np.concatenate(([True], np.diff(owner[picked]) != 0, [True]))) if len(picked) else np.zeros(1, int)
-    smallest = ids[first]
-    return _rows(
-        (
-            {"batch": int(owner[picked[a]]), "names": table[picked[a:b]].tobytes(), "ids": smallest[group[picked[a:b]]].tobytes()}
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True)
-        ),
-        ANSWER_FIELDS,
-    )
-
-
-def _starts(columns: list[np.ndarray], order: np.ndarray) -> np.ndarray:
-    new = np.ones(len(order), bool)
-    new[1:] = np.any([c[order[1:]] != c[order[:-1]] for c in columns], axis=0)
-    return np.flatnonzero(new)
-
-
-def _pieces(docs: pa.Table) -> Iterator[tuple[np.ndarray, Texts, np.ndarray, int, int]]:
-    """Ids and texts of one batch, piece by piece; `with_id` marks windows of documents that have an id."""
-    ids = docs["id"].combine_chunks() if docs.num_rows else pa.array([], pa.int64())
-    known = ~np.asarray(ids.is_null())
-    numbers = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
-    for begin, end, piece in pieces(column_texts(docs["text"])):
-        yield numbers[begin:end], piece, known[begin:end], begin, end
-
-
-def _seed_round(docs: pa.Table, parts: int) -> pa.Table:
-    names, owners = [], []
-    for ids, piece, known, _, _ in _pieces(docs):
-        buckets = Buckets(piece)
-        if not buckets.count:
-            continue
-        low = buckets.chosen()
-        changed = np.ones(len(low), bool)
-        changed[1:] = low[1:] != low[:-1]
-        changed[piece.offsets[:-1][piece.offsets[:-1] < len(low)]] = True
-        at = np.flatnonzero(changed & buckets.inside)
-        doc = np.searchsorted(piece.offsets, at, "right") - 1
-        at, doc = at[known[doc]], doc[known[doc]]
-        names.append(low[at])
-        owners.append(ids[doc])
-    if not names:
-        return _rows((), ENTRY_FIELDS)
-    return _rows(_entries(docs["batch"][0].as_py(), parts, [np.concatenate(names)], np.concatenate(owners)), ENTRY_FIELDS)
-
-
-def _unpacked(answers: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    names = [np.frombuffer(b, np.uint64).reshape(-1, width) for b in answers["names"].to_pylist()]
-    ids = [np.frombuffer(b, np.int64) for b in answers["ids"].to_pylist()]
-    if not names:
-        return np.zeros((0, width), np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(names), np.concatenate(ids)
-
-
-def _refine_round(docs: pa.Table, answers: pa.Table, parts: int) -> pa.Table:
-    if not docs.num_rows or not answers.num_rows:
-        return _rows((), ENTRY_FIELDS)
-    shared = NameSet(_unpacked(answers, 1)[0][:, 0])
-    first, second, owners = [], [], []
-    for ids, piece, known, _, _ in _pieces(docs):
-        buckets = Buckets(piece)
-        if not buckets.count:
-            continue
-        at, _ = shared.find(buckets.chosen())
-        at = at[buckets.inside[at]]
-        doc = np.searchsorted(piece.offsets, at, "right") - 1
-        at, doc = at[known[doc]], doc[known[doc]]
-        names = buckets.fifty(at)
-        first.append(names[0])
-        second.append(names[1])
-        owners.append(ids[doc])
-    if not first:
-        return _rows((), ENTRY_FIELDS)
-    names = [np.concatenate(first), np.concatenate(second)]
-    return _rows(_entries(docs["batch"][0].as_py(), parts, names, np.concatenate(owners)), ENTRY_FIELDS)
+    return order, starts, ids[order[starts]] < ids[order[ends]] if len(order) else np.zeros(0, bool)
+
+
+ENTRY = "part long, batch long, count long, entries binary"
+ENTRY_SCHEMA = pa.schema([("part", pa.int64()), ("batch", pa.int64()), ("count", pa.int64()), ("entries", pa.binary())])
+ANSWER = "batch long, kind long, part long, count long, answer binary"
+ANSWER_SCHEMA = pa.schema(
+    [("batch", pa.int64()), ("kind", pa.int64()), ("part", pa.int64()), ("count", pa.int64()), ("answer", pa.binary())]
+)
+
+
+def _answer(kind: int) -> Callable[[pa.Table], pa.Table]:
+    """Sorts one part's entries and answers every row of them: flags, and for runs and windows the smallest ids."""
+
+    def answer(entries: pa.Table) -> pa.Table:
+        rows = entries.to_pylist()
+        kinds = (*NAME_TYPES[kind], np.int64)
+        columns, several = [], []
+        for row in rows:
+            own = unpack(row["entries"], row["count"], *kinds)
+            own[0] = np.cumsum(own[0], dtype=np.uint64)
+            columns.append(own)
+            used = row["count"] * sum(np.dtype(k).itemsize for k in kinds)
+            several.append(np.unpackbits(np.frombuffer(row["entries"], np.uint8, -1, used), count=row["count"]).astype(bool))
+        *names, ids = [np.concatenate(c) for c in zip(*columns, strict=True)]
+        order, starts, shared = ordered_groups(names, ids)
+        group = np.empty(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+        shared[group[np.concatenate(several)]] = True
+        smallest = ids[order[starts]]
+        flags = shared
+        if kind == RUNS:
+            seeds = names[0][order[starts]]
+            same = np.zeros(len(seeds) + 1, bool)
+            same[1:-1] = seeds[1:] == seeds[:-1]
+            flags = same[1:] | same[:-1]
+        out, at = [], 0
+        for row in rows:
+            mine = group[at : at + row["count"]]
+            at += row["count"]
+            data = np.packbits(flags[mine]).tobytes()
+            if kind != SEEDS:
+                data = pack(smallest[mine]) + data
+            out.append({"batch": row["batch"], "kind": kind, "part": row["part"], "count": row["count"], "answer": data})
+        return pa.Table.from_pylist(out, schema=ANSWER_SCHEMA)
+
+    return answer
+
+
+class Batch:
+    """One batch of documents, and what the answers so far say about it."""
+
+    def __init__(self, docs: pa.Table, answers: pa.Table | None):
+        self.docs = docs
+        self.number = docs["batch"][0].as_py()
+        ids = docs["id"].combine_chunks()
+        self.known = ~np.asarray(ids.is_null())
+        self.ids = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
+        self.answers = sorted(answers.to_pylist(), key=lambda r: r["part"]) if answers is not None else []
+
+    def pieces(self) -> Iterator[tuple[int, int, Texts]]:
+        yield from pieces(column_texts(self.docs["text"]))
+
+    def answer(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Flags and smallest ids, in the order in which this batch sent its names."""
+        flags, ids = [np.zeros(0, bool)], [np.zeros(0, np.int64)]
+        for row in self.answers:
+            if row["kind"] == kind:
+                used = 0 if kind == SEEDS else 8 * row["count"]
+                if used:
+                    ids += unpack(row["answer"], row["count"], np.int64)
+                packed = np.frombuffer(row["answer"], np.uint8, -1, used)
+                flags.append(np.unpackbits(packed, count=row["count"]).astype(bool))
+        return np.concatenate(flags), np.concatenate(ids)
+
+    def runs(self) -> Iterator[tuple[Buckets, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+        """Per piece: its buckets, its runs (first, last, seed), the row of each run, and the piece's first row."""
+        for begin, _, piece in self.pieces():
+            buckets = Buckets(piece)
+            first, last, seed = buckets.runs()
+            row = np.searchsorted(piece.offsets, first, "right") - 1 + begin
+            keep = self.known[row]
+            yield buckets, first[keep], last[keep], seed[keep], row[keep], begin
+
+    def seeds(self) -> Sent:
+        found = [(seed, self.ids[row]) for _, _, _, seed, row, _ in self.runs()]
+        return Sent([np.concatenate([f[0] for f in found])], np.concatenate([f[1] for f in found]))
+
+    def shared_runs(self):
+        sent = self.seeds()
+        shared = NameSet(sent.names[0][self.answer(SEEDS)[0]] << np.uint64(64 - SEED_BITS))
+        for buckets, first, last, seed, row, begin in self.runs():
+            at, _ = shared.find(seed << np.uint64(64 - SEED_BITS))
+            yield buckets, first[at], last[at], seed[at], row[at], begin
+
+    def sent_runs(self) -> tuple[list, Sent]:
+        found, names = [], []
+        for buckets, first, last, seed, row, begin in self.shared_runs():
+            found.append((first, last, row, begin))
+            names.append((seed, *buckets.run_names(first, last)))
+        ids = np.concatenate([self.ids[row] for _, _, row, _ in found])
+        return found, Sent([np.concatenate(c) for c in zip(*names, strict=True)], ids)
+
+    def open_windows(self) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]], Sent]:
+        """Per piece the covered runs and the windows still in question (position, row); and the names of the latter."""
+        found, sent = self.sent_runs()
+        flags, smallest = self.answer(RUNS)
+        flags, smallest = flags[sent.place], smallest[sent.place]
+        covered, windows, names, ids, at = [], [], [], [], 0
+        for (_, _, piece), (first, last, row, begin) in zip(self.pieces(), found, strict=True):
+            several, low = flags[at : at + len(first)], smallest[at : at + len(first)]
+            at += len(first)
+            later = low < self.ids[row]
+            covered.append((first[later], last[later] + LENGTH - 1))
+            asked = ~later & several
+            size = (last - first)[asked]
+            spot = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[asked], size)
+            windows.append((spot, np.repeat(row[asked], size)))
+            if len(spot):
+                names.append(Buckets(piece).fifty(spot))
+                ids.append(self.ids[windows[-1][1]])
+        columns = [np.concatenate(c) for c in zip(*names, strict=True)] if names else [np.zeros(0, t) for t in NAME_TYPES[WINDOWS]]
+        return covered, windows, Sent(columns, np.concatenate(ids) if ids else np.zeros(0, np.int64))
+
+
+def _send(kind: int, parts: int) -> Callable:
+    def send(docs: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+        rows: Iterator[dict] = iter(())
+        if docs.num_rows:
+            batch = Batch(docs, answers)
+            sent = (batch.seeds, lambda: batch.sent_runs()[1], lambda: batch.open_windows()[2])[kind]()
+            rows = sent.rows(batch.number, parts, kind)
+        return pa.Table.from_pylist(list(rows), schema=ENTRY_SCHEMA)
+
+    return send
 
 
 SPAN = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-
-
-def _mark_round(docs: pa.Table, answers: pa.Table, id_type: pa.DataType) -> pa.Table:
-    fields = [("id", id_type), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", SPAN), ("kept", pa.binary())]
-    table, smallest = _unpacked(answers, 2)
-    order = np.lexsort((table[:, 1], table[:, 0]))
-    table, smallest = table[order], smallest[order]
-    shared = NameSet(table[:, 0])
-    low = np.searchsorted(table[:, 0], shared.names, "left")
-    high = np.searchsorted(table[:, 0], shared.names, "right")
-    out = []
-    for ids, piece, known, _, _ in _pieces(docs):
+MARKED = pa.schema(
+    [("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", SPAN), ("kept", pa.binary())]
+)
+
+
+def _mark(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    if not docs.num_rows:
+        return MARKED.empty_table()
+    batch = Batch(docs, answers)
+    covered, windows, sent = batch.open_windows()
+    smallest = batch.answer(WINDOWS)[1][sent.place]
+    out, at = [], 0
+    for (begin, end, piece), runs, (spot, row) in zip(batch.pieces(), covered, windows, strict=True):
         n = len(piece.data)
-        cover = np.zeros(n + 1, np.int32)
-        buckets = Buckets(piece)
-        if buckets.count and len(table):
-            at = np.flatnonzero(buckets.inside)
-            names = buckets.fifty(at)
-            hit, which = shared.find(names[0])
-            # Two contents under one first name are told apart by the second.
-            row, left = low[which], high[which]
-            for _ in range(int((left - row).max()) if len(row) else 0):
-                wrong = (table[row, 1] != names[1][hit]) & (row + 1 < left)
-                row = np.where(wrong, row + 1, row)
-            same = table[row, 1] == names[1][hit] if len(row) else np.zeros(0, bool)
-            start, lowest = at[hit][same], smallest[row[same]] if len(row) else smallest[:0]
-            doc = np.searchsorted(piece.offsets, start, "right") - 1
-            start = start[(lowest < ids[doc]) & known[doc]]
-            np.add.at(cover, start, 1)
-            np.add.at(cover, start + LENGTH, -1)
-        covered = np.cumsum(cover)[:n] > 0
+        hit = spot[smallest[at : at + len(spot)] < batch.ids[row]]
+        at += len(spot)
+        cover = np.zeros(n + 1, np.int64)
+        for place, change in ((runs[0], 1), (runs[1], -1), (hit, 1), (hit + LENGTH, -1)):
+            np.add.at(cover, place, change)
+        inside = np.cumsum(cover)[:n] > 0
         edge = np.zeros(n + 1, bool)
-        edge[1:n] = covered[1:] != covered[:-1] if n else False
+        edge[1:n] = inside[1:] != inside[:-1]
         edge[piece.offsets] = True
-        for i in range(len(ids)):
-            a, b = piece.offsets[i], piece.offsets[i + 1]
-            mine = covered[a:b]
+        for a, b in zip(piece.offsets[:-1], piece.offsets[1:], strict=True):
+            mine, kept, spans = inside[a:b], piece.data[a:b], []
             removed = int(mine.sum())
-            spans, kept = [], piece.data[a:b]
             if removed:
                 cuts = np.append(np.flatnonzero(edge[a:b]), b - a)
                 spans = [{"first": int(x), "last": int(y)} for x, y in zip(cuts[:-1], cuts[1:], strict=True) if mine[x]]
                 kept = kept[~mine]
             out.append((int(b - a), removed, spans, kept.tobytes()))
-    n_bytes, removed, spans, kept = zip(*out, strict=True) if out else ((), (), (), ())
-    columns = [pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, SPAN), pa.array(kept, pa.binary())]
-    ids = docs["id"].combine_chunks() if docs.num_rows else pa.array([], id_type)
-    return pa.Table.from_arrays([ids, *columns], schema=pa.schema(fields))
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), list(MARKED)[1:], strict=True)]
+    return pa.Table.from_arrays([docs["id"].combine_chunks(), *columns], schema=MARKED)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,19 +320,23 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = text_bytes(docs, text_col)
     batches = max(1, -(-total // BATCH_BYTES))
     parts = max(1, -(-total // (12 * PART_ENTRIES)))
-    rows = docs.select(
-        F.pmod(F.xxhash64(id_col), F.lit(batches)).alias("batch"),
-        F.col(id_col).cast("long").alias("id"),
-        F.col(text_col).alias("text"),
-    )
+    number, text = F.col(id_col).cast("long"), F.col(text_col)
     # A null id gives every row the same hash: such rows are spread by their text instead.
-    spread = F.when(F.col("id").isNull(), F.pmod(F.xxhash64("text"), F.lit(batches))).otherwise(F.col("batch"))
-    rows = rows.withColumn("batch", spread)
+    spread = F.when(number.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(number))
+    rows = docs.select(F.pmod(spread, F.lit(batches)).alias("batch"), number.alias("id"), text.alias("text"))
     by_batch = rows.groupBy("batch")
-    seeds = by_batch.applyInArrow(lambda t: _seed_round(t, parts), ENTRY)
-    shared = seeds.groupBy("part").applyInArrow(lambda t: _answer(t, 1), ANSWER)
-    windows = by_batch.cogroup(shared.groupBy("batch")).applyInArrow(lambda d, a: _refine_round(d, a, parts), ENTRY)
-    repeats = windows.groupBy("part").applyInArrow(lambda t: _answer(t, 2), ANSWER)
+
+    def ask(kind: int, sent: DataFrame) -> DataFrame:
+        return sent.groupBy("part").applyInArrow(_answer(kind), ANSWER)
+
+    def with_answers(answers: DataFrame):
+        return by_batch.cogroup(answers.groupBy("batch"))
+
+    seeds = ask(SEEDS, by_batch.applyInArrow(lambda t: _send(SEEDS, parts)(t), ENTRY))
+    send_runs, send_windows = _send(RUNS, parts), _send(WINDOWS, parts)
+    runs = ask(RUNS, with_answers(seeds).applyInArrow(lambda d, a: send_runs(d, a), ENTRY))
+    heard = seeds.unionByName(runs)
+    windows = ask(WINDOWS, with_answers(heard).applyInArrow(lambda d, a: send_windows(d, a), ENTRY))
     schema = "id long, n_bytes long, n_removed long, spans array<struct<first:bigint,last:bigint>>, kept binary"
-    marked = by_batch.cogroup(repeats.groupBy("batch")).applyInArrow(lambda d, a: _mark_round(d, a, pa.int64()), schema)
+    marked = with_answers(heard.unionByName(windows)).applyInArrow(_mark, schema)
     return marked.withColumnRenamed("id", id_col)
