@@ -37,8 +37,8 @@ from .text import NameSet, Texts, column_texts, gram_names, mix, pair_names, pie
 LENGTH = 50
 SEED_BYTES = 10
 SEED_BITS = 48
-BATCH_BYTES = 4 << 20
-PART_ENTRIES = 1 << 20
+BATCH_BYTES = 2 << 20
+PART_ENTRIES = 1 << 18
 NO_ID = np.iinfo(np.int64).min
 SCRAMBLE = mix(np.arange(256, dtype=np.uint64)).astype(np.uint8)
 
@@ -63,7 +63,7 @@ def unpack(data: bytes, count: int, *kinds) -> list[np.ndarray]:
 
 
 class Buckets:
-    """Bucket names of the positions of some texts: of 10 and 20 bytes, and of 50 where asked for."""
+    """Bucket names of the positions of some texts: 20 bytes, refined from two times 10, and the runs they form."""
 
     def __init__(self, texts: Texts):
         n = len(texts.data)
@@ -74,8 +74,8 @@ class Buckets:
         np.add.at(edges, texts.offsets[long + 1] - LENGTH + 1, -1)
         self.inside = np.cumsum(edges, dtype=np.int8)[: self.count].astype(bool)
         self.texts, self.sums = texts, prefix_sums(texts.data)
-        self.ten = gram_names(self.sums, SEED_BYTES)
-        self.twenty = pair_names(self.ten[: max(0, n - 19)], self.ten[10 : max(10, n - 9)])
+        ten = gram_names(self.sums, SEED_BYTES)
+        self.twenty = pair_names(ten[: max(0, n - 19)], ten[10 : max(10, n - 9)])
 
     def chosen(self) -> np.ndarray:
         """For each window of 50 bytes its seed: the smallest of the 31 buckets of 20 bytes in it."""
@@ -102,12 +102,15 @@ class Buckets:
         other = span_names(prefix_sums(SCRAMBLE[self.texts.data]), first, ends)
         return span_names(self.sums, first, ends), (other >> np.uint64(32)).astype(np.uint32)
 
-    def fifty(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The names of the windows at `at`, refined from 20 to 40 to 50 bytes."""
-        forty = pair_names(self.twenty[at], self.twenty[at + 20])
-        other = pair_names(mix(self.twenty[at + 20] + np.uint64(7)), self.twenty[at])
-        second = pair_names(self.ten[at + 40], other) >> np.uint64(32)
-        return pair_names(forty, self.ten[at + 40]), second.astype(np.uint32)
+
+def window_names(texts: Texts, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The names of the 50-byte windows at `at`, refined from 10 to 20, 40 and 50 bytes."""
+    sums = prefix_sums(texts.data)
+    tens = [span_names(sums, at + k, at + k + SEED_BYTES) for k in range(0, LENGTH, SEED_BYTES)]
+    low, high = pair_names(tens[0], tens[1]), pair_names(tens[2], tens[3])
+    other = pair_names(mix(high + np.uint64(7)), low)
+    second = pair_names(tens[4], other) >> np.uint64(32)
+    return pair_names(pair_names(low, high), tens[4]), second.astype(np.uint32)
 
 
 class Sent:
@@ -214,33 +217,32 @@ class Batch:
                 flags.append(np.unpackbits(packed, count=row["count"]).astype(bool))
         return np.concatenate(flags), np.concatenate(ids)
 
-    def runs(self) -> Iterator[tuple[Buckets, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
-        """Per piece: its buckets, its runs (first, last, seed), the row of each run, and the piece's first row."""
+    def runs(self) -> list[tuple]:
+        """Per piece its runs: first window, last window + 1, row, seed, and the two names of the run's bytes."""
+        out = []
         for begin, _, piece in self.pieces():
             buckets = Buckets(piece)
             first, last, seed = buckets.runs()
             row = np.searchsorted(piece.offsets, first, "right") - 1 + begin
             keep = self.known[row]
-            yield buckets, first[keep], last[keep], seed[keep], row[keep], begin
-
-    def seeds(self) -> Sent:
-        found = [(seed, self.ids[row]) for _, _, _, seed, row, _ in self.runs()]
-        return Sent([np.concatenate([f[0] for f in found])], np.concatenate([f[1] for f in found]))
-
-    def shared_runs(self):
-        sent = self.seeds()
-        shared = NameSet(sent.names[0][self.answer(SEEDS)[0]] << np.uint64(64 - SEED_BITS))
-        for buckets, first, last, seed, row, begin in self.runs():
-            at, _ = shared.find(seed << np.uint64(64 - SEED_BITS))
-            yield buckets, first[at], last[at], seed[at], row[at], begin
-
-    def sent_runs(self) -> tuple[list, Sent]:
-        found, names = [], []
-        for buckets, first, last, seed, row, begin in self.shared_runs():
-            found.append((first, last, row, begin))
-            names.append((seed, *buckets.run_names(first, last)))
-        ids = np.concatenate([self.ids[row] for _, _, row, _ in found])
-        return found, Sent([np.concatenate(c) for c in zip(*names, strict=True)], ids)
+            first, last, seed, row = first[keep], last[keep], seed[keep], row[keep]
+            out.append((first, last, row, seed, *buckets.run_names(first, last)))
+        return out
+
+    def seeds(self, runs: list[tuple]) -> Sent:
+        return Sent([np.concatenate([r[3] for r in runs])], self.ids[np.concatenate([r[2] for r in runs])])
+
+    def sent_runs(self) -> tuple[list[tuple], Sent]:
+        """The runs with a shared seed, and what the batch sends of them."""
+        runs = self.runs()
+        sent, lift = self.seeds(runs), np.uint64(64 - SEED_BITS)
+        shared = NameSet(sent.names[0][self.answer(SEEDS)[0]] << lift)
+        kept = []
+        for run in runs:
+            at, _ = shared.find(run[3] << lift)
+            kept.append(tuple(column[at] for column in run))
+        names = [np.concatenate([k[c] for k in kept]) for c in (3, 4, 5)]
+        return kept, Sent(names, self.ids[np.concatenate([k[2] for k in kept])])
 
     def open_windows(self) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]], Sent]:
         """Per piece the covered runs and the windows still in question (position, row); and the names of the latter."""
@@ -248,7 +250,7 @@ class Batch:
         flags, smallest = self.answer(RUNS)
         flags, smallest = flags[sent.place], smallest[sent.place]
         covered, windows, names, ids, at = [], [], [], [], 0
-        for (_, _, piece), (first, last, row, begin) in zip(self.pieces(), found, strict=True):
+        for (_, _, piece), (first, last, row, *_) in zip(self.pieces(), found, strict=True):
             several, low = flags[at : at + len(first)], smallest[at : at + len(first)]
             at += len(first)
             later = low < self.ids[row]
@@ -258,7 +260,7 @@ class Batch:
             spot = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first[asked], size)
             windows.append((spot, np.repeat(row[asked], size)))
             if len(spot):
-                names.append(Buckets(piece).fifty(spot))
+                names.append(window_names(piece, spot))
                 ids.append(self.ids[windows[-1][1]])
         columns = [np.concatenate(c) for c in zip(*names, strict=True)] if names else [np.zeros(0, t) for t in NAME_TYPES[WINDOWS]]
         return covered, windows, Sent(columns, np.concatenate(ids) if ids else np.zeros(0, np.int64))
@@ -269,7 +271,7 @@ def _send(kind: int, parts: int) -> Callable:
         rows: Iterator[dict] = iter(())
         if docs.num_rows:
             batch = Batch(docs, answers)
-            sent = (batch.seeds, lambda: batch.sent_runs()[1], lambda: batch.open_windows()[2])[kind]()
+            sent = (lambda: batch.seeds(batch.runs()), lambda: batch.sent_runs()[1], lambda: batch.open_windows()[2])[kind]()
             rows = sent.rows(batch.number, parts, kind)
         return pa.Table.from_pylist(list(rows), schema=ENTRY_SCHEMA)
 
