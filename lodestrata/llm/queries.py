@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language, quality, suffix, toxicity, url_filter
+from . import (
+    decontaminate,
+    exact_dedup,
+    language,
+    near_dedup,
+    quality,
+    sentencepiece_codec,
+    suffix,
+    toxicity,
+    url_filter,
+)
 from .frames import ship, table
 from .learning import remainder
 
@@ -176,3 +186,23 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, labels.where(~held_out(4, 2)))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as piece ids, decoded again."""
+    vocabulary = sentencepiece_codec.load()
+    encoded = sentencepiece_codec.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    decoded = sentencepiece_codec.decode(encoded, vocabulary)
+    return decoded.select(
+        "doc_id",
+        "piece_ids",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
