@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -40,3 +41,8 @@ def ship(spark: SparkSession) -> None:
     folder = tempfile.mkdtemp(prefix="lodestrata-code-")
     context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
     context._lodestrata_shipped = True
+
+
+def with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    """The schema of `df` and one more column."""
+    return T.StructType([*df.schema.fields, T.StructField(name, kind)])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    chat,
     decontaminate,
     exact_dedup,
     language,
@@ -19,7 +20,7 @@ from . import (
     toxicity,
     url_filter,
 )
-from .frames import ship, table
+from .frames import ship, stored, table
 from .learning import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,3 +207,23 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("piece_ids").cast("long").alias("n_pieces"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
+
+
+@query()
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as raw transcripts, parsed again and rendered; right: turns whose role was recovered."""
+    raw = chat.raw_transcripts(table(spark, sf_dir, "conversations"))
+    raw = stored(raw, "transcripts")
+    parsed = chat.parse(raw, chat.train(raw))
+    true = F.filter("turns", lambda t: t["lines"] > 0)
+    same = F.zip_with(true, "parsed", lambda t, p: F.coalesce((t["role"] == p["role"]).cast("int"), F.lit(0)))
+    return parsed.select(
+        "conv_id",
+        "block",
+        "cut",
+        F.size(true).cast("long").alias("n_turns"),
+        F.size("parsed").cast("long").alias("n_parsed"),
+        F.aggregate(same, F.lit(0), lambda n, x: n + x).cast("long").alias("n_right"),
+        F.transform("parsed", lambda t: t["role"]).alias("roles"),
+        "rendered",
+    )

@@ -22,9 +22,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .frames import ship
+from .frames import ship, with_field
 from .text import NameSet, Texts, gram_names, prefix_sums
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -242,8 +242,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
                 lists = pa.ListArray.from_arrays(bounds, pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, out_col])
 
-    schema = rows.schema.add(out_col, "array<int>")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, with_field(rows, out_col, T.ArrayType(T.IntegerType())))
 
 
 def _slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
@@ -271,7 +270,7 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "piece_ids",
             texts = [None if v is None else decode_ids(v, own) for v in _id_lists(column)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col])
 
-    return rows.mapInArrow(run, rows.schema.add(out_col, "string"))
+    return rows.mapInArrow(run, with_field(rows, out_col, T.StringType()))
 
 
 def _id_lists(column: pa.Array) -> Iterator[list[int] | None]:
