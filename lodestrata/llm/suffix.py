@@ -82,7 +82,8 @@ class Buckets:
         low = self.twenty
         for step in (1, 2, 4, 8):
             low = np.minimum(low[:-step], low[step:]) if len(low) > step else low[:0]
-        return np.minimum(low[: self.count], low[15 : 15 + self.count]) >> np.uint64(64 - SEED_BITS)
+        # Smallest values crowd at zero; mixed again, the parts of the name space get equal shares.
+        return mix(np.minimum(low[: self.count], low[15 : 15 + self.count])) >> np.uint64(64 - SEED_BITS)
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Neighbouring windows of one document with one seed: first window, last window + 1, seed."""
@@ -129,7 +130,7 @@ class Sent:
         bounds = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else [0]
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             first = np.diff(self.names[0][a:b], prepend=np.uint64(0))
-            columns = [first, *[n[a:b] for n in self.names[1:]], self.ids[a:b]]
+            columns = [first, *[n[a:b] for n in self.names[1:]]] + ([] if kind == SEEDS else [self.ids[a:b]])
             flags = np.packbits(self.several[a:b]).tobytes()
             yield {"part": int(part[a]), "batch": batch, "count": int(b - a), "entries": pack(*columns) + flags}
 
@@ -158,11 +159,14 @@ def _answer(kind: int) -> Callable[[pa.Table], pa.Table]:
 
     def answer(entries: pa.Table) -> pa.Table:
         rows = entries.to_pylist()
-        kinds = (*NAME_TYPES[kind], np.int64)
+        # A seed is shared when two batches have it, as no id is in two, or when one batch says so: ids are not sent.
+        kinds = NAME_TYPES[kind] + (() if kind == SEEDS else (np.int64,))
         columns, several = [], []
         for row in rows:
             own = unpack(row["entries"], row["count"], *kinds)
             own[0] = np.cumsum(own[0], dtype=np.uint64)
+            if kind == SEEDS:
+                own.append(np.full(row["count"], row["batch"], np.int64))
             columns.append(own)
             used = row["count"] * sum(np.dtype(k).itemsize for k in kinds)
             several.append(np.unpackbits(np.frombuffer(row["entries"], np.uint8, -1, used), count=row["count"]).astype(bool))
