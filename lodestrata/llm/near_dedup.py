@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .frames import ship, stored
 from .text import Texts, column_texts, mix, pair_names, pieces, shingle_names, word_names
+from .url_filter import bloom_table, filter_blocks, possible
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -206,8 +207,12 @@ def weighted_jaccard(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray
 
 def verified(pairs: DataFrame, rows: DataFrame, weights, similarity: float) -> DataFrame:
     """The pairs (a, b) of at least this weighted Jaccard similarity. Only documents in a pair are made vectors."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    vectors = rows.join(involved, "id", "left_semi").mapInArrow(_vectors, "id long, names binary, repeats binary")
+    involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
+    # The filter, whose size has a bound, keeps most other texts out of the shuffle; the join decides.
+    blocks = filter_blocks(involved.count())
+    table = bloom_table(involved.select(F.xxhash64("id").alias("key")), blocks)
+    few = possible(rows.withColumn("key", F.xxhash64("id")), table, blocks).drop("key")
+    vectors = few.join(involved, "id", "left_semi").mapInArrow(_vectors, "id long, names binary, repeats binary")
     left = vectors.select(F.col("id").alias("a"), F.col("names").alias("na"), F.col("repeats").alias("ra"))
     right = vectors.select(F.col("id").alias("b"), F.col("names").alias("nb"), F.col("repeats").alias("rb"))
     joined = pairs.select("a", "b").join(right, "b").join(left, "a")

@@ -50,6 +50,11 @@ def key_hash(kind: Column, host: Column, path: Column) -> Column:
     return F.xxhash64(kind, host, path)
 
 
+def filter_blocks(keys: int) -> int:
+    """How many 256-bit blocks a filter for so many keys has."""
+    return min(MAX_BLOCKS, 1 << max(0, math.ceil(math.log2(max(1, keys * BITS_PER_KEY / 256)))))
+
+
 def _block(key: Column, blocks: int) -> Column:
     return F.pmod(F.shiftright(key, 24), F.lit(blocks))
 
@@ -94,8 +99,7 @@ def judge(pages: DataFrame, listed: DataFrame, url_col: str = "url", default: st
     alone and speaks only where no rule does. Distinct (host, path) pairs are judged once and joined back.
     """
     listed = stored(listed.distinct().withColumn("key", key_hash(F.col("kind"), F.col("host"), F.col("path"))), "listed")
-    entries = listed.count()
-    blocks = min(MAX_BLOCKS, 1 << max(0, math.ceil(math.log2(max(1, entries * BITS_PER_KEY / 256)))))
+    blocks = filter_blocks(listed.count())
     lengths = sorted(r[0] for r in listed.where("kind = 'rule'").select(F.char_length("path")).distinct().collect())
     parsed = pages.drop("host", "path", "rule", "verdict").withColumns(
         {"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))}
