@@ -25,7 +25,7 @@ def bounded_sample(rows: DataFrame, per_class: int) -> DataFrame:
     for row in sizes:
         share = F.when(F.col("label") == row["label"], F.lit(min(1.0, per_class / row["count"]))).otherwise(share)
     picked = rows.withColumn("share", share).where(F.pmod(F.xxhash64("id"), F.lit(GRAIN)) < F.col("share") * GRAIN)
-    return picked.select("id", "label", (1 / F.col("share")).alias("weight"))
+    return picked.select("id", "label", F.try_divide(F.lit(1.0), F.col("share")).alias("weight"))
 
 
 def with_texts(docs: DataFrame, sample: DataFrame, id_col: str) -> DataFrame:
