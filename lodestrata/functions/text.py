@@ -46,12 +46,14 @@ VALID_UTF8 = (
 INVALID_BYTE = rf"(\G{VALID_UTF8}*+)[\x80-\xFF]"
 
 
-def clean_bytes(raw: str, max_bytes: int) -> str:
-    """SQL that turns byte text (one character per byte) into UTF-8 text of at most `max_bytes` bytes.
+def clean_bytes(raw: str, max_bytes: int | None) -> str:
+    """SQL that turns byte text (one character per byte) into UTF-8 text of at most `max_bytes` bytes; None: of any length.
 
     Each invalid byte becomes one question mark; a character that the cut would split is left out whole.
     """
     valid = f"regexp_replace({raw}, r'{INVALID_BYTE}', '$1?')"
+    if max_bytes is None:
+        return f"if(octet_length({raw}) = length({raw}), {raw}, decode(encode({valid}, 'ISO-8859-1'), 'UTF-8'))"
     # The longest start within the limit that is not followed by the rest of a character.
     cut = rf"regexp_extract({valid}, r'^[\s\S]{{0,{max_bytes}}}(?![\x80-\xBF])', 0)"
     decoded = f"decode(encode({cut}, 'ISO-8859-1'), 'UTF-8')"

@@ -23,6 +23,14 @@ REPORT = T.StructType(
     ]
 )
 
+# The texts of the findings.
+FAILED = "Validation failed"
+NO_DATA = "Query returned no data from {}"
+MISSING = "Missing expected column {}"
+MISSING_ALL = "Missing expected columns: {}"
+NULLS = " NULL values in "
+REPEATS = " duplicate values in "
+
 
 class ValidationError(ValueError):
     """One or more checks failed; the message lists them all."""
@@ -106,7 +114,7 @@ def check_results(
     suspects = df if suspects is None else normalized(suspects)
     absent = missing_columns(df, checks.required)
     if absent:
-        rows = [(1, "required_columns", c, 1, f"Missing expected column {c}") for c in absent]
+        rows = [(1, "required_columns", c, 1, MISSING.format(c)) for c in absent]
         return literal_rows(df.sparkSession, rows, REPORT)
     df, suspects = df.select(*checks.required), suspects.select(*checks.required)
 
@@ -117,14 +125,14 @@ def check_results(
         F.lit("not_empty").alias("check"),
         F.lit(None).cast("string").alias("column"),
         (1 - F.col("rows")).alias("violations"),
-        F.lit(f"Query returned no data from {checks.name}").alias("message"),
+        F.lit(NO_DATA.format(checks.name)).alias("message"),
     )
     nulls = null_counts(suspects, checks.null_checked, distinct_rows).select(
         position.alias("position"),
         F.lit("not_null").alias("check"),
         "column",
         "violations",
-        F.concat(F.col("violations").cast("string"), F.lit(" NULL values in "), F.col("column")).alias("message"),
+        F.concat(F.col("violations").cast("string"), F.lit(NULLS), F.col("column")).alias("message"),
     )
     parts = [presence, nulls]
     for column in checks.unique:
@@ -135,7 +143,7 @@ def check_results(
                 F.lit("unique").alias("check"),
                 F.lit(column).alias("column"),
                 "violations",
-                F.concat(F.col("violations").cast("string"), F.lit(f" duplicate values in {column}")).alias("message"),
+                F.concat(F.col("violations").cast("string"), F.lit(REPEATS + column)).alias("message"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -163,10 +171,10 @@ def validate(
     """Run the checks and raise one error that lists all findings; at most a row per check is collected."""
     absent = missing_columns(normalized(df), checks.required)
     if absent and not df.isEmpty():
-        raise ValidationError(f"Validation failed: Missing expected columns: {absent}")
+        raise ValidationError(f"{FAILED}: {MISSING_ALL.format(absent)}")
     report = validation_report(df, checks, distinct_rows, suspects).collect()
     findings = sorted(report, key=lambda row: row["position"])
     if absent or any(row["check"] == "not_empty" for row in findings):
-        raise ValidationError(f"Validation failed: Query returned no data from {checks.name}")
+        raise ValidationError(f"{FAILED}: {NO_DATA.format(checks.name)}")
     if findings:
-        raise ValidationError("Validation failed:\n" + "\n".join(row["message"] for row in findings))
+        raise ValidationError(f"{FAILED}:\n" + "\n".join(row["message"] for row in findings))

@@ -105,7 +105,8 @@ def _in_parallel(spark: SparkSession, jobs: list) -> list:
 
 
 def month_of(work_date_id: Column) -> Column:
-    return F.substring(work_date_id, 1, 6)
+    """The month of a date id, and NULL, the default partition, for an empty one."""
+    return F.nullif(F.substring(F.trim(work_date_id), 1, 6), F.lit(""))
 
 
 def merge_fact(

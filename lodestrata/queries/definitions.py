@@ -59,7 +59,8 @@ def csv_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     landing = scratch_path(spark, "orders-landing")
     inputs.write_csv(orders, landing)
-    bronze = ingest.Bronze(scratch_path(spark, "orders-bronze"), [listing.Route("part-", "orders", orders.schema)])
+    uncut = {"text_bytes": {csv.EVERY_COLUMN: None}}
+    bronze = ingest.Bronze(scratch_path(spark, "orders-bronze"), [listing.Route("part-", "orders", orders.schema)], uncut)
     ingest.ingest_folder(spark, bronze, landing)
     return bronze.table(spark, "orders").drop("source_file")
 
@@ -195,7 +196,7 @@ def incremental_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = ingest.Bronze(
         scratch_path(spark, "events-bronze"),
         [listing.Route("part-", "events", events.schema)],
-        {"text_bytes": {"props": 65535}},
+        {"text_bytes": {csv.EVERY_COLUMN: None}},
     )
     early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
     for number, rows in enumerate((events.where(early), events.where(~early))):
@@ -542,18 +543,25 @@ staffing AS (
   FROM lineitem)"""
 CHECKED_CALENDAR = "dates AS (SELECT *, 1 AS updated_at FROM calendar)"
 CHECKED_FACT = "facts AS (SELECT *, 1 AS updated_at FROM stage)"
+# The columns that the checks expect.
+PROVIDER_COLUMNS = [
+    "cms_certification_number_ccn", "provider_name", "provider_address", "city_town", "state", "zip_code",
+    "number_of_certified_beds", "latitude", "longitude",
+]
+DATE_COLUMNS = ["workdateid", "workdate", "month", "monthname", "year", "quarter", "updated_at"]
+FACT_COLUMNS = ["ccn", "workdateid", "numofpatient", "staffingtypeid", "workhours", "updated_at"]
 CHECKS_SQL = {
     "validate_provider": (
         [sql.FACILITIES, CHECKED_FACILITIES],
-        ("reports", silver.PROVIDER_CHECKS.name, silver.PROVIDER_CHECKS.required, silver.PROVIDER_CHECKS.unique),
+        ("reports", "bronze.providerinfo", PROVIDER_COLUMNS, ["cms_certification_number_ccn"]),
     ),
     "validate_date_dim": (
         [CHECKED_STAFFING, sql.CALENDAR, CHECKED_CALENDAR],
-        ("dates", silver.WORK_DATE_CHECKS.name, silver.WORK_DATE_CHECKS.required, silver.WORK_DATE_CHECKS.unique),
+        ("dates", "bronze.dailynursestaffing", DATE_COLUMNS, ["workdateid"]),
     ),
     "validate_fact": (
         [CHECKED_STAFFING, sql.FACT_STAGE, CHECKED_FACT],
-        ("facts", silver.FACT_CHECKS.name, silver.FACT_CHECKS.required, ()),
+        ("facts", "unioned dailynursestaffing", FACT_COLUMNS, ()),
     ),
 }
 

@@ -14,6 +14,8 @@ from ..functions.text import clean_bytes, decoded_file_name
 
 # Length in bytes of a text column that declares none.
 DEFAULT_TEXT_BYTES = 256
+# The entry of `text_bytes` that holds for all columns without their own; None: never cut.
+EVERY_COLUMN = "*"
 RAW_LINE = "_raw_line"
 
 
@@ -59,7 +61,7 @@ def _width(line: Column, delimiter: str, quote: str) -> Column:
 
 
 def _columns(
-    schema: T.StructType, text_bytes: Mapping[str, int], empty_as_null: bool, date_format: str
+    schema: T.StructType, text_bytes: Mapping[str, int | None], empty_as_null: bool, date_format: str
 ) -> list[tuple[T.StructField, str, str | None]]:
     """Per column its field, its value (NULL when unreadable) and, unless it is text, what should have been readable.
 
@@ -69,7 +71,7 @@ def _columns(
     for position, field in enumerate(schema.fields, start=1):
         kind, raw = field.dataType, f"`{field.name}`"
         if isinstance(kind, T.StringType):
-            cleaned = clean_bytes(raw, text_bytes.get(field.name, DEFAULT_TEXT_BYTES))
+            cleaned = clean_bytes(raw, text_bytes.get(field.name, text_bytes.get(EVERY_COLUMN, DEFAULT_TEXT_BYTES)))
             if empty_as_null:
                 value = f"nullif({cleaned}, '')"
             else:
@@ -89,7 +91,13 @@ def _columns(
 
 def _with_width(raw: DataFrame, declared: int, delimiter: str, quote: str) -> DataFrame:
     line = F.col(RAW_LINE)
-    return raw.withColumn("_width", F.when(line.isNull(), declared).otherwise(_width(line, delimiter, quote)))
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
+    return raw.withColumns(
+        {
+            "_width": F.when(line.isNull(), declared).otherwise(_width(line, delimiter, quote)),
+            "_torn": F.coalesce(quotes % 2 == 1, F.lit(False)),
+        }
+    )
 
 
 def tolerant_csv(
@@ -97,7 +105,7 @@ def tolerant_csv(
     paths: Sequence[str],
     schema: T.StructType,
     *,
-    text_bytes: Mapping[str, int] | None = None,
+    text_bytes: Mapping[str, int | None] | None = None,
     empty_as_null: bool = False,
     date_format: str = "yyyy-MM-dd",
     delimiter: str = ",",
@@ -106,7 +114,8 @@ def tolerant_csv(
 ) -> DataFrame:
     """Typed rows plus the file's name and an id of its full path, in one pass over the files.
 
-    Missing trailing fields become NULL. Text is cut to its length in bytes and each invalid byte becomes "?". A value
+    A row of another width with an odd number of quotes is one half of a row with a quoted line break: it stops the job
+    too, as only `multi_line` reads such files. Missing trailing fields become NULL. Text is cut to its length in bytes and each invalid byte becomes "?". A value
     that cannot be read, or a row with surplus fields, stops the job that consumes the rows and names file and column.
     """
     raw = read_raw_csv(spark, paths, schema.names, delimiter=delimiter, quote=quote, multi_line=multi_line)
@@ -118,7 +127,8 @@ def tolerant_csv(
             value = f"coalesce({value}, if({text} IS NOT NULL, CAST({stop} AS {field.dataType.simpleString()}), NULL))"
         values.append(f"{value} AS `{field.name}`")
     stop = "CAST(raise_error(concat('extra columns, file ', source_file)) AS STRING)"
-    source = f"if(_width > {len(schema)}, {stop}, source_file) AS source_file"
+    torn = "CAST(raise_error(concat('line break inside quotes, needs multi_line, file ', source_file)) AS STRING)"
+    source = f"CASE WHEN _torn THEN {torn} WHEN _width > {len(schema)} THEN {stop} ELSE source_file END AS source_file"
     return _with_width(raw, len(schema), delimiter, quote).selectExpr(*values, source, "source_id")
 
 

@@ -90,8 +90,10 @@ def load_files(spark: SparkSession, bronze: Bronze, files: Sequence) -> None:
 def record_files(spark: SparkSession, bronze: Bronze, files: Sequence, load_time: Column | None = None) -> None:
     schema = T.StructType(MANIFEST.fields[:2])
     loaded = spark.createDataFrame([(row["filename"], row["table_name"]) for row in files], schema)
-    additions = manifest_additions(loaded, bronze.manifest(spark), load_time)
-    append_rows(additions.coalesce(1), bronze.table_path(MANIFEST_TABLE))
+    # At most one list of names: the manifest is cut down to them where it lies, and only the new rows meet in one file.
+    known = bronze.manifest(spark).join(F.broadcast(loaded.select("filename")), "filename", "left_semi")
+    additions = manifest_additions(loaded, known, load_time)
+    append_rows(additions.repartition(1), bronze.table_path(MANIFEST_TABLE))
 
 
 def ingest_listing(

@@ -67,8 +67,13 @@ def route_files(files: DataFrame, routes: Sequence[Route], on_unmatched: str = "
     return files.withColumn("filename", name).withColumn("table_name", routed_table(name, pairs, on_unmatched))
 
 
-def due_files(listing: DataFrame, landed: DataFrame, mime_type: str | None = "text/csv") -> DataFrame:
-    """Landing sync as a difference: source files of the type whose name has not landed, one row each."""
+def due_files(
+    listing: DataFrame, landed: DataFrame, mime_type: str | None = "text/csv", folder: str | None = None
+) -> DataFrame:
+    """Landing sync as a difference: source files of the type, and of the folder where one is named, whose name has not
+    landed, one row each."""
+    if folder is not None:
+        listing = listing.where(F.col("folder") == folder)
     if mime_type is not None:
         listing = listing.where(F.col("mime_type") == mime_type)
     return listing.join(landed.select("filename"), "filename", "left_anti")

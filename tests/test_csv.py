@@ -145,3 +145,28 @@ def test_file_name_comes_back_as_it_is(spark, write, name):
 def test_pruned_columns_do_not_hide_the_width(spark, write):
     df = tolerant_csv(spark, [write(b"1,\n2,,3,2024-01-01,\n")], SCHEMA)
     assert [r["note"] for r in df.select("note").collect()] == [None, ""]
+
+
+def test_halves_of_a_torn_row_stop_the_load(spark, tmp_path):
+    (tmp_path / "torn.csv").write_bytes(b'a,b,c\na,"x\ny",n1\n')
+    schema = "a string, b string, c string"
+    from pyspark.sql import types as T
+
+    from lodestrata.sources import csv as reader
+
+    layout = T.StructType.fromDDL(schema)
+    with pytest.raises(Exception, match="multi_line"):
+        reader.tolerant_csv(spark, [str(tmp_path)], layout).collect()
+    whole = reader.tolerant_csv(spark, [str(tmp_path)], layout, multi_line=True).collect()
+    assert [tuple(r)[:3] for r in whole] == [("a", "x\ny", "n1")]
+
+
+def test_text_without_a_limit_is_never_cut(spark, tmp_path):
+    long = "é" * 70_000
+    (tmp_path / "long.csv").write_bytes(f"a\n{long}\n".encode())
+    from pyspark.sql import types as T
+
+    from lodestrata.sources import csv as reader
+
+    rows = reader.tolerant_csv(spark, [str(tmp_path)], T.StructType.fromDDL("a string"), text_bytes={reader.EVERY_COLUMN: None})
+    assert rows.collect()[0]["a"] == long

@@ -388,3 +388,10 @@ def test_suspects_hold_exactly_the_rows_with_a_null(spark, rows):
     columns = fact_schema().names[:5]
     has_null = " or ".join(f"{c} is null" for c in columns)
     assert rows(silver.incomplete_facts(days).where(has_null)) == rows(silver.fact_bag(days).where(has_null))
+
+
+def test_months_of_empty_and_padded_dates(spark):
+    from lodestrata.plans.medallion import month_of
+
+    dates = spark.createDataFrame([("",), (None,), (" 20241231",), ("20240102",)], "d string")
+    assert [r[0] for r in dates.select(month_of(dates["d"])).collect()] == [None, None, "202412", "202401"]
