@@ -99,12 +99,11 @@ def document_frequencies(rows: DataFrame) -> Weights:
         columns = [pa.array(np.append(used, -1)), pa.array(np.append(total[used], documents))]
         yield pa.RecordBatch.from_arrays(columns, names=["bucket", "n"])
 
-    summed = rows.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    found = dict(zip(summed["bucket"].tolist(), summed["n"].tolist(), strict=True))
-    documents = found.pop(-1, 0)
-    table = np.zeros(1 << DF_BITS, np.int64)
-    table[list(found)] = list(found.values())
-    return Weights(table, documents)
+    summed = rows.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    # The last place, bucket -1, holds the number of documents.
+    table = np.zeros((1 << DF_BITS) + 1, np.int64)
+    table[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
+    return Weights(table[:-1], int(table[-1]))
 
 
 def samples(found: Shingled, weights: Weights, draws: Draws) -> np.ndarray:
