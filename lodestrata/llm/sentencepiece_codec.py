@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -33,7 +34,7 @@ META = "▁".encode()
 ESCAPED = b"\xf8\xf9\xfa"
 ORIGINAL = dict(zip(ESCAPED, META, strict=True))
 WINDOW_BYTES = 1 << 18
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 # Fixed values of the scores made from ranks: Zipf's law with this offset, and the cost of a byte piece.
 ZIPF_OFFSET = 10.0
 BYTE_COST = 30.0
@@ -59,7 +60,7 @@ class Vocabulary:
             data = np.frombuffer(b"".join(pieces[i] for i in own), np.uint8)
             names = np.array([gram_names(prefix_sums(data[k : k + length]), length)[0] for k in range(0, len(data), length)])
             order = np.argsort(names)
-            self.by_length[length] = (NameSet(names), own[order], np.array([scores[i] for i in own[order]]))
+            self.by_length[length] = (NameSet(names, 16), own[order], np.array([scores[i] for i in own[order]]))
         self.longest = max(self.by_length, default=1)
         self.byte_score = min((scores[i] for i in normal), default=0.0) - BYTE_COST
         self.splits = not any(re.search(b"[^ ] ", self.pieces[i].rstrip(b" ") + b" ") and b" " in self.pieces[i].lstrip(b" ") for i in normal)
@@ -245,8 +246,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
     return rows.mapInArrow(run, with_field(rows, out_col, T.ArrayType(T.IntegerType())))
 
 
-def _slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    sizes = np.cumsum(np.nan_to_num(column.cast(pa.binary()).fill_null(b"").to_pandas().str.len().to_numpy(float)))
+def _slices(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    sizes = np.cumsum(pc.binary_length(column.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(column):
         used = sizes[start - 1] if start else 0

@@ -161,15 +161,13 @@ def shingle_names(words: Words, names: np.ndarray, size: int) -> tuple[np.ndarra
 class NameSet:
     """Membership in a sorted set of names: a bit table rules most out, a binary search decides the rest."""
 
-    BITS = 20
-
-    def __init__(self, names: np.ndarray):
-        self.names = np.unique(names)
-        self.table = np.zeros(1 << self.BITS, bool)
+    def __init__(self, names: np.ndarray, bits: int = 20):
+        self.names, self.bits = np.unique(names), bits
+        self.table = np.zeros(1 << bits, bool)
         self.table[self._slot(self.names)] = True
 
     def _slot(self, names: np.ndarray) -> np.ndarray:
-        return (names >> np.uint64(64 - self.BITS)).astype(np.int64)
+        return (names >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in `names` that are members, and where each stands in the sorted set."""
