@@ -33,8 +33,9 @@ META = "▁".encode()
 # Stand-ins, never part of UTF-8, for the bytes of a meta sign that the text itself has.
 ESCAPED = b"\xf8\xf9\xfa"
 ORIGINAL = dict(zip(ESCAPED, META, strict=True))
-WINDOW_BYTES = 1 << 18
-REMEMBERED = 250_000
+WINDOW_BYTES = 1 << 16
+REMEMBERED = 150_000
+DECODED_AT_ONCE = 512
 # Fixed values of the scores made from ranks: Zipf's law with this offset, and the cost of a byte piece.
 ZIPF_OFFSET = 10.0
 BYTE_COST = 30.0
@@ -266,16 +267,16 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "piece_ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
-            column = batch.column(place)
-            texts = [None if v is None else decode_ids(v, own) for v in _id_lists(column)]
+        for batch in (b.slice(at, DECODED_AT_ONCE) for b in batches for at in range(0, b.num_rows, DECODED_AT_ONCE)):
+            texts = [None if v is None else decode_ids(v, own) for v in _id_lists(batch.column(place))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col])
 
     return rows.mapInArrow(run, with_field(rows, out_col, T.StringType()))
 
 
 def _id_lists(column: pa.Array) -> Iterator[list[int] | None]:
-    values = column.values.to_numpy(zero_copy_only=False)
     offsets = column.offsets.to_numpy()
+    values = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
+    offsets = offsets - offsets[0]
     for i, null in enumerate(np.asarray(column.is_null())):
         yield None if null else values[offsets[i] : offsets[i + 1]].tolist()
