@@ -38,12 +38,16 @@ class ValidationError(ValueError):
 
 @dataclass(frozen=True)
 class CheckSet:
-    """What one relation must satisfy. Unique columns are reported right after their own NULL count."""
+    """What one relation must satisfy.
+
+    Unique columns are reported right after their own NULL count, keys of several columns after all others.
+    """
 
     name: str
     required: Sequence[str]
     unique: Sequence[str] = ()
     not_null: Sequence[str] = field(default=())
+    unique_together: Sequence[Sequence[str]] = ()
 
     @property
     def null_checked(self) -> list[str]:
@@ -135,15 +139,18 @@ def check_results(
         F.concat(F.col("violations").cast("string"), F.lit(NULLS), F.col("column")).alias("message"),
     )
     parts = [presence, nulls]
-    for column in checks.unique:
+    keys = [(order[c] + 1, [c]) for c in checks.unique]
+    keys += [(2 + 2 * len(order) + i, list(key)) for i, key in enumerate(checks.unique_together)]
+    for place, key in keys:
         rows = df.distinct() if distinct_rows else df
+        label = ", ".join(key)
         parts.append(
-            duplicate_count(rows, [column]).select(
-                F.lit(order[column] + 1).alias("position"),
+            duplicate_count(rows, key).select(
+                F.lit(place).alias("position"),
                 F.lit("unique").alias("check"),
-                F.lit(column).alias("column"),
+                F.lit(label).alias("column"),
                 "violations",
-                F.concat(F.col("violations").cast("string"), F.lit(REPEATS + column)).alias("message"),
+                F.concat(F.col("violations").cast("string"), F.lit(REPEATS + label)).alias("message"),
             )
         )
     return reduce(DataFrame.unionByName, parts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -16,11 +17,13 @@ from ..operators.reshape import ordered_within_files
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema, gold_schema
 from ..session import settled
 from ..sources.ingest import PROVIDER_TABLE, STAFFING_TABLE, Bronze, default_routes, ingest_folder
-from ..sources.tables import read_appended, read_table, replace_partitions, replace_table
+from ..sources.tables import append_rows, read_appended, read_table, replace_partitions, replace_table
 from . import gold, silver
 
 # More distinct months than this in one run and the fact is read without pruning.
 MAX_TOUCHED_MONTHS = 10_000
+MERGED_TABLE = "merged_files"
+MERGED = T.StructType([T.StructField("filename", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -31,6 +34,8 @@ class Medallion:
     warehouse: str
     strict_scale: bool = False
     mode: str = "exact"
+    # A date column of the provider files: files are snapshots, and the newest row of each provider counts.
+    latest_by: str | None = None
     csv_options: dict = field(default_factory=dict)
 
     @property
@@ -45,31 +50,37 @@ class Medallion:
         return f"{self.warehouse}/gold/provider_staffing_utilization_metric"
 
 
+ALL_CHECKS = (silver.PROVIDER_CHECKS, silver.WORK_DATE_CHECKS, silver.FACT_CHECKS)
+
+
 def checked_relations(
-    providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None
+    providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None, only: Sequence[CheckSet] = ALL_CHECKS
 ) -> list[tuple[DataFrame, CheckSet, DataFrame | None]]:
     """The three relations under test, their checks, and where to look for NULLs if not in the whole relation.
 
-    The relations are bags: the checks remove duplicates themselves, where they have to.
+    The relations are bags: the checks remove duplicates themselves, where they have to. Only those of `only` are built.
     """
-    # The calendar is tiny once made: it is kept, or every check would parse the dates of all rows again.
-    calendar = settled(silver.work_date_stage(staffing))
-    return [
-        (providers.select(*silver.PROVIDER_COLUMNS.values()), silver.PROVIDER_CHECKS, None),
-        (silver.stamped(calendar, run_ts), silver.WORK_DATE_CHECKS, None),
-        (
-            silver.stamped(silver.fact_bag(staffing), run_ts),
-            silver.FACT_CHECKS,
-            silver.stamped(silver.incomplete_facts(staffing), run_ts),
-        ),
-    ]
-
-
-def validation_results(providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None) -> DataFrame:
-    """All check results of the three relations, with the relation they belong to."""
+    made = []
+    for checks in only:
+        if checks is silver.PROVIDER_CHECKS:
+            made.append((providers.select(*silver.PROVIDER_COLUMNS.values()), checks, None))
+        elif checks is silver.WORK_DATE_CHECKS:
+            # The calendar is tiny once made: it is kept, or every check would parse the dates of all rows again.
+            calendar = settled(silver.work_date_stage(staffing))
+            made.append((silver.stamped(calendar, run_ts), checks, None))
+        else:
+            suspects = silver.stamped(silver.incomplete_facts(staffing), run_ts)
+            made.append((silver.stamped(silver.fact_bag(staffing), run_ts), checks, suspects))
+    return made
+
+
+def validation_results(
+    providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None, only: Sequence[CheckSet] = ALL_CHECKS
+) -> DataFrame:
+    """All check results of the three relations, or of those in `only`, with the relation they belong to."""
     parts = [
         check_results(df, checks, True, suspects).select(F.lit(checks.name).alias("relation"), "*")
-        for df, checks, suspects in checked_relations(providers, staffing, run_ts)
+        for df, checks, suspects in checked_relations(providers, staffing, run_ts, only)
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -78,11 +89,11 @@ def gate(providers: DataFrame, staffing: DataFrame, run_ts: Column | None = None
     return gate_status(validation_results(providers, staffing, run_ts))
 
 
-def run_checks(providers: DataFrame, staffing: DataFrame) -> None:
-    """Run the three validations side by side and raise one error with the findings of all of them."""
+def run_checks(providers: DataFrame, staffing: DataFrame, only: Sequence[CheckSet] = ALL_CHECKS) -> None:
+    """Run the validations side by side and raise one error with the findings of all of them."""
     outcomes = _in_parallel(
         staffing.sparkSession,
-        [lambda relation=relation: _finding(*relation) for relation in checked_relations(providers, staffing)],
+        [lambda relation=relation: _finding(*relation) for relation in checked_relations(providers, staffing, only=only)],
     )
     findings = [text for text in outcomes if text]
     if findings:
@@ -109,17 +120,45 @@ def month_of(work_date_id: Column) -> Column:
     return F.nullif(F.substring(F.trim(work_date_id), 1, 6), F.lit(""))
 
 
+def touched_months(staffing: DataFrame) -> list[str | None] | None:
+    """The months in `staffing`, None among them for rows without a date; no list at all if there are too many."""
+    months = staffing.select(month_of(F.col("WorkDate")).alias("m")).distinct().limit(MAX_TOUCHED_MONTHS + 1).collect()
+    return [row["m"] for row in months] if len(months) <= MAX_TOUCHED_MONTHS else None
+
+
+def rows_of_months(staffing: DataFrame, months: Sequence[str | None]) -> DataFrame:
+    """All rows of these months; the range from the first to the last of them reaches the scan as a filter."""
+    date, named = F.col("WorkDate"), [m for m in months if m is not None]
+    wanted = F.lit(False)
+    if named:
+        within = (date >= min(named)) & (date <= max(named) + "\U0010ffff")
+        wanted = (within | date.startswith(" ")) & month_of(date).isin(named)
+    if len(named) < len(months):
+        wanted = wanted | date.isNull() | (F.trim(date) == "")
+    return staffing.where(wanted)
+
+
+def pending_files(spark: SparkSession, config: Medallion) -> DataFrame:
+    """Names of ingested files that no run has merged yet, those of a run that a failed check stopped among them."""
+    merged = read_appended(spark, config.silver(MERGED_TABLE), MERGED)
+    return config.bronze.manifest(spark).select("filename").distinct().join(merged, "filename", "left_anti")
+
+
 def merge_fact(
-    spark: SparkSession, config: Medallion, staffing: DataFrame, run_ts: Column | None = None
+    spark: SparkSession,
+    config: Medallion,
+    staffing: DataFrame,
+    run_ts: Column | None = None,
+    months: Sequence[str | None] | None = None,
 ) -> None:
-    """Merge into the fact, reading and rewriting only the months that occur in `staffing`."""
+    """Merge into the fact, reading and rewriting only the months that occur in `staffing`: `months`, where known."""
     path = config.silver("daily_facility_log_fact")
     schema = fact_schema(config.strict_scale)
     stored = T.StructType([*schema.fields, T.StructField("work_month", T.StringType())])
     target = read_appended(spark, path, stored)
-    months = staffing.select(month_of(F.col("WorkDate")).alias("m")).distinct().limit(MAX_TOUCHED_MONTHS + 1).collect()
-    if len(months) <= MAX_TOUCHED_MONTHS:
-        named = [row["m"] for row in months if row["m"] is not None]
+    months = touched_months(staffing) if months is None else months
+    if months is not None:
+        named = [m for m in months if m is not None]
         touched = F.col("work_month").isin(named)
         if len(named) < len(months):
             touched = touched | F.col("work_month").isNull()
@@ -141,8 +180,9 @@ def merge_silver(
     providers: DataFrame,
     staffing: DataFrame,
     run_ts: Column | None = None,
+    months: Sequence[str | None] | None = None,
 ) -> None:
-    """The four merges side by side; they write different tables."""
+    """The four merges side by side; they write different tables. `months`: those in `staffing`, where known."""
 
     def dimension(table: str, schema: T.StructType, build) -> None:
         path = config.silver(table)
@@ -160,7 +200,7 @@ def merge_silver(
             lambda: dimension(
                 "work_date_dim", WORK_DATE_DIM, lambda old: silver.build_work_date_dim(staffing, old, run_ts)
             ),
-            lambda: merge_fact(spark, config, staffing, run_ts),
+            lambda: merge_fact(spark, config, staffing, run_ts, months),
         ],
     )
 
@@ -198,12 +238,32 @@ def run_medallion(
     run_ts: Column | None = None,
     *,
     on_empty: str = "raise",
+    scope: str = "all",
 ) -> DataFrame:
-    """Landing folder to gold. A failed check stops the run before any silver table is touched."""
+    """Landing folder to gold. A failed check stops the run before any silver table is touched.
+
+    Scope "all" checks and merges all of bronze. With "months" a run costs what its files cost: only the months that
+    occur in files not merged yet are checked and merged, each with all of its rows. Other months keep their stamps;
+    their values are those of a full run too, unless several bronze rows share a key of the fact: a full run repeats
+    the update of every month, which sets such rows to the greatest of them.
+    """
+    if scope not in ("months", "all"):
+        raise ValueError(f"unknown scope: {scope}")
     ingest_folder(spark, config.bronze, config.landing, load_time=run_ts, on_empty=on_empty)
     providers = config.bronze.table(spark, PROVIDER_TABLE)
     staffing = config.bronze.table(spark, STAFFING_TABLE)
-    run_checks(providers, staffing)
-    merge_silver(spark, config, providers, staffing, run_ts)
+    if config.latest_by is not None:
+        providers = silver.latest_providers(providers, config.latest_by)
+    pending, months, checks = settled(pending_files(spark, config)), None, ALL_CHECKS
+    if scope == "months":
+        names = pending.withColumnRenamed("filename", "source_file")
+        months = touched_months(staffing.join(names, "source_file", "left_semi"))
+        if not months and months is not None and not staffing.isEmpty():
+            checks = (silver.PROVIDER_CHECKS,)
+        if months is not None:
+            staffing = rows_of_months(staffing, months)
+    run_checks(providers, staffing, checks)
+    merge_silver(spark, config, providers, staffing, run_ts, months)
+    append_rows(pending.repartition(1), config.silver(MERGED_TABLE))
     refresh_gold(spark, config, run_ts)
     return read_gold(spark, config)

@@ -157,16 +157,20 @@ def build_provider_dim(bronze: DataFrame, target: DataFrame, run_ts: Column | No
 
 
 def latest_providers(bronze: DataFrame, latest_by: str = "Processing_Date") -> DataFrame:
-    """Bronze rows reduced to the newest snapshot of each provider; rows without a provider number all stay."""
+    """The dimension's columns of the newest snapshot of each provider; rows without a provider number all stay.
+
+    Of several rows with the newest date the greatest stays. Only these columns and the date are shuffled.
+    """
     key = PROVIDER_COLUMNS["ccn"]
-    others = [c for c in bronze.columns if c not in (key, latest_by)]
+    columns = [c for c in PROVIDER_COLUMNS.values() if c in bronze.columns]
+    others = [c for c in columns if c not in (key, latest_by)]
     newest = (
         bronze.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.max(F.struct(latest_by, *others)).alias("newest"))
         .select(key, "newest.*")
     )
-    return newest.unionByName(bronze.where(F.col(key).isNull())).select(*bronze.columns)
+    return newest.select(*columns).unionByName(bronze.where(F.col(key).isNull()).select(*columns))
 
 
 def build_staffing_type_dim(target: DataFrame, run_ts: Column | None = None) -> DataFrame:

@@ -249,6 +249,23 @@ def provider_dim_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.provider_stage(inputs.facility_reports(spark, sf_dir))
 
 
+@query(
+    sql.with_parts(
+        sql.FACILITIES,
+        select="""SELECT ccn, CASE WHEN state = 'NATION_3' THEN providername ELSE 'new ' || providername END AS providername,
+          provideraddress, city, state, zipcode, numberofbed, latitude, longitude FROM facilities""",
+    )
+)
+def provider_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of the facilities; the second renames all, and lacks one state."""
+    name = silver.PROVIDER_COLUMNS["providername"]
+    old = inputs.facilities(spark, sf_dir).withColumn("Processing_Date", F.lit("2024-01-01").cast("date"))
+    new = old.where(F.col("State") != "NATION_3").withColumns(
+        {name: F.concat(F.lit("new "), name), "Processing_Date": F.lit("2024-02-01").cast("date")}
+    )
+    return silver.provider_stage(silver.latest_providers(new.unionByName(old)))
+
+
 @query(sql.with_parts(sql.STAFFING, sql.FACT_STAGE, select="SELECT * FROM stage"))
 def fact_unpivot_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.fact_stage(inputs.staffing(spark, sf_dir))
@@ -595,24 +612,41 @@ def faulty_staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _results(spark: SparkSession, sf_dir: str, relation: str) -> DataFrame:
-    found = medallion.validation_results(faulty_reports(spark, sf_dir), faulty_staffing(spark, sf_dir))
-    return found.where(F.col("relation") == relation).drop("relation")
+def _results(spark: SparkSession, sf_dir: str, checks: quality.CheckSet) -> DataFrame:
+    reports, days = faulty_reports(spark, sf_dir), faulty_staffing(spark, sf_dir)
+    return medallion.validation_results(reports, days, only=[checks]).drop("relation")
 
 
 @query(_checks_sql("validate_provider"))
 def validate_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _results(spark, sf_dir, silver.PROVIDER_CHECKS.name)
+    return _results(spark, sf_dir, silver.PROVIDER_CHECKS)
 
 
 @query(_checks_sql("validate_date_dim"))
 def validate_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _results(spark, sf_dir, silver.WORK_DATE_CHECKS.name)
+    return _results(spark, sf_dir, silver.WORK_DATE_CHECKS)
 
 
 @query(_checks_sql("validate_fact"))
 def validate_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _results(spark, sf_dir, silver.FACT_CHECKS.name)
+    return _results(spark, sf_dir, silver.FACT_CHECKS)
+
+
+@query(
+    sql.with_parts(
+        sql.STAFFING, sql.FACT_STAGE,
+        select=sql.check_rows("stage", "fact", ["ccn", "workdateid", "staffingtypeid"], ())
+        + """
+    UNION ALL SELECT 8, 'unique', 'ccn, workdateid, staffingtypeid', CAST(sum(n - 1) AS BIGINT),
+      CAST(CAST(sum(n - 1) AS BIGINT) AS VARCHAR) || ' duplicate values in ccn, workdateid, staffingtypeid'
+    FROM (SELECT count(*) AS n FROM stage GROUP BY ccn, workdateid, staffingtypeid)""",
+    )
+)
+def check_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's key of three columns, checked as a whole."""
+    key = ["ccn", "workdateid", "staffingtypeid"]
+    stage = silver.fact_stage(inputs.staffing(spark, sf_dir))
+    return quality.check_results(stage, quality.CheckSet("fact", required=key, unique_together=[key]))
 
 
 @query(
@@ -651,3 +685,16 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs.drop_domain_files(spark, sf_dir, landing)
     config = medallion.Medallion(landing, scratch_path(spark, "warehouse"))
     return without_stamp(medallion.run_medallion(spark, config))
+
+
+@query(sql.GOLD)
+def medallion_second_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops, the second with the days from February 1996 on: its run checks and merges only the months it brings."""
+    landing = scratch_path(spark, "landing")
+    config = medallion.Medallion(landing, scratch_path(spark, "warehouse"))
+    days = inputs.staffing(spark, sf_dir)
+    inputs.drop_facilities(spark, sf_dir, landing)
+    inputs.drop_staffing(days.where("WorkDate < '19960201'"), landing, "DailyNurseStaffing_early")
+    medallion.run_medallion(spark, config, scope="months")
+    inputs.drop_staffing(days.where("WorkDate >= '19960201'"), landing, "DailyNurseStaffing_late")
+    return without_stamp(medallion.run_medallion(spark, config, scope="months"))

@@ -150,7 +150,9 @@ def drop_named_csv(df: DataFrame, landing: str, prefix: str) -> None:
     fs.mkdirs(folder)
     parts = [s.getPath() for s in fs.listStatus(filesystem(spark, staging)[1]) if s.getPath().getName().endswith(".csv")]
     for number, part in enumerate(parts):
-        fs.rename(part, filesystem(spark, f"{landing}/{prefix}_{number}.csv")[1])
+        target = f"{landing}/{prefix}_{number}.csv"
+        if not fs.rename(part, filesystem(spark, target)[1]):
+            raise OSError(f"could not move a file to {target}")
 
 
 def as_file_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -163,8 +165,14 @@ def as_file_rows(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def drop_domain_files(spark: SparkSession, sf_dir: str, landing: str) -> None:
+def drop_facilities(spark: SparkSession, sf_dir: str, landing: str) -> None:
     drop_named_csv(as_file_rows(facilities(spark, sf_dir), provider_info_schema()), landing, "ProviderInfo")
-    drop_named_csv(
-        as_file_rows(staffing(spark, sf_dir), daily_nurse_staffing_schema()), landing, "DailyNurseStaffing"
-    )
+
+
+def drop_staffing(days: DataFrame, landing: str, prefix: str = "DailyNurseStaffing") -> None:
+    drop_named_csv(as_file_rows(days, daily_nurse_staffing_schema()), landing, prefix)
+
+
+def drop_domain_files(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    drop_facilities(spark, sf_dir, landing)
+    drop_staffing(staffing(spark, sf_dir), landing)

@@ -395,3 +395,42 @@ def test_months_of_empty_and_padded_dates(spark):
 
     dates = spark.createDataFrame([("",), (None,), (" 20241231",), ("20240102",)], "d string")
     assert [r[0] for r in dates.select(month_of(dates["d"])).collect()] == [None, None, "202412", "202401"]
+
+
+def test_second_drop_leaves_other_months_alone(spark, site, tmp_path):
+    site.providers("ProviderInfo_1.csv", ("015009", "One", 57))
+    site.days("DailyNurseStaffing_1.csv", ("015009", "20240401", "51", "1", "2", "3", "4"), ("015009", "20240501", "51", "1", "2", "3", "4"))
+    run_medallion(spark, site.config, scope="months")
+    root = tmp_path / "warehouse" / "silver" / "daily_facility_log_fact"
+    april = sorted(f.name for f in (root / "work_month=202404").iterdir())
+    may = sorted(f.name for f in (root / "work_month=202405").iterdir())
+    site.days("DailyNurseStaffing_2.csv", ("015009", "20240502", "50", "1", "2", "3", "4"))
+    run_medallion(spark, site.config, scope="months")
+    assert sorted(f.name for f in (root / "work_month=202404").iterdir()) == april
+    assert sorted(f.name for f in (root / "work_month=202405").iterdir()) != may
+    assert silver_tables(spark, site.config)[0].count() == 12
+
+
+def test_files_of_a_stopped_run_are_merged_by_the_next(spark, site):
+    site.providers("ProviderInfo_1.csv", ("015009", "One", 57), ("015009", "Renamed", 57))
+    site.days("DailyNurseStaffing_1.csv", ("015009", "20240401", "51", "1", "2", "3", "4"))
+    with pytest.raises(ValidationError):
+        run_medallion(spark, site.config, scope="months")
+    config = Medallion(site.config.landing, site.config.warehouse, latest_by="Processing_Date")
+    site.days("DailyNurseStaffing_2.csv", ("015009", "20240501", "51", "1", "2", "3", "4"))
+    run_medallion(spark, config, scope="months")
+    fact, providers = silver_tables(spark, config)[:2]
+    assert fact.count() == 8
+    assert [r["providername"] for r in providers.collect()] == ["Renamed"]
+
+
+def test_rows_of_months(spark):
+    from lodestrata.plans.medallion import rows_of_months, touched_months
+
+    dates = [None, "", " ", "20240101", " 20240131", "20240201", "20240301", "202403"]
+    days = spark.createDataFrame([(d,) for d in dates], "WorkDate string")
+    found = lambda months: sorted([r[0] or "" for r in rows_of_months(days, months).collect()])
+    assert found([None]) == ["", "", " "]
+    assert found(["202401", "202403"]) == [" 20240131", "20240101", "202403", "20240301"]
+    assert found([]) == []
+    assert sorted(touched_months(days), key=str) == ["202401", "202402", "202403", None]
