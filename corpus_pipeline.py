@@ -38,8 +38,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its piece ids, and whether they decode to its text again."""
     vocabulary = sentencepiece_codec.load()
-    decoded = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, vocabulary), vocabulary)
-    return decoded.withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
+    return sentencepiece_codec.encode(docs, vocabulary, check_col="round_trip")
 
 
 STAGES = [

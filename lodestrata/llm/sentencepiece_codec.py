@@ -47,7 +47,11 @@ class Vocabulary:
     def __init__(self, pieces: list[bytes], scores: list[float], kinds: list[str]):
         """Kinds are "piece", "byte" (given as the byte itself) or "other" (decoded as nothing)."""
         self.pieces = [p.replace(META, b" ") if k == "piece" else p if k == "byte" else b"" for p, k in zip(pieces, kinds, strict=True)]
-        self.is_byte = np.array([k == "byte" for k in kinds])
+        self.is_byte = np.array([k == "byte" for k in kinds], bool)
+        # All pieces one after the other, for decoding many ids at once.
+        self.data = np.frombuffer(b"".join(self.pieces), np.uint8)
+        self.sizes = np.array([len(p) for p in self.pieces], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.byte_ids = np.full(256, -1)
         for i, (piece, kind) in enumerate(zip(pieces, kinds, strict=True)):
             if kind == "byte":
@@ -212,25 +216,52 @@ class Encoder:
         return self.ids[at], total[np.concatenate(([0], np.cumsum([len(parts) for parts in split])))]
 
 
+def decode_lists(ids: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> pa.LargeBinaryArray:
+    """The bytes of each list ids[offsets[i]:offsets[i + 1]].
+
+    The blank before a text is dropped; ids outside the vocabulary stand for nothing.
+    """
+    known = (ids >= 0) & (ids < len(vocabulary.pieces))
+    lists = np.concatenate(([0], np.cumsum(known)))[offsets]
+    own = ids[known]
+    sizes = vocabulary.sizes[own]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    data = vocabulary.data[np.arange(ends[-1]) + np.repeat(vocabulary.starts[own] - ends[:-1], sizes)]
+    bounds = ends[lists]
+    filled = np.flatnonzero(bounds[1:] > bounds[:-1])
+    blank = filled[(data[bounds[filled]] == ord(" ")) & ~vocabulary.is_byte[own[lists[filled]]]]
+    data = np.delete(data, bounds[blank])
+    shorter = np.zeros(len(bounds), np.int64)
+    shorter[blank + 1] = 1
+    bounds = bounds - np.cumsum(shorter)
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
 def decode_ids(ids, vocabulary: Vocabulary) -> str:
-    """The text of a list of ids: the blank before it is dropped; ids outside the vocabulary stand for nothing."""
-    known = [i for i in ids if 0 <= i < len(vocabulary.pieces)]
-    data = b"".join([vocabulary.pieces[i] for i in known])
-    if known and not vocabulary.is_byte[known[0]]:
-        data = data.removeprefix(b" ")
-    return data.decode("utf-8", "replace")
+    """The text of a list of ids."""
+    return decode_lists(np.asarray(ids, np.int64), np.array([0, len(ids)]), vocabulary)[0].as_py().decode("utf-8", "replace")
 
 
 def _texts(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_col: str = "piece_ids") -> DataFrame:
-    """`docs` with the ids of each text in `out_col`."""
+def encode(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    text_col: str = "text",
+    out_col: str = "piece_ids",
+    check_col: str | None = None,
+) -> DataFrame:
+    """`docs` with the ids of each text in `out_col`.
+
+    With `check_col` the ids are decoded again where they were made; the column says whether that gave back the text.
+    """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(vocabulary)
-    rows = docs.select(*[c for c in docs.columns if c != out_col])
+    added = [c for c in (out_col, check_col) if c is not None]
+    rows = docs.select(*[c for c in docs.columns if c not in added])
     place = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,9 +273,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
                 nulls = np.asarray(part.column(place).is_null())
                 bounds = pa.array(np.append(offsets[:-1], offsets[-1]), pa.int32(), mask=np.append(nulls, False))
                 lists = pa.ListArray.from_arrays(bounds, pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, out_col])
+                columns = [*part.columns, lists]
+                if check_col is not None:
+                    decoded = decode_lists(ids, offsets, shared.value)
+                    same = pc.equal(decoded, part.column(place).cast(pa.large_binary()))
+                    columns.append(same.fill_null(True))
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *added])
 
-    return rows.mapInArrow(run, with_field(rows, out_col, T.ArrayType(T.IntegerType())))
+    schema = with_field(rows, out_col, T.ArrayType(T.IntegerType()))
+    if check_col is not None:
+        schema = T.StructType([*schema.fields, T.StructField(check_col, T.BooleanType())])
+    return rows.mapInArrow(run, schema)
 
 
 def _slices(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
@@ -268,15 +307,18 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "piece_ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in (b.slice(at, DECODED_AT_ONCE) for b in batches for at in range(0, b.num_rows, DECODED_AT_ONCE)):
-            texts = [None if v is None else decode_ids(v, own) for v in _id_lists(batch.column(place))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out_col])
+            texts = _decoded(batch.column(place), own)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, out_col])
 
     return rows.mapInArrow(run, with_field(rows, out_col, T.StringType()))
 
 
-def _id_lists(column: pa.Array) -> Iterator[list[int] | None]:
-    offsets = column.offsets.to_numpy()
-    values = column.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(zero_copy_only=False)
-    offsets = offsets - offsets[0]
-    for i, null in enumerate(np.asarray(column.is_null())):
-        yield None if null else values[offsets[i] : offsets[i + 1]].tolist()
+def _decoded(column: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    values = column.values.slice(offsets[0], offsets[-1] - offsets[0]).fill_null(-1).to_numpy(zero_copy_only=False)
+    found = decode_lists(values, offsets - offsets[0], vocabulary)
+    try:
+        texts = found.cast(pa.string())
+    except pa.ArrowInvalid:  # ids that no text has may make bytes that are not UTF-8
+        texts = pa.array([t.decode("utf-8", "replace") for t in found.to_pylist()], pa.string())
+    return pc.if_else(column.is_null(), pa.scalar(None, pa.string()), texts)

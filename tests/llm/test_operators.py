@@ -212,6 +212,29 @@ def test_pieces_are_the_best_path_and_decode_exactly(spark, odd_docs):
     docs = odd_docs.select("doc_id", "text").unionByName(more)
     back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, vocabulary), vocabulary)
     assert all(r["text"] == r["decoded"] for r in back.collect())
+    checked = sentencepiece_codec.encode(docs, vocabulary, check_col="lang")
+    assert checked.columns == [*[c for c in docs.columns if c not in ("lang", "piece_ids")], "piece_ids", "lang"]
+    assert all(r["lang"] is True for r in checked.collect())
+
+
+def test_ids_decode_as_piece_by_piece(spark):
+    kinds = ["other", *["byte"] * 4, *["piece"] * 4]
+    pieces = [b"<s>", b"a", b" ", b"\xff", b"b", "▁".encode(), "▁a".encode(), b"ab", "▁▁b".encode()]
+    vocabulary = sentencepiece_codec.Vocabulary(pieces, [-1.0] * 9, kinds)
+    pick = random.Random(3)
+    lists = [[], [-1], [0], [99], [0, 6], [0, 2], [2, 6], [5], [8, 8]]
+    lists += [[pick.randrange(-1, 11) for _ in range(pick.randrange(6))] for _ in range(200)]
+
+    def by_force(ids):
+        known = [i for i in ids if 0 <= i < 9]
+        data = b"".join(pieces[i].replace("▁".encode(), b" ") if kinds[i] != "other" else b"" for i in known)
+        data = data.removeprefix(b" ") if known and kinds[known[0]] != "byte" else data
+        return data.decode("utf-8", "replace")
+
+    docs = spark.createDataFrame([(i, v) for i, v in enumerate([*lists, None])], "doc_id long, piece_ids array<int>")
+    found = {r["doc_id"]: r["decoded"] for r in sentencepiece_codec.decode(docs, vocabulary).collect()}
+    assert [found[i] for i in range(len(lists) + 1)] == [*map(by_force, lists), None]
+    assert [sentencepiece_codec.decode_ids(v, vocabulary) for v in lists] == [*map(by_force, lists)]
 
 
 def test_fm_index_counts_every_occurrence():
