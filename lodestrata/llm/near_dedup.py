@@ -10,7 +10,9 @@ Documents with the same shingles are one node from the start. In each bucket eve
 node that meets most others, and two drawn by hash; a bucket's pairs are linear in its size. Pairs whose samples agree
 rarely (less than 0.55, five deviations below 0.8) are left; the others are verified by their exact weighted Jaccard
 similarity, and links of 0.8 or more make classes. Then, round by round, the classes that still share a bucket are paired
-through fresh leaders, until a round finds no new link.
+through fresh leaders, until a round finds no new link. What is left in buckets of several classes (texts with a common
+template, say) is worked off by an exact join: with its shingles ordered from rare to frequent, each text is looked up
+under its first ones only, as many as two texts of 0.8 cannot both do without.
 
 A document without words is like no other and is its own class, as is, with a null class, a row with a null id. Rows that
 repeat an id are one document, with the smaller of its texts by hash. Columns other than id and text are ignored.
@@ -38,6 +40,8 @@ DAMPING = 0.25
 DF_BITS = 18
 POOL_BITS = 14
 LEAST_AGREEMENT = 0.55
+# The table that orders shingles for the exact join; it decides how many pairs are looked at, never which are found.
+ORDER_BITS = 22
 
 
 class Draws:
@@ -204,14 +208,19 @@ def weighted_jaccard(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray
     return shared / (float(one[1].sum(dtype=np.float64)) + float(other[1].sum(dtype=np.float64)) - shared)
 
 
+def _rows_of(ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of the distinct `ids`."""
+    # The filter, whose size has a bound, keeps most other texts out of the shuffle; the join decides.
+    blocks = filter_blocks(ids.count())
+    table = bloom_table(ids.select(F.xxhash64("id").alias("key")), blocks)
+    few = possible(rows.withColumn("key", F.xxhash64("id")), table, blocks).drop("key")
+    return few.join(ids, "id", "left_semi")
+
+
 def verified(pairs: DataFrame, rows: DataFrame, weights, similarity: float) -> DataFrame:
     """The pairs (a, b) of at least this weighted Jaccard similarity. Only documents in a pair are made vectors."""
     involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
-    # The filter, whose size has a bound, keeps most other texts out of the shuffle; the join decides.
-    blocks = filter_blocks(involved.count())
-    table = bloom_table(involved.select(F.xxhash64("id").alias("key")), blocks)
-    few = possible(rows.withColumn("key", F.xxhash64("id")), table, blocks).drop("key")
-    vectors = few.join(involved, "id", "left_semi").mapInArrow(_vectors, "id long, names binary, repeats binary")
+    vectors = _rows_of(involved, rows).mapInArrow(_vectors, "id long, names binary, repeats binary")
     left = vectors.select(F.col("id").alias("a"), F.col("names").alias("na"), F.col("repeats").alias("ra"))
     right = vectors.select(F.col("id").alias("b"), F.col("names").alias("nb"), F.col("repeats").alias("rb"))
     joined = pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -253,6 +262,81 @@ def _pairs(members: DataFrame, round_number: int) -> DataFrame:
     return pairs.select(a.alias("a"), b.alias("b")).distinct()
 
 
+def _unsettled(labelled: DataFrame) -> DataFrame:
+    """(node, label) of the members of buckets where leaders leave pairs of two classes uncompared."""
+    sizes = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    mixed = sizes.where("low <> high AND size > 2").select(F.struct("band").alias("key"))
+    joined = labelled.withColumn("key", F.struct("band")).join(mixed, "key", "left_semi")
+    return joined.select("node", "label").distinct()
+
+
+def _order_bucket(names: np.ndarray) -> np.ndarray:
+    return (names >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+
+
+def _shingle_order(rows: DataFrame) -> np.ndarray:
+    """How many of the texts have a shingle of each bucket, in a fixed number of buckets."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            for _, _, piece in pieces(column_texts(batch.column(1))):
+                np.add.at(total, _order_bucket(Shingled(piece).names), 1)
+        used = np.flatnonzero(total)
+        for at in range(0, len(used), 1 << 16):
+            own = used[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["bucket", "n"])
+
+    summed = rows.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    summed = summed.where("n > 1").toArrow()
+    table = np.ones(1 << ORDER_BITS, np.int32)
+    table[summed["bucket"].to_numpy()] = np.minimum(summed["n"].to_numpy(), np.iinfo(np.int32).max)
+    return table
+
+
+def first_shingles(found: Shingled, weights: Weights, order: np.ndarray, similarity: float):
+    """(text, name, total, left) of the shingles under which a text is looked up, rare ones first.
+
+    `left` is the weight of this and all later shingles: two texts share no more than the smaller `left` of their first
+    common shingle. Shingles that leave less than `similarity` of the text's weight can be first for no pair.
+    """
+    weight = weights.of(found.names, found.counts).astype(np.float64)
+    by_rarity = np.lexsort((found.names, order[_order_bucket(found.names)], found.owner))
+    owner, weight = found.owner[by_rarity], weight[by_rarity]
+    total = np.bincount(owner, weight, len(found.first))
+    sums = np.concatenate(([0.0], np.cumsum(weight)))
+    left = total[owner] - (sums[:-1] - sums[found.first[owner]])
+    keep = left >= similarity * total[owner]
+    return owner[keep], found.names[by_rarity][keep], total[owner][keep], left[keep]
+
+
+def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: float) -> DataFrame:
+    """Distinct pairs of nodes of two classes, among them all of at least this weighted Jaccard similarity.
+
+    Pairs meet under a shared shingle, in a join whose large keys Spark may split. Only those are rows of it whose
+    weights from there on could still reach the similarity: sharing c of the weights x and y needs c / (x + y - c).
+    """
+    own = stored(_rows_of(unsettled.select(F.col("node").alias("id")), rows), "unsettled_rows")
+    order = rows.sparkSession.sparkContext.broadcast(_shingle_order(own))
+    # What rounding may take.
+    least = similarity - 1e-5
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end, piece in pieces(column_texts(batch.column(1))):
+                at, names, total, left = first_shingles(Shingled(piece), weights.value, order.value, least)
+                ids = batch.column(0).slice(begin, end - begin).take(pa.array(at))
+                columns = [ids, pa.array(names.view(np.int64)), pa.array(total), pa.array(left)]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "name", "total", "left"])
+
+    entries = own.mapInArrow(look_up, "node long, name long, total double, left double").join(unsettled, "node")
+    entries = stored(entries, "first_shingles")
+    one, other = entries.alias("one"), entries.alias("other")
+    needed = f"{least / (1 + least)!r} * (one.total + other.total)"
+    fits = f"one.name = other.name AND one.node < other.node AND one.label <> other.label AND least(one.left, other.left) >= {needed}"
+    return one.join(other, F.expr(fits)).select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
+
+
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs whose samples agree often enough to be verified."""
     left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
@@ -289,6 +373,12 @@ def near_classes(
             break
         links = found if links is None else links.unionByName(found)
         labels, number = components(links), number + 1
+    unsettled = stored(_unsettled(labelled), "unsettled")
+    if not unsettled.isEmpty():
+        likely = stored(_likely(_exact_pairs(unsettled, rows, weights, similarity), nodes), "likely")
+        found = stored(verified(likely, rows, weights, similarity), "links") if not likely.isEmpty() else likely
+        if not found.isEmpty():
+            labels = components(found if links is None else links.unionByName(found))
     named = nodes.select(*content, "node")
     if labels is not None:
         named = named.join(labels, "node", "left").withColumn("node", F.coalesce("label", "node")).drop("label")

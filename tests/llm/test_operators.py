@@ -168,6 +168,26 @@ def test_near_classes(spark, odd_docs):
     assert found[10] == 9 and found[12] == 11 and found[6] == 5 and found[1] == 1 and found[2] == 2 and found[None] is None
 
 
+def test_near_classes_in_a_template_family(spark):
+    """Pairs just above 0.8 among texts that share a template, and with it large buckets, but are below 0.8 to each other."""
+    ship(spark)
+    pick = random.Random(11)
+    words = lambda n: " ".join(f"v{pick.randrange(10**9)}x" for _ in range(n))
+    template, texts = words(300), []
+    for _ in range(150):
+        shared = f"{template} {words(40)}"
+        texts += [f"{shared} {words(24)}", f"{shared} {words(24)}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    weights = near_dedup.document_frequencies(docs)
+    found = near_dedup.Shingled(column_texts(pa.array(texts)))
+    cuts = list(zip(found.first[:-1], found.first[1:], strict=True))
+    vectors = [(found.names[a:b], weights.of(found.names[a:b], found.counts[a:b])) for a, b in cuts]
+    linked = {(i, j) for i in range(300) for j in range(i) if near_dedup.weighted_jaccard(vectors[i], vectors[j]) >= 0.8}
+    assert linked == {(i + 1, i) for i in range(0, 300, 2)}
+    classes = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs).collect()}
+    assert classes == {i: i - i % 2 for i in range(300)}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 3)]
     labels = {r["node"]: r["label"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
