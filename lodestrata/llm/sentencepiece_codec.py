@@ -185,19 +185,19 @@ class Encoder:
         self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def learn(self, parts: list[bytes]) -> None:
-        """Search the new parts, all in one stream: paths meet where one part ends and the next begins."""
-        joined = b"".join(parts).replace(b" ", META)
-        if self.vocabulary.splits:
-            sizes = np.array([len(p) + 2 * p.count(b" ") for p in parts])
-            ends, ids = stream(np.frombuffer(joined, np.uint8), self.vocabulary)
-            counts = np.searchsorted(ends, np.cumsum(sizes), "right")
-        else:
-            solved = [stream(np.frombuffer(p.replace(b" ", META), np.uint8), self.vocabulary)[1] for p in parts]
-            ids, counts = np.concatenate(solved), np.cumsum([len(s) for s in solved])
-        for i, part in enumerate(parts):
+        """Search the new parts, those that end in another character than a blank in one stream: paths meet where such a
+        part ends and the next begins. A piece may span the blanks at the end of a text and those of a next part."""
+        joint = [p for p in parts if self.vocabulary.splits and not p.endswith(b" ")]
+        alone = [p for p in parts if not self.vocabulary.splits or p.endswith(b" ")]
+        sizes = np.array([len(p) + 2 * p.count(b" ") for p in joint], np.int64)
+        ends, ids = stream(np.frombuffer(b"".join(joint).replace(b" ", META), np.uint8), self.vocabulary)
+        solved = [stream(np.frombuffer(p.replace(b" ", META), np.uint8), self.vocabulary)[1] for p in alone]
+        counts = np.searchsorted(ends, np.cumsum(sizes), "right")
+        counts = np.concatenate((counts, len(ids) + np.cumsum([len(s) for s in solved], dtype=np.int64)))
+        for i, part in enumerate(joint + alone):
             self.known[part] = len(self.first) - 1 + i
         self.first = np.concatenate((self.first, self.first[-1] + counts))
-        self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
+        self.ids = np.concatenate((self.ids, ids.astype(np.int32), *[s.astype(np.int32) for s in solved]))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offsets of each text's own."""

@@ -237,6 +237,25 @@ def test_pieces_are_the_best_path_and_decode_exactly(spark, odd_docs):
     assert all(r["lang"] is True for r in checked.collect())
 
 
+def test_texts_that_end_in_blanks_are_the_best_path_each(spark):
+    vocabulary = sentencepiece_codec.load()
+    texts = ["", "a ", "5 b", "日本 x", "ends in one ", "ends in two  ", "the next", "  two before", "b" + " " * 15, "house of", "c" + " " * 40, " ", "   "]
+
+    def alone(text):
+        data = (b" " + text.encode()).replace(b" ", sentencepiece_codec.META) if text else b""
+        return [int(i) for i in sentencepiece_codec.stream(np.frombuffer(data, np.uint8), vocabulary)[1]]
+
+    for own in (texts, texts[::-1], [t for text in texts for t in (text + " ", "5" + text, text + "  ", "日本" + text)]):
+        docs = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").coalesce(1)
+        found = {r["doc_id"]: r["piece_ids"] for r in sentencepiece_codec.encode(docs, vocabulary).collect()}
+        assert found == {i: alone(t) for i, t in enumerate(own)}
+        scores = {int(i): s for _, ids, rank in vocabulary.by_length.values() for i, s in zip(ids, rank, strict=True)}
+        for i, text in enumerate(own):
+            if text:
+                best = best_by_force((b" " + text.encode()).replace(b" ", sentencepiece_codec.META), vocabulary)
+                assert sum(scores.get(p, vocabulary.byte_score) for p in found[i]) == pytest.approx(best)
+
+
 def test_ids_decode_as_piece_by_piece(spark):
     kinds = ["other", *["byte"] * 4, *["piece"] * 4]
     pieces = [b"<s>", b"a", b" ", b"\xff", b"b", "▁".encode(), "▁a".encode(), b"ab", "▁▁b".encode()]
