@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from . import (
     chat,
     decontaminate,
+    divergence,
     exact_dedup,
+    filter_audit,
     language,
+    mixing,
     near_dedup,
     quality,
     sentencepiece_codec,
@@ -222,3 +225,89 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("parsed", lambda t: t["role"]).alias("roles"),
         "rendered",
     )
+
+
+@query(
+    r"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+      list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+    t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+    counts AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM t GROUP BY ALL),
+    kept AS (SELECT lang, term, sum(n) AS total FROM counts GROUP BY ALL HAVING sum(docs) >= 30),
+    langs AS (SELECT lang, count(*) AS v, sum(total) AS nl FROM kept GROUP BY lang),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    cells AS (SELECT lang, source, term, coalesce(n, 0) AS n, total FROM g JOIN kept USING (lang)
+      LEFT JOIN counts USING (lang, source, term)),
+    p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p,
+      1 + (1000000000 * (total + 5)) // (nl + 5 * v) AS q FROM cells JOIN langs USING (lang)),
+    far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+    terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INT) AS rank FROM ranked
+    WHERE part = 'pair' OR r <= 50"""
+)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source's terms are from the other sources and from the language."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+    l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+    w AS (SELECT *, list_filter(regexp_extract_all(t, '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d JOIN firsts USING (t)),
+    f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+      CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+      FROM w LEFT JOIN l USING (doc_id)),
+    c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+    x(v) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+    o AS (SELECT a.v || b.v || c.v || d.v || e.v AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.v, b.v, c.v, d.v, e.v])) = 5),
+    s AS (SELECT filter_order, CAST(i AS INT) AS step, filter_order[i] AS own, left(filter_order, CAST(i - 1 AS INT)) AS before
+      FROM o, range(1, 6) t(i)),
+    r AS (SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS fails_own,
+      before <> '' AND regexp_matches(fails, '[' || before || 'x]') AS gone FROM c, s),
+    out AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT fails_own), 0) AS kept,
+      coalesce(sum(n) FILTER (NOT gone AND fails_own), 0) AS removed, coalesce(sum(n) FILTER (gone AND fails_own), 0) AS redundant,
+      coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails, coalesce(sum(good) FILTER (NOT gone AND fails_own), 0) AS good_lost,
+      coalesce(sum(toxic) FILTER (NOT gone AND fails_own), 0) AS toxic_lost FROM r GROUP BY ALL)
+    SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+      CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+      CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM out"""
+)
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove alone, together and in every order."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    r"""WITH d AS (SELECT doc_id, source, len(list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'),
+      lambda x: x <> '')) AS size FROM documents),
+    s AS (SELECT source, sum(size) AS n, CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w
+      FROM d GROUP BY source),
+    r AS (SELECT *, 2.0::DOUBLE * n AS most, row_number() OVER (ORDER BY n / w, source NULLS LAST) AS k FROM s),
+    lev AS (SELECT *, 1.5::DOUBLE * sum(n) OVER () - coalesce(sum(most) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+      AS rest, sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w FROM r),
+    cut AS (SELECT rest, open_w, k AS cut_k FROM lev WHERE most > w * rest / open_w ORDER BY k LIMIT 1),
+    aims AS (SELECT source, CAST(n AS BIGINT) AS source_size, CASE WHEN k >= c.cut_k THEN w * c.rest / c.open_w ELSE most END AS target,
+      CAST('0x' || substr(md5('mix' || coalesce('/' || source, '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS shift
+      FROM lev LEFT JOIN cut c ON true),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, md5(CAST(doc_id AS VARCHAR)) NULLS LAST,
+      doc_id NULLS LAST) AS place FROM d),
+    joined AS (SELECT doc_id, size, source_size, target, place, shift,
+      CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS e
+      FROM ranked JOIN aims ON ranked.source IS NOT DISTINCT FROM aims.source)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+      CAST(size * (floor(e * place + shift) - floor(e * (place - 1) + shift)) AS BIGINT) AS taken FROM joined"""
+)
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes from every document."""
+    planned = mixing.plan(table(spark, sf_dir, "documents"))
+    return planned.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

@@ -136,6 +136,15 @@ def find_words(texts: Texts, is_word: np.ndarray = WORD_BYTES, folded: np.ndarra
     return Words(starts, ends, np.searchsorted(starts, offsets))
 
 
+def word_codes(texts: Texts, is_word: np.ndarray) -> tuple[Words, np.ndarray, pa.Array]:
+    """The maximal runs of word bytes, a number for each, equal for equal bytes, and the distinct words by number."""
+    words = find_words(texts, is_word)
+    bounds = np.concatenate(([0], np.cumsum(words.ends - words.starts)))
+    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(texts.data[is_word[texts.data]])]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(words.starts), buffers).dictionary_encode()
+    return words, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
 def word_names(texts: Texts, is_word: np.ndarray = WORD_BYTES) -> tuple[Words, np.ndarray]:
     """The words of lower-cased (A to Z) texts and their 64-bit names."""
     folded = LOWER[texts.data]
