@@ -103,7 +103,7 @@ def bitmaps(cells: DataFrame) -> DataFrame:
     return cells.groupBy("lang", "source", F.shiftright("number", 6).alias("word"), "n").agg(bit)
 
 
-def joint_values(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...]) -> np.ndarray:
+def joint_values(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...], cells: int = CELLS) -> np.ndarray:
     """Per source of `one` and source of `other`: the sum over joint cells of their terms times what they add to the value.
 
     Each side: places of the sources, p, p of zero, and bitsets, of one word and sorted by place. A term that both sides have
@@ -113,7 +113,7 @@ def joint_values(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...]) ->
     theirs, q, q_zero, their_bits = other
     firsts = np.flatnonzero(np.diff(theirs, prepend=-1))
     out = np.zeros((int(places[-1]) + 1, int(theirs[-1]) + 1), np.int64)
-    step = max(1, CELLS // len(theirs))
+    step = max(1, cells // len(theirs))
     for a in range(0, len(places), step):
         rows = slice(a, a + step)
         terms = np.bitwise_count(bits[rows, None] & their_bits[None, :]).astype(np.int64)
@@ -126,32 +126,34 @@ def joint_values(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...]) ->
     return out
 
 
-def _joint(key: tuple, table: pa.Table) -> pa.Table:
+def _joint(key: tuple, table: pa.Table, size: int, cells: int) -> pa.Table:
     """Joint values of all pairs of sources, one of each tile, in a block of words."""
     lang, _, low, high = (k.as_py() for k in key)
     word, place, p, zero = (table[c].to_numpy() for c in ("word", "place", "p", "zero"))
     bits = table["bits"].to_numpy().view(np.uint64)
-    total = np.zeros((TILE, TILE), np.int64)
+    total = np.zeros((size, size), np.int64)
     order = np.lexsort((place, word))
     cuts = np.flatnonzero(np.diff(word[order], prepend=-1))
     for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
         own = order[a:b]
-        sides = [own[place[own] // TILE == tile] for tile in (low, high)]
+        sides = [own[place[own] // size == tile] for tile in (low, high)]
         if all(len(side) for side in sides):
-            sums = joint_values(*[(place[s] % TILE, p[s], zero[s], bits[s]) for s in sides])
+            sums = joint_values(*[(place[s] % size, p[s], zero[s], bits[s]) for s in sides], cells)
             total[: sums.shape[0], : sums.shape[1]] += sums
     one, other = np.nonzero(total if low < high else np.triu(total, 1))
     return pa.table(
         {
             "lang": pa.array([lang] * len(one), pa.string()),
-            "one": pa.array(one + low * TILE, pa.int64()),
-            "other": pa.array(other + high * TILE, pa.int64()),
+            "one": pa.array(one + low * size, pa.int64()),
+            "other": pa.array(other + high * size, pa.int64()),
             "value": pa.array(total[one, other], pa.int64()),
         }
     )
 
 
-def pair_values(groups: DataFrame, maps: DataFrame) -> DataFrame:
+def pair_values(
+    groups: DataFrame, maps: DataFrame, tile: int = TILE, block_words: int = BLOCK_WORDS, cells: int = CELLS
+) -> DataFrame:
     """(lang, one, other, value) for every pair of sources of a language, by place; one < other.
 
     The value is the sum of what holds by complement where neither has the term, where one has it, and of the joint cells.
@@ -169,23 +171,25 @@ def pair_values(groups: DataFrame, maps: DataFrame) -> DataFrame:
     lacking = both.where("one < other").select(
         "lang", "one", "other", F.expr("(kept - one_own - other_own) * abs(zero - far_zero)").alias("value")
     )
-    entries = maps.join(groups.select(*group, "tiles"), ["lang", "source"]).select(
-        "lang", "word", "place", share("n", "size").alias("p"), "zero", "bits", F.floor(F.col("place") / TILE).alias("tile"), "tiles"
+    entries = maps.join(groups.select(*group, "sources"), ["lang", "source"]).select(
+        "lang", "word", "place", share("n", "size").alias("p"), "zero", "bits", F.expr(f"place div {tile}").alias("tile"), "sources"
     )
-    entries = entries.withColumn("far", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    keys = ["lang", F.expr(f"word div {BLOCK_WORDS}").alias("block"), F.least("tile", "far").alias("low"), F.greatest("tile", "far").alias("high")]
+    # A source's bitmaps go once to each tile of its language: once in all, up to `tile` sources.
+    entries = entries.withColumn("far", F.explode(F.expr(f"sequence(0L, (sources - 1) div {tile})")))
+    keys = ["lang", F.expr(f"word div {block_words}").alias("block"), F.least("tile", "far").alias("low"), F.greatest("tile", "far").alias("high")]
     joint = entries.select(*keys, "word", "place", "p", "zero", "bits").groupBy("lang", "block", "low", "high")
-    joint = joint.applyInArrow(_joint, "lang string, one long, other long, value long")
+    joint = joint.applyInArrow(lambda key, rows: _joint(key, rows, tile, cells), "lang string, one long, other long, value long")
     parts = lacking.unionByName(alone).unionByName(joint)
     return parts.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
 
 
 def divergence(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    support: int = SUPPORT, top_terms: int = TOP_TERMS,
+    support: int = SUPPORT, top_terms: int = TOP_TERMS, **tiling: int,
 ) -> DataFrame:
     """lang, source, part, item, value and rank: part `pair` holds the distance to each other source of the language, part
-    `term` the kept terms that the group has and uses more than its language does, the `top_terms` first ones."""
+    `term` the kept terms that the group has and uses more than its language does, the `top_terms` first ones. `tiling`
+    (`tile`, `block_words`, `cells`) sets how the bitmaps are dealt out, never what is returned."""
     ship(docs.sparkSession)
     counts = stored(term_counts(docs, text_col, lang_col, source_col), "counts")
     kept = stored(kept_terms(counts, support), "kept")
@@ -200,12 +204,12 @@ def divergence(
         {
             "size": F.col("occurrences") + SMOOTHING * F.col("kept"),
             "place": (F.row_number().over(own_lang.orderBy("source")) - 1).cast("long"),
-            "tiles": F.ceil(F.count("*").over(own_lang) / TILE),
+            "sources": F.count("*").over(own_lang),
         }
     )
     groups = stored(groups.withColumn("zero", share("0L", "size")), "groups")
     names = [groups.select("lang", F.col("place").alias(end), F.col("source").alias(f"{end}_source")) for end in ("one", "other")]
-    pairs = pair_values(groups, maps).join(names[0], ["lang", "one"]).join(names[1], ["lang", "other"])
+    pairs = pair_values(groups, maps, **tiling).join(names[0], ["lang", "one"]).join(names[1], ["lang", "other"])
     ends = [F.struct(F.col(f"{a}_source").alias("source"), F.col(f"{b}_source").alias("item")) for a, b in (("one", "other"), ("other", "one"))]
     pairs = pairs.select("lang", F.inline(F.array(*ends)), "value")
     sized = cells.join(groups.select("lang", "source", "size", F.expr(f"lang_own + {SMOOTHING} * kept").alias("lang_size")), ["lang", "source"])
