@@ -312,13 +312,65 @@ def test_machine_value_is_the_sum_over_all_pairs():
 
 def test_clauses_not_words_are_scored():
     lexicon = toxicity.Lexicon()
-    texts = ["You are an idiot.", "The idiot", "He is not an idiot.", "They said the man is an idiot.", "fine day", ""]
-    counts = toxicity.match_counts(column_texts(pa.array(texts)), lexicon)
-    kinds = list(toxicity.MATCHES)
-    assert [[kinds[k] for k in np.flatnonzero(row)] for row in counts] == [
-        ["insult"], ["insult"], ["denied"], ["quoted"], [], []
-    ] or counts[0][kinds.index("aimed insult")] == 1
-    assert counts[2][kinds.index("denied")] == 1 and counts[3][kinds.index("quoted")] == 1
+    texts = ["You are an idiot.", "The idiot", "He is not an idiot.", "They said the man is an idiot.", "An idiot, you.", "fine day", ""]
+    strength, counts = toxicity.matched(column_texts(pa.array(texts)), lexicon)
+    kinds = [[toxicity.MATCHES[k] for k in np.flatnonzero(row)] for row in counts]
+    assert kinds == [["aimed insult"], ["insult"], ["denied"], ["quoted"], ["aimed insult"], [], []]
+    assert strength.tolist() == [3.75, 3.0, 0.75, 0.75, 3.75, 0, 0]
+
+
+def clause_by_force(symbols):
+    """What every insult or threat of a clause is, from its neighbours alone."""
+    out = []
+    for i, symbol in enumerate(symbols):
+        if symbol in "it":
+            before, after = symbols[max(0, i - 3) : i], symbols[i + 1 : i + 4]
+            kind = {"i": "insult", "t": "threat"}[symbol]
+            weight = 1.0
+            if "n" in before:
+                kind, weight = "denied", weight * 0.25
+            if "r" in symbols[:i]:
+                kind, weight = "quoted", weight * 0.25
+            if weight == 1.0 and "y" in [*before, *after]:
+                kind, weight = f"aimed {kind}", 1.25
+            out.append((i, kind, weight))
+    return out
+
+
+def test_the_composed_machine_reads_clauses_as_by_force():
+    machine, pick = toxicity.Lexicon().machine, random.Random(6)
+    for _ in range(4000):
+        symbols = pick.choices("oitynr", (5, 3, 2, 2, 1, 0.4), k=pick.randrange(13))
+        assert sorted(toxicity.read_clause(symbols, machine)) == clause_by_force(symbols)
+
+
+def test_copies_of_a_document_are_one_piece_of_evidence(spark, no_docs):
+    """A word of forty copies of one toxic text is not learned; one of eight different toxic texts is, and weighs in."""
+    rows = [(i, f"{prose(1, 30)} kopiert {prose(2, 30)}") for i in range(40)]
+    rows += [(100 + i, f"{prose(100 + i, 20)} schimpf {prose(500 + i, 20)}") for i in range(20)]
+    rows += [(1000 + i, prose(1000 + i, 40)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id < 1000 AS INT) AS toxic")
+    model = toxicity.train(docs, labels)
+    _, names = toxicity.word_names(column_texts(pa.array(["kopiert", "schimpf"])), toxicity.LETTERS)
+    assert [int(np.isin(n, model.lexicon.set.names)) for n in names] == [0, 1]
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert min(scores[100 + i] for i in range(20)) > max(scores[1000 + i] for i in range(200))
+
+
+def test_held_out_toxicity_in_every_language(spark):
+    from lodestrata.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.1"
+    found = QUERIES["op9_toxicity"](spark, folder).where("held_out")
+    langs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    rows = found.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").join(langs, "doc_id").collect()
+    caught, wrong = {}, {}
+    for r in rows:
+        (caught if r["toxic"] else wrong).setdefault(r["lang"], []).append(r["predicted"])
+    assert {k for k, v in caught.items() if sum(v) < 0.8 * len(v)} == set(), {k: (sum(v), len(v)) for k, v in caught.items()}
+    assert sum(map(sum, caught.values())) >= 0.9 * sum(map(len, caught.values()))
+    assert sum(map(sum, wrong.values())) <= 0.03 * sum(map(len, wrong.values())), {k: (sum(v), len(v)) for k, v in wrong.items()}
 
 
 @pytest.mark.parametrize("name,wanted", [("op7_language_id", 0.97), ("op3_quality_classifier", 0.95), ("op9_toxicity", 0.9)])
