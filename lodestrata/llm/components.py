@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,8 +13,10 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among a node and its neighbours, then the label of that label, so the longest
     chain halves at least; a round that changes nothing ends it. A node with very many links is a large join key, which
-    Spark may split, and its minimum is aggregated before the shuffle.
+    Spark may split, and its minimum is aggregated before the shuffle. Null ends link nothing, a link of a node with itself
+    only names it, repeated links count once, and no links give no nodes.
     """
+    links = links.where("a IS NOT NULL AND b IS NOT NULL")
     both = links.select(F.col("a").alias("node"), F.col("b").alias("other"))
     both = both.unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
     nearest = both.groupBy("node").agg(F.min("other").alias("low"))
@@ -28,10 +30,13 @@ def components(links: DataFrame) -> DataFrame:
         offers = near.where("la <> lb").select(F.inline(F.array(*ends)))
         best = offers.groupBy("node").agg(F.min("low").alias("low"))
         joined = labels.join(best, "node", "left").select("node", F.least("label", F.coalesce("low", "label")).alias("label"))
-        roots = joined.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        after = joined.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
-        after = stored(after)
+        joined = stored(joined)
+        # The label that very many nodes have is a key that Spark may split: both sides come straight from a shuffle.
+        roots = joined.select(F.struct(F.col("node").alias("label")).alias("key"), F.col("label").alias("root"))
+        keyed = joined.select("node", F.struct("label").alias("key"))
+        after = stored(keyed.join(roots, "key", "left").select("node", F.coalesce("root", "key.label").alias("label")))
         same = after.join(labels.withColumnRenamed("label", "was"), "node").where("label <> was").isEmpty()
+        discard(joined, labels)
         labels = after
         if same:
             return labels

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import row_key, without_rows
 from .text import NameSet, column_texts, pieces, word_names
 
 PHRASE_WORDS = 13
@@ -305,7 +306,7 @@ def _append_span(done, span):
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` less the contaminated documents; every other row stays as it is."""
-    judged = contamination(docs, benchmark, id_col, text_col)
-    dropped = judged.where("contaminated").select(id_col).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    """`docs` less the contaminated rows; every other row stays as it is, also under an id that repeats."""
+    rows = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    judged = contamination(rows, benchmark, "key", "text")
+    return without_rows(docs, judged.where("contaminated AND key.id IS NOT NULL"), row_key(id_col, text_col))

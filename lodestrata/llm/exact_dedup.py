@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import stored, without_rows
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_CHARS = 256
@@ -115,7 +115,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` less the rows whose text a row with a larger id also has; rows with a null id are kept."""
+    """`docs` less the rows whose text a row with a larger id also has; rows with a null id are kept.
+
+    Rows are judged by id and text, so other texts under the same id stay.
+    """
     groups = exact_groups(docs, id_col, text_col)
-    dropped = groups.where(~F.col("kept")).select(F.col(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    dropped = groups.where(~F.col("kept") & F.col(id_col).isNotNull())
+    key = F.struct(F.col(id_col).alias("id"), F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256).alias("text_sha256"))
+    return without_rows(docs, dropped.select(F.struct(F.col(id_col).alias("id"), "text_sha256").alias("key")), key)

@@ -6,11 +6,11 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import filesystem, scratch_path
 
 
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -20,7 +20,29 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.__dict__["stored_at"] = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, so that rounds don't pile up on disk."""
+    for df in tables:
+        path = df.__dict__.pop("stored_at", None)
+        if path is not None:
+            fs, hadoop_path = filesystem(df.sparkSession, path)
+            fs.delete(hadoop_path, True)
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells rows apart where ids repeat: rows that share it are equal in id and text."""
+    return F.struct(F.col(id_col).alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("hash"))
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame, key: Column) -> DataFrame:
+    """`docs` less the rows whose `key` is one of `dropped.key`."""
+    marked = docs.withColumn("__key", key)
+    return marked.join(dropped.select(F.col("key").alias("__key")).distinct(), "__key", "left_anti").drop("__key")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -140,22 +140,26 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def _judged(piece: Texts, letters: np.ndarray, own: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Predicted language, its probability, and whether the model rejects each text."""
+    known = letters & bool(own.languages)
+    chances = own.scores(piece)
+    best = chances.argmax(1)
+    score = np.where(known, chances[np.arange(len(best)), best], 0.0).astype(float)
+    names = [own.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
+    return names, score, ~known | (score < own.threshold)
+
+
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: lang_pred, score (the predicted language's probability) and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
             letters = batch.column(2).to_numpy(zero_copy_only=False)
             for begin, end, piece in pieces(column_texts(batch.column(1)), most=256):
-                known = letters[begin:end] & bool(own.languages)
-                chances = own.scores(piece)
-                best = chances.argmax(1)
-                score = np.where(known, chances[np.arange(end - begin), best], 0.0).astype(float)
-                names = [own.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-                rejected = ~known | (score < own.threshold)
+                names, score, rejected = _judged(piece, letters[begin:end], shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(begin, end - begin), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
                     names=["id", "lang_pred", "score", "rejected"],
@@ -166,7 +170,17 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return judged.withColumnRenamed("id", id_col)
 
 
-def in_known_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` less the documents that the model rejects; rows with a null id are judged by nothing and kept."""
-    rejected = identify(docs, model, id_col, text_col).where("rejected").select(id_col).distinct()
-    return docs.join(rejected, id_col, "left_anti")
+def in_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """`docs` less the rows that the model rejects. Each row is judged where it lies, by its text alone; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *own, letters = batch.columns
+            letters = letters.to_numpy(zero_copy_only=False)
+            rows = pa.RecordBatch.from_arrays(own, names=batch.schema.names[:-1])
+            for begin, end, piece in pieces(column_texts(rows.column(text_col)), most=256):
+                rejected = _judged(piece, letters[begin:end], shared.value)[2]
+                yield rows.slice(begin, end - begin).filter(pa.array(~rejected))
+
+    return docs.select("*", has_letter(F.col(text_col)).alias("__letters")).mapInArrow(keep, docs.schema)

@@ -1,26 +1,31 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
 A shingle is five words (A to Z lower-cased); its weight is its count in the document times a damped inverse document
-frequency, 1 + `DAMPING` * ln(N / df) / ln(N). Document frequencies are counted over all documents, in 2^18 hashed
-buckets, so what every task is sent has a fixed size. Each of 56 samples of a document falls on a shingle and a level with
-the probability of the weighted Jaccard similarity that two documents agree; 14 bands of four samples make the candidates
-(a pair of similarity 0.8 shares one with probability 0.9994). The random numbers come from tables of 16,384 triples.
-
-Documents with the same shingles are one node from the start. In each bucket every node is paired with its leaders: the
-node that meets most others, and two drawn by hash; a bucket's pairs are linear in its size. Pairs whose samples agree
-rarely (less than 0.55, five deviations below 0.8) are left; the others are verified by their exact weighted Jaccard
-similarity, and links of 0.8 or more make classes. Then, round by round, the classes that still share a bucket are paired
-through fresh leaders, until a round finds no new link. What is left in buckets of several classes (texts with a common
-template, say) is worked off by an exact join: with its shingles ordered from rare to frequent, each text is looked up
-under its first ones only, as many as two texts of 0.8 cannot both do without.
+frequency, 1 + `DAMPING` * ln(1 / f) / ln(1 / `RARE`), where f is the share of other documents that have it, `RARE` at least.
+Shares are counted over all documents in 2^18 hashed buckets, less what a bucket holds on average, so neither what every task
+is sent nor a weight changes with the size of the corpus. Each of 56 samples of a document falls on a shingle and a level with
+the probability of the weighted Jaccard similarity that two documents agree; 40 bands, each of six of the samples, make the
+candidates (a pair of similarity 0.8 shares one with probability 0.998, one of 0.3 with 0.03). The random numbers come from
+tables of 16,384 triples.
+
+Documents with the same shingles are one node from the start. Links are found in three ways, each between classes that the one
+before has left apart. First, round by round, a node is paired with one leader, that of its largest bucket, later of a bucket
+that still holds another class; a bucket's leader is its smallest node, later one drawn by hash. Then all members of small
+buckets are compared. Pairs whose samples agree rarely (less than 0.55, five deviations below 0.8) are left here; the others are
+verified by their exact weighted Jaccard similarity, and links of 0.8 or more make classes. What then shares a larger bucket with
+another class (texts with a common template, say) is worked off by an exact join, without samples: with its shingles ordered
+from rare to frequent, each text is looked up under its first ones only, as many as two texts of 0.8 cannot both do without.
 
 A document without words is like no other and is its own class, as is, with a null class, a row with a null id. Rows that
-repeat an id are one document, with the smaller of its texts by hash. Columns other than id and text are ignored.
+repeat an id are one document, with the smaller of its texts by hash; `one_of_each` tells such rows apart by their texts. Equal
+choices fall to the smaller id. A very long text is worked on whole, in some thirty times its bytes. An empty table gives an
+empty result. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +33,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import ship, stored
+from .frames import discard, ship, stored, without_rows
 from .text import Texts, column_texts, mix, pair_names, pieces, shingle_names, word_names
 from .url_filter import bloom_table, filter_blocks, possible
 
 WORDS = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 14, 4
-SAMPLES = BANDS * ROWS
+SAMPLES, BANDS, ROWS = 56, 40, 6
 DAMPING = 0.25
 DF_BITS = 18
+RARE = 1 / 128
 POOL_BITS = 14
 LEAST_AGREEMENT = 0.55
+# In buckets of so few nodes all are compared; a round of leaders goes on while one pair in so many is a link.
+SMALL = 8
+WORTHWHILE = 20
 # The table that orders shingles for the exact join; it decides how many pairs are looked at, never which are found.
 ORDER_BITS = 22
 
@@ -54,6 +62,8 @@ class Draws:
         self.log_c = np.log(random.gamma(2.0, 1.0, shape) + 1e-30).astype(np.float32)
         self.shift = random.random(shape).astype(np.float32)
         self.odd = random.integers(1 << 62, 1 << 63, SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        # The samples of each band; a sample stands in several.
+        self.bands = np.array([random.choice(SAMPLES, ROWS, replace=False) for _ in range(BANDS)])
 
 
 class Shingled:
@@ -81,9 +91,10 @@ class Weights:
     """Damped inverse document frequencies by bucket."""
 
     def __init__(self, frequencies: np.ndarray, documents: int):
-        scale = np.log(documents) if documents > 1 else 1.0
-        rarity = np.log(np.maximum(documents, 1) / np.maximum(frequencies, 1)) / scale
-        self.table = (1 + DAMPING * np.clip(rarity, 0, 1)).astype(np.float32)
+        # A bucket holds its shingles' documents and, on average, its part of all other shingles.
+        others = np.maximum(frequencies - 1 - frequencies.sum() / len(frequencies), 0)
+        share = np.clip(others / max(documents, 1), RARE, 1)
+        self.table = (1 + DAMPING * np.log(share) / np.log(RARE)).astype(np.float32)
 
     def of(self, names: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return self.table[df_bucket(names)] * counts.astype(np.float32)
@@ -146,7 +157,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], weights: Weights, draws: Draws) -
             content = [np.add.reduceat(mix(counted + np.uint64(salt)), starts).view(np.int64) for salt in (1, 2)]
             keys = np.full((len(filled), BANDS), 1, np.uint64) * np.arange(1, BANDS + 1, dtype=np.uint64)
             for row in range(ROWS):
-                keys = pair_names(keys, signature[:, row::ROWS][:, :BANDS].astype(np.uint64))
+                keys = pair_names(keys, signature[:, draws.bands[:, row]].astype(np.uint64))
             ids = batch.column(0).slice(begin, end - begin).take(pa.array(filled))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -237,37 +248,38 @@ def verified(pairs: DataFrame, rows: DataFrame, weights, similarity: float) -> D
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(key, node, degree) in buckets of two nodes or more; degree: how many others the node meets."""
+    """(band, node, size) in buckets of two nodes or more."""
     keys = nodes.select("node", F.explode("bands").alias("band"))
     sizes = keys.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     joined = keys.withColumn("key", F.struct("band")).join(sizes.select(F.struct("band").alias("key"), "size"), "key")
-    shared = stored(joined.select(F.col("key.band").alias("band"), "node", "size"), "buckets")
-    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
-    return stored(shared.drop("size").join(degrees, "node"), "members")
-
-
-def _pairs(members: DataFrame, round_number: int) -> DataFrame:
-    """Distinct pairs of a node with the leaders of each of its buckets, where they are not of one class yet."""
-    drawn = [F.xxhash64(F.lit(2 * round_number + k), F.col("node")) for k in (0, 1)]
-    entry = F.struct("node", "label")
-    leaders = members.groupBy("band").agg(
-        F.max(F.struct("degree", (-F.col("node")).alias("order"), entry.alias("entry")))["entry"].alias("l0"),
-        F.min(F.struct(drawn[0].alias("order"), entry.alias("entry")))["entry"].alias("l1"),
-        F.min(F.struct(drawn[1].alias("order"), entry.alias("entry")))["entry"].alias("l2"),
-    )
-    leaders = leaders.select(F.struct("band").alias("key"), F.array("l0", "l1", "l2").alias("leaders"))
-    joined = members.withColumn("key", F.struct("band")).join(leaders, "key")
-    pairs = joined.select("node", "label", F.explode("leaders").alias("leader")).where("leader.label <> label")
-    a, b = F.least("node", "leader.node"), F.greatest("node", "leader.node")
-    return pairs.select(a.alias("a"), b.alias("b")).distinct()
-
-
-def _unsettled(labelled: DataFrame) -> DataFrame:
-    """(node, label) of the members of buckets where leaders leave pairs of two classes uncompared."""
-    sizes = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    mixed = sizes.where("low <> high AND size > 2").select(F.struct("band").alias("key"))
-    joined = labelled.withColumn("key", F.struct("band")).join(mixed, "key", "left_semi")
-    return joined.select("node", "label").distinct()
+    return stored(joined.select(F.col("key.band").alias("band"), "node", "size"), "members")
+
+
+def _led(labelled: DataFrame, round_number: int) -> DataFrame:
+    """Pairs (a, b) of every node with one leader of another class: that of its largest bucket, later of any by hash."""
+    first = round_number == 0
+    draw = F.col("node") if first else F.xxhash64(F.lit(round_number), F.col("node"))
+    leaders = labelled.groupBy("band").agg(F.min(F.struct(draw.alias("order"), "node", "label"))["node"].alias("leader"),
+                                           F.min(F.struct(draw.alias("order"), "node", "label"))["label"].alias("led"))
+    leaders = leaders.select(F.struct("band").alias("key"), "leader", "led")
+    joined = labelled.withColumn("key", F.struct("band")).join(leaders, "key").where("led <> label")
+    rank = F.struct("size", "band") if first else F.struct(F.xxhash64(F.lit(round_number), "band").alias("order"), "band")
+    best = joined.groupBy("node").agg(F.max(F.struct(rank.alias("rank"), "leader"))["leader"].alias("leader"))
+    return best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one class."""
+    classes = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    return labelled.withColumn("key", F.struct("band")).join(classes.select(F.struct("band").alias("key")), "key", "left_semi").drop("key")
+
+
+def _within(labelled: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of different classes in buckets of at most `SMALL` nodes: a few for each member."""
+    buckets = labelled.where(F.col("size") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_list(F.struct("node", "label"))).alias("own"))
+    pairs = buckets.select("own", F.explode("own").alias("one")).select("one", F.explode("own").alias("other"))
+    pairs = pairs.where("one.node < other.node AND one.label <> other.label")
+    return pairs.select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
 
 
 def _order_bucket(names: np.ndarray) -> np.ndarray:
@@ -310,8 +322,8 @@ def first_shingles(found: Shingled, weights: Weights, order: np.ndarray, similar
     return owner[keep], found.names[by_rarity][keep], total[owner][keep], left[keep]
 
 
-def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: float) -> DataFrame:
-    """Distinct pairs of nodes of two classes, among them all of at least this weighted Jaccard similarity.
+def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Distinct pairs of nodes of two classes, among them all of at least this weighted Jaccard similarity; and what may go.
 
     Pairs meet under a shared shingle, in a join whose large keys Spark may split. Only those are rows of it whose
     weights from there on could still reach the similarity: sharing c of the weights x and y needs c / (x + y - c).
@@ -331,10 +343,15 @@ def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: flo
 
     entries = own.mapInArrow(look_up, "node long, name long, total double, left double").join(unsettled, "node")
     entries = stored(entries, "first_shingles")
-    one, other = entries.alias("one"), entries.alias("other")
+    # Of two texts the lighter one has its first common shingle while yet more of it is left. So it is looked up under fewer.
+    lighter = entries.where(f"left >= {2 * least / (1 + least)!r} * total")
+    one, other = entries.alias("one"), lighter.alias("other")
     needed = f"{least / (1 + least)!r} * (one.total + other.total)"
-    fits = f"one.name = other.name AND one.node < other.node AND one.label <> other.label AND least(one.left, other.left) >= {needed}"
-    return one.join(other, F.expr(fits)).select(F.col("one.node").alias("a"), F.col("other.node").alias("b")).distinct()
+    heavier = "(one.total > other.total OR one.total = other.total AND one.node > other.node)"
+    fits = f"one.name = other.name AND {heavier} AND one.label <> other.label AND least(one.left, other.left) >= {needed}"
+    pairs = one.join(other, F.expr(fits))
+    pairs = pairs.select(F.least("one.node", "other.node").alias("a"), F.greatest("one.node", "other.node").alias("b"))
+    return stored(pairs.distinct(), "pairs"), [own, entries]
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -360,25 +377,41 @@ def near_classes(
     one = F.min(F.struct("id", "bands", "signature")).alias("one")
     nodes = sketches.groupBy(*content).agg(one).select(*content, F.col("one.id").alias("node"), "one.bands", "one.signature")
     nodes = stored(nodes, "nodes")
-    members, links, labels, number = _members(nodes), None, None, 0
-    while True:
+    members = _members(nodes)
+    links, labels = [], None
+
+    def labelled() -> DataFrame:
         if labels is None:
-            labelled = members.withColumn("label", F.col("node"))
-        else:
-            joined = members.join(labels, "node", "left")
-            labelled = joined.withColumn("label", F.coalesce("label", "node"))
-        likely = stored(_likely(_pairs(labelled, number), nodes), "likely")
-        found = stored(verified(likely, rows, weights, similarity), "links") if not likely.isEmpty() else likely
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        labels, number = components(links), number + 1
-    unsettled = stored(_unsettled(labelled), "unsettled")
+            return members.withColumn("label", F.col("node"))
+        return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def settle(pairs: DataFrame) -> tuple[int, int]:
+        """Verify pairs and carry on the classes; how many there were, and how many are links."""
+        nonlocal labels
+        asked = pairs.count()
+        found = stored(verified(pairs, rows, weights, similarity), "links") if asked else pairs
+        linked = found.count() if asked else 0
+        if linked:
+            links.append(found)
+            labels, past = components(reduce(DataFrame.unionByName, links)), labels
+            discard(*([past] if past is not None else []))
+        discard(pairs)
+        return asked, linked
+
+    number, asked, linked = 0, 1, 1
+    while linked * WORTHWHILE >= asked and linked:
+        asked, linked = settle(stored(_likely(_led(labelled(), number), nodes), "likely"))
+        number += 1
+    left = stored(_mixed(labelled()), "mixed")
+    settle(stored(_likely(_within(left), nodes), "likely"))
+    large = left.where(F.col("size") > SMALL).drop("label")
+    large = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else large.withColumn("label", F.col("node"))
+    unsettled = stored(_mixed(large).select("node", "label").distinct(), "unsettled")
     if not unsettled.isEmpty():
-        likely = stored(_likely(_exact_pairs(unsettled, rows, weights, similarity), nodes), "likely")
-        found = stored(verified(likely, rows, weights, similarity), "links") if not likely.isEmpty() else likely
-        if not found.isEmpty():
-            labels = components(found if links is None else links.unionByName(found))
+        pairs, past = _exact_pairs(unsettled, rows, weights, similarity)
+        settle(pairs)
+        discard(*past)
+    discard(members, left, unsettled, *links)
     named = nodes.select(*content, "node")
     if labels is not None:
         named = named.join(labels, "node", "left").withColumn("node", F.coalesce("label", "node")).drop("label")
@@ -391,6 +424,16 @@ def near_classes(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` less the documents whose class has a smaller id; rows with a null id are kept."""
-    dropped = near_classes(docs, id_col, text_col).where(F.col("class_id") != F.col(id_col)).select(id_col).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    """`docs` less the rows whose class has a row with a smaller id; rows with a null id are kept.
+
+    Rows are told apart by a 64-bit name of id and text, so other texts under the same id are judged on their own.
+    """
+    key = F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col), F.col(text_col)))
+    rows = docs.select(key.alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    classes = near_classes(rows, "key", "text")
+    owned = classes.where("key IS NOT NULL").join(rows.select("key", "id").distinct(), "key")
+    owned = stored(owned.select("class_id", "key", "id").distinct(), "classes")
+    first = owned.groupBy("class_id").agg(F.min(F.struct("id", "key"))["key"].alias("first"), F.count("*").alias("n")).where("n > 1")
+    # As structs, so that one very large class is a key that Spark may split.
+    members = owned.select(F.struct("class_id").alias("class"), "key").join(first.select(F.struct("class_id").alias("class"), "first"), "class")
+    return without_rows(docs, members.where("key <> first"), key)

@@ -188,10 +188,68 @@ def test_near_classes_in_a_template_family(spark):
     assert classes == {i: i - i % 2 for i in range(300)}
 
 
+def linked_by_force(docs, weights):
+    """All pairs (larger id, smaller id) of at least 0.8, from the texts that share a shingle."""
+    found = near_dedup.Shingled(column_texts(pa.array([t for _, t in docs])))
+    cuts = list(zip(found.first[:-1], found.first[1:], strict=True))
+    vectors = [(found.names[a:b], weights.of(found.names[a:b], found.counts[a:b])) for a, b in cuts]
+    holders = {}
+    for name, owner in zip(found.names.tolist(), found.owner.tolist(), strict=True):
+        holders.setdefault(name, []).append(owner)
+    pairs = {(i, j) for own in holders.values() for i in own for j in own if i > j}
+    return {(docs[i][0], docs[j][0]) for i, j in pairs if near_dedup.weighted_jaccard(vectors[i], vectors[j]) >= 0.8}
+
+
+def test_no_link_is_lost_against_brute_force(spark):
+    """The classes of all documents of sf0.01 are just the components of all their links."""
+    ship(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    linked = linked_by_force([(r["doc_id"], r["text"]) for r in docs.collect()], near_dedup.document_frequencies(docs))
+    label = {r["doc_id"]: r["doc_id"] for r in docs.collect()}
+    while True:
+        lower = {i: min([label[i]] + [label[j] for a, j in linked if a == i] + [label[a] for a, j in linked if j == i]) for i in {x for p in linked for x in p}}
+        if all(label[i] == low for i, low in lower.items()):
+            break
+        label |= lower
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs).collect()}
+    assert len(linked) > 50 and all(found[i] == found[j] for i, j in linked)
+    assert found == label
+
+
+def test_weights_do_not_change_with_the_size_of_the_corpus():
+    """The same shares of documents give the same weights, however many documents and however full the buckets are."""
+    pick = np.random.default_rng(2)
+    tables = []
+    for documents in (1_000, 100_000):
+        filled = pick.poisson(documents * 300 / 2**18, 2**18).astype(np.int64)
+        filled[:4] += (np.array([0.01, 0.1, 0.5, 1.0]) * documents).astype(np.int64)
+        tables.append(near_dedup.Weights(filled, documents).table)
+    assert tables[0][:4] == pytest.approx(tables[1][:4], abs=0.02) and np.all(np.diff(tables[1][:4]) < 0)
+    assert tables[0][4:].mean() == pytest.approx(tables[1][4:].mean(), abs=0.01) and tables[1][4:].min() > 1.2
+
+
+def test_rows_are_judged_by_id_and_text(spark, odd_docs):
+    """Ids repeat with other texts: only the rows that a filter means go, and clashing columns stay as they are."""
+    long, other = prose(21, 300), prose(22, 300)
+    rows = [(1, long), (1, other), (2, long), (2, f"{prose(23, 60)} {prose(24, 40)}"), (3, f"{long} x"), (None, long), (1, "shared phrase of the test")]
+    docs = spark.createDataFrame([(i, t, "l", "k", "i", "y", "z", 1) for i, t in rows], SCHEMA)
+    left = lambda found: sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str)
+    less = lambda *gone: sorted([r for r in rows if r not in gone], key=str)
+    assert left(exact_dedup.without_copies(docs)) == less((1, long))
+    kept = near_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns and left(kept) == less((2, long), (3, f"{long} x"))
+    items = spark.createDataFrame([(1, "shared phrase of the test")], "item_id long, text string")
+    assert left(decontaminate.without_contaminated(docs, items)) == less((1, "shared phrase of the test"))
+    model = language.train(docs.withColumn("lang", docs["lang"]))
+    known = language.in_known_language(docs.unionByName(odd_docs), model)
+    assert known.columns == docs.columns and known.where("text IS NULL OR text = ''").count() == 0
+
+
 def test_components(spark):
-    chain = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 3)]
+    chain = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 3), (7, 3), (300, 300), (None, 5), (5, None)]
     labels = {r["node"]: r["label"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
-    assert {labels[i] for i in range(61)} == {0} and {labels[i] for i in (100, 150, 200)} == {100}
+    assert {labels[i] for i in range(61)} == {0} and {labels[i] for i in (100, 150, 200)} == {100} and labels[300] == 300
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_urls(spark):
