@@ -25,7 +25,6 @@ empty result. Columns other than id and text are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +46,7 @@ POOL_BITS = 14
 LEAST_AGREEMENT = 0.55
 # In buckets of so few nodes all are compared; a round of leaders goes on while one pair in so many is a link.
 SMALL = 8
-WORTHWHILE = 20
+WORTHWHILE = 10
 # The table that orders shingles for the exact join; it decides how many pairs are looked at, never which are found.
 ORDER_BITS = 22
 
@@ -350,8 +349,10 @@ def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: flo
     heavier = "(one.total > other.total OR one.total = other.total AND one.node > other.node)"
     fits = f"one.name = other.name AND {heavier} AND one.label <> other.label AND least(one.left, other.left) >= {needed}"
     pairs = one.join(other, F.expr(fits))
-    pairs = pairs.select(F.least("one.node", "other.node").alias("a"), F.greatest("one.node", "other.node").alias("b"))
-    return stored(pairs.distinct(), "pairs"), [own, entries]
+    a, b = [F.struct(F.col(f"{side}.node").alias("node"), F.col(f"{side}.label").alias("label")) for side in ("one", "other")]
+    pairs = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.least("one.left", "other.left").alias("left"))
+    pairs = pairs.groupBy("a", "b").agg(F.max("left").alias("left")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.label").alias("la"), F.col("b.label").alias("lb"), "left")
+    return stored(pairs, "pairs"), [own, entries]
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -362,6 +363,29 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.where(agreement(F.col("sa"), F.col("sb")) >= LEAST_AGREEMENT).select("a", "b")
 
 
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """`rows` with the label of their node's class; a node without links is its own."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _merged_labels(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(node, label) of all nodes with links, old and new. Only links between classes are followed, each pair of them once."""
+    ends = stored(_labelled(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), labels), "ends")
+    near = links.join(ends.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
+    near = near.join(ends.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b").where("la <> lb")
+    between = stored(near.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "between")
+    roots = components(between)
+    every = ends if labels is None else labels.unionByName(ends).distinct()
+    # As structs, so that the label of a very large class is a key that Spark may split.
+    keyed = every.select("node", F.struct("label").alias("key"))
+    joined = keyed.join(roots.select(F.struct(F.col("node").alias("label")).alias("key"), F.col("label").alias("root")), "key", "left")
+    merged = stored(joined.select("node", F.coalesce("root", "key.label").alias("label")), "labels")
+    discard(ends, between, roots)
+    return merged
+
+
 def near_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -378,23 +402,20 @@ def near_classes(
     nodes = sketches.groupBy(*content).agg(one).select(*content, F.col("one.id").alias("node"), "one.bands", "one.signature")
     nodes = stored(nodes, "nodes")
     members = _members(nodes)
-    links, labels = [], None
+    labels = None
 
     def labelled() -> DataFrame:
-        if labels is None:
-            return members.withColumn("label", F.col("node"))
-        return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        return _labelled(members, labels)
 
     def settle(pairs: DataFrame) -> tuple[int, int]:
-        """Verify pairs and carry on the classes; how many there were, and how many are links."""
+        """Verify pairs and merge the classes of those that are links; how many there were, and how many are links."""
         nonlocal labels
         asked = pairs.count()
         found = stored(verified(pairs, rows, weights, similarity), "links") if asked else pairs
         linked = found.count() if asked else 0
         if linked:
-            links.append(found)
-            labels, past = components(reduce(DataFrame.unionByName, links)), labels
-            discard(*([past] if past is not None else []))
+            labels, past = _merged_labels(found, labels), labels
+            discard(found, *([past] if past is not None else []))
         discard(pairs)
         return asked, linked
 
@@ -404,14 +425,20 @@ def near_classes(
         number += 1
     left = stored(_mixed(labelled()), "mixed")
     settle(stored(_likely(_within(left), nodes), "likely"))
-    large = left.where(F.col("size") > SMALL).drop("label")
-    large = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else large.withColumn("label", F.col("node"))
-    unsettled = stored(_mixed(large).select("node", "label").distinct(), "unsettled")
+    large = _mixed(_labelled(left.where(F.col("size") > SMALL).select("band", "node"), labels))
+    unsettled = stored(large.select("node", "label").distinct(), "unsettled")
     if not unsettled.isEmpty():
         pairs, past = _exact_pairs(unsettled, rows, weights, similarity)
-        settle(pairs)
-        discard(*past)
-    discard(members, left, unsettled, *links)
+        # Of two classes the likeliest pair first; all other pairs of what is then still apart.
+        best = pairs.groupBy(F.least("la", "lb").alias("low"), F.greatest("la", "lb").alias("high"))
+        best = best.agg(F.max(F.struct("left", "a", "b")).alias("best"))
+        settle(stored(best.select("best.a", "best.b"), "likely"))
+        ends = [_labelled(pairs.select(F.col(end).alias("node")).distinct(), labels) for end in ("a", "b")]
+        ends = [e.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")) for e, end in zip(ends, ("a", "b"), strict=True)]
+        rest = pairs.select("a", "b").join(ends[0], "a").join(ends[1], "b").where("la <> lb").select("a", "b")
+        settle(stored(rest, "rest"))
+        discard(pairs, *past)
+    discard(members, left, unsettled)
     named = nodes.select(*content, "node")
     if labels is not None:
         named = named.join(labels, "node", "left").withColumn("node", F.coalesce("label", "node")).drop("label")
