@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,21 +76,33 @@ def utilization(
     if mode != "exact":
         raise ValueError(f"unknown mode: {mode}")
 
-    by_month = (
-        with_calendar(fact, work_dates)
-        .groupBy("ccn", "staffingtypeid", *CALENDAR_ATTRIBUTES)
-        .agg(
-            F.sum("workhours").alias("hours"),
-            F.sum(F.col("numofpatient").cast("bigint")).alias("census"),
-            F.count("numofpatient").alias("days"),
-        )
+    by_month = monthly_sums(fact, work_dates).groupBy(*MONTHLY_KEYS).agg(
+        F.sum("hours").alias("hours"), F.sum("census").alias("census"), F.count("census").alias("days")
     )
+    return from_monthly(by_month, providers, staffing_types)
+
+
+# What the monthly state holds: a group per provider, type and month, and the values that are summed.
+MONTHLY_KEYS = ["ccn", "staffingtypeid", *CALENDAR_ATTRIBUTES]
+MONTHLY_VALUES = ["hours", "census"]
+
+
+def monthly_sums(fact: DataFrame, work_dates: DataFrame) -> DataFrame:
+    """The fact's rows with the keys and values of the monthly state."""
+    rows = with_calendar(fact, work_dates)
+    kept = [c for c in fact.columns if c not in ("workhours", "numofpatient", *MONTHLY_KEYS)]
+    return rows.select(*MONTHLY_KEYS, *kept, F.col("workhours").alias("hours"), F.col("numofpatient").cast("bigint").alias("census"))
+
+
+def from_monthly(by_month: DataFrame, providers: DataFrame, staffing_types: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Gold from sums by provider, type and month (hours, census and the days with a census); `more`: columns that go with them."""
+    grouping = [*GROUPING, *more]
     rows = with_provider(with_type(by_month, staffing_types), providers)
     beds = F.nullif(F.col("numberofbed"), F.lit(0))
     counted = beds.isNotNull() & (F.col("days") > 0)
     # A quotient per summed row is only needed for groups whose rows disagree about the beds.
     share = F.when(counted, F.col("census").cast("decimal(20,0)") / beds)
-    sums = rows.groupBy(*GROUPING).agg(
+    sums = rows.groupBy(*grouping).agg(
         F.sum("hours").alias("totalworkhour"),
         F.sum(F.when(counted, F.col("census"))).alias("census"),
         F.sum(F.when(counted, F.col("days"))).alias("days"),
@@ -99,7 +113,7 @@ def utilization(
     one_bed_count = mean_percent_half_up(F.col("census"), F.col("days"), F.col("most_beds"))
     several = (F.col("shares") / F.col("days") * 100).cast(T.DecimalType(10, 2))
     rate = F.when(F.col("fewest_beds") == F.col("most_beds"), one_bed_count).otherwise(several)
-    return sums.select(*GROUPING, "totalworkhour", rate.alias("bedutilizationrate"))
+    return sums.select(*grouping, "totalworkhour", rate.alias("bedutilizationrate"))
 
 
 def build_utilization(
@@ -113,5 +127,10 @@ def build_utilization(
     strict_scale: bool = False,
 ) -> DataFrame:
     """The gold table's content, in its column order and types."""
-    rows = stamped(utilization(fact, providers, staffing_types, work_dates, mode=mode), run_ts)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in gold_schema(strict_scale).fields])
+    rows = utilization(fact, providers, staffing_types, work_dates, mode=mode)
+    return shaped_gold(rows, run_ts, strict_scale)
+
+
+def shaped_gold(rows: DataFrame, run_ts: Column | None, strict_scale: bool, more: Sequence[str] = ()) -> DataFrame:
+    kinds = [F.col(f.name).cast(f.dataType).alias(f.name) for f in gold_schema(strict_scale).fields]
+    return stamped(rows, run_ts).select(*kinds, *more)

@@ -1,4 +1,4 @@
-"""The whole flow: ingest, check, gate, merge silver, rebuild gold."""
+"""The whole flow: ingest, check, gate, merge silver, bring gold up to date, in one commit."""
 
 from __future__ import annotations
 
@@ -12,18 +12,38 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import maintained
 from ..operators.quality import CheckSet, ValidationError, check_results, gate_status, validate
 from ..operators.reshape import ordered_within_files
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema, gold_schema
 from ..session import settled
 from ..sources.ingest import PROVIDER_TABLE, STAFFING_TABLE, Bronze, default_routes, ingest_folder
-from ..sources.tables import append_rows, read_appended, read_table, replace_partitions, replace_table
+from ..sources.ledger import WHOLE, Commit, Ledger
 from . import gold, silver
 
 # More distinct months than this in one run and the fact is read without pruning.
 MAX_TOUCHED_MONTHS = 10_000
-MERGED_TABLE = "merged_files"
 MERGED = T.StructType([T.StructField("filename", T.StringType())])
+# Runs whose merged files are kept apart before they are written together.
+MERGED_VERSIONS = 50
+
+# The tables of the warehouse that a run changes together.
+FACT_TABLE = "silver/daily_facility_log_fact"
+PROVIDER_TABLE_OF_SILVER = "silver/provider_dim"
+TYPE_TABLE = "silver/staffing_type_dim"
+DATE_TABLE = "silver/work_date_dim"
+MERGED_TABLE = "silver/merged_files"
+STATE_TABLE = "gold/monthly_state"
+GOLD_TABLE = "gold/provider_staffing_utilization_metric"
+MONTH = "work_month"
+STATE_KEYS = [*gold.MONTHLY_KEYS, MONTH]
+STATE = T.StructType()
+for _name, _kind in (
+    ("ccn", T.StringType()), ("staffingtypeid", T.StringType()), ("month", T.IntegerType()), ("monthname", T.StringType()),
+    ("year", T.IntegerType()), ("hours", T.DecimalType(38, 2)), ("hours_n", T.LongType()), ("census", T.LongType()),
+    ("census_n", T.LongType()), ("rows", T.LongType()), (MONTH, T.StringType()),
+):
+    STATE = STATE.add(_name, _kind)
 
 
 @dataclass(frozen=True)
@@ -42,12 +62,14 @@ class Medallion:
     def bronze(self) -> Bronze:
         return Bronze(f"{self.warehouse}/bronze", default_routes(self.strict_scale), self.csv_options)
 
-    def silver(self, table: str) -> str:
-        return f"{self.warehouse}/silver/{table}"
+    @property
+    def ledger(self) -> Ledger:
+        """Silver and gold, which a run changes together."""
+        return Ledger(self.warehouse)
 
     @property
-    def gold(self) -> str:
-        return f"{self.warehouse}/gold/provider_staffing_utilization_metric"
+    def fact_rows(self) -> T.StructType:
+        return T.StructType([*fact_schema(self.strict_scale).fields, T.StructField(MONTH, T.StringType())])
 
 
 ALL_CHECKS = (silver.PROVIDER_CHECKS, silver.WORK_DATE_CHECKS, silver.FACT_CHECKS)
@@ -140,96 +162,143 @@ def rows_of_months(staffing: DataFrame, months: Sequence[str | None]) -> DataFra
 
 def pending_files(spark: SparkSession, config: Medallion) -> DataFrame:
     """Names of ingested files that no run has merged yet, those of a run that a failed check stopped among them."""
-    merged = read_appended(spark, config.silver(MERGED_TABLE), MERGED)
+    merged = config.ledger.read(spark, MERGED_TABLE, MERGED)
     return config.bronze.manifest(spark).select("filename").distinct().join(merged, "filename", "left_anti")
 
 
 def merge_fact(
-    spark: SparkSession,
+    commit: Commit,
     config: Medallion,
     staffing: DataFrame,
     run_ts: Column | None = None,
     months: Sequence[str | None] | None = None,
-) -> None:
-    """Merge into the fact, reading and rewriting only the months that occur in `staffing`: `months`, where known."""
-    path = config.silver("daily_facility_log_fact")
+) -> Sequence[str | None] | None:
+    """Merge into the fact, reading and rewriting only the months that occur in `staffing`: `months`, where known.
+
+    The months are returned; None if there are too many to tell.
+    """
     schema = fact_schema(config.strict_scale)
-    stored = T.StructType([*schema.fields, T.StructField("work_month", T.StringType())])
-    target = read_appended(spark, path, stored)
     months = touched_months(staffing) if months is None else months
-    if months is not None:
-        named = [m for m in months if m is not None]
-        touched = F.col("work_month").isin(named)
-        if len(named) < len(months):
-            touched = touched | F.col("work_month").isNull()
-        target = target.where(touched)
+    target = commit.read(FACT_TABLE, config.fact_rows, MONTH, months)
     merged = silver.build_fact(
         staffing,
         target.select(*schema.names),
         run_ts,
         strict_scale=config.strict_scale,
-    ).withColumn("work_month", month_of(F.col("workdateid")))
+    ).withColumn(MONTH, month_of(F.col("workdateid")))
     # Rebalancing gathers each month in few files and splits a month that is too large for one task.
-    sized = merged.hint("rebalance", "work_month")
-    replace_partitions(ordered_within_files(sized, "work_month", "workdateid"), path, "work_month")
+    sized = merged.hint("rebalance", MONTH)
+    commit.replace_partitions(ordered_within_files(sized, MONTH, "workdateid"), FACT_TABLE, MONTH)
+    return months
 
 
 def merge_silver(
-    spark: SparkSession,
+    commit: Commit,
     config: Medallion,
     providers: DataFrame,
     staffing: DataFrame,
     run_ts: Column | None = None,
     months: Sequence[str | None] | None = None,
-) -> None:
-    """The four merges side by side; they write different tables. `months`: those in `staffing`, where known."""
+) -> Sequence[str | None] | None:
+    """The four merges side by side; they write different tables. `months`: those in `staffing`, where known; returned."""
 
     def dimension(table: str, schema: T.StructType, build) -> None:
-        path = config.silver(table)
-        replace_table(build(read_table(spark, path, schema)), path)
+        commit.replace(build(commit.read(table, schema)), table)
 
-    _in_parallel(
-        spark,
+    done = _in_parallel(
+        commit.spark,
         [
             lambda: dimension(
-                "provider_dim", PROVIDER_DIM, lambda old: silver.build_provider_dim(providers, old, run_ts)
-            ),
-            lambda: dimension(
-                "staffing_type_dim", STAFFING_TYPE_DIM, lambda old: silver.build_staffing_type_dim(old, run_ts)
+                PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM, lambda old: silver.build_provider_dim(providers, old, run_ts)
             ),
-            lambda: dimension(
-                "work_date_dim", WORK_DATE_DIM, lambda old: silver.build_work_date_dim(staffing, old, run_ts)
-            ),
-            lambda: merge_fact(spark, config, staffing, run_ts, months),
+            lambda: dimension(TYPE_TABLE, STAFFING_TYPE_DIM, lambda old: silver.build_staffing_type_dim(old, run_ts)),
+            lambda: dimension(DATE_TABLE, WORK_DATE_DIM, lambda old: silver.build_work_date_dim(staffing, old, run_ts)),
+            lambda: merge_fact(commit, config, staffing, run_ts, months),
         ],
     )
+    return done[-1]
 
 
 def silver_tables(spark: SparkSession, config: Medallion) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Fact, providers, staffing types and work dates as stored."""
-    fact = read_appended(
-        spark,
-        config.silver("daily_facility_log_fact"),
-        T.StructType([*fact_schema(config.strict_scale).fields, T.StructField("work_month", T.StringType())]),
-    ).drop("work_month")
+    ledger = config.ledger
+    state = ledger.state(spark)
     return (
-        fact,
-        read_table(spark, config.silver("provider_dim"), PROVIDER_DIM),
-        read_table(spark, config.silver("staffing_type_dim"), STAFFING_TYPE_DIM),
-        read_table(spark, config.silver("work_date_dim"), WORK_DATE_DIM),
+        ledger.rows(spark, state, FACT_TABLE, config.fact_rows).drop(MONTH),
+        ledger.rows(spark, state, PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM),
+        ledger.rows(spark, state, TYPE_TABLE, STAFFING_TYPE_DIM),
+        ledger.rows(spark, state, DATE_TABLE, WORK_DATE_DIM),
     )
 
 
-def refresh_gold(spark: SparkSession, config: Medallion, run_ts: Column | None = None) -> None:
-    """Delete all, insert all: the table is replaced by a fresh aggregate."""
-    rows = gold.build_utilization(
-        *silver_tables(spark, config), run_ts, mode=config.mode, strict_scale=config.strict_scale
+def refresh_state(commit: Commit, config: Medallion, months: Sequence[str | None] | None) -> None:
+    """Bring the sums by provider, type and month up to date: by the difference of the touched months' old and new rows."""
+
+    def rows(old: bool) -> DataFrame:
+        fact = commit.read(FACT_TABLE, config.fact_rows, MONTH, months, old=old)
+        return gold.monthly_sums(fact, commit.read(DATE_TABLE, WORK_DATE_DIM, old=old))
+
+    if months is None:
+        fresh = maintained.state(rows(False), STATE_KEYS, gold.MONTHLY_VALUES)
+    else:
+        change = maintained.delta(rows(True), rows(False), STATE_KEYS, gold.MONTHLY_VALUES)
+        stored = commit.read(STATE_TABLE, STATE, MONTH, months)
+        fresh = maintained.applied(stored, change, STATE_KEYS, gold.MONTHLY_VALUES)
+    fresh = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STATE.fields])
+    commit.replace_partitions(fresh.hint("rebalance", MONTH), STATE_TABLE, MONTH, emptied=months)
+
+
+def _changed(commit: Commit, table: str, schema: T.StructType, columns: Sequence[str]) -> bool:
+    """Whether a dimension differs from what it was, in what gold shows of it."""
+    old, new = (commit.read(table, schema, old=o).select(*columns) for o in (True, False))
+    return not (old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty())
+
+
+def refresh_gold(
+    commit: Commit, config: Medallion, run_ts: Column | None = None, months: Sequence[str | None] | None = None
+) -> None:
+    """The aggregate as a maintained view. Only the touched months of the fact are read, and only their rows of gold are
+    written anew, unless a provider or type has changed: then all of gold is made from the state, without the fact.
+
+    Decimal mode averages rounded quotients, which no state can carry on: there the table is made from the whole fact.
+    """
+    dimensions = (commit.read(PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM), commit.read(TYPE_TABLE, STAFFING_TYPE_DIM))
+    if config.mode != "exact":
+        fact = commit.read(FACT_TABLE, config.fact_rows).drop(MONTH)
+        dates = commit.read(DATE_TABLE, WORK_DATE_DIM)
+        rows = gold.build_utilization(fact, *dimensions, dates, run_ts, mode=config.mode, strict_scale=config.strict_scale)
+        commit.replace(rows, GOLD_TABLE)
+        commit.after.pop(STATE_TABLE, None)
+        return
+    if STATE_TABLE not in commit.before or WHOLE in commit.before.get(GOLD_TABLE, {}):
+        months = None
+    refresh_state(commit, config, months)
+    shown = [*gold.PROVIDER_ATTRIBUTES, "numberofbed"]
+    if months is not None and (
+        _changed(commit, PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM, shown)
+        or _changed(commit, TYPE_TABLE, STAFFING_TYPE_DIM, ["staffingtypeid", *gold.TYPE_ATTRIBUTES])
+    ):
+        months = None
+    sums = commit.read(STATE_TABLE, STATE, MONTH, months).select(
+        *STATE_KEYS,
+        maintained.total("hours").alias("hours"),
+        maintained.total("census").alias("census"),
+        F.col(maintained.counted("census")).alias("days"),
     )
-    replace_table(rows, config.gold)
+    rows = gold.shaped_gold(gold.from_monthly(sums, *dimensions, [MONTH]), run_ts, config.strict_scale, [MONTH])
+    commit.replace_partitions(rows.hint("rebalance", MONTH), GOLD_TABLE, MONTH, emptied=months)
 
 
 def read_gold(spark: SparkSession, config: Medallion) -> DataFrame:
-    return read_table(spark, config.gold, gold_schema(config.strict_scale))
+    return config.ledger.read(spark, GOLD_TABLE, gold_schema(config.strict_scale))
+
+
+def record_merged(commit: Commit, pending: DataFrame) -> None:
+    """Remember which files are merged; from time to time in one table again."""
+    if len(commit.after.get(MERGED_TABLE, {}).get(WHOLE, [])) < MERGED_VERSIONS:
+        commit.append(pending.repartition(1), MERGED_TABLE)
+    else:
+        commit.replace(commit.read(MERGED_TABLE, MERGED).unionByName(pending), MERGED_TABLE)
 
 
 def run_medallion(
@@ -240,10 +309,12 @@ def run_medallion(
     on_empty: str = "raise",
     scope: str = "all",
 ) -> DataFrame:
-    """Landing folder to gold. A failed check stops the run before any silver table is touched.
+    """Landing folder to gold. A failed check stops the run before any silver table is touched; silver, gold and the list of
+    merged files change in one commit, so whatever stops a run, readers see all of it or nothing.
 
     Scope "all" checks and merges all of bronze. With "months" a run costs what its files cost: only the months that
-    occur in files not merged yet are checked and merged, each with all of its rows. Other months keep their stamps;
+    occur in files not merged yet are checked and merged, each with all of its rows. Other months keep their stamps, in gold
+    too;
     their values are those of a full run too, unless several bronze rows share a key of the fact: a full run repeats
     the update of every month, which sets such rows to the greatest of them.
     """
@@ -263,7 +334,13 @@ def run_medallion(
         if months is not None:
             staffing = rows_of_months(staffing, months)
     run_checks(providers, staffing, checks)
-    merge_silver(spark, config, providers, staffing, run_ts, months)
-    append_rows(pending.repartition(1), config.silver(MERGED_TABLE))
-    refresh_gold(spark, config, run_ts)
+    commit = config.ledger.begin(spark)
+    try:
+        months = merge_silver(commit, config, providers, staffing, run_ts, months)
+        record_merged(commit, pending)
+        refresh_gold(commit, config, run_ts, months)
+        commit.commit()
+    except BaseException:
+        commit.abandon()
+        raise
     return read_gold(spark, config)

@@ -15,6 +15,7 @@ from ..plans import gold, medallion, silver
 from ..schemas import WORK_DATE_DIM, fact_schema
 from ..session import scratch_path, settled
 from ..sources import conformance, csv, ingest, listing, tables
+from ..sources.ledger import Ledger
 from ..streaming.arrivals import ingest_stream
 from . import inputs
 from . import oracles as sql
@@ -698,3 +699,39 @@ def medallion_second_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     medallion.run_medallion(spark, config, scope="months")
     inputs.drop_staffing(days.where("WorkDate >= '19960201'"), landing, "DailyNurseStaffing_late")
     return without_stamp(medallion.run_medallion(spark, config, scope="months"))
+
+
+@query(sql.gold_sql(sql.FACT_OF_TWO_RUNS))
+def gold_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second drop brings the second half of one month: gold follows by the difference of that month's old and new rows."""
+    landing = scratch_path(spark, "landing")
+    config = medallion.Medallion(landing, scratch_path(spark, "warehouse"))
+    days = inputs.staffing(spark, sf_dir)
+    late = F.col("WorkDate").between("19960116", "19960131")
+    inputs.drop_facilities(spark, sf_dir, landing)
+    inputs.drop_staffing(days.where(~late), landing, "DailyNurseStaffing_most")
+    medallion.run_medallion(spark, config, scope="months")
+    inputs.drop_staffing(days.where(late), landing, "DailyNurseStaffing_late")
+    return without_stamp(medallion.run_medallion(spark, config, scope="months"))
+
+
+@query(
+    """WITH c AS (SELECT c_custkey AS custkey, c_name AS name, c_mktsegment AS segment,
+      CAST(c_acctbal AS DECIMAL(12,2)) AS balance FROM customer)
+    SELECT 1 AS entry, * FROM c WHERE balance > 1000
+    UNION ALL SELECT 2, * FROM c WHERE balance > 1000 AND segment NOT IN ('BUILDING', 'MACHINERY')
+    UNION ALL SELECT 2, custkey, 'new ' || name, segment, balance FROM c WHERE segment = 'BUILDING'"""
+)
+def ledger_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table as of its first and its second entry: one segment rewritten, one emptied, the others shared by both."""
+    customers = inputs.customer_rows(spark, sf_dir)
+    ledger = Ledger(scratch_path(spark, "warehouse"))
+    first = ledger.begin(spark)
+    first.replace_partitions(customers.where("balance > 1000"), "customers", "segment")
+    first.commit()
+    second = ledger.begin(spark)
+    building = customers.where("segment = 'BUILDING'").withColumn("name", F.concat(F.lit("new "), "name"))
+    second.replace_partitions(building, "customers", "segment", emptied=["MACHINERY"])
+    second.commit()
+    entries = [ledger.read(spark, "customers", customers.schema, at=n).select(F.lit(n).alias("entry"), "*") for n in (1, 2)]
+    return entries[0].unionByName(entries[1])

@@ -8,7 +8,17 @@ from pyspark.sql import functions as F
 from lodestrata.functions.numbers import mean_percent_half_up
 from lodestrata.operators.quality import ValidationError
 from lodestrata.plans import gold, silver
-from lodestrata.plans.medallion import Medallion, read_gold, run_medallion, silver_tables
+from lodestrata.plans.medallion import (
+    FACT_TABLE,
+    GOLD_TABLE,
+    STATE_TABLE,
+    Medallion,
+    merge_fact,
+    read_gold,
+    refresh_gold,
+    run_medallion,
+    silver_tables,
+)
 from lodestrata.schemas import (
     PROVIDER_DIM,
     daily_nurse_staffing_schema,
@@ -328,24 +338,27 @@ def test_scale_zero_loses_the_fractions(spark, site):
     assert str(row["latitude"]) == "34.000000"
 
 
-def test_only_touched_months_are_rewritten(spark, site, tmp_path):
-    from lodestrata.plans.medallion import merge_fact
+def merged(spark, config, days, **options):
+    """One merge of the fact, committed; the entry's live versions of the fact's months."""
+    commit = config.ledger.begin(spark)
+    merge_fact(commit, config, days, **options)
+    commit.commit()
+    return config.ledger.state(spark)[FACT_TABLE]
+
 
-    merge_fact(spark, site.config, staffing(spark, ("p", "20240101", "1", 1, 1, 1, 1), ("p", "20240201", "1", 1, 1, 1, 1)))
-    root = tmp_path / "warehouse" / "silver" / "daily_facility_log_fact"
-    january = sorted(f.name for f in (root / "work_month=202401").iterdir())
-    merge_fact(spark, site.config, staffing(spark, ("p", "20240201", "1", 5, 1, 1, 1), ("q", "20240301", "1", 1, 1, 1, 1)))
-    assert sorted(f.name for f in (root / "work_month=202401").iterdir()) == january
+def test_only_touched_months_are_rewritten(spark, site):
+    first = merged(spark, site.config, staffing(spark, ("p", "20240101", "1", 1, 1, 1, 1), ("p", "20240201", "1", 1, 1, 1, 1)))
+    second = merged(spark, site.config, staffing(spark, ("p", "20240201", "1", 5, 1, 1, 1), ("q", "20240301", "1", 1, 1, 1, 1)))
+    assert first["work_month=202401"] == second["work_month=202401"]
+    assert first["work_month=202402"] != second["work_month=202402"] and "work_month=202403" in second
     fact = silver_tables(spark, site.config)[0]
     assert fact.count() == 12
     assert fact.where("workdateid = '20240201' and staffingtypeid = '1'").first()["workhours"] == Decimal("5.00")
 
 
 def test_rows_without_a_date_survive_a_merge(spark, site):
-    from lodestrata.plans.medallion import merge_fact
-
     for provider in ("p", "q"):
-        merge_fact(spark, site.config, staffing(spark, (provider, None, "1", 1, 1, 1, 1)))
+        merged(spark, site.config, staffing(spark, (provider, None, "1", 1, 1, 1, 1)))
     assert silver_tables(spark, site.config)[0].count() == 8
 
 
@@ -397,20 +410,97 @@ def test_months_of_empty_and_padded_dates(spark):
     assert [r[0] for r in dates.select(month_of(dates["d"])).collect()] == [None, None, "202412", "202401"]
 
 
-def test_second_drop_leaves_other_months_alone(spark, site, tmp_path):
+def two_months(site):
     site.providers("ProviderInfo_1.csv", ("015009", "One", 57))
     site.days("DailyNurseStaffing_1.csv", ("015009", "20240401", "51", "1", "2", "3", "4"), ("015009", "20240501", "51", "1", "2", "3", "4"))
+
+
+def test_second_drop_leaves_other_months_alone(spark, site):
+    two_months(site)
     run_medallion(spark, site.config, scope="months")
-    root = tmp_path / "warehouse" / "silver" / "daily_facility_log_fact"
-    april = sorted(f.name for f in (root / "work_month=202404").iterdir())
-    may = sorted(f.name for f in (root / "work_month=202405").iterdir())
+    first = site.config.ledger.state(spark)
     site.days("DailyNurseStaffing_2.csv", ("015009", "20240502", "50", "1", "2", "3", "4"))
     run_medallion(spark, site.config, scope="months")
-    assert sorted(f.name for f in (root / "work_month=202404").iterdir()) == april
-    assert sorted(f.name for f in (root / "work_month=202405").iterdir()) != may
+    second = site.config.ledger.state(spark)
+    for table in (FACT_TABLE, STATE_TABLE, GOLD_TABLE):
+        assert first[table]["work_month=202404"] == second[table]["work_month=202404"]
+        assert first[table]["work_month=202405"] != second[table]["work_month=202405"]
     assert silver_tables(spark, site.config)[0].count() == 12
 
 
+def test_gold_of_a_second_drop_reads_no_other_month(spark, site):
+    """The plans of the delta list the files of the touched month alone."""
+    two_months(site)
+    run_medallion(spark, site.config, scope="months")
+    config, read = site.config, []
+    commit = config.ledger.begin(spark)
+    plain = commit.read
+
+    def watched(table, *arguments, **options):
+        df = plain(table, *arguments, **options)
+        if table in (FACT_TABLE, STATE_TABLE):
+            read.extend(df.inputFiles())
+        return df
+
+    commit.read = watched
+    days = staffing(spark, ("015009", "20240502", "50", 1, 2, 3, 4))
+    months = merge_fact(commit, config, days)
+    refresh_gold(commit, config, months=months)
+    assert months == ["202405"] and read and all("work_month=202405" in path for path in read)
+    commit.abandon()
+
+
+def test_changed_provider_changes_all_its_months(spark, site):
+    two_months(site)
+    config = Medallion(site.config.landing, site.config.warehouse, latest_by="Processing_Date")
+    run_medallion(spark, config, scope="months")
+    site.drop(
+        "ProviderInfo_2.csv", provider_info_schema(),
+        [{"CMS_Certification_Number_CCN": "015009", "Provider_Name": "New", "Provider_Address": "1", "City_Town": "C", "State": "AL",
+          "ZIP_Code": 1, "Number_of_Certified_Beds": 102, "Latitude": "1", "Longitude": "1", "Processing_Date": "2024-06-01"}],
+    )
+    run_medallion(spark, config, scope="months")
+    shown = {(r["month"], r["providername"], str(r["bedutilizationrate"])) for r in read_gold(spark, config).collect()}
+    assert shown == {(4, "New", "50.00"), (5, "New", "50.00")}
+
+
+def test_decimal_mode_and_back(spark, site):
+    """A table made from the whole fact gives way to the maintained one, and the other way round."""
+    two_months(site)
+    exact, decimal = site.config, Medallion(site.config.landing, site.config.warehouse, mode="decimal")
+    for config in (exact, decimal, exact):
+        run_medallion(spark, config, on_empty="skip")
+        assert len(gold_rows(spark, config)) == 8
+
+
+# A killed run, two writers --------------------------------------------------------------------------------------------
+
+
+def test_run_killed_between_two_tables_changes_nothing(spark, site, monkeypatch):
+    from lodestrata.sources.ledger import Commit
+
+    two_months(site)
+    run_medallion(spark, site.config, scope="months")
+    before, state = gold_rows(spark, site.config), site.config.ledger.state(spark)
+    site.days("DailyNurseStaffing_2.csv", ("015009", "20240402", "5", "1", "2", "3", "4"), ("015009", "20240502", "5", "1", "2", "3", "4"))
+    plain = Commit.replace_partitions
+
+    def killed(self, df, table, *arguments, **options):
+        plain(self, df, table, *arguments, **options)
+        if table == STATE_TABLE:
+            raise KeyboardInterrupt
+
+    monkeypatch.setattr(Commit, "replace_partitions", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_medallion(spark, site.config, scope="months")
+    monkeypatch.undo()
+    assert gold_rows(spark, site.config) == before and site.config.ledger.state(spark) == state
+    assert silver_tables(spark, site.config)[0].count() == 8
+    run_medallion(spark, site.config, scope="months", on_empty="skip")
+    after = gold_rows(spark, site.config)
+    assert after[("015009", 2024, 4, CNA)] == ("6.00", "49.12") and silver_tables(spark, site.config)[0].count() == 16
+
+
 def test_files_of_a_stopped_run_are_merged_by_the_next(spark, site):
     site.providers("ProviderInfo_1.csv", ("015009", "One", 57), ("015009", "Renamed", 57))
     site.days("DailyNurseStaffing_1.csv", ("015009", "20240401", "51", "1", "2", "3", "4"))
