@@ -60,8 +60,7 @@ def csv_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     landing = scratch_path(spark, "orders-landing")
     inputs.write_csv(orders, landing)
-    uncut = {"text_bytes": {csv.EVERY_COLUMN: None}}
-    bronze = ingest.Bronze(scratch_path(spark, "orders-bronze"), [listing.Route("part-", "orders", orders.schema)], uncut)
+    bronze = ingest.Bronze(scratch_path(spark, "orders-bronze"), [listing.Route("part-", "orders", orders.schema)])
     ingest.ingest_folder(spark, bronze, landing)
     return bronze.table(spark, "orders").drop("source_file")
 
@@ -103,7 +102,17 @@ def csv_tolerant_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType.fromDDL(
         "c_custkey bigint, name string, segment string, balance decimal(18,2), remark string"
     )
-    return csv.tolerant_csv(spark, [landing], schema).drop("source_file", "source_id")
+    return csv.tolerant_csv(spark, [landing], schema, text_bytes={csv.EVERY_COLUMN: 256}).drop("source_file", "source_id")
+
+
+@query("SELECT doc_id, lang, md5(text) AS text_md5, length(text) AS n_chars FROM documents WHERE text IS NOT NULL")
+def csv_multiline_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of many lines in quoted CSV fields, read in byte ranges."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "lang", "text")
+    landing = scratch_path(spark, "lines-landing")
+    inputs.write_csv(docs, landing, quoteAll=True)
+    read = csv.tolerant_csv(spark, [landing], docs.schema, multi_line=True)
+    return read.select("doc_id", "lang", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
 
 
 @query(
@@ -194,11 +203,7 @@ def incremental_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arriving as CSV files in two drops, each followed by a run of the arrival stream."""
     events = table(spark, sf_dir, "events")
     landing, checkpoint = scratch_path(spark, "events-landing"), scratch_path(spark, "events-checkpoint")
-    bronze = ingest.Bronze(
-        scratch_path(spark, "events-bronze"),
-        [listing.Route("part-", "events", events.schema)],
-        {"text_bytes": {csv.EVERY_COLUMN: None}},
-    )
+    bronze = ingest.Bronze(scratch_path(spark, "events-bronze"), [listing.Route("part-", "events", events.schema)])
     early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
     for number, rows in enumerate((events.where(early), events.where(~early))):
         inputs.write_csv(rows, f"{landing}/drop_{number}", timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")

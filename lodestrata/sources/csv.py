@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 
 from ..functions.numbers import load_decimal
 from ..functions.text import clean_bytes, decoded_file_name
+from .records import records, without_return
 
-# Length in bytes of a text column that declares none.
-DEFAULT_TEXT_BYTES = 256
-# The entry of `text_bytes` that holds for all columns without their own; None: never cut.
+# The entry of `text_bytes` that holds for all columns without their own; without one, their text is never cut.
 EVERY_COLUMN = "*"
 RAW_LINE = "_raw_line"
 
@@ -31,14 +30,23 @@ def read_raw_csv(
     """All columns as byte text (one character per byte), the whole line for rows of another width, and the file.
 
     The header line is skipped and columns bind by position. Pruning is off because a pruned parser no longer notices
-    rows of another width. `multi_line` admits line breaks inside quotes but makes each file a single task.
+    rows of another width. `multi_line` admits line breaks inside quotes: files are scanned twice then, by as many tasks.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RAW_LINE]])
+    options = {
+        "sep": delimiter, "quote": quote, "escape": quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_LINE,
+        "nullValue": "\\N", "emptyValue": "",
+    }
+    if multi_line:
+        found = records(spark, paths, quote).withColumn("record", without_return(F.col("record")))
+        ddl = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+        parsed = found.where("length(trim(record)) > 0").withColumn("row", F.from_csv("record", ddl, options))
+        return parsed.select(
+            "row.*", decoded_file_name(F.col("name")).alias("source_file"), F.hex(F.xxhash64("path")).alias("source_id")
+        )
     return (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, sep=delimiter, quote=quote, escape=quote, multiLine=multi_line)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=RAW_LINE, columnPruning=False)
-        .options(encoding="ISO-8859-1", nullValue="\\N", emptyValue="")
+        .options(header=True, enforceSchema=True, columnPruning=False, encoding="ISO-8859-1", **options)
         .csv(list(paths))
         .select(
             "*",
@@ -71,7 +79,7 @@ def _columns(
     for position, field in enumerate(schema.fields, start=1):
         kind, raw = field.dataType, f"`{field.name}`"
         if isinstance(kind, T.StringType):
-            cleaned = clean_bytes(raw, text_bytes.get(field.name, text_bytes.get(EVERY_COLUMN, DEFAULT_TEXT_BYTES)))
+            cleaned = clean_bytes(raw, text_bytes.get(field.name, text_bytes.get(EVERY_COLUMN)))
             if empty_as_null:
                 value = f"nullif({cleaned}, '')"
             else:
@@ -115,8 +123,8 @@ def tolerant_csv(
     """Typed rows plus the file's name and an id of its full path, in one pass over the files.
 
     A row of another width with an odd number of quotes is one half of a row with a quoted line break: it stops the job
-    too, as only `multi_line` reads such files. Missing trailing fields become NULL. Text is cut to its length in bytes and each invalid byte becomes "?". A value
-    that cannot be read, or a row with surplus fields, stops the job that consumes the rows and names file and column.
+    too, as only `multi_line` reads such files (and stops at a quote that never closes). Missing trailing fields become NULL. Text is cut to its declared length in
+    bytes, if it has one, and each invalid byte becomes "?". A value that cannot be read, or a row with surplus fields, stops the job that consumes the rows and names file and column.
     """
     raw = read_raw_csv(spark, paths, schema.names, delimiter=delimiter, quote=quote, multi_line=multi_line)
 
@@ -127,7 +135,8 @@ def tolerant_csv(
             value = f"coalesce({value}, if({text} IS NOT NULL, CAST({stop} AS {field.dataType.simpleString()}), NULL))"
         values.append(f"{value} AS `{field.name}`")
     stop = "CAST(raise_error(concat('extra columns, file ', source_file)) AS STRING)"
-    torn = "CAST(raise_error(concat('line break inside quotes, needs multi_line, file ', source_file)) AS STRING)"
+    reason = "quote that never closes" if multi_line else "line break inside quotes, needs multi_line"
+    torn = f"CAST(raise_error(concat('{reason}, file ', source_file)) AS STRING)"
     source = f"CASE WHEN _torn THEN {torn} WHEN _width > {len(schema)} THEN {stop} ELSE source_file END AS source_file"
     return _with_width(raw, len(schema), delimiter, quote).selectExpr(*values, source, "source_id")
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..operators.upsert import insert_if_absent
 from ..schemas import MANIFEST, daily_nurse_staffing_schema, provider_info_schema
 from ..session import settled
-from .csv import escaped_glob, tolerant_csv
+from .csv import EVERY_COLUMN, escaped_glob, tolerant_csv
 from .listing import NoNewFilesError, Route, UnroutedFileError, list_files, new_files, route_files
 from .tables import append_rows, read_appended, replace_partitions
 
@@ -21,12 +21,14 @@ STAFFING_TABLE = "daily_nurse_staffing"
 MANIFEST_TABLE = "ingested_files"
 # Bounds what one load job holds on the driver: the paths of its files.
 FILES_PER_LOAD = 10_000
+# Fixed value: the length in bytes of every text column of the two layouts.
+LAYOUT_TEXT = {EVERY_COLUMN: 256}
 
 
 def default_routes(strict_scale: bool = False) -> list[Route]:
     return [
-        Route("DailyNurseStaffing", STAFFING_TABLE, daily_nurse_staffing_schema(strict_scale)),
-        Route("ProviderInfo", PROVIDER_TABLE, provider_info_schema(strict_scale)),
+        Route("DailyNurseStaffing", STAFFING_TABLE, daily_nurse_staffing_schema(strict_scale), LAYOUT_TEXT),
+        Route("ProviderInfo", PROVIDER_TABLE, provider_info_schema(strict_scale), LAYOUT_TEXT),
     ]
 
 
@@ -41,8 +43,11 @@ class Bronze:
     def table_path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def route_of(self, table: str) -> Route:
+        return next(route for route in self.routes if route.table == table)
+
     def schema_of(self, table: str) -> T.StructType:
-        return next(route.schema for route in self.routes if route.table == table)
+        return self.route_of(table).schema
 
     def manifest(self, spark: SparkSession) -> DataFrame:
         return read_appended(spark, self.table_path(MANIFEST_TABLE), MANIFEST)
@@ -83,7 +88,8 @@ def load_files(spark: SparkSession, bronze: Bronze, files: Sequence) -> None:
     """
     for table in dict.fromkeys(row["table_name"] for row in files):
         paths = [escaped_glob(row["path"]) for row in files if row["table_name"] == table]
-        rows = tolerant_csv(spark, paths, bronze.schema_of(table), **bronze.csv_options)
+        route = bronze.route_of(table)
+        rows = tolerant_csv(spark, paths, route.schema, **{"text_bytes": route.text_bytes, **bronze.csv_options})
         replace_partitions(rows, bronze.table_path(table), "source_file", "source_id")
 
 

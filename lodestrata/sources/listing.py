@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +25,15 @@ class UnroutedFileError(ValueError):
 
 @dataclass(frozen=True)
 class Route:
-    """Files whose name starts with `prefix`, in any case, hold rows of `table`."""
+    """Files whose name starts with `prefix`, in any case, hold rows of `table`.
+
+    `text_bytes`: the lengths in bytes that its layout declares for text; text without one is never cut.
+    """
 
     prefix: str
     table: str
     schema: T.StructType
+    text_bytes: Mapping[str, int | None] = field(default_factory=dict)
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:

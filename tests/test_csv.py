@@ -1,10 +1,13 @@
+import csv as stdlib_csv
 import datetime
+import random
 from decimal import Decimal
 
 import pytest
 
 from layouts import layout
 
+from lodestrata.sources import records
 from lodestrata.sources.csv import csv_rejects, escaped_glob, tolerant_csv
 
 SCHEMA = layout("id int; name string; amount decimal(18,2); day date; note string")
@@ -80,7 +83,13 @@ def test_each_invalid_byte_becomes_a_question_mark(spark, write, raw, expected):
     [("x" * 300, "x" * 256), ("é" * 200, "é" * 128), ("a" + "é" * 200, "a" + "é" * 127), ("中" * 100, "中" * 85)],
 )
 def test_long_text_is_cut_by_bytes_at_a_character(spark, write, text, expected):
-    assert load(spark, write(f"1,{text},1,2024-01-01,x\n".encode()))[0][1] == expected
+    assert load(spark, write(f"1,{text},1,2024-01-01,x\n".encode()), text_bytes={"name": 256})[0][1] == expected
+
+
+def test_text_without_a_declared_length_is_not_cut(spark, write):
+    text = "é" * 300
+    assert load(spark, write(f"1,{text},1,2024-01-01,{text}\n".encode()), text_bytes={"note": 256})[0][1::3] == (text, "é" * 128)
+    assert load(spark, write(f"1,{text},1,2024-01-01,{text}\n".encode()))[0][1::3] == (text, text)
 
 
 def test_very_long_text_with_stray_bytes(spark, write):
@@ -170,3 +179,65 @@ def test_text_without_a_limit_is_never_cut(spark, tmp_path):
 
     rows = reader.tolerant_csv(spark, [str(tmp_path)], T.StructType.fromDDL("a string"), text_bytes={reader.EVERY_COLUMN: None})
     assert rows.collect()[0]["a"] == long
+
+
+# Quoted line breaks in byte ranges ------------------------------------------------------------------------------------
+
+PLAIN = layout("a string; b string; c string")
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Files are read in ranges of some ninety bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "90")
+    yield
+    for n, value in zip(names, before, strict=True):
+        spark.conf.set(n, value)
+
+
+def by_force(path):
+    """Python's own CSV reader over the whole file."""
+    with open(path, newline="", encoding="utf-8") as file:
+        rows = list(stdlib_csv.reader(file))[1:]
+    return sorted((tuple([*r, *[None] * 3][:3]) for r in rows if r and any(r)), key=str)
+
+
+def multi(spark, path):
+    return tolerant_csv(spark, [escaped_glob(str(path))], PLAIN, multi_line=True)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_records_of_many_ranges_equal_those_of_the_whole_file(spark, tmp_path, small_ranges, seed):
+    pick = random.Random(seed)
+    words = ["x", "two words", 'a "quoted" word', "line\nbreak", "\n\n", "ends\n", "", "é,ü", '"', "long " * 60, "many\nlines\n" * 25, "\r\nreturn"]
+    rows = [["h\n1" if seed % 2 else "h1", "h2", "h3"]] + [[f"k{n}", pick.choice(words), pick.choice(words)] for n in range(120)]
+    path = tmp_path / "many.csv"
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        stdlib_csv.writer(file, lineterminator="\r\n" if seed == 3 else "\n").writerows(rows)
+    df = multi(spark, path)
+    assert sorted((tuple(r)[:3] for r in df.collect()), key=str) == by_force(path)
+    assert records.lines_of(spark, [str(path)]).rdd.getNumPartitions() > 20
+
+
+def test_ranges_without_any_record_end_and_files_side_by_side(spark, tmp_path, small_ranges):
+    """One field over many ranges, an empty file, one of a header alone; a quote that never closes stops the load."""
+    long = "\n".join(f"line {n} with, commas" for n in range(80))
+    (tmp_path / "a.csv").write_bytes(f'a,b,c\n1,"{long}",x\n2,"{long}","{long}"\n3,y,z'.encode())
+    (tmp_path / "b.csv").write_bytes(b"a,b,c\n")
+    (tmp_path / "c.csv").write_bytes(b"")
+    found = {r["a"]: (r["b"], r["c"], r["source_file"]) for r in multi(spark, tmp_path).collect()}
+    assert {k: found[k] for k in "123"} == {"1": (long, "x", "a.csv"), "2": (long, long, "a.csv"), "3": ("y", "z", "a.csv")}
+    assert set(found) == {"1", "2", "3"}
+    (tmp_path / "d.csv").write_bytes(b'a,b,c\n7,"open\nto the end,1\n2,3\n' * 2 + b'8,"open')
+    with pytest.raises(Exception, match="quote that never closes, file d.csv"):
+        multi(spark, tmp_path).collect()
+
+
+def test_both_readers_agree_where_no_line_breaks_are_quoted(spark, write, small_ranges):
+    body = b"1,\n2,,3,2024-01-01,\n\n3\n" + b'4,"a,b ""c""",1,2024-01-01,"x"\n5,\xff\xfex,1,2024-01-01,x\n' * 9
+    assert sorted(load(spark, write(body), multi_line=True), key=str) == sorted(load(spark, write(body)), key=str)
+    with pytest.raises(Exception, match="extra columns"):
+        load(spark, write(body + b"1,a,1,2024-01-01,n,extra\n"), multi_line=True)
