@@ -14,9 +14,10 @@ from pyspark.sql import types as T
 
 from ..operators import maintained
 from ..operators.quality import CheckSet, ValidationError, check_results, gate_status, validate
+from ..operators.quarantine import BROKEN, null_rules, staged
 from ..operators.reshape import ordered_within_files
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema, gold_schema
-from ..session import settled
+from ..session import scratch_path, settled
 from ..sources.ingest import PROVIDER_TABLE, STAFFING_TABLE, Bronze, default_routes, ingest_folder
 from ..sources.ledger import WHOLE, Commit, Ledger
 from . import gold, silver
@@ -29,12 +30,13 @@ MERGED_VERSIONS = 50
 
 # The tables of the warehouse that a run changes together.
 FACT_TABLE = "silver/daily_facility_log_fact"
-PROVIDER_TABLE_OF_SILVER = "silver/provider_dim"
+PROVIDER_DIM_TABLE = "silver/provider_dim"
 TYPE_TABLE = "silver/staffing_type_dim"
 DATE_TABLE = "silver/work_date_dim"
 MERGED_TABLE = "silver/merged_files"
 STATE_TABLE = "gold/monthly_state"
 GOLD_TABLE = "gold/provider_staffing_utilization_metric"
+QUARANTINE_TABLE = "quarantine/daily_nurse_staffing"
 MONTH = "work_month"
 STATE_KEYS = [*gold.MONTHLY_KEYS, MONTH]
 STATE = T.StructType()
@@ -209,7 +211,7 @@ def merge_silver(
         commit.spark,
         [
             lambda: dimension(
-                PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM, lambda old: silver.build_provider_dim(providers, old, run_ts)
+                PROVIDER_DIM_TABLE, PROVIDER_DIM, lambda old: silver.build_provider_dim(providers, old, run_ts)
             ),
             lambda: dimension(TYPE_TABLE, STAFFING_TYPE_DIM, lambda old: silver.build_staffing_type_dim(old, run_ts)),
             lambda: dimension(DATE_TABLE, WORK_DATE_DIM, lambda old: silver.build_work_date_dim(staffing, old, run_ts)),
@@ -225,7 +227,7 @@ def silver_tables(spark: SparkSession, config: Medallion) -> tuple[DataFrame, Da
     state = ledger.state(spark)
     return (
         ledger.rows(spark, state, FACT_TABLE, config.fact_rows).drop(MONTH),
-        ledger.rows(spark, state, PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM),
+        ledger.rows(spark, state, PROVIDER_DIM_TABLE, PROVIDER_DIM),
         ledger.rows(spark, state, TYPE_TABLE, STAFFING_TYPE_DIM),
         ledger.rows(spark, state, DATE_TABLE, WORK_DATE_DIM),
     )
@@ -262,7 +264,7 @@ def refresh_gold(
 
     Decimal mode averages rounded quotients, which no state can carry on: there the table is made from the whole fact.
     """
-    dimensions = (commit.read(PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM), commit.read(TYPE_TABLE, STAFFING_TYPE_DIM))
+    dimensions = (commit.read(PROVIDER_DIM_TABLE, PROVIDER_DIM), commit.read(TYPE_TABLE, STAFFING_TYPE_DIM))
     if config.mode != "exact":
         fact = commit.read(FACT_TABLE, config.fact_rows).drop(MONTH)
         dates = commit.read(DATE_TABLE, WORK_DATE_DIM)
@@ -275,7 +277,7 @@ def refresh_gold(
     refresh_state(commit, config, months)
     shown = [*gold.PROVIDER_ATTRIBUTES, "numberofbed"]
     if months is not None and (
-        _changed(commit, PROVIDER_TABLE_OF_SILVER, PROVIDER_DIM, shown)
+        _changed(commit, PROVIDER_DIM_TABLE, PROVIDER_DIM, shown)
         or _changed(commit, TYPE_TABLE, STAFFING_TYPE_DIM, ["staffingtypeid", *gold.TYPE_ATTRIBUTES])
     ):
         months = None
@@ -301,6 +303,29 @@ def record_merged(commit: Commit, pending: DataFrame) -> None:
         commit.replace(commit.read(MERGED_TABLE, MERGED).unionByName(pending), MERGED_TABLE)
 
 
+STAFFING_RULES = ["PROVNUM", "WorkDate", "MDScensus", *silver.FACT_MEASURES.values()]
+QUARANTINED = T.StructType([*[T.StructField(c, T.StringType()) for c in STAFFING_RULES], T.StructField(BROKEN, T.LongType())])
+
+
+def set_aside(commit: Commit, staffing: DataFrame) -> DataFrame:
+    """The staffing rows without NULLs, staged in one scan of bronze; the others go to the quarantine with their rules' bits.
+
+    A row that is in quarantine already, from an earlier run over the same files, is not put there twice.
+    """
+    rows = staffing.select(*STAFFING_RULES)
+    found = staged(rows, null_rules(STAFFING_RULES), scratch_path(commit.spark, "staged"))
+    if any(found.violations.values()):
+        kept = commit.read(QUARANTINE_TABLE, QUARANTINED)
+        new = found.quarantined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUARANTINED.fields])
+        commit.replace(kept.unionByName(new).distinct(), QUARANTINE_TABLE)
+    return found.clean
+
+
+def read_quarantine(spark: SparkSession, config: Medallion) -> DataFrame:
+    """Staffing rows that were set aside, as text, with the bits of the columns of `STAFFING_RULES` that are NULL."""
+    return config.ledger.read(spark, QUARANTINE_TABLE, QUARANTINED)
+
+
 def run_medallion(
     spark: SparkSession,
     config: Medallion,
@@ -308,6 +333,7 @@ def run_medallion(
     *,
     on_empty: str = "raise",
     scope: str = "all",
+    on_fault: str = "stop",
 ) -> DataFrame:
     """Landing folder to gold. A failed check stops the run before any silver table is touched; silver, gold and the list of
     merged files change in one commit, so whatever stops a run, readers see all of it or nothing.
@@ -317,9 +343,14 @@ def run_medallion(
     too;
     their values are those of a full run too, unless several bronze rows share a key of the fact: a full run repeats
     the update of every month, which sets such rows to the greatest of them.
+
+    With `on_fault="quarantine"` staffing rows with a NULL don't stop the run: they are set aside, counted while the others
+    are staged, and all that follows reads the staged rows. Other faults stop the run as ever.
     """
     if scope not in ("months", "all"):
         raise ValueError(f"unknown scope: {scope}")
+    if on_fault not in ("stop", "quarantine"):
+        raise ValueError(f"unknown answer to faults: {on_fault}")
     ingest_folder(spark, config.bronze, config.landing, load_time=run_ts, on_empty=on_empty)
     providers = config.bronze.table(spark, PROVIDER_TABLE)
     staffing = config.bronze.table(spark, STAFFING_TABLE)
@@ -333,9 +364,13 @@ def run_medallion(
             checks = (silver.PROVIDER_CHECKS,)
         if months is not None:
             staffing = rows_of_months(staffing, months)
-    run_checks(providers, staffing, checks)
     commit = config.ledger.begin(spark)
     try:
+        if on_fault == "quarantine":
+            staffing = set_aside(commit, staffing)
+            # Where a month has lost all its rows, nothing of it is merged.
+            checks = checks if not staffing.isEmpty() else (silver.PROVIDER_CHECKS,)
+        run_checks(providers, staffing, checks)
         months = merge_silver(commit, config, providers, staffing, run_ts, months)
         record_merged(commit, pending)
         refresh_gold(commit, config, run_ts, months)

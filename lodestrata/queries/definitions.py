@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import base_name, digest, join_path, last_segment
-from ..operators import quality, reshape, upsert
+from ..operators import quality, quarantine, reshape, upsert
 from ..plans import gold, medallion, silver
 from ..schemas import WORK_DATE_DIM, fact_schema
 from ..session import scratch_path, settled
@@ -681,6 +681,39 @@ def validation_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.gate(inputs.facilities(spark, sf_dir), inputs.staffing(spark, sf_dir))
 
 
+OBSERVED_COLUMNS = ["PROVNUM", "WorkDate", "MDScensus", "Hrs_RNDON_emp"]
+
+
+@query(
+    """WITH c AS (SELECT count(*) AS n, count(*) FILTER (l_shipdate = DATE '1997-07-01') AS d, count(*) FILTER (l_quantity = 7) AS h
+      FROM lineitem)
+    SELECT 0 AS position, 'not_empty' AS "check", CAST(NULL AS VARCHAR) AS "column", CAST(n = 0 AS BIGINT) AS violations,
+      'Query returned no data from staffing' AS message FROM c
+    UNION ALL SELECT 2, 'not_null', 'PROVNUM', 0, '0 NULL values in PROVNUM'
+    UNION ALL SELECT 4, 'not_null', 'WorkDate', d, d || ' NULL values in WorkDate' FROM c
+    UNION ALL SELECT 6, 'not_null', 'MDScensus', 0, '0 NULL values in MDScensus'
+    UNION ALL SELECT 8, 'not_null', 'Hrs_RNDON_emp', h, h || ' NULL values in Hrs_RNDON_emp' FROM c"""
+)
+def observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL counts of staffing rows, observed while the rows are staged."""
+    rules = quarantine.null_rules(OBSERVED_COLUMNS)
+    return quarantine.staged(faulty_staffing(spark, sf_dir), rules, scratch_path(spark, "staged")).report("staffing")
+
+
+@query(
+    """SELECT CAST(l_suppkey AS VARCHAR) AS provnum, strftime(nullif(l_shipdate, DATE '1997-07-01'), '%Y%m%d') AS workdate,
+      CAST(nullif(l_quantity, 7) AS DECIMAL(18,2)) AS hours,
+      CAST(CASE WHEN l_shipdate = DATE '1997-07-01' THEN 2 ELSE 0 END + CASE WHEN l_quantity = 7 THEN 8 ELSE 0 END AS BIGINT)
+      AS broken_rules FROM lineitem WHERE l_shipdate = DATE '1997-07-01' OR l_quantity = 7"""
+)
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staffing rows that break a rule, with the bits of the rules they break."""
+    rules = quarantine.null_rules(OBSERVED_COLUMNS)
+    found = quarantine.staged(faulty_staffing(spark, sf_dir), rules, scratch_path(spark, "staged"))
+    named = {"PROVNUM": "provnum", "WorkDate": "workdate", "Hrs_RNDON_emp": "hours", quarantine.BROKEN: quarantine.BROKEN}
+    return found.quarantined.select(*[F.col(c).alias(to) for c, to in named.items()])
+
+
 # End to end -----------------------------------------------------------------------------------------------------------
 
 

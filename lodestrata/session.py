@@ -53,11 +53,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """`df` computed once and kept in the shared folder, where the loss of an executor cannot take it away."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """`df` kept in the shared folder, where the loss of an executor cannot take it away.
+
+    It is written and read back, so it is computed once; `checkpoint()` would compute it a second time.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def filesystem(spark: SparkSession, path: str):

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions.numbers import mean_percent_half_up
 from lodestrata.operators.quality import ValidationError
+from lodestrata.operators.quarantine import null_rules, staged
 from lodestrata.plans import gold, silver
 from lodestrata.plans.medallion import (
     FACT_TABLE,
     GOLD_TABLE,
+    STAFFING_RULES,
     STATE_TABLE,
     Medallion,
     merge_fact,
     read_gold,
+    read_quarantine,
     refresh_gold,
     run_medallion,
     silver_tables,
@@ -524,3 +527,68 @@ def test_rows_of_months(spark):
     assert found(["202401", "202403"]) == [" 20240131", "20240101", "202403", "20240301"]
     assert found([]) == []
     assert sorted(touched_months(days), key=str) == ["202401", "202402", "202403", None]
+
+
+# Quarantine, stamps, order -------------------------------------------------------------------------------------------
+
+
+def test_faulty_rows_are_set_aside_once_and_the_rest_goes_on(spark, site):
+    site.providers("ProviderInfo_1.csv", ("015009", "One", 57))
+    site.days(
+        "DailyNurseStaffing_1.csv",
+        ("015009", "20240401", "51", "1", "2", "3", "4"), ("015009", "20240402", "51", "1", "", "3", "4"),
+        ("015009", "20240403", "51", "", "", "3", "4"),
+    )
+    with pytest.raises(ValidationError):
+        run_medallion(spark, site.config, scope="months")
+    run_medallion(spark, site.config, scope="months", on_fault="quarantine", on_empty="skip")
+    assert silver_tables(spark, site.config)[0].count() == 4 and len(gold_rows(spark, site.config)) == 4
+    first, second = (1 << STAFFING_RULES.index(c) for c in list(silver.FACT_MEASURES.values())[:2])
+    bits = {r["WorkDate"]: r["broken_rules"] for r in read_quarantine(spark, site.config).collect()}
+    assert bits == {"20240402": second, "20240403": first | second}
+    site.days("DailyNurseStaffing_2.csv", ("015009", "20240404", "51", "1", "2", "3", "4"))
+    run_medallion(spark, site.config, scope="months", on_fault="quarantine")
+    assert silver_tables(spark, site.config)[0].count() == 8 and read_quarantine(spark, site.config).count() == 2
+
+
+def test_checks_are_observed_in_one_scan(spark, tmp_path, rows):
+    """Counts, clean rows and set-aside rows come from one pass over the source; more rules than bits are refused."""
+    scanned = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            scanned.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame([(1, "a"), (None, "b"), (2, None), (None, None)], "x int, y string")
+    found = staged(source.mapInArrow(count, "x int, y string"), null_rules(["x", "y"]) | {"big": F.col("x") > 1}, str(tmp_path / "s"))
+    assert (found.rows, found.violations) == (4, {"x": 2, "y": 2, "big": 1})
+    assert rows(found.clean) == [(1, "a")]
+    assert rows(found.quarantined, "broken_rules") == [(1,), (3,), (6,)]
+    assert found.report("t").count() == 4 and scanned.value == 4
+    empty = staged(source.limit(0), null_rules(["x"]), str(tmp_path / "e"))
+    assert (empty.rows, empty.violations, empty.clean.count(), empty.quarantined.count()) == (0, {"x": 0}, 0, 0)
+    with pytest.raises(ValueError, match="64 rules"):
+        staged(source, {str(n): F.lit(True) for n in range(64)}, str(tmp_path / "m"))
+
+
+def test_one_stamp_for_a_run_and_only_for_matched_rows(spark, rows):
+    """Without a given stamp a run has one instant; rows without a match keep theirs."""
+    old = [("p", "20240101", 1, "1", Decimal(1), FIRST), ("q", "20240101", 1, "1", Decimal(1), FIRST)]
+    target = spark.createDataFrame(old, fact_schema())
+    started = datetime.datetime.now()
+    merged = silver.build_fact(staffing(spark, ("p", "20240101", "2", 5, 1, 1, 1), ("r", "20240101", "2", 5, 1, 1, 1)), target).collect()
+    stamps = {r["updated_at"] for r in merged if r["ccn"] != "q"}
+    assert len(stamps) == 1 and started <= stamps.pop() <= datetime.datetime.now()
+    assert [r["updated_at"] for r in merged if r["ccn"] == "q"] == [FIRST]
+
+
+def test_written_files_are_sorted(spark, tmp_path):
+    from lodestrata.operators.reshape import ordered_within_files
+
+    days = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("n"), (F.col("id") % 3).alias("p")).repartition(4)
+    ordered_within_files(days, "p", "n").write.parquet(str(tmp_path / "sorted"))
+    files = sorted((tmp_path / "sorted").glob("*.parquet"))
+    for file in files:
+        found = [(r["p"], r["n"]) for r in spark.read.parquet(str(file)).coalesce(1).collect()]
+        assert len(found) > 1 and found == sorted(found)
