@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import row_key, without_rows
+from .frames import lean, row_key, without_rows
 from .text import NameSet, column_texts, pieces, word_names
 
 PHRASE_WORDS = 13
@@ -258,7 +258,7 @@ def contamination(
         phrases = pairs.sparkSession.sparkContext.broadcast(Phrases(block))
         found.append(phrases)
     if len(found) == 1:
-        result = pairs.mapInArrow(lambda batches, p=found[0]: _scan(batches, p.value), schema)
+        result = pairs.mapInArrow(lean(lambda batches, p=found[0]: _scan(batches, p.value)), schema)
     else:
         result = _over_blocks(pairs, found, schema)
     share = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
@@ -272,14 +272,14 @@ def _over_blocks(pairs: DataFrame, blocks: list, schema: str) -> DataFrame:
     keyed = keyed.select(F.col("key").alias("id"), "text")
     kind = keyed.schema["id"].dataType.simpleString()
     schema = schema.replace(schema.split(",")[0], f"id {kind}", 1)
-    scans = [keyed.mapInArrow(lambda batches, p=p: _scan(batches, p.value), schema) for p in blocks]
+    scans = [keyed.mapInArrow(lean(lambda batches, p=p: _scan(batches, p.value)), schema) for p in blocks]
     hits = reduce(DataFrame.unionByName, [s.where("n_hit > 0").select("id", "items", "spans") for s in scans])
     gathered = hits.groupBy("id").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
     )
     gathered = gathered.withColumn("spans", F.aggregate("spans", F.array().cast(SPANS), _append_span))
-    rows = keyed.mapInArrow(lambda batches, p=blocks[0]: _scan(batches, p.value), schema).select("id", "n_words")
+    rows = keyed.mapInArrow(lean(lambda batches, p=blocks[0]: _scan(batches, p.value)), schema).select("id", "n_words")
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["word"])
     joined = rows.join(gathered, rows["id"].eqNullSafe(gathered["id"]), "left").drop(gathered["id"])
     return joined.select(

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import lean
 from .learning import Adagrad, bounded_sample, with_texts
 from .text import LOWER, Texts, bucket_counts, column_texts, pieces
 
@@ -131,7 +132,7 @@ def train(
                     names=["label", "buckets", "counts"],
                 )
 
-    taken = rows.mapInArrow(features, "label string, buckets binary, counts binary").collect()
+    taken = rows.mapInArrow(lean(features), "label string, buckets binary, counts binary").collect()
     samples = [(r[0], np.frombuffer(r[1], np.uint16).astype(np.int64), np.frombuffer(r[2], np.float32)) for r in taken]
     return fit(sorted(samples, key=lambda s: (s[0], s[1].tobytes(), s[2].tobytes())), rejects)
 
@@ -166,7 +167,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
                 )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), has_letter(F.col(text_col)).alias("letters"))
-    judged = rows.mapInArrow(judge, f"id {kind}, lang_pred string, score double, rejected boolean")
+    judged = rows.mapInArrow(lean(judge), f"id {kind}, lang_pred string, score double, rejected boolean")
     return judged.withColumnRenamed("id", id_col)
 
 
@@ -183,4 +184,4 @@ def in_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
                 rejected = _judged(piece, letters[begin:end], shared.value)[2]
                 yield rows.slice(begin, end - begin).filter(pa.array(~rejected))
 
-    return docs.select("*", has_letter(F.col(text_col)).alias("__letters")).mapInArrow(keep, docs.schema)
+    return docs.select("*", has_letter(F.col(text_col)).alias("__letters")).mapInArrow(lean(keep), docs.schema)

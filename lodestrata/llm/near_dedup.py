@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import discard, ship, stored, without_rows
+from .frames import discard, lean, ship, stored, without_rows
 from .text import Texts, column_texts, mix, pair_names, pieces, shingle_names, word_names
 from .url_filter import bloom_table, filter_blocks, possible
 
@@ -48,7 +48,7 @@ LEAST_AGREEMENT = 0.55
 SMALL = 8
 WORTHWHILE = 10
 # The table that orders shingles for the exact join; it decides how many pairs are looked at, never which are found.
-ORDER_BITS = 22
+ORDER_BITS = 20
 
 
 class Draws:
@@ -113,7 +113,7 @@ def document_frequencies(rows: DataFrame) -> Weights:
         columns = [pa.array(np.append(used, -1)), pa.array(np.append(total[used], documents))]
         yield pa.RecordBatch.from_arrays(columns, names=["bucket", "n"])
 
-    summed = rows.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    summed = rows.mapInArrow(lean(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     # The last place, bucket -1, holds the number of documents.
     table = np.zeros((1 << DF_BITS) + 1, np.int64)
     table[summed["bucket"].to_numpy()] = summed["n"].to_numpy()
@@ -230,7 +230,7 @@ def _rows_of(ids: DataFrame, rows: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, rows: DataFrame, weights, similarity: float) -> DataFrame:
     """The pairs (a, b) of at least this weighted Jaccard similarity. Only documents in a pair are made vectors."""
     involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
-    vectors = _rows_of(involved, rows).mapInArrow(_vectors, "id long, names binary, repeats binary")
+    vectors = _rows_of(involved, rows).mapInArrow(lean(_vectors), "id long, names binary, repeats binary")
     left = vectors.select(F.col("id").alias("a"), F.col("names").alias("na"), F.col("repeats").alias("ra"))
     right = vectors.select(F.col("id").alias("b"), F.col("names").alias("nb"), F.col("repeats").alias("rb"))
     joined = pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -243,7 +243,7 @@ def verified(pairs: DataFrame, rows: DataFrame, weights, similarity: float) -> D
                 keep.append(weighted_jaccard(one, other) >= similarity - 1e-6)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(check, "a long, b long")
+    return joined.mapInArrow(lean(check), "a long, b long")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -298,7 +298,7 @@ def _shingle_order(rows: DataFrame) -> np.ndarray:
             own = used[at : at + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["bucket", "n"])
 
-    summed = rows.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    summed = rows.mapInArrow(lean(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     summed = summed.where("n > 1").toArrow()
     table = np.ones(1 << ORDER_BITS, np.int32)
     table[summed["bucket"].to_numpy()] = np.minimum(summed["n"].to_numpy(), np.iinfo(np.int32).max)
@@ -340,7 +340,7 @@ def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: flo
                 columns = [ids, pa.array(names.view(np.int64)), pa.array(total), pa.array(left)]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "name", "total", "left"])
 
-    entries = own.mapInArrow(look_up, "node long, name long, total double, left double").join(unsettled, "node")
+    entries = own.mapInArrow(lean(look_up), "node long, name long, total double, left double").join(unsettled, "node")
     entries = stored(entries, "first_shingles")
     # Of two texts the lighter one has its first common shingle while yet more of it is left. So it is looked up under fewer.
     lighter = entries.where(f"left >= {2 * least / (1 + least)!r} * total")
@@ -396,7 +396,7 @@ def near_classes(
     rows = rows.where("id IS NOT NULL AND text IS NOT NULL")
     weights = spark.sparkContext.broadcast(document_frequencies(rows))
     draws = spark.sparkContext.broadcast(Draws())
-    sketches = stored(rows.mapInArrow(lambda b: _sketch(b, weights.value, draws.value), SKETCH), "sketches")
+    sketches = stored(rows.mapInArrow(lean(lambda b: _sketch(b, weights.value, draws.value)), SKETCH), "sketches")
     content = ["content_a", "content_b"]
     one = F.min(F.struct("id", "bands", "signature")).alias("one")
     nodes = sketches.groupBy(*content).agg(one).select(*content, F.col("one.id").alias("node"), "one.bands", "one.signature")

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .frames import ship, with_field
+from .frames import lean, ship, with_field
 from .text import NameSet, Texts, gram_names, prefix_sums
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -283,7 +283,7 @@ def encode(
     schema = with_field(rows, out_col, T.ArrayType(T.IntegerType()))
     if check_col is not None:
         schema = T.StructType([*schema.fields, T.StructField(check_col, T.BooleanType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def _slices(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
@@ -310,7 +310,7 @@ def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "piece_ids",
             texts = _decoded(batch.column(place), own)
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, out_col])
 
-    return rows.mapInArrow(run, with_field(rows, out_col, T.StringType()))
+    return rows.mapInArrow(lean(run), with_field(rows, out_col, T.StringType()))
 
 
 def _decoded(column: pa.Array, vocabulary: Vocabulary) -> pa.Array:
