@@ -77,13 +77,18 @@ def lean(kernel: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
 
     def run(batches: Iterator) -> Iterator:
         yield from kernel(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # not the GNU C library
-            ctypes.CDLL(None).malloc_trim(0)
+        release()
 
     return run
 
 
+def release() -> None:
+    """Give memory that this Python process has freed back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not the GNU C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     """The schema of `df` and one more column."""
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])

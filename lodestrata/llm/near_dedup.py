@@ -9,9 +9,8 @@ candidates (a pair of similarity 0.8 shares one with probability 0.998, one of 0
 tables of 16,384 triples.
 
 Documents with the same shingles are one node from the start. Links are found in three ways, each between classes that the one
-before has left apart. First, round by round, a node is paired with one leader, that of its largest bucket, later of a bucket
-that still holds another class; a bucket's leader is its smallest node, later one drawn by hash. Then all members of small
-buckets are compared. Pairs whose samples agree rarely (less than 0.55, five deviations below 0.8) are left here; the others are
+before has left apart. First every node is paired with one leader, the smallest node of its largest bucket; then with another,
+drawn by hash, of a bucket that still holds another class, and all members of small buckets are compared. Pairs whose samples agree rarely (less than 0.55, five deviations below 0.8) are left here; the others are
 verified by their exact weighted Jaccard similarity, and links of 0.8 or more make classes. What then shares a larger bucket with
 another class (texts with a common template, say) is worked off by an exact join, without samples: with its shingles ordered
 from rare to frequent, each text is looked up under its first ones only, as many as two texts of 0.8 cannot both do without.
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import discard, lean, ship, stored, without_rows
+from .frames import discard, lean, release, ship, stored, without_rows
 from .text import Texts, column_texts, mix, pair_names, pieces, shingle_names, word_names
 from .url_filter import bloom_table, filter_blocks, possible
 
@@ -44,11 +43,10 @@ DF_BITS = 18
 RARE = 1 / 128
 POOL_BITS = 14
 LEAST_AGREEMENT = 0.55
-# In buckets of so few nodes all are compared; a round of leaders goes on while one pair in so many is a link.
+# In buckets of so few nodes all are compared.
 SMALL = 8
-WORTHWHILE = 10
 # The table that orders shingles for the exact join; it decides how many pairs are looked at, never which are found.
-ORDER_BITS = 20
+ORDER_BITS = 18
 
 
 class Draws:
@@ -342,6 +340,7 @@ def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: flo
 
     entries = own.mapInArrow(lean(look_up), "node long, name long, total double, left double").join(unsettled, "node")
     entries = stored(entries, "first_shingles")
+    order.destroy()
     # Of two texts the lighter one has its first common shingle while yet more of it is left. So it is looked up under fewer.
     lighter = entries.where(f"left >= {2 * least / (1 + least)!r} * total")
     one, other = entries.alias("one"), lighter.alias("other")
@@ -404,27 +403,20 @@ def near_classes(
     members = _members(nodes)
     labels = None
 
-    def labelled() -> DataFrame:
-        return _labelled(members, labels)
-
-    def settle(pairs: DataFrame) -> tuple[int, int]:
-        """Verify pairs and merge the classes of those that are links; how many there were, and how many are links."""
+    def settle(pairs: DataFrame) -> None:
+        """Verify pairs and merge the classes of those that are links."""
         nonlocal labels
-        asked = pairs.count()
-        found = stored(verified(pairs, rows, weights, similarity), "links") if asked else pairs
-        linked = found.count() if asked else 0
-        if linked:
-            labels, past = _merged_labels(found, labels), labels
-            discard(found, *([past] if past is not None else []))
+        if not pairs.isEmpty():
+            found = stored(verified(pairs, rows, weights, similarity), "links")
+            if not found.isEmpty():
+                labels, past = _merged_labels(found, labels), labels
+                discard(*([past] if past is not None else []))
+            discard(found)
         discard(pairs)
-        return asked, linked
-
-    number, asked, linked = 0, 1, 1
-    while linked * WORTHWHILE >= asked and linked:
-        asked, linked = settle(stored(_likely(_led(labelled(), number), nodes), "likely"))
-        number += 1
-    left = stored(_mixed(labelled()), "mixed")
-    settle(stored(_likely(_within(left), nodes), "likely"))
+
+    settle(stored(_likely(_led(_labelled(members, labels), 0), nodes), "likely"))
+    left = stored(_mixed(_labelled(members, labels)), "mixed")
+    settle(stored(_likely(_led(left, 1).unionByName(_within(left)).distinct(), nodes), "likely"))
     large = _mixed(_labelled(left.where(F.col("size") > SMALL).select("band", "node"), labels))
     unsettled = stored(large.select("node", "label").distinct(), "unsettled")
     if not unsettled.isEmpty():
@@ -439,6 +431,10 @@ def near_classes(
         settle(stored(rest, "rest"))
         discard(pairs, *past)
     discard(members, left, unsettled)
+    # All that used them is written.
+    weights.destroy()
+    draws.destroy()
+    release()
     named = nodes.select(*content, "node")
     if labels is not None:
         named = named.join(labels, "node", "left").withColumn("node", F.coalesce("label", "node")).drop("label")
