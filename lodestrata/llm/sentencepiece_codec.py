@@ -1,17 +1,26 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search over a given vocabulary.
 
 A text is a stream of bytes in which every blank is the meta sign; one meta sign goes before the text. The best path is
-the one of largest total score. The stream is read in windows: a position that no piece of the vocabulary spans is one
-where the backpointer paths of all survivors meet, so everything before it is committed; what follows the last such
-position is carried into the next window. Segments between commits are independent and are searched side by side in numpy.
+the one of largest total score. The stream is read in windows, and ids are committed as soon as the backpointer paths of all
+survivors meet at one boundary; what follows it is carried into the next window. A survivor is a position that a later piece
+may begin at, so there are never more of them than the longest piece has bytes. Two ways find where they meet:
+
+- A position that no piece of the vocabulary spans is passed by every path. Segments between such positions are short in
+  most texts and are searched side by side in numpy.
+- Elsewhere (one letter repeated, encoded data) the search goes byte by byte in steps. It keeps the scores of the survivors
+  alone, and for each step the survivors of the step before that still have a descendant; where one is left, all paths meet.
+  Where they never meet, as in a text of one letter, six bytes are kept for each byte until the text ends.
+
 Where no piece has a meta sign after another character, paths also meet before every blank that follows another
-character: the parts between, words mostly, are searched once per task and looked up after that.
+character: the parts between, words mostly, are searched once per task and looked up after that, within a bound on bytes.
 
 Bytes that no piece covers become byte pieces, a meta sign that stands in the text itself among them, so decoding gives
 back every text exactly. Scores of a unigram model are used as they are; a BPE model has ranks instead, which Zipf's law
-turns into log probabilities. Of equal paths the one with the longer last piece wins.
+turns into log probabilities. Of equal paths the one with the longer last piece wins; scores lie
+on a fine binary grid, so sums are exact and ties fall the same way wherever a window ends.
 
-Null stays null, the empty text has no pieces, rows that repeat are encoded alike, and further columns stay as they are.
+Null stays null, the empty text has no pieces, rows that repeat are encoded alike, further columns stay as they are, and an
+empty table gives an empty one. A very long text is searched whole, in the memory of its ids and a window.
 """
 
 from __future__ import annotations
@@ -34,11 +43,22 @@ META = "▁".encode()
 ESCAPED = b"\xf8\xf9\xfa"
 ORIGINAL = dict(zip(ESCAPED, META, strict=True))
 WINDOW_BYTES = 1 << 16
-REMEMBERED = 150_000
+STEP_BYTES = 1 << 12
+# Longer segments are searched byte by byte: side by side, each of their bytes would cost a round of numpy calls.
+SIDE_BY_SIDE = 512
+# Remembered parts, each with its entry in the table, take about this much memory in a task.
+REMEMBERED_BYTES = 32 << 20
+ENTRY_BYTES = 120
 DECODED_AT_ONCE = 512
 # Fixed values of the scores made from ranks: Zipf's law with this offset, and the cost of a byte piece.
 ZIPF_OFFSET = 10.0
 BYTE_COST = 30.0
+# Scores are multiples of 1 / GRID.
+GRID = 1 << 24
+
+
+def _on_grid(score: float) -> float:
+    return round(score * GRID) / GRID
 
 
 class Vocabulary:
@@ -59,6 +79,7 @@ class Vocabulary:
         for stand_in, byte in ORIGINAL.items():
             self.byte_ids[stand_in] = self.byte_ids[byte]
         normal = [i for i, k in enumerate(kinds) if k == "piece" and pieces[i]]
+        scores = [_on_grid(score) for score in scores]
         self.by_length = {}
         for length in sorted({len(pieces[i]) for i in normal}):
             own = np.array([i for i in normal if len(pieces[i]) == length])
@@ -149,26 +170,87 @@ def _best_path(n: int, points: np.ndarray, matches) -> tuple[np.ndarray, np.ndar
     return ends, ids[back[ends]]
 
 
-def stream(data: np.ndarray, vocabulary: Vocabulary, window: int = WINDOW_BYTES) -> tuple[np.ndarray, np.ndarray]:
+def _steps(data: np.ndarray, at: int, vocabulary: Vocabulary, window: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """End positions and ids of the best path from `at` on, up to the first boundary behind `window` bytes where the paths
+    of all survivors meet, or to the end of the data."""
+    far = vocabulary.longest
+    step = max(step, far)
+    scores, done = [0.0], at
+    sizes, ids = [np.zeros(1, np.uint16)], [np.zeros(1, np.int32)]
+    # For each step: the survivors at its end with their ancestors at the end of the step before, and those still needed.
+    ancestors, needed = [{at: at}], [{at}]
+    while True:
+        upto, low = min(done + step, len(data)), max(at, done + 1 - far)
+        start, end, piece, score = _matches(data[low:upto], vocabulary)
+        new = np.flatnonzero(end > done - low)
+        new = new[np.lexsort((start[new], end[new]))]
+        start, end, piece = start[new], end[new], piece[new]
+        best = scores[len(scores) - (done - low) - 1 :] + [-np.inf] * (upto - done)
+        back = [0] * len(best)
+        for i, (s, e, v) in enumerate(zip(start.tolist(), end.tolist(), score[new].tolist(), strict=True)):
+            value = best[s] + v
+            if value > best[e]:
+                best[e], back[e] = value, i
+        chosen = np.array(back[done - low + 1 :], np.int64)
+        sizes.append((end[chosen] - start[chosen]).astype(np.uint16))
+        ids.append(piece[chosen].astype(np.int32))
+        origin = {}
+        for p, size in enumerate(sizes[-1].tolist(), start=done + 1):
+            origin[p] = p - size if p - size <= done else origin[p - size]
+        if upto == len(data):
+            return _traced(at, upto, sizes, ids)
+        kept = range(upto + 1 - far, upto + 1)
+        # Only differences count; on the grid they stay exact.
+        scores = [v - best[-1] for v in best[-far:]]
+        ancestors.append({p: origin[p] for p in kept})
+        needed.append(set(kept))
+        met = None
+        for k in range(len(needed) - 1, 1, -1):
+            alive = {ancestors[k][p] for p in needed[k]}
+            if alive == needed[k - 1]:
+                break
+            needed[k - 1] = alive
+        if upto - at >= window:
+            met = next((min(s) for s in reversed(needed[1:]) if len(s) == 1), None)
+        if met is not None:
+            return _traced(at, met, sizes, ids)
+        done = upto
+
+
+def _traced(at: int, end: int, sizes: list[np.ndarray], ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The path from `end` back to `at`, in order."""
+    size, own = np.concatenate(sizes), np.concatenate(ids)
+    ends = []
+    while end > at:
+        ends.append(end - at)
+        end -= int(size[end - at])
+    places = np.array(ends[::-1], np.int64)
+    return places + at, own[places].astype(np.int64)
+
+
+def stream(
+    data: np.ndarray, vocabulary: Vocabulary, window: int = WINDOW_BYTES, step: int = STEP_BYTES
+) -> tuple[np.ndarray, np.ndarray]:
     """End positions and ids of the best path over `data`, window by window."""
-    ends, ids, at, size = [], [], 0, max(window, 2 * vocabulary.longest)
+    ends, ids, at, window = [], [], 0, max(window, 2 * vocabulary.longest)
     while at < len(data):
-        part = data[at : at + size]
-        final = at + size >= len(data)
+        part = data[at : at + window]
         matches = _matches(part, vocabulary)
         points = _meeting_points(len(part), matches[0], matches[1])
-        if not final:
+        if at + window < len(data):
             # A piece that begins here may end beyond the window: only what no such piece can span is settled.
             points = points[points <= len(part) - vocabulary.longest + 1]
-            if len(points) < 2:
-                size *= 2
-                continue
-        keep = matches[1] <= points[-1]
-        found, own = _best_path(len(part), points, tuple(m[keep] for m in matches))
-        ends.append(found + at)
+        points = points[: 1 + int(np.argmax(np.append(np.diff(points) > SIDE_BY_SIDE, True)))]
+        if len(points) < 2:
+            found, own = _steps(data, at, vocabulary, window, step)
+            at = int(found[-1])
+        else:
+            keep = matches[1] <= points[-1]
+            found, own = _best_path(len(part), points, tuple(m[keep] for m in matches))
+            found = found + at
+            at += int(points[-1])
+        ends.append(found)
         ids.append(own)
-        at += int(points[-1])
-        size = max(window, 2 * vocabulary.longest)
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *ends]), np.concatenate([none, *ids])
 
@@ -182,6 +264,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[bytes, int] = {}
+        self.held = 0
         self.ids, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def learn(self, parts: list[bytes]) -> None:
@@ -196,12 +279,13 @@ class Encoder:
         counts = np.concatenate((counts, len(ids) + np.cumsum([len(s) for s in solved], dtype=np.int64)))
         for i, part in enumerate(joint + alone):
             self.known[part] = len(self.first) - 1 + i
+            self.held += ENTRY_BYTES + 5 * len(part)
         self.first = np.concatenate((self.first, self.first[-1] + counts))
         self.ids = np.concatenate((self.ids, ids.astype(np.int32), *[s.astype(np.int32) for s in solved]))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offsets of each text's own."""
-        if len(self.known) > REMEMBERED:
+        if self.held > REMEMBERED_BYTES:
             self.__init__(self.vocabulary)
         marked = [b" " + t.replace(META, ESCAPED) if t else t for t in texts]
         split = [PARTS.findall(m) if self.vocabulary.splits else [m] * bool(m) for m in marked]

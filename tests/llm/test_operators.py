@@ -295,6 +295,53 @@ def test_pieces_are_the_best_path_and_decode_exactly(spark, odd_docs):
     assert all(r["lang"] is True for r in checked.collect())
 
 
+def path_by_force(data, vocabulary):
+    """Ids of a plain Viterbi search that keeps every score and backpointer; the longer of equal last pieces wins."""
+    columns = sentencepiece_codec._matches(data, vocabulary)
+    order = np.lexsort((columns[0], columns[1]))
+    best, back = [0.0] + [-np.inf] * len(data), [(0, 0)] * (len(data) + 1)
+    for start, end, piece, score in zip(*[c[order].tolist() for c in columns], strict=True):
+        if best[start] + score > best[end]:
+            best[end], back[end] = best[start] + score, (start, piece)
+    at, ids = len(data), []
+    while at:
+        at, piece = back[at]
+        ids.append(piece)
+    return ids[::-1]
+
+
+@pytest.mark.parametrize("window, step", [(1 << 16, 1 << 12), (1000, 100), (256, 64)])
+def test_windows_without_a_meeting_point_of_all_pieces(window, step):
+    vocabulary, rng = sentencepiece_codec.load(), random.Random(9)
+    letters, encoded = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHabcdefgh0123+/"
+    texts = ["a" * 5000, "=" * 5000, "ab" * 2500, "日本語の文字" * 300, "-" * 2000 + "abc" * 700 + " " * 300]
+    texts += ["".join(rng.choice(own) for _ in range(5000)) for own in ("ab", letters, encoded)]
+    for text in texts:
+        data = np.frombuffer(text.encode().replace(b" ", sentencepiece_codec.META), np.uint8)
+        ends, ids = sentencepiece_codec.stream(data, vocabulary, window, step)
+        assert ids.tolist() == path_by_force(data, vocabulary) and ends[-1] == len(data)
+
+
+def test_steps_end_where_all_survivors_meet():
+    vocabulary, rng = sentencepiece_codec.load(), random.Random(4)
+    data = np.frombuffer("".join(rng.choice("ABCDEFGHabcdefgh0123+/") for _ in range(5000)).encode(), np.uint8)
+    ends, ids = sentencepiece_codec._steps(data, 0, vocabulary, 1000, 100)
+    assert 500 < ends[-1] < 1500 and ids.tolist() == path_by_force(data, vocabulary)[: len(ids)]
+    # Paths of one letter differ by their first piece and never meet: they are settled at the end.
+    assert sentencepiece_codec._steps(np.full(5000, ord("a"), np.uint8), 0, vocabulary, 1000, 100)[0][-1] == 5000
+
+
+def test_remembered_parts_are_bounded_by_their_bytes(monkeypatch):
+    vocabulary = sentencepiece_codec.load()
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED_BYTES", 20_000)
+    encoder, fresh = sentencepiece_codec.Encoder(vocabulary), sentencepiece_codec.Encoder(vocabulary)
+    for i in range(20):
+        text = ("日本語" * 100 + str(i) + " and a word").encode()
+        ids, _ = encoder.encode([text])
+        assert ids.tolist() == fresh.encode([text])[0].tolist()
+        assert encoder.held < 20_000 + 6_000
+
+
 def test_texts_that_end_in_blanks_are_the_best_path_each(spark):
     vocabulary = sentencepiece_codec.load()
     texts = ["", "a ", "5 b", "日本 x", "ends in one ", "ends in two  ", "the next", "  two before", "b" + " " * 15, "house of", "c" + " " * 40, " ", "   "]
