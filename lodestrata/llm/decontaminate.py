@@ -15,6 +15,7 @@ are ignored; an empty benchmark finds nothing. Columns of the documents other th
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,6 +30,8 @@ from .text import NameSet, column_texts, pieces, word_names
 PHRASE_WORDS = 13
 BLOCK_WORDS = 2_000_000
 SAMPLE = 8
+# Words of an item in any case, counted to size the blocks.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 class Phrases:
@@ -112,11 +115,16 @@ class FMIndex:
         return self.before[symbol] + self.matrix.rank(symbol, row)
 
     def search(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The range of suffixes that start with each phrase."""
+        """The range of suffixes that start with each phrase; one with a symbol that the text lacks is not searched."""
         low = np.zeros(len(rows), np.int64)
-        high = np.full(len(rows), len(self.transform), np.int64)
+        high = np.zeros(len(rows), np.int64)
+        occurs = np.append(True, np.diff(self.before)[1:] > 0)
+        able = np.arange(len(rows))
+        for column in range(rows.shape[1]):
+            able = able[occurs[rows[able, column]]]
+        high[able] = len(self.transform)
         for column in reversed(range(rows.shape[1])):
-            live = np.flatnonzero((rows[:, column] > 0) & (low < high))
+            live = able[(rows[able, column] > 0) & (low[able] < high[able])]
             if not len(live):
                 break
             symbol = rows[live, column]
@@ -231,7 +239,7 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_wor
     rows = benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col)
     for item, text in rows.toLocalIterator():
         block.append((item, text))
-        words += text.count(" ") + 1
+        words += len(WORD.findall(text))
         if words >= block_words:
             yield block
             block, words = [], 0
@@ -254,9 +262,10 @@ def contamination(
     schema = f"id {kind}, n_words long, n_hit long, items array<string>, spans {SPANS}"
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = []
-    for block in list(benchmark_blocks(benchmark, item_id_col, item_text_col, block_words)) or [[]]:
-        phrases = pairs.sparkSession.sparkContext.broadcast(Phrases(block))
-        found.append(phrases)
+    for block in benchmark_blocks(benchmark, item_id_col, item_text_col, block_words):
+        found.append(pairs.sparkSession.sparkContext.broadcast(Phrases(block)))
+    if not found:
+        found.append(pairs.sparkSession.sparkContext.broadcast(Phrases([])))
     if len(found) == 1:
         result = pairs.mapInArrow(lean(lambda batches, p=found[0]: _scan(batches, p.value)), schema)
     else:
