@@ -15,6 +15,7 @@ from ..plans import gold, medallion, silver
 from ..schemas import WORK_DATE_DIM, fact_schema
 from ..session import scratch_path, settled
 from ..sources import conformance, csv, ingest, listing, tables
+from ..sources.key_index import KeyIndex
 from ..sources.ledger import Ledger
 from ..streaming.arrivals import ingest_stream
 from . import inputs
@@ -773,3 +774,20 @@ def ledger_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     second.commit()
     entries = [ledger.read(spark, "customers", customers.schema, at=n).select(F.lit(n).alias("entry"), "*") for n in (1, 2)]
     return entries[0].unionByName(entries[1])
+
+
+@query(
+    """WITH l AS (SELECT CASE WHEN l_shipdate < DATE '1996-02-01' THEN 1 ELSE 2 END AS "drop", l_partkey AS part,
+      nullif(l_suppkey, 7) AS supp FROM lineitem),
+    keys AS (SELECT "drop", part, supp, count(*) AS copies FROM l GROUP BY ALL),
+    judged AS (SELECT *, min("drop") OVER (PARTITION BY part, supp) < "drop" AS stored FROM keys)
+    SELECT *, copies - 1 + CAST(stored AS BIGINT) AS violations FROM judged WHERE stored OR copies > 1"""
+)
+def unique_against_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of order lines entered in a key index; each key that repeats one of its own drop or of the drop before."""
+    supp = F.when(F.col("l_suppkey") != 7, F.col("l_suppkey"))
+    lines = table(spark, sf_dir, "lineitem").select("l_shipdate", F.col("l_partkey").alias("part"), supp.alias("supp"))
+    index = KeyIndex(Ledger(scratch_path(spark, "warehouse")), "lines", ["part", "supp"])
+    early = F.col("l_shipdate") < F.lit("1996-02-01").cast("date")
+    found = [index.load(spark, lines.where(own)).select(F.lit(n).alias("drop"), "*") for n, own in ((1, early), (2, ~early))]
+    return found[0].unionByName(found[1])
