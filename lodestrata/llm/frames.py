@@ -20,10 +20,13 @@ from ..session import filesystem, scratch_path
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """`df` computed once, as Parquet in the folder that all executors share; the loss of an executor takes nothing.
 
-    A written table is computed once; `checkpoint()` would compute its input twice.
+    A written table is computed once; `checkpoint()` would compute its input twice. What the driver held for the plan is
+    let go: Spark frees the broadcasts and shuffles of finished plans only after a collection of the driver's garbage.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    release()
+    df.sparkSession._jvm.System.gc()
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     kept.__dict__["stored_at"] = path
     return kept
