@@ -14,7 +14,7 @@ from ..operators import quality, quarantine, reshape, upsert
 from ..plans import gold, medallion, silver
 from ..schemas import WORK_DATE_DIM, fact_schema
 from ..session import scratch_path, settled
-from ..sources import conformance, csv, ingest, listing, tables
+from ..sources import conformance, csv, file_listing, ingest, listing, tables
 from ..sources.key_index import KeyIndex
 from ..sources.ledger import Ledger
 from ..streaming.arrivals import ingest_stream
@@ -212,6 +212,33 @@ def incremental_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.table(spark, "events").drop("source_file")
 
 
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def prefix_listing_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in one folder per day, listed with a task for each folder and loaded to bronze."""
+    events = table(spark, sf_dir, "events")
+    landing = scratch_path(spark, "days-landing")
+    days = events.withColumn("day", F.col("ts").cast("date")).repartition("day")
+    form = {"header": True, "escape": '"', "emptyValue": '""', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    days.write.partitionBy("day").options(**form).csv(landing)
+    bronze = ingest.Bronze(scratch_path(spark, "days-bronze"), [listing.Route("part-", "events", events.schema)])
+    ingest.ingest_listing(spark, bronze, file_listing.scan_files(spark, landing, ".csv"))
+    return bronze.table(spark, "events").drop("source_file")
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def prefix_arrival_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arriving in two drops, each followed by a run of the listing stream, which goes on from its stored offset."""
+    events = table(spark, sf_dir, "events")
+    landing, checkpoint = scratch_path(spark, "events-landing"), scratch_path(spark, "events-checkpoint")
+    bronze = ingest.Bronze(scratch_path(spark, "events-bronze"), [listing.Route("part-", "events", events.schema)])
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for number, rows in enumerate((events.where(early), events.where(~early))):
+        inputs.write_csv(rows, f"{landing}/drop_{number}", timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+        files = file_listing.stream_files(spark, landing)
+        ingest_stream(spark, bronze, landing, checkpoint, files=files).awaitTermination()
+    return bronze.table(spark, "events").drop("source_file")
+
+
 CONFORMANCE_LAYOUT = (
     "l_orderkey bigint, l_partkey int, l_linenumber smallint, l_extendedprice decimal(6,2), "
     "l_shipdate timestamp_ntz, l_comment string"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,14 @@ def filesystem(spark: SparkSession, path: str):
     """The Hadoop file system that owns `path`, and `path` as a Hadoop path."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_lodestrata_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="lodestrata-code-")
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    context._lodestrata_shipped = True

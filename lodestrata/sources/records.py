@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 RANGE = ["path", "name", "start"]
 ENDS = "path string, name string, start long, odd int, records0 long, records1 long, head binary, tail0 binary, tail1 binary"
 RECORDS = "path string, name string, record binary"
@@ -149,6 +151,7 @@ def _inner(batches: Iterator[pa.RecordBatch], quote: int, inside: set) -> Iterat
 
 def records(spark: SparkSession, paths: Sequence[str], quote: str = '"') -> DataFrame:
     """(path, name, record): every record but the first of each file, one character per byte."""
+    ship(spark)
     lines, sign = lines_of(spark, paths), ord(quote)
     ends = range_ends(lines, quote)
     inside = spark.sparkContext.broadcast({(r["path"], r["start"]) for r in ends.where("inside").select("path", "start").collect()})

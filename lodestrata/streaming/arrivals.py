@@ -33,19 +33,21 @@ def ingest_stream(
     *,
     load_time: Column | None = None,
     files_per_trigger: int = FILES_PER_TRIGGER,
+    files: DataFrame | None = None,
 ) -> StreamingQuery:
     """Load what has arrived since the last run, then end; start it again for the next drop.
 
-    The stream remembers full paths, the manifest base names. Every micro-batch is compared with the manifest, which
+    `files` is another stream with a `path`, such as `file_listing.stream_files`, in place of Spark's file stream. The
+    stream remembers full paths or a time, the manifest base names. Every micro-batch is compared with the manifest, which
     stays the authority, so a batch that is replayed after a failure loads nothing twice.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         ingest_listing(batch.sparkSession, bronze, batch, load_time=load_time, on_empty="skip")
 
+    arriving = arriving_files(spark, landing, files_per_trigger) if files is None else files.select("path")
     return (
-        arriving_files(spark, landing, files_per_trigger)
-        .writeStream.foreachBatch(load)
+        arriving.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
