@@ -178,6 +178,16 @@ def test_landing_difference(spark):
     assert tuple(listing.sync_summary(due).first()) == ("success", 1)
 
 
+def test_landing_difference_of_one_folder(spark, rows):
+    kinds = [("a.csv", "in", "text/csv"), ("b.csv", "in", "text/csv"), ("c.csv", "out", "text/csv"), ("d.csv", None, "text/csv"),
+             ("e.txt", "in", "text/plain")]
+    source = spark.createDataFrame(kinds, "filename string, folder string, mime_type string")
+    landed = spark.createDataFrame([("b.csv",)], "filename string")
+    assert rows(listing.due_files(source, landed, folder="in"), "filename") == [("a.csv",)]
+    assert rows(listing.due_files(source, landed, mime_type=None, folder="in"), "filename") == [("a.csv",), ("e.txt",)]
+    assert rows(listing.due_files(source, landed, folder="none")) == []
+
+
 def test_stream_loads_each_drop_once(spark, bronze, drop, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
     root = drop("A_1.csv", 1)

@@ -34,6 +34,15 @@ def test_matched_row_is_restamped_even_when_equal(spark, rows):
     assert rows(merged(spark, [(1, "a", 1)], [(1, "a", 1)])) == [(1, "a", 1, NEW)]
 
 
+def test_default_stamp_is_one_instant_of_the_run(spark):
+    target, stage = frames(spark, [(1, "a", 1), (2, "b", 2)], [(2, "B", 0), (3, "c", 3), (4, "d", 4)])
+    begin = datetime.datetime.now()
+    found = {r["k"]: r["updated_at"] for r in upsert(target, stage.repartition(3), ["k"]).collect()}
+    assert found[1] == OLD
+    assert len({found[2], found[3], found[4]}) == 1
+    assert begin <= found[2] <= datetime.datetime.now()
+
+
 def test_null_keys_never_match(spark, rows):
     result = merged(spark, [(None, "t", 1)], [(None, "s", 2), (None, "s", 2)])
     assert rows(result) == [(None, "s", 2, NEW), (None, "s", 2, NEW), (None, "t", 1, OLD)]
