@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .skew import is_hot
+from .skew import is_hot, spread
 
 
 def wide_to_long(
@@ -40,7 +40,7 @@ def distinct_long(
     """
     arguments = (ids, measures, label, value)
     cold = df.where(~is_hot(keys, hot)) if hot else df
-    distinct = wide_to_long(cold.repartition(*keys), *arguments).distinct()
+    distinct = wide_to_long(spread(cold, keys), *arguments).distinct()
     if not hot:
         return distinct
     return distinct.unionByName(wide_to_long(df.where(is_hot(keys, hot)), *arguments).distinct())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 HOT_SHARE = 0.001
 MIN_HOT_ROWS = 10_000_000
 TRACKED_ITEMS = 10_000
+# Rows that one task of a spread input holds, whatever the input's size.
+ROWS_PER_TASK = 250_000
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -23,6 +26,19 @@ def is_hot(keys: Sequence[str], hot: Sequence[int]) -> Column:
     return key_hash(keys).isin(list(hot))
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df` spread by `keys` over as many tasks as its rows need; one count of `df` tells how many.
+
+    Left to itself Spark sizes tasks by the compressed bytes of a shuffle, or by a fixed number, and what a task makes of
+    its rows then grows with the input until it spills.
+    """
+    rows = df.count()
+    if rows <= ROWS_PER_TASK:
+        return df.repartition(*keys)
+    tasks = max(math.ceil(rows / ROWS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> list[int]:
     """Hashes of the keys that hold a large share of `df`: one scan of the key columns, no shuffle of rows.
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.dates import compact_date, padded_month_name
 from ..operators.quality import CheckSet
 from ..operators.reshape import distinct_long, literal_rows, wide_to_long
-from ..operators.skew import hot_key_hashes, is_hot
+from ..operators.skew import hot_key_hashes, is_hot, spread
 from ..operators.upsert import any_null, shaped, upsert
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema
 
@@ -203,7 +203,7 @@ class Days:
         keyed = days.where(~any_null(FACT_DAY))
         cold = keyed.where(~is_hot(FACT_DAY, hot)) if hot else keyed
         frequent = keyed.where(is_hot(FACT_DAY, hot)) if hot else None
-        return cls(cold.repartition(*FACT_DAY), frequent, days.where(any_null(FACT_DAY)), hot)
+        return cls(spread(cold, FACT_DAY), frequent, days.where(any_null(FACT_DAY)), hot)
 
     def beside(self, keyed: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         """Stage rows with the rows of `keyed` that may share their provider day, one pair per way to merge."""

@@ -193,3 +193,21 @@ def test_fact_merge_equals_the_general_merge_of_its_stage(spark, rows, monkeypat
         patch.setattr(silver, "hot_days", lambda _df: hashes)
         found = silver.build_fact(staffing, target, F.lit(NEW), measures=measures)
         assert rows(found) == rows(expected)
+
+
+def test_a_spread_input_takes_more_tasks_as_it_grows(spark, monkeypatch):
+    """A task's share of the rows is bounded, for the distinct fact stage and for the wide rows of the merge."""
+    from lodestrata.operators import skew
+    from lodestrata.plans import silver
+
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    staffing = spark.range(3000).select(
+        *[F.col("id").cast("string").alias(c) for c in ("PROVNUM", "WorkDate", "MDScensus")],
+        *[(F.col("id") + h).cast("decimal(18,2)").alias(c) for h, c in enumerate(silver.FACT_MEASURES.values())],
+    )
+    stage = silver.fact_stage(staffing)
+    assert stage.count() == 12_000
+    sizes = stage.select("*", F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(sizes) > 20 and max(r["count"] for r in sizes) < 4 * 200
+    cold = silver.Days.split(silver.staffing_days(staffing), []).cold
+    assert cold.select(F.spark_partition_id().alias("p")).distinct().count() > 20
