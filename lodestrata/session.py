@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +66,29 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Longer methods are never compiled by the JVM, in bytes.
+COMPILED_METHOD = "8000"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Plans executed inside are generated as one method per stage only where the JVM compiles such a method.
+
+    A projection of many long expressions otherwise becomes a method that is interpreted for every row, several times
+    slower; beyond the limit Spark generates the same expressions in pieces.
+    """
+    before = spark.conf.get(METHOD_LIMIT, None)
+    spark.conf.set(METHOD_LIMIT, COMPILED_METHOD)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(METHOD_LIMIT)
+        else:
+            spark.conf.set(METHOD_LIMIT, before)
+
+
 def filesystem(spark: SparkSession, path: str):
     """The Hadoop file system that owns `path`, and `path` as a Hadoop path."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..operators.upsert import insert_if_absent
 from ..schemas import MANIFEST, daily_nurse_staffing_schema, provider_info_schema
-from ..session import settled
+from ..session import compiled_methods, settled
 from .csv import EVERY_COLUMN, escaped_glob, tolerant_csv
 from .listing import NoNewFilesError, Route, UnroutedFileError, list_files, new_files, route_files
 from .tables import append_rows, read_appended, replace_partitions
@@ -90,7 +90,8 @@ def load_files(spark: SparkSession, bronze: Bronze, files: Sequence) -> None:
         paths = [escaped_glob(row["path"]) for row in files if row["table_name"] == table]
         route = bronze.route_of(table)
         rows = tolerant_csv(spark, paths, route.schema, **{"text_bytes": route.text_bytes, **bronze.csv_options})
-        replace_partitions(rows, bronze.table_path(table), "source_file", "source_id")
+        with compiled_methods(spark):
+            replace_partitions(rows, bronze.table_path(table), "source_file", "source_id")
 
 
 def record_files(spark: SparkSession, bronze: Bronze, files: Sequence, load_time: Column | None = None) -> None:

@@ -211,3 +211,31 @@ def test_stream_with_a_lost_checkpoint_loads_nothing_twice(spark, bronze, drop,
     for attempt in range(2):
         ingest_stream(spark, bronze, root, str(tmp_path / f"checkpoint{attempt}")).awaitTermination()
     assert ids(spark, bronze, "alpha") == [1]
+
+
+@pytest.mark.parametrize("limit", [None, "60000"])
+@pytest.mark.parametrize("fails", [False, True])
+def test_files_load_in_methods_that_the_jvm_compiles(spark, bronze, drop, monkeypatch, limit, fails):
+    """The limit holds for the load only, whatever it was before and however the load ends."""
+    key, seen = "spark.sql.codegen.hugeMethodLimit", []
+
+    def write(df, *_args):
+        seen.append(df.sparkSession.conf.get(key))
+        if fails:
+            raise OSError("full")
+
+    monkeypatch.setattr(ingest, "replace_partitions", write)
+    standard = spark.conf.get(key)
+    if limit is not None:
+        spark.conf.set(key, limit)
+    try:
+        landing = drop("A_1.csv", 1)
+        if fails:
+            with pytest.raises(OSError, match="full"):
+                ingest.ingest_folder(spark, bronze, landing)
+        else:
+            ingest.ingest_folder(spark, bronze, landing)
+        assert seen == ["8000"]
+        assert spark.conf.get(key) == (limit or standard)
+    finally:
+        spark.conf.unset(key)
