@@ -181,13 +181,10 @@ def merge_fact(
     """
     schema = fact_schema(config.strict_scale)
     months = touched_months(staffing) if months is None else months
-    target = commit.read(FACT_TABLE, config.fact_rows, MONTH, months)
-    merged = silver.build_fact(
-        staffing,
-        target.select(*schema.names),
-        run_ts,
-        strict_scale=config.strict_scale,
-    ).withColumn(MONTH, month_of(F.col("workdateid")))
+    target = commit.read(FACT_TABLE, config.fact_rows, MONTH, months).select(*schema.names)
+    build = silver.first_fact if target.isEmpty() else silver.build_fact
+    merged = build(staffing, target, run_ts, strict_scale=config.strict_scale)
+    merged = merged.withColumn(MONTH, month_of(F.col("workdateid")))
     # Rebalancing gathers each month in few files and splits a month that is too large for one task.
     sized = merged.hint("rebalance", MONTH)
     commit.replace_partitions(ordered_within_files(sized, MONTH, "workdateid"), FACT_TABLE, MONTH)

@@ -258,6 +258,13 @@ def new_fact_rows(days: Days, target: DataFrame, measures: Mapping[str, str]) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def first_fact(
+    staffing: DataFrame, target: DataFrame, run_ts: Column | None = None, *, strict_scale: bool = False
+) -> DataFrame:
+    """What `build_fact` makes of a target without rows: the stage alone, with nothing to aggregate or join for an update."""
+    return shaped(typed_fact(fact_stage(staffing), strict_scale), target, run_ts)
+
+
 def build_fact(
     staffing: DataFrame,
     target: DataFrame,

@@ -592,3 +592,31 @@ def test_written_files_are_sorted(spark, tmp_path):
     for file in files:
         found = [(r["p"], r["n"]) for r in spark.read.parquet(str(file)).coalesce(1).collect()]
         assert len(found) > 1 and found == sorted(found)
+
+
+def test_first_fact_is_the_merge_into_an_empty_fact(spark, rows):
+    """Copies, several rows of one key, and missing keys, dates, census and hours."""
+    days = [("p", "20240101", "80", 8, 1, 1, None)] * 2 + [("p", "20240101", "81", 8, 2, 1, None), ("q", "20240102", None, 1, 1, 1, 1)]
+    days += [(None, "20240101", "80", 8, 1, 1, 1)] * 2 + [("p", None, "7", 0.125, 1, 1, 1)] * 2
+    stamp = F.lit(FIRST)
+    for strict in (False, True):
+        empty = spark.createDataFrame([], fact_schema(strict))
+        first = silver.first_fact(staffing(spark, *days), empty, stamp, strict_scale=strict)
+        merged = silver.build_fact(staffing(spark, *days), empty, stamp, strict_scale=strict)
+        assert first.dtypes == merged.dtypes
+        assert rows(first) == rows(merged) and first.count() == 20
+
+
+def test_only_months_with_rows_are_merged_into(spark, tmp_path, rows, monkeypatch):
+    """A first run, and a run whose months are all new, neither aggregate nor join for an update; a run into old rows does."""
+    merges, build = [], silver.build_fact
+    monkeypatch.setattr(silver, "build_fact", lambda *a, **k: merges.append(1) or build(*a, **k))
+    config, found = Medallion(str(tmp_path / "in"), str(tmp_path / "out")), []
+    for day, hours, expected in (("20240101", 1, 0), ("20240201", 2, 0), ("20240101", 3, 1)):
+        commit = config.ledger.begin(spark)
+        merge_fact(commit, config, staffing(spark, ("p", day, "80", hours, 1, 1, 1)), F.lit(FIRST))
+        commit.commit()
+        assert len(merges) == expected
+        found = rows(config.ledger.read(spark, FACT_TABLE, config.fact_rows), "workdateid", "staffingtypeid", "workhours")
+    firsts = [r for r in found if r[1] == "1"]
+    assert firsts == [("20240101", "1", Decimal("3.00")), ("20240201", "1", Decimal("2.00"))] and len(found) == 8
