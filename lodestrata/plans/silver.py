@@ -117,12 +117,18 @@ def hot_days(days: DataFrame) -> list[int]:
 
 
 def fact_stage(
-    staffing: DataFrame, measures: Mapping[str, str] = FACT_MEASURES, hot: Sequence[int] | None = None
+    staffing: DataFrame,
+    measures: Mapping[str, str] = FACT_MEASURES,
+    hot: Sequence[int] | None = None,
+    keys: Sequence[str] = FACT_DAY,
 ) -> DataFrame:
-    """The distinct fact rows, still as text and source decimals. Hot provider days are looked up unless given."""
+    """The distinct fact rows, still as text and source decimals, spread by `keys`: by provider and day, or by provider.
+
+    Spread by provider, what follows by provider needs no further shuffle. Hot keys are looked up unless given.
+    """
     days = staffing_days(staffing, measures)
-    hot = hot_days(days) if hot is None else hot
-    return distinct_long(days, FACT_IDS, _hours(measures), "staffingtypeid", "workhours", FACT_DAY, hot)
+    hot = hot_key_hashes(days, keys) if hot is None else hot
+    return distinct_long(days, FACT_IDS, _hours(measures), "staffingtypeid", "workhours", keys, hot)
 
 
 def whole_census() -> Column:

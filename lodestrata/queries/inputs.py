@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import join_path
-from ..plans.silver import FACT_MEASURES, PROVIDER_COLUMNS, fact_stage, provider_stage, typed_fact
+from ..plans.silver import FACT_MEASURES, PROVIDER_COLUMNS, PROVIDER_KEY, fact_stage, provider_stage, typed_fact
 from ..schemas import daily_nurse_staffing_schema, provider_info_schema
 from ..session import filesystem, scratch_path
 
@@ -73,8 +73,8 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact as a first run fills it."""
-    return typed_fact(fact_stage(staffing(spark, sf_dir)))
+    """The fact as a first run fills it, spread by provider for what is joined or summed by provider."""
+    return typed_fact(fact_stage(staffing(spark, sf_dir), keys=PROVIDER_KEY))
 
 
 # A customer dimension for the merges ----------------------------------------------------------------------------------

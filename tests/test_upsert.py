@@ -211,3 +211,32 @@ def test_a_spread_input_takes_more_tasks_as_it_grows(spark, monkeypatch):
     assert len(sizes) > 20 and max(r["count"] for r in sizes) < 4 * 200
     cold = silver.Days.split(silver.staffing_days(staffing), []).cold
     assert cold.select(F.spark_partition_id().alias("p")).distinct().count() > 20
+
+
+def test_a_stage_spread_by_provider_is_summed_by_provider_without_a_shuffle(spark, rows, monkeypatch):
+    """One shuffle in all, and the same rows as when spread by day, also with a provider that is hot and one without a name."""
+    from lodestrata.operators import skew
+    from lodestrata.plans import silver
+
+    staffing = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, "p").when(F.col("id") % 5 > 0, F.concat(F.lit("q"), F.col("id") % 7)).alias("PROVNUM"),
+        F.concat(F.lit("202401"), 10 + F.col("id") % 20).alias("WorkDate"),
+        F.lit("7").alias("MDScensus"),
+        *[(F.col("id") % (h + 2)).cast("decimal(18,2)").alias(c) for h, c in enumerate(silver.FACT_MEASURES.values())],
+    )
+    by_provider = silver.fact_stage(staffing, keys=silver.PROVIDER_KEY)
+    sums = by_provider.groupBy("ccn", "staffingtypeid").agg(F.sum("workhours"))
+    assert sums._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    expected = rows(silver.fact_stage(staffing))
+    assert rows(by_provider) == expected
+    found = skew.hot_key_hashes(staffing.select(F.col("PROVNUM").alias("ccn")), silver.PROVIDER_KEY, min_rows=100)
+    assert len(found) == 1
+    assert rows(silver.fact_stage(staffing, hot=found, keys=silver.PROVIDER_KEY)) == expected
+
+
+def test_the_gold_query_shuffles_its_fact_once(spark):
+    from lodestrata.queries import inputs
+
+    fact = inputs.fact(spark, "/root/testdata/sf0.001")
+    by_month = fact.groupBy("ccn", "staffingtypeid", F.substring("workdateid", 1, 6)).agg(F.sum("workhours"))
+    assert by_month._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
