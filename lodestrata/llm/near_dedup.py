@@ -14,6 +14,8 @@ drawn by hash, of a bucket that still holds another class, and all members of sm
 verified by their exact weighted Jaccard similarity, and links of 0.8 or more make classes. What then shares a larger bucket with
 another class (texts with a common template, say) is worked off by an exact join, without samples: with its shingles ordered
 from rare to frequent, each text is looked up under its first ones only, as many as two texts of 0.8 cannot both do without.
+Where many texts stand under one of those, classes are merged first: the texts get bands of more samples, which pairs above 0.8
+share far more often than others, and are verified with one leader of each. The join then makes the pairs still apart.
 
 A document without words is like no other and is its own class, as is, with a null class, a row with a null id. Rows that
 repeat an id are one document, with the smaller of its texts by hash; `one_of_each` tells such rows apart by their texts. Equal
@@ -45,8 +47,13 @@ POOL_BITS = 14
 LEAST_AGREEMENT = 0.55
 # In buckets of so few nodes all are compared.
 SMALL = 8
+# Samples in each of the bands of the rounds before the exact join, and bands in a round; the join finds what they leave.
+SHARP_ROWS = (16, 14, 12, 10)
+SHARP_BANDS = 16
 # The table that orders shingles for the exact join; it decides how many pairs are looked at, never which are found.
 ORDER_BITS = 18
+# What rounding may take of a similarity.
+ROUNDING = 1e-5
 
 
 class Draws:
@@ -319,16 +326,11 @@ def first_shingles(found: Shingled, weights: Weights, order: np.ndarray, similar
     return owner[keep], found.names[by_rarity][keep], total[owner][keep], left[keep]
 
 
-def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: float) -> tuple[DataFrame, list[DataFrame]]:
-    """Distinct pairs of nodes of two classes, among them all of at least this weighted Jaccard similarity; and what may go.
-
-    Pairs meet under a shared shingle, in a join whose large keys Spark may split. Only those are rows of it whose
-    weights from there on could still reach the similarity: sharing c of the weights x and y needs c / (x + y - c).
-    """
+def _entries(unsettled: DataFrame, rows: DataFrame, weights, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(node, name, total, left) of the first shingles of the nodes' texts; and these texts."""
     own = stored(_rows_of(unsettled.select(F.col("node").alias("id")), rows), "unsettled_rows")
     order = rows.sparkSession.sparkContext.broadcast(_shingle_order(own))
-    # What rounding may take.
-    least = similarity - 1e-5
+    least = similarity - ROUNDING
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,9 +340,41 @@ def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: flo
                 columns = [ids, pa.array(names.view(np.int64)), pa.array(total), pa.array(left)]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "name", "total", "left"])
 
-    entries = own.mapInArrow(lean(look_up), "node long, name long, total double, left double").join(unsettled, "node")
-    entries = stored(entries, "first_shingles")
+    entries = stored(own.mapInArrow(lean(look_up), "node long, name long, total double, left double"), "first_shingles")
     order.destroy()
+    return entries, own
+
+
+def _crowded(entries: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, signature) of the nodes that stand under a shingle with more than `SMALL` of them."""
+    sizes = entries.groupBy("name").agg(F.count("*").alias("size")).where(F.col("size") > SMALL)
+    under = entries.withColumn("key", F.struct("name")).join(sizes.select(F.struct("name").alias("key")), "key", "left_semi")
+    return stored(nodes.select("node", "signature").join(under.select("node").distinct(), "node", "left_semi"), "crowded")
+
+
+def _sharp(crowded: DataFrame, labels: DataFrame | None, round_number: int) -> DataFrame:
+    """Pairs (a, b) of a node and a leader of another class with which it shares a band of more samples."""
+    random = np.random.default_rng(round_number)
+
+    def band(number: int) -> Column:
+        chosen = random.choice(SAMPLES, SHARP_ROWS[round_number], replace=False)
+        return F.xxhash64(F.lit(number), *[F.col("signature")[int(k)] for k in chosen])
+
+    keyed = _labelled(crowded, labels).select("node", "label", F.explode(F.array(*map(band, range(SHARP_BANDS)))).alias("band"))
+    order = F.xxhash64(F.lit(round_number), "node").alias("order")
+    leaders = keyed.groupBy("band").agg(F.min(F.struct(order, "node", "label")).alias("led"), F.min("label").alias("low"), F.max("label").alias("high"))
+    leaders = leaders.where("low <> high").select(F.struct("band").alias("key"), F.col("led.node").alias("leader"), F.col("led.label").alias("led"))
+    joined = keyed.withColumn("key", F.struct("band")).join(leaders, "key").where("led <> label")
+    return joined.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
+def _exact_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs of nodes of two classes, among them all of at least this weighted Jaccard similarity.
+
+    Pairs meet under a shared shingle, in a join whose large keys Spark may split. Only those are rows of it whose
+    weights from there on could still reach the similarity: sharing c of the weights x and y needs c / (x + y - c).
+    """
+    least = similarity - ROUNDING
     # Of two texts the lighter one has its first common shingle while yet more of it is left. So it is looked up under fewer.
     lighter = entries.where(f"left >= {2 * least / (1 + least)!r} * total")
     one, other = entries.alias("one"), lighter.alias("other")
@@ -351,7 +385,7 @@ def _exact_pairs(unsettled: DataFrame, rows: DataFrame, weights, similarity: flo
     a, b = [F.struct(F.col(f"{side}.node").alias("node"), F.col(f"{side}.label").alias("label")) for side in ("one", "other")]
     pairs = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.least("one.left", "other.left").alias("left"))
     pairs = pairs.groupBy("a", "b").agg(F.max("left").alias("left")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.label").alias("la"), F.col("b.label").alias("lb"), "left")
-    return stored(pairs, "pairs"), [own, entries]
+    return stored(pairs, "pairs")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -418,9 +452,13 @@ def near_classes(
     left = stored(_mixed(_labelled(members, labels)), "mixed")
     settle(stored(_likely(_led(left, 1).unionByName(_within(left)).distinct(), nodes), "likely"))
     large = _mixed(_labelled(left.where(F.col("size") > SMALL).select("band", "node"), labels))
-    unsettled = stored(large.select("node", "label").distinct(), "unsettled")
+    unsettled = stored(large.select("node").distinct(), "unsettled")
     if not unsettled.isEmpty():
-        pairs, past = _exact_pairs(unsettled, rows, weights, similarity)
+        entries, own = _entries(unsettled, rows, weights, similarity)
+        crowded = _crowded(entries, nodes)
+        for number in range(len(SHARP_ROWS)):
+            settle(stored(_likely(_sharp(crowded, labels, number), nodes), "likely"))
+        pairs = _exact_pairs(entries.join(_labelled(unsettled, labels), "node"), similarity)
         # Of two classes the likeliest pair first; all other pairs of what is then still apart.
         best = pairs.groupBy(F.least("la", "lb").alias("low"), F.greatest("la", "lb").alias("high"))
         best = best.agg(F.max(F.struct("left", "a", "b")).alias("best"))
@@ -429,7 +467,7 @@ def near_classes(
         ends = [e.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")) for e, end in zip(ends, ("a", "b"), strict=True)]
         rest = pairs.select("a", "b").join(ends[0], "a").join(ends[1], "b").where("la <> lb").select("a", "b")
         settle(stored(rest, "rest"))
-        discard(pairs, *past)
+        discard(pairs, own, entries, crowded)
     discard(members, left, unsettled)
     # All that used them is written.
     weights.destroy()

@@ -216,6 +216,24 @@ def test_no_link_is_lost_against_brute_force(spark):
     assert found == label
 
 
+def test_sharp_bands_pair_a_family_with_leaders(spark):
+    """Nodes that agree in most samples are tied together by a few pairs each, not by all pairs; one class makes none."""
+    pick = np.random.default_rng(4)
+    base = pick.integers(1 << 30, size=near_dedup.SAMPLES)
+    kept = pick.random((200, near_dedup.SAMPLES)) < 0.93
+    rows = [(i, [int(v) if k else 1000 * i + j for j, (v, k) in enumerate(zip(base, own, strict=True))]) for i, own in enumerate(kept.tolist())]
+    nodes = spark.createDataFrame(rows, "node long, signature array<int>")
+    pairs = [(r["a"], r["b"]) for r in near_dedup._sharp(nodes, None, 1).collect()]
+    label = list(range(200))
+    for _ in range(200):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    assert all(a < b for a, b in pairs) and len(pairs) < 200 * near_dedup.SHARP_BANDS < 200 * 199 / 2
+    assert label.count(0) > 180
+    one_class = spark.createDataFrame([(i, 0) for i in range(200)], "node long, label long")
+    assert near_dedup._sharp(nodes, one_class, 1).count() == 0
+
+
 def test_weights_do_not_change_with_the_size_of_the_corpus():
     """The same shares of documents give the same weights, however many documents and however full the buckets are."""
     pick = np.random.default_rng(2)
