@@ -38,7 +38,10 @@ LENGTH = 50
 SEED_BYTES = 10
 SEED_BITS = 48
 BATCH_BYTES = 2 << 20
+# Bytes worked on at once, so few that the names of their positions stay in the processor's cache.
+CACHED_BYTES = 1 << 18
 PART_ENTRIES = 1 << 18
+ORDERED = np.uint64(0x9E3779B97F4A7C15)
 NO_ID = np.iinfo(np.int64).min
 SCRAMBLE = mix(np.arange(256, dtype=np.uint64)).astype(np.uint8)
 
@@ -75,15 +78,15 @@ class Buckets:
         self.inside = np.cumsum(edges, dtype=np.int8)[: self.count].astype(bool)
         self.texts, self.sums = texts, prefix_sums(texts.data)
         ten = gram_names(self.sums, SEED_BYTES)
-        self.twenty = pair_names(ten[: max(0, n - 19)], ten[10 : max(10, n - 9)])
+        # The names of 10 bytes are mixed already; here only the order of the two has to count.
+        self.twenty = mix(ten[: max(0, n - 19)] * ORDERED + ten[10 : max(10, n - 9)])
 
     def chosen(self) -> np.ndarray:
-        """For each window of 50 bytes its seed: the smallest of the 31 buckets of 20 bytes in it."""
+        """For each window of 50 bytes the smallest of the 31 buckets of 20 bytes in it."""
         low = self.twenty
         for step in (1, 2, 4, 8):
             low = np.minimum(low[:-step], low[step:]) if len(low) > step else low[:0]
-        # Smallest values crowd at zero; mixed again, the parts of the name space get equal shares.
-        return mix(np.minimum(low[: self.count], low[15 : 15 + self.count])) >> np.uint64(64 - SEED_BITS)
+        return np.minimum(low[: self.count], low[15 : 15 + self.count])
 
     def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Neighbouring windows of one document with one seed: first window, last window + 1, seed."""
@@ -96,7 +99,8 @@ class Buckets:
         first = np.flatnonzero(change)
         last = np.append(first[1:], self.count)
         real = self.inside[first]
-        return first[real], last[real], low[first[real]]
+        # Smallest values crowd at zero; mixed again, the parts of the name space get equal shares.
+        return first[real], last[real], mix(low[first[real]]) >> np.uint64(64 - SEED_BITS)
 
     def run_names(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = last + LENGTH - 1
@@ -207,7 +211,7 @@ class Batch:
         self.answers = sorted(answers.to_pylist(), key=lambda r: r["part"]) if answers is not None else []
 
     def pieces(self) -> Iterator[tuple[int, int, Texts]]:
-        yield from pieces(column_texts(self.docs["text"]))
+        yield from pieces(column_texts(self.docs["text"]), CACHED_BYTES)
 
     def answer(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Flags and smallest ids, in the order in which this batch sent its names."""

@@ -24,7 +24,7 @@ from lodestrata.llm import (  # noqa: E402
 )
 from lodestrata.llm.components import components  # noqa: E402
 from lodestrata.llm.frames import ship  # noqa: E402
-from lodestrata.llm.text import column_texts  # noqa: E402
+from lodestrata.llm.text import column_texts, mix  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, kept string, id string, key string, label string, n_chars long"
 WORDS = [f"w{chr(97 + i % 26)}{i}" for i in range(400)]
@@ -122,6 +122,22 @@ def test_repeated_bytes(spark, odd_docs, monkeypatch):
         assert sum(s["last"] - s["first"] for s in r["spans"]) == r["n_removed"]
 
 
+def test_batches_are_named_in_pieces_that_fit_the_cache():
+    texts = [prose(i, 400) for i in range(400)]
+    docs = pa.table({"batch": pa.array([0] * 400), "id": pa.array(range(400)), "text": pa.array(texts)})
+    sizes = [len(piece.data) for _, _, piece in suffix.Batch(docs, None).pieces()]
+    assert sum(sizes) == sum(len(t.encode()) for t in texts) > 2 * suffix.CACHED_BYTES >= 2 * max(sizes)
+
+
+def test_mixing_in_blocks_changes_no_name():
+    for size in (0, 5, 1 << 14, (1 << 14) + 1, 50_000):
+        names = np.random.default_rng(size).integers(0, 1 << 63, size).astype(np.uint64)
+        before, mixed = names.copy(), mix(names)
+        assert np.array_equal(names, before)
+        assert mixed.tolist() == [x for at in range(0, size, 97) for x in mix(names[at : at + 97]).tolist()]
+        assert np.array_equal(mixed, mix(names.reshape(1, -1))[0])
+
+
 def contamination_by_force(docs, items):
     def words(text):
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold(text))
