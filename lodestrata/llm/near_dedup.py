@@ -14,8 +14,12 @@ drawn by hash, of a bucket that still holds another class, and all members of sm
 verified by their exact weighted Jaccard similarity, and links of 0.8 or more make classes. What then shares a larger bucket with
 another class (texts with a common template, say) is worked off by an exact join, without samples: with its shingles ordered
 from rare to frequent, each text is looked up under its first ones only, as many as two texts of 0.8 cannot both do without.
-Where many texts stand under one of those, classes are merged first: the texts get bands of more samples, which pairs above 0.8
-share far more often than others, and are verified with one leader of each. The join then makes the pairs still apart.
+Where many texts stand under one of those, they are one family with a pivot, the text most like all of them. What a text has more
+and less than the pivot is compared first, and links to the pivot are followed; two texts of a family that are still apart reach
+0.8 only if they share much of these differences. So they meet in a join under their rare differences, and no more under the
+shingles that all of the family have; the join by shingles is left with pairs across families. Before both, classes are merged:
+the texts get bands of more samples, which pairs above 0.8 share far more often than others, and are verified with one leader of
+each. The joins then make the pairs still apart; any choice of pivots gives the same links.
 
 A document without words is like no other and is its own class, as is, with a null class, a row with a null id. Rows that
 repeat an id are one document, with the smaller of its texts by hash; `one_of_each` tells such rows apart by their texts. Equal
@@ -52,8 +56,10 @@ SHARP_ROWS = (16, 14, 12, 10)
 SHARP_BANDS = 16
 # The table that orders shingles for the exact join; it decides how many pairs are looked at, never which are found.
 ORDER_BITS = 18
-# What rounding may take of a similarity.
-ROUNDING = 1e-5
+# What rounding may take of a similarity: of one that is looked for, and of a link.
+ROUNDING, LINK_ROUNDING = 1e-5, 1e-6
+# Samples that a text and the pivot of its family have in common, at least; so their sizes are alike, too.
+FAMILY_AGREEMENT = 0.3
 
 
 class Draws:
@@ -232,23 +238,27 @@ def _rows_of(ids: DataFrame, rows: DataFrame) -> DataFrame:
     return few.join(ids, "id", "left_semi")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, weights, similarity: float) -> DataFrame:
-    """The pairs (a, b) of at least this weighted Jaccard similarity. Only documents in a pair are made vectors."""
+def _paired(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the shingles of both. Only documents in a pair are made vectors."""
     involved = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
     vectors = _rows_of(involved, rows).mapInArrow(lean(_vectors), "id long, names binary, repeats binary")
     left = vectors.select(F.col("id").alias("a"), F.col("names").alias("na"), F.col("repeats").alias("ra"))
     right = vectors.select(F.col("id").alias("b"), F.col("names").alias("nb"), F.col("repeats").alias("rb"))
-    joined = pairs.select("a", "b").join(right, "b").join(left, "a")
+    return pairs.select("a", "b").join(right, "b").join(left, "a")
+
+
+def verified(pairs: DataFrame, rows: DataFrame, weights, similarity: float) -> DataFrame:
+    """The pairs (a, b) of at least this weighted Jaccard similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for na, ra, nb, rb in zip(*[batch.column(c) for c in ("na", "ra", "nb", "rb")], strict=True):
                 one, other = (_vector(n.as_py(), r.as_py(), weights.value) for n, r in ((na, ra), (nb, rb)))
-                keep.append(weighted_jaccard(one, other) >= similarity - 1e-6)
+                keep.append(weighted_jaccard(one, other) >= similarity - LINK_ROUNDING)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(lean(check), "a long, b long")
+    return _paired(pairs, rows).mapInArrow(lean(check), "a long, b long")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -290,14 +300,14 @@ def _order_bucket(names: np.ndarray) -> np.ndarray:
     return (names >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
 
 
-def _shingle_order(rows: DataFrame) -> np.ndarray:
-    """How many of the texts have a shingle of each bucket, in a fixed number of buckets."""
+def _order(rows: DataFrame, names_of) -> np.ndarray:
+    """How many of the rows have a name of each bucket, in a fixed number of buckets; `names_of` gives a batch's, in parts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << ORDER_BITS, np.int64)
         for batch in batches:
-            for _, _, piece in pieces(column_texts(batch.column(1))):
-                np.add.at(total, _order_bucket(Shingled(piece).names), 1)
+            for names in names_of(batch):
+                np.add.at(total, _order_bucket(names), 1)
         used = np.flatnonzero(total)
         for at in range(0, len(used), 1 << 16):
             own = used[at : at + (1 << 16)]
@@ -310,6 +320,10 @@ def _shingle_order(rows: DataFrame) -> np.ndarray:
     return table
 
 
+def _shingle_order(rows: DataFrame) -> np.ndarray:
+    return _order(rows, lambda batch: (Shingled(piece).names for _, _, piece in pieces(column_texts(batch.column(1)))))
+
+
 def first_shingles(found: Shingled, weights: Weights, order: np.ndarray, similarity: float):
     """(text, name, total, left) of the shingles under which a text is looked up, rare ones first.
 
@@ -345,6 +359,146 @@ def _entries(unsettled: DataFrame, rows: DataFrame, weights, similarity: float)
     return entries, own
 
 
+def _families(entries: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(node, pivot) of nodes that stand under crowded shingles together: the pivot, left out, is the one most like all of them.
+
+    Nodes are tied to one leader of each crowded shingle where some of their samples agree. Of what hangs together the most
+    frequent samples are counted, and the node with most of these is the pivot of all that are like it.
+    """
+    leaders = entries.groupBy("name").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("node").alias("order"), "node"))["node"].alias("leader"))
+    leaders = leaders.where(F.col("size") > SMALL).select(F.struct("name").alias("key"), "leader")
+    tied = entries.select("node", F.struct("name").alias("key")).join(leaders, "key").where("node <> leader").select("node", "leader").distinct()
+
+    def alike(pairs: DataFrame, end: str) -> DataFrame:
+        ends = [crowded.select(F.col("node").alias(c), F.col("signature").alias(f"s{c}")) for c in ("node", end)]
+        # As structs, so that what leads very many nodes is a key that Spark may split.
+        ends[1] = ends[1].select(F.struct(end).alias("key"), f"s{end}")
+        both = pairs.join(ends[0], "node").withColumn("key", F.struct(end)).join(ends[1], "key")
+        return both.where(agreement(F.col("snode"), F.col(f"s{end}")) >= FAMILY_AGREEMENT).select("node", end)
+
+    links = stored(alike(tied, "leader").select(F.col("node").alias("a"), F.col("leader").alias("b")), "tied")
+    tied = components(links)
+    members = stored(crowded.join(tied, "node").select("node", "signature", F.col("label").alias("family")), "families")
+    votes = members.select("family", F.posexplode("signature").alias("at", "value")).groupBy("family", "at", "value").agg(F.count("*").alias("n"))
+    votes = votes.groupBy("family", "at").agg(F.max(F.struct("n", "value"))["value"].alias("value"))
+    usual = votes.groupBy("family").agg(F.array_sort(F.collect_list(F.struct("at", "value")))["value"].alias("usual"))
+    keyed = members.withColumn("key", F.struct("family"))
+    scored = keyed.join(usual.select(F.struct("family").alias("key"), "usual"), "key")
+    scored = scored.select("family", "node", agreement(F.col("signature"), F.col("usual")).alias("score"))
+    pivots = scored.groupBy("family").agg(F.min(F.struct((-F.col("score")).alias("order"), "node"))["node"].alias("pivot"))
+    led = keyed.join(pivots.select(F.struct("family").alias("key"), "pivot"), "key").where("node <> pivot").select("node", "pivot").distinct()
+    found = stored(alike(led, "pivot").distinct(), "pivots")
+    discard(links, tied, members)
+    return found
+
+
+def difference(one: tuple[np.ndarray, np.ndarray], pivot: tuple[np.ndarray, np.ndarray], pivot_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(name, weight) of what a vector has more and less than the pivot's: names tell pivots, and more from less, apart."""
+    names = np.union1d(one[0], pivot[0])
+    change = np.zeros(len(names))
+    change[np.searchsorted(names, one[0])] = one[1]
+    change[np.searchsorted(names, pivot[0])] -= pivot[1]
+    used = np.flatnonzero(change)
+    sign = (change[used] > 0).astype(np.uint64)
+    within = pair_names(np.full(len(used), pivot_id, np.int64).view(np.uint64), sign)
+    return pair_names(names[used], within), np.abs(change[used])
+
+
+DIFFERENCE = "node long, pivot long, size double, base double, apart double, names binary, weights binary"
+
+
+def _differences(families: DataFrame, rows: DataFrame, weights) -> DataFrame:
+    """Of each node but the pivots, how it differs from its pivot: its weight, the pivot's, the sum of differences, and these."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [[] for _ in range(5)]
+            for pivot_id, na, ra, nb, rb in zip(*[batch.column(c) for c in ("b", "na", "ra", "nb", "rb")], strict=True):
+                one, pivot = (_vector(n.as_py(), r.as_py(), weights.value) for n, r in ((na, ra), (nb, rb)))
+                names, change = difference(one, pivot, pivot_id.as_py())
+                row = (one[1].sum(dtype=np.float64), pivot[1].sum(dtype=np.float64), change.sum(), names.tobytes(), change.tobytes())
+                for column, value in zip(columns, row, strict=True):
+                    column.append(value)
+            kinds = [pa.float64()] * 3 + [pa.binary()] * 2
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            names = ["node", "pivot", "size", "base", "apart", "names", "weights"]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays], names=names)
+
+    pairs = families.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    return stored(_paired(pairs, rows).mapInArrow(lean(compare), DIFFERENCE), "differences")
+
+
+def _linked(similarity: float) -> Column:
+    """Whether a node has at least this weighted Jaccard similarity to its pivot."""
+    return F.col("apart") <= _apart(similarity) * (F.col("size") + F.col("base"))
+
+
+def _apart(similarity: float) -> float:
+    """How far apart texts may be, as a share of both weights."""
+    return (1 - similarity) / (1 + similarity)
+
+
+def _pivot_links(differences: DataFrame, similarity: float) -> DataFrame:
+    near = differences.where(_linked(similarity - LINK_ROUNDING))
+    return near.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+
+
+def _pivots(differences: DataFrame, similarity: float) -> DataFrame:
+    """(node, pivot) of the pivots themselves, and of nodes with differences, less those that rounding could make a link."""
+    sure = _linked(similarity - LINK_ROUNDING) | ~_linked(similarity - ROUNDING)
+    found = differences.groupBy("node").agg(F.min("pivot").alias("pivot"), F.bool_and(sure).alias("sure")).where("sure").drop("sure")
+    return found.unionByName(found.select(F.col("pivot").alias("node"), "pivot").distinct())
+
+
+def _difference_entries(differences: DataFrame, similarity: float) -> DataFrame:
+    """(node, name, far, need, left, first, second) of the differences under which a node is looked up, rare ones first.
+
+    Texts x and y of one pivot are as far apart as their differences from it, |dx| + |dy| less twice what these share. With
+    r = (1 - s) / (1 + s) they reach the similarity s if that is at most r (|x| + |y|), so if the differences share
+    need(x) + need(y), where need(x) = (|dx| - r |x|) / 2. Nodes that are links of the pivot are one class, so of a pair one
+    node, the `first`, is far from the pivot, and its need at least r |p| / 2 and that of a far `second`.
+    """
+    least = similarity - ROUNDING
+    r = _apart(least)
+    unpack = lambda batch, column, kind: np.frombuffer(b"".join(batch.column(column).to_pylist()), kind)
+    order = differences.sparkSession.sparkContext.broadcast(_order(differences, lambda batch: [unpack(batch, "names", np.uint64)]))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, weight = unpack(batch, "names", np.uint64), unpack(batch, "weights", np.float64)
+            size, base, apart = (batch.column(c).to_numpy() for c in ("size", "base", "apart"))
+            counts = np.array([len(x) // 8 for x in batch.column("names").to_pylist()], np.int64)
+            owner = np.repeat(np.arange(len(counts)), counts)
+            by_rarity = np.lexsort((names, order.value[_order_bucket(names)], owner))
+            names, weight = names[by_rarity], weight[by_rarity]
+            starts = np.cumsum(counts) - counts
+            sums = np.concatenate(([0.0], np.cumsum(weight)))
+            left = apart[owner] - (sums[:-1] - sums[starts[owner]])
+            need, far = (apart - r * size) / 2, apart > r * (size + base)
+            # What any other node needs at least: it weighs size / s at most, and its need is no less than the pivot's.
+            least_first = np.maximum(apart - size * (1 - least) / least, need - r * base / 2)
+            least_second = need + np.maximum(need, r * base / 2)
+            first = far[owner] & (left >= least_first[owner])
+            second = left >= least_second[owner]
+            keep = first | second
+            ids = batch.column("node").take(pa.array(owner[keep]))
+            columns = [ids, *(pa.array(c[keep]) for c in (names.view(np.int64), far[owner], need[owner], left, first, second))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "name", "far", "need", "left", "first", "second"])
+
+    schema = "node long, name long, far boolean, need double, left double, first boolean, second boolean"
+    entries = stored(differences.mapInArrow(lean(look_up), schema), "first_differences")
+    order.destroy()
+    return entries
+
+
+def _family_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs of nodes of two classes with one pivot, among them all that reach the similarity; entries have labels."""
+    one, other = entries.where("first").alias("one"), entries.where("second").alias("other")
+    further = "(NOT other.far OR one.need > other.need OR one.need = other.need AND one.node > other.node)"
+    fits = f"one.name = other.name AND {further} AND one.label <> other.label AND least(one.left, other.left) >= one.need + other.need"
+    return _by_nodes(one.join(other, F.expr(fits)), "one.need + other.need")
+
+
 def _crowded(entries: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, signature) of the nodes that stand under a shingle with more than `SMALL` of them."""
     sizes = entries.groupBy("name").agg(F.count("*").alias("size")).where(F.col("size") > SMALL)
@@ -368,24 +522,37 @@ def _sharp(crowded: DataFrame, labels: DataFrame | None, round_number: int) -> D
     return joined.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
+def _by_nodes(pairs: DataFrame, needed: str) -> DataFrame:
+    """Distinct pairs, with the labels and by how much the pair may reach the similarity."""
+    a, b = [F.struct(F.col(f"{side}.node").alias("node"), F.col(f"{side}.label").alias("label")) for side in ("one", "other")]
+    margin = F.least("one.left", "other.left") - F.expr(needed)
+    pairs = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), margin.alias("margin"))
+    pairs = pairs.groupBy("a", "b").agg(F.max("margin").alias("margin"))
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.label").alias("la"), F.col("b.label").alias("lb"), "margin")
+
+
 def _exact_pairs(entries: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs of nodes of two classes, among them all of at least this weighted Jaccard similarity.
 
     Pairs meet under a shared shingle, in a join whose large keys Spark may split. Only those are rows of it whose
     weights from there on could still reach the similarity: sharing c of the weights x and y needs c / (x + y - c).
+    Nodes of the same pivot do not meet here.
     """
     least = similarity - ROUNDING
     # Of two texts the lighter one has its first common shingle while yet more of it is left. So it is looked up under fewer.
     lighter = entries.where(f"left >= {2 * least / (1 + least)!r} * total")
+    # It meets each other family that stands there, and the nodes without one (null).
+    families = entries.groupBy("name").agg(F.collect_set("pivot").alias("pivots"), F.bool_or(F.isnull("pivot")).alias("lone"))
+    families = families.where("lone OR size(pivots) > 1").select(F.struct("name").alias("key"), "pivots", "lone")
+    targets = F.filter("pivots", lambda x: ~x.eqNullSafe(F.col("pivot")))
+    targets = F.when(F.col("lone"), F.array_append(targets, F.lit(None).cast("long"))).otherwise(targets)
+    lighter = lighter.withColumn("key", F.struct("name")).join(families, "key")
+    lighter = lighter.select("node", "name", "total", "left", "label", F.explode(targets).alias("target"))
     one, other = entries.alias("one"), lighter.alias("other")
     needed = f"{least / (1 + least)!r} * (one.total + other.total)"
     heavier = "(one.total > other.total OR one.total = other.total AND one.node > other.node)"
-    fits = f"one.name = other.name AND {heavier} AND one.label <> other.label AND least(one.left, other.left) >= {needed}"
-    pairs = one.join(other, F.expr(fits))
-    a, b = [F.struct(F.col(f"{side}.node").alias("node"), F.col(f"{side}.label").alias("label")) for side in ("one", "other")]
-    pairs = pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.least("one.left", "other.left").alias("left"))
-    pairs = pairs.groupBy("a", "b").agg(F.max("left").alias("left")).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.label").alias("la"), F.col("b.label").alias("lb"), "left")
-    return stored(pairs, "pairs")
+    fits = f"one.name = other.name AND one.pivot <=> other.target AND {heavier} AND one.label <> other.label AND least(one.left, other.left) >= {needed}"
+    return _by_nodes(one.join(other, F.expr(fits)), needed)
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -437,15 +604,18 @@ def near_classes(
     members = _members(nodes)
     labels = None
 
+    def merge(links: DataFrame) -> None:
+        """Merge the classes of links."""
+        nonlocal labels
+        if not links.isEmpty():
+            labels, past = _merged_labels(links, labels), labels
+            discard(*([past] if past is not None else []))
+        discard(links)
+
     def settle(pairs: DataFrame) -> None:
         """Verify pairs and merge the classes of those that are links."""
-        nonlocal labels
         if not pairs.isEmpty():
-            found = stored(verified(pairs, rows, weights, similarity), "links")
-            if not found.isEmpty():
-                labels, past = _merged_labels(found, labels), labels
-                discard(*([past] if past is not None else []))
-            discard(found)
+            merge(stored(verified(pairs, rows, weights, similarity), "links"))
         discard(pairs)
 
     settle(stored(_likely(_led(_labelled(members, labels), 0), nodes), "likely"))
@@ -456,18 +626,29 @@ def near_classes(
     if not unsettled.isEmpty():
         entries, own = _entries(unsettled, rows, weights, similarity)
         crowded = _crowded(entries, nodes)
-        for number in range(len(SHARP_ROWS)):
-            settle(stored(_likely(_sharp(crowded, labels, number), nodes), "likely"))
-        pairs = _exact_pairs(entries.join(_labelled(unsettled, labels), "node"), similarity)
+        if crowded.isEmpty():
+            labelled = stored(_labelled(unsettled, labels).withColumn("pivot", F.lit(None).cast("long")), "labelled")
+            pairs = stored(_exact_pairs(entries.join(labelled, "node"), similarity), "pairs")
+        else:
+            families = _families(entries, crowded)
+            differences = _differences(families, own, weights)
+            merge(stored(_pivot_links(differences, similarity), "links"))
+            for number in range(len(SHARP_ROWS)):
+                settle(stored(_likely(_sharp(crowded, labels, number), nodes), "likely"))
+            within = _difference_entries(differences, similarity)
+            labelled = stored(_labelled(unsettled, labels).join(_pivots(differences, similarity), "node", "left"), "labelled")
+            pairs = _exact_pairs(entries.join(labelled, "node"), similarity)
+            pairs = stored(pairs.unionByName(_family_pairs(within.join(labelled, "node"))), "pairs")
+            discard(families, differences, within)
         # Of two classes the likeliest pair first; all other pairs of what is then still apart.
         best = pairs.groupBy(F.least("la", "lb").alias("low"), F.greatest("la", "lb").alias("high"))
-        best = best.agg(F.max(F.struct("left", "a", "b")).alias("best"))
+        best = best.agg(F.max(F.struct("margin", "a", "b")).alias("best"))
         settle(stored(best.select("best.a", "best.b"), "likely"))
         ends = [_labelled(pairs.select(F.col(end).alias("node")).distinct(), labels) for end in ("a", "b")]
         ends = [e.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")) for e, end in zip(ends, ("a", "b"), strict=True)]
         rest = pairs.select("a", "b").join(ends[0], "a").join(ends[1], "b").where("la <> lb").select("a", "b")
         settle(stored(rest, "rest"))
-        discard(pairs, own, entries, crowded)
+        discard(pairs, own, entries, crowded, labelled)
     discard(members, left, unsettled)
     # All that used them is written.
     weights.destroy()

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("lodestrata.llm")
 
@@ -250,6 +251,43 @@ def test_sharp_bands_pair_a_family_with_leaders(spark):
     assert near_dedup._sharp(nodes, one_class, 1).count() == 0
 
 
+def test_a_family_meets_under_its_differences(spark):
+    """Texts around one base lose no link, and few of their pairs are made though nearly all share rare shingles."""
+    ship(spark)
+    pick = random.Random(17)
+    word = lambda: f"v{pick.randrange(10**9)}x"
+    base = [word() for _ in range(300)]
+
+    def edited(words, n):
+        return [word() if k in at else w for at in [set(pick.sample(range(len(words)), n))] for k, w in enumerate(words)]
+
+    texts = [base, *(edited(base, pick.randrange(5, 10)) for _ in range(150))]
+    texts += [edited(w, 2) for w in texts[-20:]]
+    texts += [f"{' '.join(base[:60])} {' '.join(word() for _ in range(200))}".split() for _ in range(12)]
+    rows = [(i * 7, " ".join(w)) for i, w in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    frequencies = near_dedup.document_frequencies(docs)
+    weights, draws = spark.sparkContext.broadcast(frequencies), near_dedup.Draws()
+    nodes = docs.mapInArrow(lambda b: near_dedup._sketch(b, weights.value, draws), near_dedup.SKETCH).withColumnRenamed("id", "node")
+    entries, own = near_dedup._entries(nodes.select("node"), docs, weights, 0.8)
+    differences = near_dedup._differences(near_dedup._families(entries, near_dedup._crowded(entries, nodes)), own, weights)
+    assert [r["pivot"] for r in differences.select("pivot").distinct().collect()] == [0]
+    star = {r["a"] + r["b"] for r in near_dedup._pivot_links(differences, 0.8).collect()} | {0}
+    linked = linked_by_force(rows, frequencies)
+    assert star == {a for a, b in linked if b == 0} | {0} and 20 < len(star) < 150
+    label = nodes.select("node", F.when(F.col("node").isin(*star), F.lit(0)).otherwise(F.col("node")).alias("label"))
+    label = label.join(near_dedup._pivots(differences, 0.8), "node", "left")
+    made = near_dedup._exact_pairs(entries.join(label, "node"), 0.8)
+    made = made.unionByName(near_dedup._family_pairs(near_dedup._difference_entries(differences, 0.8).join(label, "node")))
+    made = {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in made.collect()}
+    apart = {(a, b) for a, b in linked if not {a, b} <= star}
+    assert len(apart) > 5 and apart <= made
+    # Without families, and without the links to the pivot, the join by shingles makes most pairs of the 150.
+    alone = nodes.select("node", F.col("node").alias("label"), F.lit(None).cast("long").alias("pivot"))
+    plain = {(max(r["a"], r["b"]), min(r["a"], r["b"])) for r in near_dedup._exact_pairs(entries.join(alone, "node"), 0.8).collect()}
+    assert linked <= plain and len(made) < len(plain) / 20
+
+
 def test_weights_do_not_change_with_the_size_of_the_corpus():
     """The same shares of documents give the same weights, however many documents and however full the buckets are."""
     pick = np.random.default_rng(2)
