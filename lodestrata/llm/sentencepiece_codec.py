@@ -6,13 +6,15 @@ survivors meet at one boundary; what follows it is carried into the next window.
 may begin at, so there are never more of them than the longest piece has bytes. Two ways find where they meet:
 
 - A position that no piece of the vocabulary spans is passed by every path. Segments between such positions are short in
-  most texts and are searched side by side in numpy.
+  most texts and are searched side by side in numpy. Pieces are found there by a trie, from all positions at once: at each
+  byte only the positions go on whose bytes still begin a piece.
 - Elsewhere (one letter repeated, encoded data) the search goes byte by byte in steps. It keeps the scores of the survivors
   alone, and for each step the survivors of the step before that still have a descendant; where one is left, all paths meet.
   Where they never meet, as in a text of one letter, six bytes are kept for each byte until the text ends.
 
 Where no piece has a meta sign after another character, paths also meet before every blank that follows another
 character: the parts between, words mostly, are searched once per task and looked up after that, within a bound on bytes.
+Arrow tells the distinct parts of a batch, so that Python handles each of them once, not each time it occurs.
 
 Bytes that no piece covers become byte pieces, a meta sign that stands in the text itself among them, so decoding gives
 back every text exactly. Scores of a unigram model are used as they are; a BPE model has ranks instead, which Zipf's law
@@ -35,7 +37,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .frames import lean, ship, with_field
-from .text import NameSet, Texts, gram_names, prefix_sums
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁".encode()
@@ -68,10 +69,8 @@ class Vocabulary:
         """Kinds are "piece", "byte" (given as the byte itself) or "other" (decoded as nothing)."""
         self.pieces = [p.replace(META, b" ") if k == "piece" else p if k == "byte" else b"" for p, k in zip(pieces, kinds, strict=True)]
         self.is_byte = np.array([k == "byte" for k in kinds], bool)
-        # All pieces one after the other, for decoding many ids at once.
-        self.data = np.frombuffer(b"".join(self.pieces), np.uint8)
-        self.sizes = np.array([len(p) for p in self.pieces], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        # For decoding many ids at once.
+        self.table = pa.array(self.pieces, pa.large_binary())
         self.byte_ids = np.full(256, -1)
         for i, (piece, kind) in enumerate(zip(pieces, kinds, strict=True)):
             if kind == "byte":
@@ -82,14 +81,78 @@ class Vocabulary:
         scores = [_on_grid(score) for score in scores]
         self.by_length = {}
         for length in sorted({len(pieces[i]) for i in normal}):
-            own = np.array([i for i in normal if len(pieces[i]) == length])
-            data = np.frombuffer(b"".join(pieces[i] for i in own), np.uint8)
-            names = np.array([gram_names(prefix_sums(data[k : k + length]), length)[0] for k in range(0, len(data), length)])
-            order = np.argsort(names)
-            self.by_length[length] = (NameSet(names, 16), own[order], np.array([scores[i] for i in own[order]]))
+            own = [i for i in normal if len(pieces[i]) == length]
+            self.by_length[length] = ([pieces[i] for i in own], np.array(own), np.array([scores[i] for i in own]))
         self.longest = max(self.by_length, default=1)
         self.byte_score = min((scores[i] for i in normal), default=0.0) - BYTE_COST
         self.splits = not any(re.search(b"[^ ] ", self.pieces[i].rstrip(b" ") + b" ") and b" " in self.pieces[i].lstrip(b" ") for i in normal)
+        self.trie = Trie(self)
+
+
+class Trie:
+    """The pieces as a double array: the child of a node for a byte is `base[node] + byte`, if `parent` has the node there.
+
+    Nodes below 256 are the bytes themselves, as pieces of one byte or else byte pieces; nodes of two bytes are in `pairs`.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        known = {p: (i, s) for own in vocabulary.by_length.values() for p, i, s in zip(*own, strict=True)}
+        children: dict[bytes, set[int]] = {}
+        for piece in known:
+            for k in range(2, len(piece)):
+                children.setdefault(piece[:k], set()).add(piece[k])
+        nodes = {bytes([b]): b for b in range(256)}
+        free, begin, base = bytearray(b"\0" * 256), {}, {}
+        # The largest families first, each at the first place where all of its bytes are free.
+        for prefix, family in sorted(children.items(), key=lambda c: -len(c[1])):
+            last, *rest = sorted(family, reverse=True)
+            at = begin.get(len(family), 0)
+            while True:
+                free += b"\1" * (at + 512 - len(free))
+                at = free.index(1, at)
+                if at >= last and all(at - last + b >= 256 and free[at - last + b] for b in rest):
+                    break
+                at += 1
+            begin[len(family)] = at
+            base[prefix] = at - last
+            for b in family:
+                free[at - last + b] = 0
+                nodes[prefix + bytes([b])] = at - last + b
+        pairs = {p[:2] for p in known if len(p) > 1}
+        nodes |= {p: i for i, p in enumerate(pairs, start=len(free))}
+        size = len(free) + len(pairs) + 256
+        self.base, self.parent = np.zeros(size, np.int32), np.full(size, -1, np.int32)
+        self.pairs = np.zeros(1 << 16, np.int32)
+        self.ids, self.scores = np.full(size, -1), np.full(size, -np.inf)
+        self.lengths, self.is_piece = np.zeros(size, np.int32), np.zeros(size, bool)
+        self.ids[:256], self.scores[:256], self.lengths[:256] = vocabulary.byte_ids, vocabulary.byte_score, 1
+        for prefix, place in base.items():
+            self.base[nodes[prefix]] = place
+            for b in children[prefix]:
+                self.parent[place + b] = nodes[prefix]
+        for p in pairs:
+            self.pairs[p[0] << 8 | p[1]] = nodes[p]
+        for p, (i, score) in known.items():
+            node = nodes[p]
+            self.ids[node], self.scores[node], self.lengths[node], self.is_piece[node] = i, score, len(p), True
+
+    def find(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece in the data starts, and its node; shorter ones first, byte pieces included."""
+        n = len(data)
+        starts, nodes = [np.arange(n, dtype=np.int32)], [data.astype(np.int32)]
+        node = self.pairs[(nodes[0][:-1] << 8) | nodes[0][1:]]
+        at = np.flatnonzero(node).astype(np.int32)
+        node, size = node[at], 2
+        while len(at):
+            own = np.flatnonzero(self.is_piece[node])
+            starts.append(at[own])
+            nodes.append(node[own])
+            inside = int(np.searchsorted(at, np.int32(n - size)))
+            at, node = at[:inside], node[:inside]
+            child = self.base[node] + data[at + size]
+            own = np.flatnonzero(self.parent[child] == node)
+            at, node, size = at[own], child[own], size + 1
+        return np.concatenate(starts), np.concatenate(nodes)
 
 
 def load(path: str = DEFAULT_MODEL) -> Vocabulary:
@@ -117,57 +180,46 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
 
 def _matches(data: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, id, score) of every piece in the data, byte pieces included."""
-    n = len(data)
-    sums = prefix_sums(data)
-    at = np.arange(n)
-    parts = [(at, at + 1, vocabulary.byte_ids[data], np.full(n, vocabulary.byte_score))]
-    for length, (names, ids, scores) in vocabulary.by_length.items():
-        if length <= n:
-            start, which = names.find(gram_names(sums, length))
-            parts.append((start, start + length, ids[which], scores[which]))
-    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+    trie = vocabulary.trie
+    start, node = trie.find(data)
+    return start, start + trie.lengths[node], trie.ids[node], trie.scores[node]
 
 
 def _meeting_points(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Positions 0..n that no match spans: all paths go through them."""
-    inside = np.zeros(n + 2, np.int64)
-    np.add.at(inside, starts + 1, 1)
-    np.add.at(inside, ends, -1)
-    return np.flatnonzero(np.cumsum(inside)[: n + 1] == 0)
+    """Positions 0..n that no match spans: all paths go through them. Of matches with one start the longest is the last."""
+    reach = np.zeros(n + 1, np.int32)
+    reach[starts + 1] = ends
+    return np.flatnonzero(np.maximum.accumulate(reach) <= np.arange(n + 1))
 
 
-def _best_path(n: int, points: np.ndarray, matches) -> tuple[np.ndarray, np.ndarray]:
+def _best_path(points: np.ndarray, start: np.ndarray, node: np.ndarray, trie: Trie) -> tuple[np.ndarray, np.ndarray]:
     """End positions and ids of the best path from the first to the last meeting point, in order."""
-    start, end, ids, score = matches
-    origin = points[np.searchsorted(points, end, "left") - 1]
-    depth = end - origin
-    order = np.lexsort((start, end, depth))
-    start, end, ids, score, depth = (a[order] for a in (start, end, ids, score, depth))
-    best, back = np.zeros(n + 1), np.full(n + 1, -1)
-    bounds = np.flatnonzero(np.concatenate(([True], depth[1:] != depth[:-1], [True]))) if len(depth) else [0]
-    first = np.concatenate(([True], end[1:] != end[:-1])) if len(end) else np.zeros(0, bool)
-    root = np.zeros(n + 1, bool)
-    root[points] = True
+    n = int(points[-1])
+    inside = np.flatnonzero(start < n)
+    start, node = start[inside], node[inside]
+    # Positions equally deep in their segments are worked off together: no two pieces from them have the same end.
+    depth = (np.arange(n) - np.repeat(points[:-1], np.diff(points))).astype(np.uint16)[start]
+    order = np.argsort(depth, kind="stable")
+    start, node = start[order], node[order]
+    end, score = start + trie.lengths[node], trie.scores[node]
+    bounds = np.concatenate(([0], np.cumsum(np.bincount(depth)))).tolist()
+    best, back = np.full(n + 1, -np.inf), np.zeros(n + 1, np.int32)
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        value = np.where(root[start[a:b]], 0.0, best[start[a:b]]) + score[a:b]
-        groups = np.flatnonzero(first[a:b] | (np.arange(b - a) == 0))
-        top = np.maximum.reduceat(value, groups)
-        sizes = np.diff(np.append(groups, b - a))
-        # Ordered by start: the first of equal values is the longest piece.
-        hit = np.flatnonzero(value == np.repeat(top, sizes))
-        hit = hit[np.concatenate(([True], np.diff(np.repeat(np.arange(len(groups)), sizes)[hit]) > 0))]
-        best[end[a:b][groups]] = top
-        back[end[a:b][groups]] = hit + a
-    on_path = np.zeros(n + 1, bool)
+        value = best[start[a:b]] + score[a:b] if a else score[:b]
+        # From the front on, a later piece has to be better: of equal values the longest piece stays.
+        own = np.flatnonzero(value > best[end[a:b]])
+        to = end[a:b][own]
+        best[to] = value[own]
+        back[to] = node[a:b][own]
+    root, on_path = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    root[points] = True
     at = points[1:]
-    on_path[at] = True
-    at = at[back[at] >= 0]
     while len(at):
-        at = start[back[at]]
-        at = at[~root[at]]
         on_path[at] = True
+        at = at - trie.lengths[back[at]]
+        at = at[~root[at]]
     ends = np.flatnonzero(on_path)
-    return ends, ids[back[ends]]
+    return ends, trie.ids[back[ends]]
 
 
 def _steps(data: np.ndarray, at: int, vocabulary: Vocabulary, window: int, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,8 +287,8 @@ def stream(
     ends, ids, at, window = [], [], 0, max(window, 2 * vocabulary.longest)
     while at < len(data):
         part = data[at : at + window]
-        matches = _matches(part, vocabulary)
-        points = _meeting_points(len(part), matches[0], matches[1])
+        start, node = vocabulary.trie.find(part)
+        points = _meeting_points(len(part), start, start + vocabulary.trie.lengths[node])
         if at + window < len(data):
             # A piece that begins here may end beyond the window: only what no such piece can span is settled.
             points = points[points <= len(part) - vocabulary.longest + 1]
@@ -245,8 +297,7 @@ def stream(
             found, own = _steps(data, at, vocabulary, window, step)
             at = int(found[-1])
         else:
-            keep = matches[1] <= points[-1]
-            found, own = _best_path(len(part), points, tuple(m[keep] for m in matches))
+            found, own = _best_path(points, start, node, vocabulary.trie)
             found = found + at
             at += int(points[-1])
         ends.append(found)
@@ -255,7 +306,20 @@ def stream(
     return np.concatenate([none, *ends]), np.concatenate([none, *ids])
 
 
-PARTS = re.compile(b" *[^ ]+| +")
+def _parts(texts: list[bytes], splits: bool) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The parts of all texts, and the offsets of each text's own: blanks with the other characters that follow, and the
+    blanks at the end of a text; without `splits`, whole texts."""
+    joint = b"".join(texts)
+    data = np.frombuffer(joint, np.uint8)
+    bounds = np.cumsum([0, *map(len, texts)])
+    first = np.zeros(len(data) + 1, bool)
+    if splits:
+        blank = data == ord(" ")
+        np.greater(blank[1:], blank[:-1], out=first[1:-1])
+    first[bounds] = True
+    starts = np.flatnonzero(first)
+    parts = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(joint)])
+    return parts.dictionary_encode(), np.searchsorted(starts, bounds)
 
 
 class Encoder:
@@ -277,9 +341,8 @@ class Encoder:
         solved = [stream(np.frombuffer(p.replace(b" ", META), np.uint8), self.vocabulary)[1] for p in alone]
         counts = np.searchsorted(ends, np.cumsum(sizes), "right")
         counts = np.concatenate((counts, len(ids) + np.cumsum([len(s) for s in solved], dtype=np.int64)))
-        for i, part in enumerate(joint + alone):
-            self.known[part] = len(self.first) - 1 + i
-            self.held += ENTRY_BYTES + 5 * len(part)
+        self.known.update(zip(joint + alone, range(len(self.first) - 1, len(self.first) - 1 + len(parts)), strict=True))
+        self.held += ENTRY_BYTES * len(parts) + 5 * sum(map(len, parts))
         self.first = np.concatenate((self.first, self.first[-1] + counts))
         self.ids = np.concatenate((self.ids, ids.astype(np.int32), *[s.astype(np.int32) for s in solved]))
 
@@ -288,16 +351,16 @@ class Encoder:
         if self.held > REMEMBERED_BYTES:
             self.__init__(self.vocabulary)
         marked = [b" " + t.replace(META, ESCAPED) if t else t for t in texts]
-        split = [PARTS.findall(m) if self.vocabulary.splits else [m] * bool(m) for m in marked]
-        new = list(dict.fromkeys(p for parts in split for p in parts if p not in self.known))
+        parts, offsets = _parts(marked, self.vocabulary.splits)
+        distinct = parts.dictionary.to_pylist()
+        new = [p for p in distinct if p not in self.known]
         if new:
             self.learn(new)
-        known = self.known
-        which = np.array([known[p] for parts in split for p in parts], np.int64)
+        which = np.array([self.known[p] for p in distinct], np.int64)[parts.indices.to_numpy()]
         sizes = self.first[which + 1] - self.first[which]
         total = np.concatenate(([0], np.cumsum(sizes)))
-        at = np.arange(total[-1]) - np.repeat(total[:-1], sizes) + np.repeat(self.first[which], sizes)
-        return self.ids[at], total[np.concatenate(([0], np.cumsum([len(parts) for parts in split])))]
+        at = np.arange(total[-1]) + np.repeat(self.first[which] - total[:-1], sizes)
+        return self.ids[at], total[offsets]
 
 
 def decode_lists(ids: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> pa.LargeBinaryArray:
@@ -308,9 +371,11 @@ def decode_lists(ids: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -
     known = (ids >= 0) & (ids < len(vocabulary.pieces))
     lists = np.concatenate(([0], np.cumsum(known)))[offsets]
     own = ids[known]
-    sizes = vocabulary.sizes[own]
-    ends = np.concatenate(([0], np.cumsum(sizes)))
-    data = vocabulary.data[np.arange(ends[-1]) + np.repeat(vocabulary.starts[own] - ends[:-1], sizes)]
+    data, ends = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    if len(own):
+        _, places, joint = vocabulary.table.take(pa.array(own)).buffers()
+        ends = np.frombuffer(places, np.int64)[: len(own) + 1]
+        data = np.frombuffer(joint or b"", np.uint8)[: ends[-1]]
     bounds = ends[lists]
     filled = np.flatnonzero(bounds[1:] > bounds[:-1])
     blank = filled[(data[bounds[filled]] == ord(" ")) & ~vocabulary.is_byte[own[lists[filled]]]]

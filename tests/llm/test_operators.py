@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -414,6 +415,55 @@ def test_remembered_parts_are_bounded_by_their_bytes(monkeypatch):
         assert encoder.held < 20_000 + 6_000
 
 
+def test_pieces_are_found_as_one_by_one():
+    pick = random.Random(6)
+    data = "".join(pick.choice("ab\u2581\x00") for _ in range(400)).encode()
+    pieces = sorted({data[at : at + size] for at in range(0, 400, 5) for size in (1, 2, 3, 4, 7, 11)})
+    for own in (pieces, [p for p in pieces if len(p) > 2], []):
+        kinds = ["byte"] * 256 + ["piece"] * len(own)
+        vocabulary = sentencepiece_codec.Vocabulary([*(bytes([b]) for b in range(256)), *own], [-1.0] * len(kinds), kinds)
+        for part in (data, data[:2], data[:1], b"", b"\x00" * 20, b"\xff" * 3):
+            start, end, ids, _ = sentencepiece_codec._matches(np.frombuffer(part, np.uint8), vocabulary)
+            found = sorted(zip(start.tolist(), end.tolist(), ids.tolist(), strict=True))
+            by_force = [(k, k + len(p), 256 + i) for i, p in enumerate(own) for k in range(len(part)) if part.startswith(p, k)]
+            by_force += [(k, k + 1, b) for k, b in enumerate(part) if bytes([b]) not in own]
+            assert found == sorted(by_force)
+
+
+def test_search_costs_what_matches_not_every_length_of_the_vocabulary():
+    texts = np.frombuffer(prose(7, 10_000).encode().replace(b" ", sentencepiece_codec.META), np.uint8)
+
+    def seconds(lengths):
+        pieces = [bytes([b]) for b in range(256)] + [b"\x01" * n for n in lengths]
+        kinds = ["byte"] * 256 + ["piece"] * len(lengths)
+        vocabulary = sentencepiece_codec.Vocabulary(pieces, [-1.0] * len(kinds), kinds)
+        taken = []
+        for _ in range(5):
+            began = time.process_time()
+            sentencepiece_codec.stream(texts, vocabulary)
+            taken.append(time.process_time() - began)
+        return min(taken)
+
+    assert seconds(range(2, 102)) < 5 * seconds([2])
+
+
+def test_a_part_is_looked_up_once_in_a_batch():
+    class Counted(dict):
+        looked_up = 0
+
+        def __getitem__(self, key):
+            Counted.looked_up += 1
+            return super().__getitem__(key)
+
+    vocabulary = sentencepiece_codec.load()
+    encoder, fresh = sentencepiece_codec.Encoder(vocabulary), sentencepiece_codec.Encoder(vocabulary)
+    encoder.known = Counted()
+    texts = [(b"the same words " * n + end) for n in range(50) for end in (b"", b" ", b"  end", b"\xe2\x96\x81")]
+    ids, offsets = encoder.encode(texts)
+    assert Counted.looked_up < 20
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [fresh.encode([t])[0].tolist() for t in texts]
+
+
 def test_texts_that_end_in_blanks_are_the_best_path_each(spark):
     vocabulary = sentencepiece_codec.load()
     texts = ["", "a ", "5 b", "日本 x", "ends in one ", "ends in two  ", "the next", "  two before", "b" + " " * 15, "house of", "c" + " " * 40, " ", "   "]
