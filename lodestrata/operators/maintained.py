@@ -51,9 +51,13 @@ def state(rows: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFr
 
 
 def applied(old: DataFrame, change: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """The state after a change; groups that have lost their last row are gone."""
+    """The state after a change; groups that have lost their last row are gone. Without an old state it is the change."""
     columns = [*keys, *_sums(values)]
-    return _added(old.select(*columns).unionByName(change.select(*columns)), keys, values).where(F.col(ROWS) > 0)
+    added = _added(old.select(*columns).unionByName(change.select(*columns)), keys, values)
+    if old.isEmpty():
+        # A delta has one row per group: nothing is left to add up, and its rows are not shuffled again.
+        added = change.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in added.schema.fields])
+    return added.where(F.col(ROWS) > 0)
 
 
 def total(name: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .skew import is_hot, spread
+from .skew import TASK, is_hot, spread, spread_within
 
 
 def wide_to_long(
@@ -32,18 +32,26 @@ def distinct_long(
     value: str,
     keys: Sequence[str],
     hot: Sequence[int] = (),
+    part: str | None = None,
 ) -> DataFrame:
     """The distinct rows of `wide_to_long`, shuffling the wide rows once instead of all the long ones.
 
     Wide rows are spread by `keys`, a part of `ids`; equal long rows then lie in one partition and are removed there.
     Rows of `hot` keys would overload their partition: they are made long first and spread over all columns.
+
+    With `part`, one of `ids`, the result lies as it is best written by `part`: few parts in a task, few tasks for a part.
     """
-    arguments = (ids, measures, label, value)
+    arguments = (measures, label, value)
     cold = df.where(~is_hot(keys, hot)) if hot else df
-    distinct = wide_to_long(spread(cold, keys), *arguments).distinct()
+    if part is None:
+        distinct = wide_to_long(spread(cold, keys), ids, *arguments).distinct()
+    else:
+        wide = spread_within(cold, F.col(part), keys)
+        distinct = wide_to_long(wide, [*ids, TASK], *arguments).distinct().drop(TASK)
     if not hot:
         return distinct
-    return distinct.unionByName(wide_to_long(df.where(is_hot(keys, hot)), *arguments).distinct())
+    frequent = wide_to_long(df.where(is_hot(keys, hot)), ids, *arguments).distinct()
+    return distinct.unionByName(frequent if part is None else frequent.hint("rebalance", part))
 
 
 def union_distinct(*frames: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,42 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.repartition(tasks, *keys)
 
 
+# The column that says which task a row of `spread_within` goes to, and the rows that are not worth a further task.
+TASK = "spread_task"
+FEWEST_ROWS = 25_000
+
+
+def tasks_of_parts(rows: Mapping[str | None, int], parallelism: int) -> tuple[list[tuple[str | None, int, int]], int]:
+    """Per part its first task and the number of its tasks, and the number of all tasks: small parts that follow each other
+    share a task, a large one has several to itself. A task has half of `ROWS_PER_TASK`, as it sorts what it writes, too."""
+    share = min(max(math.ceil(sum(rows.values()) / parallelism), FEWEST_ROWS), math.ceil(ROWS_PER_TASK / 2))
+    placed, task, held = [], 0, 0
+    for part, n in sorted(rows.items(), key=lambda item: (item[0] is not None, item[0])):
+        if held and held + n > share:
+            task, held = task + 1, 0
+        tasks = max(math.ceil(n / share), 1)
+        placed.append((part, task, tasks))
+        task, held = (task + tasks, 0) if tasks > 1 else (task, held + n)
+    return placed, task + 1 if held or not placed else task
+
+
+def spread_within(df: DataFrame, part: Column, keys: Sequence[str]) -> DataFrame:
+    """`df` spread so that a task has few parts and a bounded number of rows; rows of a part that share `keys` meet in one.
+
+    What is then written by part needs no further shuffle. `TASK`, a column that depends on the part and the keys alone, goes
+    with the rows: a grouping by it and more columns is done where they lie. The parts are collected with their counts.
+    """
+    spark, kind = df.sparkSession, T.StringType()
+    counts = {r["part"]: r["count"] for r in df.groupBy(part.cast(kind).alias("part")).count().collect()}
+    placed, tasks = tasks_of_parts(counts, spark.sparkContext.defaultParallelism)
+    schema = "spread_part string, spread_first int, spread_tasks int"
+    places = F.broadcast(spark.createDataFrame(placed, schema))
+    within = F.pmod(key_hash(keys), F.col("spread_tasks").cast("long")).cast("int")
+    task = F.coalesce(F.col("spread_first") + within, F.lit(0)).alias(TASK)
+    placed_rows = df.join(places, part.cast(kind).eqNullSafe(F.col("spread_part")), "left").select(*df.columns, task)
+    return placed_rows.repartitionById(tasks, F.col(TASK))
+
+
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> list[int]:
     """Hashes of the keys that hold a large share of `df`: one scan of the key columns, no shuffle of rows.
 

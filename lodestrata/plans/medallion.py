@@ -16,8 +16,9 @@ from ..operators import maintained
 from ..operators.quality import CheckSet, ValidationError, check_results, gate_status, validate
 from ..operators.quarantine import BROKEN, null_rules, staged
 from ..operators.reshape import ordered_within_files
+from ..operators.skew import spread
 from ..schemas import PROVIDER_DIM, STAFFING_TYPE_DIM, WORK_DATE_DIM, fact_schema, gold_schema
-from ..session import scratch_path, settled
+from ..session import freed_shuffles, scratch_path, settled
 from ..sources.ingest import PROVIDER_TABLE, STAFFING_TABLE, Bronze, default_routes, ingest_folder
 from ..sources.ledger import WHOLE, Commit, Ledger
 from . import gold, silver
@@ -182,11 +183,17 @@ def merge_fact(
     schema = fact_schema(config.strict_scale)
     months = touched_months(staffing) if months is None else months
     target = commit.read(FACT_TABLE, config.fact_rows, MONTH, months).select(*schema.names)
-    build = silver.first_fact if target.isEmpty() else silver.build_fact
-    merged = build(staffing, target, run_ts, strict_scale=config.strict_scale)
-    merged = merged.withColumn(MONTH, month_of(F.col("workdateid")))
-    # Rebalancing gathers each month in few files and splits a month that is too large for one task.
-    sized = merged.hint("rebalance", MONTH)
+    options = {"strict_scale": config.strict_scale}
+    first = target.isEmpty()
+    if first and months is not None:
+        # The wide rows are gathered by month already: the long ones, four times as many, are written where they are made.
+        merged = silver.first_fact(staffing, target, run_ts, part=(MONTH, month_of), **options)
+        sized = merged.withColumn(MONTH, month_of(F.col("workdateid")))
+    else:
+        build = silver.first_fact if first else silver.build_fact
+        merged = build(staffing, target, run_ts, **options).withColumn(MONTH, month_of(F.col("workdateid")))
+        # Rebalancing gathers each month in few files and splits a month that is too large for one task.
+        sized = merged.hint("rebalance", MONTH)
     commit.replace_partitions(ordered_within_files(sized, MONTH, "workdateid"), FACT_TABLE, MONTH)
     return months
 
@@ -284,6 +291,9 @@ def refresh_gold(
         maintained.total("census").alias("census"),
         F.col(maintained.counted("census")).alias("days"),
     )
+    # Narrow rows are spread by provider, once for the join and the grouping. A merge join leaves them in order: a provider's
+    # texts then lie together in the shuffle by month that follows, which packs them away.
+    sums, dimensions = spread(sums, silver.PROVIDER_KEY), (dimensions[0].hint("merge"), dimensions[1])
     rows = gold.shaped_gold(gold.from_monthly(sums, *dimensions, [MONTH]), run_ts, config.strict_scale, [MONTH])
     commit.replace_partitions(rows.hint("rebalance", MONTH), GOLD_TABLE, MONTH, emptied=months)
 
@@ -367,10 +377,11 @@ def run_medallion(
             staffing = set_aside(commit, staffing)
             # Where a month has lost all its rows, nothing of it is merged.
             checks = checks if not staffing.isEmpty() else (silver.PROVIDER_CHECKS,)
-        run_checks(providers, staffing, checks)
-        months = merge_silver(commit, config, providers, staffing, run_ts, months)
-        record_merged(commit, pending)
-        refresh_gold(commit, config, run_ts, months)
+        with freed_shuffles(spark):
+            run_checks(providers, staffing, checks)
+            months = merge_silver(commit, config, providers, staffing, run_ts, months)
+            record_merged(commit, pending)
+            refresh_gold(commit, config, run_ts, months)
         commit.commit()
     except BaseException:
         commit.abandon()

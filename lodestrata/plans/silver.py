@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -121,14 +121,19 @@ def fact_stage(
     measures: Mapping[str, str] = FACT_MEASURES,
     hot: Sequence[int] | None = None,
     keys: Sequence[str] = FACT_DAY,
+    part: tuple[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """The distinct fact rows, still as text and source decimals, spread by `keys`: by provider and day, or by provider.
 
     Spread by provider, what follows by provider needs no further shuffle. Hot keys are looked up unless given.
+    `part` names a column that is made of the date id; the rows carry it and lie as they are written by it.
     """
-    days = staffing_days(staffing, measures)
+    days, ids, name = staffing_days(staffing, measures), FACT_IDS, None
+    if part is not None:
+        name, value = part
+        days, ids, keys = days.withColumn(name, value(F.col("workdateid"))), [*ids, name], [name, *keys]
     hot = hot_key_hashes(days, keys) if hot is None else hot
-    return distinct_long(days, FACT_IDS, _hours(measures), "staffingtypeid", "workhours", keys, hot)
+    return distinct_long(days, ids, _hours(measures), "staffingtypeid", "workhours", keys, hot, name)
 
 
 def whole_census() -> Column:
@@ -265,10 +270,19 @@ def new_fact_rows(days: Days, target: DataFrame, measures: Mapping[str, str]) ->
 
 
 def first_fact(
-    staffing: DataFrame, target: DataFrame, run_ts: Column | None = None, *, strict_scale: bool = False
+    staffing: DataFrame,
+    target: DataFrame,
+    run_ts: Column | None = None,
+    *,
+    strict_scale: bool = False,
+    part: tuple[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
-    """What `build_fact` makes of a target without rows: the stage alone, with nothing to aggregate or join for an update."""
-    return shaped(typed_fact(fact_stage(staffing), strict_scale), target, run_ts)
+    """What `build_fact` makes of a target without rows: the stage alone, with nothing to aggregate or join for an update.
+
+    With `part`, a column that is made of the date id, the rows lie as they are written by it, those of a provider together.
+    """
+    stage = fact_stage(staffing) if part is None else fact_stage(staffing, keys=PROVIDER_KEY, part=part)
+    return shaped(typed_fact(stage, strict_scale), target, run_ts)
 
 
 def build_fact(

@@ -78,15 +78,34 @@ def compiled_methods(spark: SparkSession) -> Iterator[None]:
     A projection of many long expressions otherwise becomes a method that is interpreted for every row, several times
     slower; beyond the limit Spark generates the same expressions in pieces.
     """
-    before = spark.conf.get(METHOD_LIMIT, None)
-    spark.conf.set(METHOD_LIMIT, COMPILED_METHOD)
+    with _setting(spark, METHOD_LIMIT, COMPILED_METHOD):
+        yield
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of plans executed inside are deleted as soon as the plan has ended.
+
+    Spark otherwise keeps them until the driver's garbage is collected, and those of all steps of a run add up on disk.
+    """
+    with _setting(spark, SHUFFLE_CLEANUP, "true"):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(METHOD_LIMIT)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(METHOD_LIMIT, before)
+            spark.conf.set(name, before)
 
 
 def filesystem(spark: SparkSession, path: str):
